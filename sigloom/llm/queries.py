@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash
+from . import mixing, quality, secrets, simhash, tokens
 from .common import table
 
 
@@ -16,15 +16,33 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, with the weak parts that complementary parts confirm."""
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, written as bit-packed shards, and read back from them."""
+    return tokens.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     v = quality.verdicts(table(spark, sf_dir, "documents"))
     return v.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_maximal_repeats", "longest_repeat_words", F.round("covered_share", 6).alias("covered_share"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents in training order."""
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_secrets": op3_secrets,
+    "op5_token_ids": op5_token_ids,
     "op6_quality_rules": op6_quality_rules,
+    "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE}
