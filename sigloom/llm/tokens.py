@@ -36,7 +36,7 @@ FOOTER = 40
 END_ID = 1
 #: Words whose ids a worker remembers; beyond that it forgets them all and starts anew.
 MEMORY = 400_000
-#: Marks that never join what stands before them, so the ids of a word and its trailing marks add up.
+#: Marks that never join a letter or digit before them, so the ids of a word and its trailing marks add up.
 _MARKS = ".,!?;:%*$&#"
 
 
@@ -148,7 +148,7 @@ class Encoder:
 
     def _new(self, word: str) -> bytes:
         core = word.rstrip(_MARKS)
-        if core and core != word and "<|" not in word:
+        if core != word and core[-1:].isalnum() and "<|" not in word:
             return self.ids(core) + self.ids(word[len(core) :])
         if word.isascii() and word.isalpha():
             pieces = [word.lower()]
