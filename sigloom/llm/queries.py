@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, secrets, simhash, tokens
+from . import decontaminate, mixing, quality, secrets, simhash, tokens
 from .common import table
 
 
@@ -16,6 +16,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, changed parameters included."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_windows", "item_windows", "first_word", "last_word", "n_changed")
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, with the weak parts that complementary parts confirm."""
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
@@ -39,6 +45,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_decontamination": op2_decontamination,
     "op3_secrets": op3_secrets,
     "op5_token_ids": op5_token_ids,
     "op6_quality_rules": op6_quality_rules,
