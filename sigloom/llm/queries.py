@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality, secrets, simhash, tokens
+from . import decontaminate, kenlm, linededup, mixing, quality, secrets, simhash, tokens, toxicity
 from .common import table
 
 
@@ -27,6 +27,11 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by the grammar that the labelled rows weigh."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, written as bit-packed shards, and read back from them."""
     return tokens.pack_documents(table(spark, sf_dir, "documents"))
@@ -38,6 +43,18 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_maximal_repeats", "longest_repeat_words", F.round("covered_share", 6).alias("covered_share"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page without its site's boilerplate lines, by digest."""
+    kept = linededup.drop_boilerplate(table(spark, sf_dir, "pages"))
+    text = F.col("kept_text")
+    return kept.select("page_id", "host", "n_lines", "n_dropped", F.length(text).cast("long").alias("kept_chars"), F.md5(text.cast("binary")).alias("kept_md5"))
+
+
+def op9_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and verdict of every document."""
+    return kenlm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents in training order."""
     return mixing.plan(table(spark, sf_dir, "documents"))
@@ -47,9 +64,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
     "op3_secrets": op3_secrets,
+    "op4_toxicity": op4_toxicity,
     "op5_token_ids": op5_token_ids,
     "op6_quality_rules": op6_quality_rules,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_perplexity": op9_perplexity,
     "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op8_line_dedup": linededup.ORACLE, "op10_mixing": mixing.ORACLE}
