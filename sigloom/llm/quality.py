@@ -237,22 +237,41 @@ def measures(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(_batches, SCHEMA)
 
 
-def verdicts(docs: DataFrame, min_words: int = 50, max_repeat: float = 0.5, max_covered: float = 0.35, max_longest: int = 200, max_longest_share: float = 0.25) -> DataFrame:
+def _verdict(m: DataFrame, min_words: int = 50, max_repeat: float = 0.5, max_covered: float = 0.35, max_longest: int = 200, max_longest_share: float = 0.25) -> DataFrame:
+    n = F.col("n_words")
+    share = F.when(n > 0, F.col("covered_chars") / F.greatest("word_chars", "covered_chars", F.lit(1))).otherwise(F.lit(0.0))
+    base = (n < min_words) | (F.col("n_repeat_words") > max_repeat * n)
+    long = (F.col("longest_repeat_words") > max_longest) & (F.col("longest_repeat_words") > max_longest_share * n)
+    return m.withColumn("covered_share", share).withColumn("base_failed", base).withColumn("kept", ~F.col("base_failed") & (F.col("covered_share") <= max_covered) & ~long)
+
+
+def verdicts(docs: DataFrame, **limits: float) -> DataFrame:
     """``docs(doc_id, text, ...)`` -> counts, ``base_failed``, ``covered_share`` and ``kept``.
 
-    The base rule rejects a text of under ``min_words`` words or with over ``max_repeat`` of them in
-    3-word windows that occur again. The suffix-array rule rejects one whose maximal repeats cover
-    over ``max_covered`` of its characters, or whose longest repeat has over ``max_longest`` words
-    and over ``max_longest_share`` of the text. Null counts as the empty text, which fails; repeated
-    rows repeat; a null doc_id is carried; an empty table gives no rows; other columns are ignored."""
-    m = measures(docs)
-    share = F.when(F.col("n_words") > 0, F.col("covered_chars") / F.greatest("text_bytes", F.lit(1))).otherwise(F.lit(0.0))
-    m = m.withColumn("text_bytes", F.greatest(F.col("word_chars"), F.col("covered_chars")))
-    base = (F.col("n_words") < min_words) | (F.col("n_repeat_words") > max_repeat * F.col("n_words"))
-    long = (F.col("longest_repeat_words") > max_longest) & (F.col("longest_repeat_words") > max_longest_share * F.col("n_words"))
-    return (
-        m.withColumn("covered_share", share)
-        .withColumn("base_failed", base)
-        .withColumn("kept", ~F.col("base_failed") & (F.col("covered_share") <= max_covered) & ~long)
-        .drop("text_bytes")
-    )
+    The base rule rejects a text of under ``min_words`` (50) words or with over ``max_repeat`` (half) of
+    them in 3-word windows that occur again. The suffix-array rule rejects one whose maximal repeats
+    cover over ``max_covered`` (0.35) of its characters, or whose longest repeat has over
+    ``max_longest`` (200) words and over ``max_longest_share`` (a quarter) of the text. Null counts as
+    the empty text, which fails; repeated rows repeat; a null doc_id is carried; an empty table gives
+    no rows; other columns are ignored."""
+    return _verdict(measures(docs), **limits)
+
+
+def keep(docs: DataFrame, **limits: float) -> DataFrame:
+    """The rows of ``docs`` that ``verdicts`` keeps, with their columns. The id is not needed: text and
+    verdict stay in one row, so nothing is joined or dealt out."""
+    share_code(docs.sparkSession)
+    names = docs.columns
+    row = docs.select(F.struct(*(F.col(f"`{n}`") for n in names)).alias("row"), text_of().cast("binary").alias("text"))
+    kind = docs.schema
+    passed = row.select("text", "row").mapInArrow(_beside, f"row {kind.simpleString()}, " + SCHEMA.split(", ", 1)[1])
+    kept = _verdict(passed, **limits).where("kept")
+    return kept.select(*(F.col("row")[n].alias(n) for n in names))
+
+
+def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``text, row`` -> the row with the counts of its text."""
+    for b in batches:
+        ids = pa.array(np.zeros(b.num_rows, np.int64))
+        for m in _batches(iter([pa.RecordBatch.from_arrays([ids, b.column(0)], ["doc_id", "text"])])):
+            yield pa.RecordBatch.from_arrays([b.column(1), *m.columns[1:]], ["row", *m.schema.names[1:]])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, kenlm, linededup, mixing, quality, secrets, simhash, tokens, toxicity
+from . import chat, decontaminate, kenlm, linededup, mixing, quality, secrets, simhash, tokens, toxicity
 from .common import table
 
 
@@ -43,6 +43,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_maximal_repeats", "longest_repeat_words", F.round("covered_share", 6).alias("covered_share"))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message with the roles that its text and place tell, and its rendered turns by digest."""
+    messages = table(spark, sf_dir, "conversations")
+    found = chat.parse(messages, chat.train(messages))
+    text = F.col("rendered")
+    return found.select("conv_id", "turn", "n_parts", "roles", F.length(text).cast("long").alias("rendered_chars"), F.md5(text.cast("binary")).alias("rendered_md5"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page without its site's boilerplate lines, by digest."""
     kept = linededup.drop_boilerplate(table(spark, sf_dir, "pages"))
@@ -67,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_token_ids": op5_token_ids,
     "op6_quality_rules": op6_quality_rules,
+    "op7_chat": op7_chat,
     "op8_line_dedup": op8_line_dedup,
     "op9_perplexity": op9_perplexity,
     "op10_mixing": op10_mixing,
