@@ -5,10 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sigloom.functions import codecs, kernels
+from sigloom.operators import aggregates, catalogs, joins, metrics, windows
+from sigloom.sources import views
+from sigloom.streaming import processors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+#: The views that most oracles start from, as ``sigloom.sources.views`` makes them.
+SIGNAL = """signal AS (SELECT event_type AS recording, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS t,
+ CAST(round(value * 100) AS BIGINT) AS v FROM events)"""
+RECON = "recon AS (SELECT recording, t, (v >> 3) << 3 AS v FROM signal)"
+PAIRS = f"{SIGNAL}, {RECON}, pairs AS (SELECT s.recording, s.t, s.v AS x, r.v AS y FROM signal s JOIN recon r USING (recording, t))"
+ENTRIES = "entries AS (SELECT source || '/' || doc_id AS path, source, doc_id, n_chars AS size, sha256(text) AS sha256 FROM documents)"
+FIRST = "firsts AS (SELECT *, min(path) OVER (PARTITION BY sha256) AS first_path FROM entries)"
+
 
 def query(name: str, sql: str | None = None):
     """Register a query, with its oracle where SQL can express it."""
@@ -26,17 +40,505 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-SIGNAL_SQL = """signal AS (SELECT event_type AS recording, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS t,
- CAST(round(value * 100) AS BIGINT) AS v FROM events)"""
+def signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.signal(read(spark, sf_dir, "events"))
+
+
+def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = signal(spark, sf_dir)
+    return metrics.paired(s, views.strip_low_bits(s))
+
+
+def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalogs.entries(read(spark, sf_dir, "documents"))
+
+
+# --- statistics ---------------------------------------------------------------------------------
 
 
 @query(
     "signal_channel_stats",
-    f"""WITH {SIGNAL_SQL} SELECT recording, count(*) AS n, min(v) AS v_min, max(v) AS v_max, round(avg(v), 6) AS v_mean,
+    f"""WITH {SIGNAL} SELECT recording, count(*) AS n, min(v) AS v_min, max(v) AS v_max, round(avg(v), 6) AS v_mean,
  round(stddev_pop(v), 6) AS v_std, round(median(v), 6) AS v_median, round(mad(v), 6) AS v_mad FROM signal GROUP BY recording""",
 )
-def signal_channel_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from sigloom.operators.aggregates import channel_stats
-    from sigloom.sources.views import signal
+def signal_channel_stats(spark, sf_dir):
+    return aggregates.channel_stats(signal(spark, sf_dir))
+
+
+@query(
+    "robust_summary",
+    """SELECT event_type, count(value) AS n, round(avg(value), 6) AS mean, round(quantile_cont(value, 0.05), 6) AS p5, round(quantile_cont(value, 0.5), 6) AS p50,
+ round(quantile_cont(value, 0.95), 6) AS p95, min(value) AS min, max(value) AS max FROM events GROUP BY event_type""",
+)
+def robust_summary(spark, sf_dir):
+    return aggregates.robust_summary(read(spark, sf_dir, "events"), "value", "event_type")
+
+
+_RANKED = """WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS r, count(*) OVER (PARTITION BY event_type) AS n FROM events)
+SELECT event_type, {} FROM r GROUP BY event_type"""
+
+
+@query("percentile_nearest_rank", _RANKED.format("max(CASE WHEN r = least(CAST(floor(0.05 * n) AS BIGINT), n - 1) THEN value END) AS p5, max(CASE WHEN r = least(CAST(floor(0.5 * n) AS BIGINT), n - 1) THEN value END) AS p50, max(CASE WHEN r = least(CAST(floor(0.95 * n) AS BIGINT), n - 1) THEN value END) AS p95"))
+def percentile_nearest_rank(spark, sf_dir):
+    return aggregates.ranked_percentiles(read(spark, sf_dir, "events"), "value", "event_type", {"p5": 0.05, "p50": 0.5, "p95": 0.95})
+
+
+@query("latency_percentiles", _RANKED.format("max(CASE WHEN r = n // 2 THEN value END) AS p50, max(CASE WHEN r = CAST(floor(0.95 * n) AS BIGINT) THEN value END) AS p95, max(CASE WHEN r = CAST(floor(0.99 * n) AS BIGINT) THEN value END) AS p99, max(value) AS max"))
+def latency_percentiles(spark, sf_dir):
+    e = read(spark, sf_dir, "events")
+    p = aggregates.ranked_percentiles(e, "value", "event_type", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, rule="plain")
+    return p.join(e.groupBy("event_type").agg(F.max("value").alias("max")), "event_type")
+
+
+@query(
+    "histogram_30",
+    """WITH s AS (SELECT event_type, min(value) AS lo, max(value) AS hi FROM events GROUP BY event_type)
+SELECT event_type, CAST(CASE WHEN hi > lo THEN least(floor((value - lo) / (hi - lo) * 30), 29) ELSE 0 END AS INTEGER) AS bin, count(*) AS n FROM events JOIN s USING (event_type) GROUP BY 1, 2""",
+)
+def histogram_30(spark, sf_dir):
+    return aggregates.histogram(read(spark, sf_dir, "events"), "value", "event_type")
+
+
+@query(
+    "entropy_bits",
+    f"""WITH {SIGNAL}, c AS (SELECT recording, v >> 4 AS s, count(*) AS c FROM signal GROUP BY 1, 2)
+SELECT recording, round(abs(log2(sum(c)) - sum(c * log2(c)) / sum(c)), 6) AS bits, count(*) AS symbols, CAST(sum(c) AS BIGINT) AS n FROM c GROUP BY recording""",
+)
+def entropy_bits(spark, sf_dir):
+    return aggregates.entropy(signal(spark, sf_dir).withColumn("s", F.shiftright("v", 4)), "s", "recording")
+
+
+@query(
+    "mutual_information",
+    """WITH j AS (SELECT event_type, user_id % 8 AS a, CAST(floor(value / 50) AS BIGINT) AS b, count(*) AS c FROM events GROUP BY 1, 2, 3),
+w AS (SELECT *, sum(c) OVER (PARTITION BY event_type, a) AS ca, sum(c) OVER (PARTITION BY event_type, b) AS cb, sum(c) OVER (PARTITION BY event_type) AS n FROM j)
+SELECT event_type, round(sum(c / n * log2(c * n / (ca * cb))), 6) AS bits FROM w GROUP BY event_type""",
+)
+def mutual_information(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select("event_type", (F.col("user_id") % 8).alias("a"), F.floor(F.col("value") / 50).alias("b"))
+    return aggregates.mutual_information(e, "a", "b", "event_type")
+
+
+@query(
+    "symbol_utilisation",
+    """SELECT event_type, round(count(DISTINCT user_id % 64) * 100.0 / 64, 6) AS used_pct, round(kurtosis_pop(user_id % 64), 4) AS kurtosis FROM events GROUP BY event_type""",
+)
+def symbol_utilisation(spark, sf_dir):
+    return aggregates.utilisation(read(spark, sf_dir, "events").withColumn("s", F.col("user_id") % 64), "s", 64, "event_type")
+
+
+@query(
+    "patient_spread",
+    """WITH m AS (SELECT event_type, user_id, avg(value) AS m FROM events GROUP BY 1, 2)
+SELECT event_type, count(*) AS groups, round(avg(m), 6) AS mean, round(stddev_pop(m), 6) AS std, round(min(m), 6) AS min, round(max(m), 6) AS max, round(max(m) - min(m), 6) AS range FROM m GROUP BY event_type""",
+)
+def patient_spread(spark, sf_dir):
+    return aggregates.spread(read(spark, sf_dir, "events"), "value", "user_id", "event_type")
+
+
+@query(
+    "best_f1_threshold",
+    """WITH e AS (SELECT event_type, CAST(floor(value / 10) AS BIGINT) AS score, sum(CASE WHEN user_id % 3 = 0 THEN 1 ELSE 0 END) AS tp, count(*) AS n FROM events GROUP BY 1, 2),
+c AS (SELECT *, sum(tp) OVER (PARTITION BY event_type ORDER BY score DESC) AS ctp, sum(n) OVER (PARTITION BY event_type ORDER BY score DESC) AS cn, sum(tp) OVER (PARTITION BY event_type) AS p FROM e),
+f AS (SELECT *, round(CASE WHEN p + cn > 0 THEN 2.0 * ctp / (cn + p) ELSE 0 END, 9) AS f1 FROM c),
+b AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY f1 DESC, score DESC) AS k FROM f)
+SELECT event_type, score AS threshold, round(f1, 6) AS f1, round(CASE WHEN p > 0 THEN ctp / p ELSE 0 END, 6) AS sensitivity FROM b WHERE k = 1""",
+)
+def best_f1_threshold(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select("event_type", F.floor(F.col("value") / 10).alias("score"), (F.col("user_id") % 3 == 0).cast("int").alias("truth"))
+    return aggregates.best_f1(e, "score", "truth", "event_type")
+
+
+@query(
+    "activity_buckets",
+    f"""WITH {SIGNAL}, w AS (SELECT recording, t // 50 AS seq, sqrt(avg(CAST(v * v AS DOUBLE))) AS rms, bool_or(v > 40000) AS marked FROM signal GROUP BY 1, 2),
+m AS (SELECT recording, quantile_cont(rms, 0.5) AS mid FROM w GROUP BY recording)
+SELECT recording, CASE WHEN marked THEN 'seizure' WHEN rms > mid THEN 'active' ELSE 'quiet' END AS activity, count(*) AS n, round(avg(rms), 4) AS mean, round(stddev_pop(rms), 4) AS std
+FROM w JOIN m USING (recording) GROUP BY 1, 2""",
+)
+def activity_buckets(spark, sf_dir):
+    s = signal(spark, sf_dir)
+    w = s.groupBy("recording", F.floor(F.col("t") / 50).alias("seq")).agg(F.sqrt(F.avg((F.col("v") * F.col("v")).cast("double"))).alias("rms"), F.bool_or(F.col("v") > 40000).alias("marked"))
+    mid = w.groupBy("recording").agg(F.percentile("rms", F.lit(0.5)).alias("mid"))
+    kind = F.when(F.col("marked"), "seizure").when(F.col("rms") > F.col("mid"), "active").otherwise("quiet")
+    return w.join(mid, "recording").groupBy("recording", kind.alias("activity")).agg(F.count("*").alias("n"), F.round(F.avg("rms"), 4).alias("mean"), F.round(F.stddev_pop("rms"), 4).alias("std"))
+
+
+_RESULTS = """results AS (SELECT o_orderkey AS input, CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'failed' ELSE 'skipped' END AS status, o_orderpriority AS grp,
+ CAST(round(o_totalprice * 100) AS BIGINT) AS raw_bytes, CAST(round(o_totalprice) AS BIGINT) % 100000 AS packed_bytes FROM orders)"""
+
+
+def _results(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "failed").otherwise("skipped")
+    return o.select(F.col("o_orderkey").alias("input"), status.alias("status"), F.col("o_orderpriority").alias("grp"), F.round(F.col("o_totalprice") * 100).cast("long").alias("raw_bytes"), (F.round("o_totalprice").cast("long") % 100000).alias("packed_bytes"))
+
+
+@query(
+    "batch_summary",
+    f"""WITH {_RESULTS} SELECT grp, count(*) AS total, count_if(status = 'success') AS success, count_if(status = 'failed') AS failed, count_if(status = 'skipped') AS skipped,
+ CAST(coalesce(sum(raw_bytes) FILTER (status = 'success'), 0) AS BIGINT) AS raw_bytes, CAST(coalesce(sum(packed_bytes) FILTER (status = 'success'), 0) AS BIGINT) AS packed_bytes,
+ round(CASE WHEN coalesce(sum(packed_bytes) FILTER (status = 'success'), 0) > 0 THEN CAST(sum(raw_bytes) FILTER (status = 'success') AS DOUBLE) / sum(packed_bytes) FILTER (status = 'success') ELSE 0 END, 6) AS ratio FROM results GROUP BY grp""",
+)
+def batch_summary(spark, sf_dir):
+    return aggregates.batch_summary(_results(spark, sf_dir), "grp")
+
+
+@query(
+    "run_statistics",
+    f"""WITH {_RESULTS}, s AS (SELECT grp, CAST(sum(raw_bytes) AS DOUBLE) / sum(packed_bytes) AS ratio FROM results WHERE status = 'success' GROUP BY grp HAVING sum(packed_bytes) > 0)
+SELECT grp, round(ratio, 6) AS ratio, round(greatest(16.0 / ratio - 6.63, 0), 6) AS gap_bits, round((1 - (16.0 / ratio - 6.63) / (16 - 6.63)) * 100, 4) AS gap_pct FROM s""",
+)
+def run_statistics(spark, sf_dir):
+    ok = _results(spark, sf_dir).where("status = 'success'").groupBy("grp").agg(F.sum("raw_bytes").alias("raw"), F.sum("packed_bytes").alias("packed")).where("packed > 0")
+    s = ok.select("grp", (F.col("raw").cast("double") / F.col("packed")).alias("ratio"))
+    gap = aggregates.run_gap(F.col("ratio"))
+    return s.select("grp", F.round("ratio", 6).alias("ratio"), F.round(gap["gap_bits"], 6).alias("gap_bits"), F.round(gap["gap_pct"], 4).alias("gap_pct"))
+
+
+@query(
+    "paper_aggregate",
+    f"""WITH {_RESULTS}, r AS (SELECT grp, raw_bytes, packed_bytes, CAST(raw_bytes AS DOUBLE) / packed_bytes AS cr FROM results WHERE status = 'success' AND packed_bytes > 0)
+SELECT grp, count(*) AS ok, round(CAST(sum(raw_bytes) AS DOUBLE) / sum(packed_bytes), 6) AS ratio_of_sums, round(avg(cr), 4) AS mean_of_ratios, round(median(cr), 6) AS median, round(quantile_cont(cr, 0.05), 6) AS p5, round(quantile_cont(cr, 0.95), 6) AS p95 FROM r GROUP BY grp""",
+)
+def paper_aggregate(spark, sf_dir):
+    r = _results(spark, sf_dir).where("status = 'success' AND packed_bytes > 0").withColumn("cr", F.col("raw_bytes").cast("double") / F.col("packed_bytes"))
+    p = F.percentile("cr", F.array(F.lit(0.5), F.lit(0.05), F.lit(0.95)))
+    g = r.groupBy("grp").agg(F.count("*").alias("ok"), F.round(F.sum("raw_bytes").cast("double") / F.sum("packed_bytes"), 6).alias("ratio_of_sums"), F.round(F.avg("cr"), 4).alias("mean_of_ratios"), p.alias("_p"))
+    return g.select("grp", "ok", "ratio_of_sums", "mean_of_ratios", *(F.round(F.col("_p")[k], 6).alias(n) for k, n in enumerate(("median", "p5", "p95"))))
+
+
+@query("state_counts", f"WITH {_RESULTS} SELECT count_if(status = 'pending') AS pending, count_if(status = 'in_progress') AS in_progress, count_if(status = 'success') AS success, count_if(status = 'failed') AS failed, count_if(status = 'quarantined') AS quarantined FROM results")
+def state_counts(spark, sf_dir):
+    return aggregates.state_counts(_results(spark, sf_dir), "status", ("pending", "in_progress", "success", "failed", "quarantined"))
+
+
+@query(
+    "noise_profile",
+    f"""WITH {SIGNAL} SELECT recording, count(*) AS n, CAST(trunc(quantile_cont(v, 0.5)) AS BIGINT) AS p50, CAST(trunc(quantile_cont(v, 0.05)) AS BIGINT) AS p5, CAST(trunc(quantile_cont(v, 0.95)) AS BIGINT) AS p95 FROM signal GROUP BY ROLLUP (recording)""",
+)
+def noise_profile(spark, sf_dir):
+    return aggregates.rollup_percentiles(signal(spark, sf_dir), "v", "recording")
+
+
+@query(
+    "head_to_head",
+    """WITH g AS (SELECT l_returnflag AS codec, round(avg(l_quantity), 6) AS cr, round(avg(l_discount), 6) AS prd, round(median(l_tax), 6) AS latency FROM lineitem GROUP BY 1)
+SELECT *, cr = max(cr) OVER () AS best_cr, prd = min(prd) OVER () AS best_prd, latency = min(latency) OVER () AS best_latency FROM g""",
+)
+def head_to_head(spark, sf_dir):
+    return aggregates.head_to_head(read(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("codec"), F.col("l_quantity").alias("cr"), F.col("l_discount").alias("prd"), F.col("l_tax").alias("latency")))
+
+
+@query(
+    "normalised_frequencies",
+    """WITH c AS (SELECT event_type, user_id % 40 AS s, count(*) AS c FROM events GROUP BY 1, 2),
+f AS (SELECT *, greatest(CAST(floor(c * 4096 / sum(c) OVER (PARTITION BY event_type)) AS BIGINT), 1) AS f FROM c),
+k AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY f DESC, s) AS k, sum(f) OVER (PARTITION BY event_type) AS total FROM f)
+SELECT event_type, s, c, CAST(CASE WHEN k = 1 THEN f + 4096 - total ELSE f END AS BIGINT) AS f FROM k""",
+)
+def normalised_frequencies(spark, sf_dir):
+    return aggregates.normalised_frequencies(read(spark, sf_dir, "events").withColumn("s", F.col("user_id") % 40), "s", 4096, "event_type")
+
+
+@query(
+    "modality_vote",
+    """WITH l(recording, label) AS (VALUES (1, 'EEG Fp1-REF'), (1, 'C3-A2'), (1, 'Status'), (2, 'I'), (2, 'V1'), (2, 'x'), (3, 'I'), (3, 'ch1'), (4, 'Resp belt'), (4, 'AIRFLOW'), (4, 'ECG'), (5, 'EMG chin'), (5, 'EOG left')),
+k AS (SELECT recording, CASE WHEN upper(label) LIKE '%EEG%' THEN 'eeg' WHEN upper(label) LIKE '%ECG%' THEN 'ecg' WHEN upper(label) LIKE '%EMG%' THEN 'emg' WHEN upper(label) LIKE '%EOG%' THEN 'eog'
+ WHEN upper(label) LIKE '%RESP%' OR upper(label) LIKE '%AIRFLOW%' THEN 'resp' WHEN list_has_any(regexp_split_to_array(upper(label), '[-_/\\s]+'), ['C3', 'A2']) THEN 'eeg' WHEN label IN ('I', 'V1') THEN 'lead' END AS k FROM l),
+c AS (SELECT recording, count(*) AS n, count_if(k = 'eeg') AS eeg, count_if(k = 'ecg') + CASE WHEN count_if(k = 'lead') >= 2 THEN count_if(k = 'lead') ELSE 0 END AS ecg, count_if(k = 'emg') AS emg, count_if(k = 'eog') AS eog, count_if(k = 'resp') AS resp FROM k GROUP BY 1)
+SELECT CAST(recording AS BIGINT) AS recording, n, CASE WHEN 2 * eeg > n THEN 'eeg' WHEN 2 * ecg > n THEN 'ecg' WHEN 2 * emg > n THEN 'emg' WHEN 2 * eog > n THEN 'eog' WHEN 2 * resp > n THEN 'resp' ELSE 'untyped' END AS modality FROM c""",
+)
+def modality_vote(spark, sf_dir):
+    rows = [(1, "EEG Fp1-REF"), (1, "C3-A2"), (1, "Status"), (2, "I"), (2, "V1"), (2, "x"), (3, "I"), (3, "ch1"), (4, "Resp belt"), (4, "AIRFLOW"), (4, "ECG"), (5, "EMG chin"), (5, "EOG left")]
+    return aggregates.vote_modality(spark.createDataFrame(rows, "recording long, label string"))
+
+
+# --- metrics ------------------------------------------------------------------------------------
+
+_METRICS = PAIRS + """, g AS (SELECT recording, count(*) AS n, sum(CAST(x AS DOUBLE) * x) AS sxx, sum(CAST(x - y AS DOUBLE) * (x - y)) AS sdd, corr(x, y) AS r, stddev_pop(x) AS sx, stddev_pop(y) AS sy,
+ avg(x) AS mx, max(abs(x - y)) AS me, bool_and(x = y) AS lossless FROM pairs GROUP BY recording)"""
+_METRIC_COLUMNS = """recording, n, round({prd}, 6) AS prd, round(CASE WHEN sxx - n * mx * mx > 1e-12 THEN 100 * sqrt(sdd / (sxx - n * mx * mx)) ELSE 0 END, 6) AS prdn, round(r, 6) AS r,
+ round({snr}, 6) AS snr_db, round(sqrt(sdd / n), 6) AS rmse, CAST(me AS DOUBLE) AS max_error, lossless"""
+_PLAIN = {"prd": "100 * sqrt(sdd) / sqrt(sxx)", "snr": "10 * log10(sxx / sdd)"}
+_GUARDED = {"prd": "100 * sqrt(sdd / (sxx + 1e-12))", "snr": "10 * log10(sxx / (sdd + 1e-12))"}
+
+for _dialect in metrics.DIALECTS:
+
+    @query(f"metrics_{_dialect}", f"WITH {_METRICS} SELECT {_METRIC_COLUMNS.format(**(_GUARDED if _dialect == 'guarded' else _PLAIN))} FROM g")
+    def _metrics(spark, sf_dir, dialect=_dialect):
+        return metrics.metrics(pairs(spark, sf_dir), dialect)
+
+
+@query(
+    "contract_levels",
+    f"""WITH {_METRICS}, m AS (SELECT recording, 100 * sqrt(sdd) / sqrt(sxx) AS prd, r FROM g), l(level, max_prd, min_r) AS (VALUES ('L', 0.0, 1.0), ('C', 9.0, 0.95), ('M', 20.0, 0.85), ('A', 40.0, 0.70))
+SELECT recording, level, array_to_string(list_filter([CASE WHEN prd > max_prd THEN 'prd' END, CASE WHEN r < min_r - 1e-6 THEN 'r' END], lambda x: x IS NOT NULL), ',') AS violated, prd <= max_prd AND r >= min_r - 1e-6 AS passed FROM m, l""",
+)
+def contract_levels(spark, sf_dir):
+    m = metrics.metrics(pairs(spark, sf_dir), "capped", digits=15).withColumn("snr_db", F.lit(None).cast("double"))
+    return metrics.check_contract(m).select("recording", "level", F.array_join("violations", ",").alias("violated"), "passed")
+
+
+@query(
+    "batch_gate",
+    f"""WITH {_METRICS}, l(level, max_prd, min_r) AS (VALUES ('A', 25.0, 0.85), ('M', 15.0, 0.92), ('C', 9.0, 0.96), ('L', 0.001, 0.9999))
+SELECT recording, level, 100 * sqrt(sdd) / sqrt(sxx) <= max_prd AND r >= min_r AS passed FROM g, l""",
+)
+def batch_gate(spark, sf_dir):
+    m = metrics.metrics(pairs(spark, sf_dir), "strict", digits=12)
+    return metrics.gate(m)
+
+
+@query(
+    "rate_distortion",
+    f"""WITH {SIGNAL}, b AS (SELECT unnest(range(0, 9)) AS bits), p AS (SELECT recording, bits, v AS x, (v >> CAST(bits AS INTEGER)) << CAST(bits AS INTEGER) AS y FROM signal, b)
+SELECT recording, bits, round(100 * sqrt(sum(CAST(x - y AS DOUBLE) * (x - y))) / sqrt(sum(CAST(x AS DOUBLE) * x)), 6) AS prd, round(corr(x, y), 6) AS r FROM p GROUP BY 1, 2""",
+)
+def rate_distortion(spark, sf_dir):
+    each = signal(spark, sf_dir).select("recording", "t", F.col("v").alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(8).cast("long"))).alias("bits"))
+    cut = each.withColumn("y", F.expr("shiftleft(shiftright(x, cast(bits as int)), cast(bits as int))"))
+    return metrics.metrics(cut, "strict", ("recording", "bits")).select("recording", "bits", "prd", "r")
+
+
+# --- windows and kernels ------------------------------------------------------------------------
+
+
+@query("window_tumbling", f"WITH {SIGNAL} SELECT recording, t // 250 AS seq, count(*) AS n, min(t) AS t_first, CAST(sum(v) AS BIGINT) AS v_sum, min(v) AS v_min, max(v) AS v_max FROM signal GROUP BY 1, 2")
+def window_tumbling(spark, sf_dir):
+    return windows.tumbling(signal(spark, sf_dir), 250)
+
+
+@query(
+    "bias_cancel",
+    f"""WITH {SIGNAL} SELECT recording, t, v, v - (CAST(coalesce(sum(v) OVER (PARTITION BY recording ORDER BY t ROWS BETWEEN 32 PRECEDING AND 1 PRECEDING), 0) AS BIGINT) >> 5) AS residual FROM signal""",
+)
+def bias_cancel(spark, sf_dir):
+    return windows.bias_cancel(signal(spark, sf_dir))
+
+
+_LPC = (120_000_000, -40_000_000, 20_000_000, 5_000_000)
+
+
+@query(
+    "lpc_residual",
+    f"""WITH {SIGNAL} SELECT recording, t, v, v - (CAST({" + ".join(f"coalesce(lag(v, {k + 1}) OVER w, 0) * {c}" for k, c in enumerate(_LPC))} AS BIGINT) >> 27) AS residual FROM signal WINDOW w AS (PARTITION BY recording ORDER BY t)""",
+)
+def lpc_residual(spark, sf_dir):
+    return windows.lpc_residual(signal(spark, sf_dir), list(_LPC))
+
+
+_LIFT = """d{n} AS (SELECT recording, t, v, CASE WHEN t % 2 = 1 THEN v - ((lag(v) OVER w + coalesce(lead(v) OVER w, lag(v) OVER w)) >> 1) END AS d FROM {src} WINDOW w AS (PARTITION BY recording ORDER BY t)),
+s{n} AS (SELECT recording, t, CASE WHEN t % 2 = 1 THEN d ELSE v + ((coalesce(lag(d) OVER w, lead(d) OVER w, 0) + coalesce(lead(d) OVER w, lag(d) OVER w, 0) + 2) >> 2) END AS v FROM d{n} WINDOW w AS (PARTITION BY recording ORDER BY t)),
+a{n} AS (SELECT recording, t // 2 AS t, v FROM s{n} WHERE t % 2 = 0)"""
+
+
+@query("lifting_forward", f"WITH {SIGNAL}, {_LIFT.format(n=1, src='signal')} SELECT recording, CASE WHEN t % 2 = 1 THEN 'detail' ELSE 'approx' END AS band, t // 2 AS idx, v FROM s1")
+def lifting_forward(spark, sf_dir):
+    return windows.lifting_forward(signal(spark, sf_dir))
+
+
+@query("lifting_round_trip", f"WITH {SIGNAL} SELECT recording, t, v FROM signal")
+def lifting_round_trip(spark, sf_dir):
+    return windows.lifting_inverse(windows.lifting_forward(signal(spark, sf_dir)))
+
+
+@query(
+    "lifting_cascade",
+    f"""WITH {SIGNAL}, {_LIFT.format(n=1, src='signal')}, {_LIFT.format(n=2, src='a1')}, {_LIFT.format(n=3, src='a2')}
+{" UNION ALL ".join(f"SELECT recording, 'l{n}_detail' AS band, t // 2 AS idx, v FROM s{n} WHERE t % 2 = 1" for n in (1, 2, 3))} UNION ALL SELECT recording, 'l3_approx', t, v FROM a3""",
+)
+def lifting_cascade(spark, sf_dir):
+    return windows.lifting_levels(signal(spark, sf_dir), 3)
+
+
+@query("first_difference", f"WITH {SIGNAL} SELECT recording, t, v, v - coalesce(lag(v) OVER (PARTITION BY recording ORDER BY t), 0) AS delta FROM signal")
+def first_difference(spark, sf_dir):
+    return windows.first_difference(signal(spark, sf_dir))
+
+
+@query(
+    "run_length",
+    """WITH s AS (SELECT user_id AS recording, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS t, CAST(CASE WHEN value > 20 THEN 1 ELSE 0 END AS BIGINT) AS v FROM events),
+n AS (SELECT *, CASE WHEN v = lag(v) OVER (PARTITION BY recording ORDER BY t) THEN 0 ELSE 1 END AS new FROM s),
+r AS (SELECT *, sum(new) OVER (PARTITION BY recording ORDER BY t) AS run FROM n),
+i AS (SELECT *, row_number() OVER (PARTITION BY recording, run ORDER BY t) - 1 AS k FROM r)
+SELECT recording, min(t) AS t_first, min(v) AS v, count(*) AS length FROM i GROUP BY recording, run, k // 4""",
+)
+def run_length(spark, sf_dir):
+    s = views.signal(read(spark, sf_dir, "events"), "user_id").drop("v").withColumn("x", F.lit(0)).drop("x")
+    e = read(spark, sf_dir, "events").withColumn("value", F.when(F.col("value") > 20, 0.01).otherwise(0.0))
+    s = views.signal(e, "user_id")
+    return windows.runs(s, cap=4)
+
+
+_BITS = """b AS (SELECT recording, t, k AS bit, (v >> k) & 1 AS a, (lead(v) OVER (PARTITION BY recording, k ORDER BY t) >> k) & 1 AS b FROM signal, (SELECT CAST(unnest(range(0, 10)) AS INTEGER) AS k)),
+m AS (SELECT recording, bit, avg(a) AS m, count(*) AS n, sum(a) AS sa, sum(a * b) AS sab, sum(CASE WHEN b IS NOT NULL THEN a END) AS sa1, sum(b) AS sb FROM b GROUP BY 1, 2),
+r AS (SELECT recording, bit, round(CASE WHEN sa - n * m * m > 1e-12 THEN (sab - m * (sa1 + sb) + (n - 1) * m * m) / (sa - n * m * m) ELSE 0 END, 6) AS r1 FROM m)"""
+
+
+@query("bit_autocorrelation", f"WITH {SIGNAL}, {_BITS} SELECT recording, bit, r1 FROM r")
+def bit_autocorrelation(spark, sf_dir):
+    return windows.bit_autocorrelation(signal(spark, sf_dir))
+
+
+@query("noise_bits", f"WITH {SIGNAL}, {_BITS} SELECT recording, coalesce(min(CASE WHEN abs(r1) >= 0.05 THEN bit END), 10) AS noise_bits FROM r GROUP BY recording")
+def noise_bits(spark, sf_dir):
+    return windows.noise_bits(signal(spark, sf_dir))
+
+
+@query("strip_guard", f"WITH {SIGNAL} SELECT recording, count_if(v & 7 <> 0) AS dirty, count_if(v & 7 <> 0) = 0 AS stripped FROM signal GROUP BY recording")
+def strip_guard(spark, sf_dir):
+    return kernels.strip_guard(signal(spark, sf_dir), 3)
+
+
+@query(
+    "timestamp_gaps",
+    """WITH e AS (SELECT user_id, event_id, epoch_us(ts) AS us FROM events), s AS (SELECT *, us - lag(us) OVER (PARTITION BY user_id ORDER BY event_id) AS step FROM e)
+SELECT user_id, event_id, us, step, CASE WHEN step IS NULL THEN 'start' WHEN step <= 0 THEN 'regression' WHEN step > 20000000000 + 5000000 THEN 'gap' ELSE 'ok' END AS state FROM s""",
+)
+def timestamp_gaps(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select("user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    return windows.gaps(e, "user_id", "us", "event_id", 20_000_000_000, 5_000_000)
+
+
+@query(
+    "sessions",
+    """WITH e AS (SELECT user_id, event_id, epoch_us(ts) AS us FROM events), s AS (SELECT *, us - lag(us) OVER (PARTITION BY user_id ORDER BY event_id) AS step FROM e),
+b AS (SELECT user_id, event_id, sum(CASE WHEN step <= 0 OR step > 20005000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id) AS session FROM s)
+SELECT user_id, CAST(session AS BIGINT) AS session, count(*) AS n, min(event_id) AS first_event FROM b GROUP BY 1, 2""",
+)
+def sessions(spark, sf_dir):
+    return windows.break_sessions(timestamp_gaps(spark, sf_dir), "user_id", "event_id").groupBy("user_id", "session").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
+
+
+@query(
+    "sequence_gaps",
+    """WITH s AS (SELECT o_custkey % 50 AS stream, o_orderkey AS seq, lag(o_orderkey) OVER (PARTITION BY o_custkey % 50 ORDER BY o_orderkey) AS had FROM orders) SELECT stream, had + 1 AS first_missing, seq - 1 AS last_missing FROM s WHERE seq > had + 1""",
+)
+def sequence_gaps(spark, sf_dir):
+    return windows.sequence_gaps(read(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("stream"), F.col("o_orderkey").alias("seq")), "stream", "seq")
+
+
+@query("moving_average", f"WITH {SIGNAL} SELECT recording, t, v, round(sum(v) OVER (PARTITION BY recording ORDER BY t ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) / 5.0, 6) AS ma FROM signal")
+def moving_average(spark, sf_dir):
+    return windows.moving_average(signal(spark, sf_dir), 5)
+
+
+@query(
+    "energy_strata",
+    """WITH r AS (SELECT event_type, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY value, event_id) - 1 AS r, count(*) OVER (PARTITION BY event_type) AS n FROM events),
+s AS (SELECT *, greatest((n - 20) // 10, 1) AS stride FROM r),
+k AS (SELECT *, CASE WHEN r < 10 THEN 'low' WHEN r >= greatest(n - 10, 10) THEN 'high' WHEN (r - 10) % stride = 0 AND (r - 10) / stride < 10 THEN 'middle' END AS stratum FROM s)
+SELECT event_type, event_id, value, stratum FROM k WHERE stratum IS NOT NULL""",
+)
+def energy_strata(spark, sf_dir):
+    return windows.strata(read(spark, sf_dir, "events").select("event_type", "event_id", "value"), "event_type", "value", "event_id")
+
+
+@query("window_depth", f"WITH {SIGNAL}, w AS (SELECT recording, t // 20 AS seq, count(*) AS n FROM signal GROUP BY 1, 2) SELECT recording, seq, n, CASE WHEN n >= 32 THEN 3 WHEN n >= 16 THEN 2 WHEN n >= 8 THEN 1 ELSE 0 END AS depth FROM w")
+def window_depth(spark, sf_dir):
+    return windows.tumbling(signal(spark, sf_dir), 20).select("recording", "seq", "n", windows.depth(F.col("n")).alias("depth"))
+
+
+@query("zigzag", f"WITH {SIGNAL}, d AS (SELECT recording, t, v - coalesce(lag(v) OVER (PARTITION BY recording ORDER BY t), 0) AS delta FROM signal) SELECT recording, t, delta, CASE WHEN delta >= 0 THEN 2 * delta ELSE -2 * delta - 1 END AS z, delta AS back FROM d")
+def zigzag(spark, sf_dir):
+    d = windows.first_difference(signal(spark, sf_dir))
+    return d.select("recording", "t", "delta", kernels.zigzag(F.col("delta")).alias("z")).withColumn("back", kernels.unzigzag(F.col("z")))
+
+
+@query(
+    "rice_size",
+    f"""WITH {SIGNAL}, d AS (SELECT recording, v - coalesce(lag(v) OVER (PARTITION BY recording ORDER BY t), 0) AS delta FROM signal), z AS (SELECT recording, CASE WHEN delta >= 0 THEN 2 * delta ELSE -2 * delta - 1 END AS z FROM d),
+k AS (SELECT recording, CASE WHEN avg(z) >= 1 THEN least(CAST(floor(log2(avg(z))) AS INTEGER), 31) ELSE 0 END AS k FROM z GROUP BY recording)
+SELECT recording, k, count(*) AS n, CAST(3 + ceil(sum((z >> k) + 1 + k) / 8) AS BIGINT) AS bytes FROM z JOIN k USING (recording) GROUP BY recording, k""",
+)
+def rice_size(spark, sf_dir):
+    return kernels.rice_size(windows.first_difference(signal(spark, sf_dir)), "delta", "recording")
+
+
+_TENSOR = "tensor AS (SELECT vec_id, unnest(range(0, 64)) AS dim, CAST(round(unnest(embedding) * 1000) AS BIGINT) AS x FROM embeddings)"
+
+
+def tensor(spark, sf_dir):
+    e = read(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("dim", "x"))
+    return e.select("vec_id", F.col("dim").cast("long").alias("dim"), F.round(F.col("x").cast("float") * F.lit(1000).cast("float")).cast("long").alias("x"))
+
+
+@query(
+    "walsh_hadamard",
+    f"""WITH {_TENSOR} SELECT vec_id, CAST(k AS INTEGER) AS k, CAST(sum(x * (1 - 2 * (bit_count(CAST(dim & k AS INTEGER)) % 2))) AS BIGINT) AS y FROM tensor, (SELECT unnest(range(0, 32)) AS k) WHERE dim < 32 GROUP BY 1, 2""",
+)
+def walsh_hadamard(spark, sf_dir):
+    return kernels.walsh_hadamard(tensor(spark, sf_dir), "vec_id", "dim", "x")
+
+
+@query("walsh_hadamard_round_trip", f"WITH {_TENSOR} SELECT vec_id, dim, x FROM tensor WHERE dim < 32")
+def walsh_hadamard_round_trip(spark, sf_dir):
+    y = walsh_hadamard(spark, sf_dir).select("vec_id", F.col("k").cast("long").alias("dim"), "y")
+    return kernels.walsh_hadamard(y, "vec_id", "dim", "y", inverse=True).select("vec_id", F.col("k").cast("long").alias("dim"), F.round("y").cast("long").alias("x"))
+
+
+@query(
+    "fsq_levels",
+    f"""WITH {_TENSOR}, s AS (SELECT vec_id, CAST(min(x) AS DOUBLE) AS lo, CAST(max(x) - min(x) AS DOUBLE) AS span FROM tensor GROUP BY 1),
+q AS (SELECT vec_id, dim, x, lo, span, CAST(CASE WHEN span <= 0 THEN 4 ELSE greatest(least(floor((x - lo) / span * 8), 7), 0) END AS INTEGER) AS s FROM tensor JOIN s USING (vec_id))
+SELECT vec_id, dim, x, s, round(lo + (s + 0.5) * (span + 1e-8) / 8, 6) AS y FROM q""",
+)
+def fsq_levels(spark, sf_dir):
+    return kernels.fsq(tensor(spark, sf_dir), "vec_id", "x", 8).withColumn("y", F.round("y", 6))
+
+
+@query(
+    "fsq_rate_distortion",
+    f"""WITH {_TENSOR}, s AS (SELECT vec_id, CAST(min(x) AS DOUBLE) AS lo, CAST(max(x) - min(x) AS DOUBLE) AS span FROM tensor GROUP BY 1), l AS (SELECT unnest([2, 4, 8, 16, 32]) AS levels),
+q AS (SELECT levels, x, lo, span, CASE WHEN span <= 0 THEN levels // 2 ELSE greatest(least(floor((x - lo) / span * levels), levels - 1), 0) END AS s FROM tensor JOIN s USING (vec_id), l)
+SELECT CAST(levels AS INTEGER) AS levels, round(sqrt(avg(power(x - (lo + (s + 0.5) * (span + 1e-8) / levels), 2))), 5) AS rmse FROM q GROUP BY 1""",
+)
+def fsq_rate_distortion(spark, sf_dir):
+    t = tensor(spark, sf_dir)
+    span = t.groupBy("vec_id").agg(F.min("x").cast("double").alias("lo"), (F.max("x") - F.min("x")).cast("double").alias("span"))
+    q = t.join(span, "vec_id").withColumn("levels", F.explode(F.array(*(F.lit(n) for n in (2, 4, 8, 16, 32)))))
+    x, lo, span, n = F.col("x").cast("double"), F.col("lo"), F.col("span"), F.col("levels")
+    s = F.when(span <= 0, F.floor(n / 2)).otherwise(F.greatest(F.least(F.floor((x - lo) / span * n), n - 1), F.lit(0)))
+    return q.withColumn("e", x - (lo + (s + 0.5) * (span + 1e-8) / n)).groupBy("levels").agg(F.round(F.sqrt(F.avg(F.col("e") * F.col("e"))), 5).alias("rmse"))
+
+
+@query(
+    "klt_covariance",
+    f"""WITH {_TENSOR} SELECT a.dim AS i, b.dim AS j, round(covar_samp(a.x, b.x), 4) AS cov FROM tensor a JOIN tensor b USING (vec_id) WHERE a.dim < 8 AND b.dim < 8 AND a.dim <= b.dim GROUP BY 1, 2""",
+)
+def klt_covariance(spark, sf_dir):
+    t = tensor(spark, sf_dir).where("dim < 8")
+    b = t.select("vec_id", F.col("dim").alias("j"), F.col("x").alias("y"))
+    return t.withColumnRenamed("dim", "i").join(b, "vec_id").where("i <= j").groupBy("i", "j").agg(F.round(F.covar_samp("x", "y"), 4).alias("cov"))
+
+
+@query("calibrate", f"WITH {SIGNAL} SELECT recording, t, round((v - (-32768)) * ((3276.7 - (-3276.8)) / (32767 - (-32768))) + (-3276.8), 6) AS phys FROM signal")
+def calibrate(spark, sf_dir):
+    return signal(spark, sf_dir).select("recording", "t", F.round(kernels.calibrate(F.col("v"), F.lit(-32768), F.lit(32767), F.lit(-3276.8), F.lit(3276.7)), 6).alias("phys"))
+
+
+# --- byte-level kernels: decode(encode(x)) has to be the input ----------------------------------
+
+_ARRAYS = f"WITH {SIGNAL} SELECT recording, t // 250 AS seq, md5(string_agg(v, ',' ORDER BY t)) AS digest FROM signal GROUP BY 1, 2"
+
+
+def _digest(w: DataFrame) -> DataFrame:
+    return w.select("recording", "seq", F.md5(F.array_join(F.transform("samples", lambda x: x.cast("string")), ",").cast("binary")).alias("digest"))
+
+
+def _round_trip(name: str, there: Callable, back: Callable, packed: bool = True):
+    @query(name, _ARRAYS)
+    def run(spark, sf_dir):
+        w = windows.arrays(signal(spark, sf_dir), 250)
+        coded = codecs.over_windows(w, there, "packet binary" if packed else "samples array<long>")
+        return _digest(codecs.over_windows(coded, back))
+
 
-    return channel_stats(signal(read(spark, sf_dir, "events")))
+_round_trip("codec_window_round_trip", codecs.encode_window, codecs.decode_window)
+_round_trip("codec_rice_round_trip", codecs.rice_encode, codecs.rice_decode)
+_round_trip("bias_round_trip", codecs.bias_cancel, codecs.bias_restore, packed=False)
+_round_trip("lpc_round_trip", codecs.fixed_residual, codecs.fixed_restore, packed=False)
+_round_trip("codec_sparse_round_trip", codecs.sparse_encode, codecs.sparse_decode)
+_round_trip("klt_lifting_round_trip", codecs.rotate, codecs.unrotate, packed=False)

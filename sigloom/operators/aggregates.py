@@ -1,8 +1,8 @@
-"""Grouped statistics."""
+"""Grouped statistics: summaries, percentiles by three rules, histograms, entropy, votes, sweeps."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,3 +18,136 @@ def channel_stats(samples: DataFrame) -> DataFrame:
     )
     far = samples.join(base.select("recording", "v_median"), "recording").groupBy("recording").agg(F.median(F.abs(F.col("v") - F.col("v_median"))).alias("v_mad"))
     return base.join(far, "recording").withColumns({"v_median": F.round("v_median", 6), "v_mad": F.round("v_mad", 6)})
+
+
+def batch_summary(results: DataFrame, *by: str) -> DataFrame:
+    """Counts by status; bytes and their ratio over successes only, 0 where nothing was packed."""
+    ok = F.col("status") == "success"
+    raw, packed = F.coalesce(F.sum(F.when(ok, F.col("raw_bytes"))), F.lit(0)), F.coalesce(F.sum(F.when(ok, F.col("packed_bytes"))), F.lit(0))
+    g = results.groupBy(*by).agg(
+        F.count("*").alias("total"),
+        F.count_if(ok).alias("success"),
+        F.count_if(F.col("status") == "failed").alias("failed"),
+        F.count_if(F.col("status") == "skipped").alias("skipped"),
+        raw.alias("raw_bytes"),
+        packed.alias("packed_bytes"),
+    )
+    return g.withColumn("ratio", F.round(F.when(F.col("packed_bytes") > 0, F.col("raw_bytes") / F.col("packed_bytes")).otherwise(0.0), 6))
+
+
+def run_gap(ratio: Column, width: int = 16, floor: float = 6.63) -> dict[str, Column]:
+    """How far a compression ratio stands from the entropy floor, in bits a sample and per cent."""
+    left = F.lit(float(width)) / ratio - floor
+    return {"gap_bits": F.greatest(left, F.lit(0.0)), "gap_pct": (1 - left / (width - floor)) * 100}
+
+
+def robust_summary(rows: DataFrame, value: str, *by: str) -> DataFrame:
+    """n, mean, interpolated 5/50/95 percentiles and range of the finite values."""
+    x = F.when(~F.isnan(value), F.col(value).cast("double"))
+    p = F.percentile(x, F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
+    g = rows.groupBy(*by).agg(F.count(x).alias("n"), F.round(F.avg(x), 6).alias("mean"), p.alias("_p"), F.min(x).alias("min"), F.max(x).alias("max"))
+    return g.select(*by, "n", "mean", *(F.round(F.col("_p")[k], 6).alias(n) for k, n in enumerate(("p5", "p50", "p95"))), "min", "max")
+
+
+def ranked_percentiles(rows: DataFrame, value: str, by: str, points: dict[str, float], rule: str = "nearest") -> DataFrame:
+    """Percentiles that are values of the data. ``nearest``: index ``min(int(p * n), n - 1)``; ``plain``: the
+    same without the bound, which p < 1 never needs. Rows are ranked, not collected."""
+    w = Window.partitionBy(by).orderBy(value)
+    ranked = rows.where(F.col(value).isNotNull()).select(by, value, (F.row_number().over(w) - 1).alias("_r"), F.count("*").over(Window.partitionBy(by)).alias("_n"))
+    at = {name: F.least(F.floor(F.lit(p) * F.col("_n")), F.col("_n") - 1) if rule == "nearest" else F.floor(F.lit(p) * F.col("_n")) for name, p in points.items()}
+    return ranked.groupBy(by).agg(*(F.max(F.when(F.col("_r") == a, F.col(value))).alias(n) for n, a in at.items()))
+
+
+def histogram(rows: DataFrame, value: str, by: str, bins: int = 30) -> DataFrame:
+    """Equal bins over each group's finite range, the last one closed; a flat group is one bin."""
+    x = rows.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(by, F.col(value).cast("double").alias("x"))
+    span = x.groupBy(by).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    k = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))).otherwise(0)
+    return x.join(span, by).groupBy(by, k.cast("int").alias("bin")).agg(F.count("*").alias("n"))
+
+
+def entropy(rows: DataFrame, symbol: str, *by: str) -> DataFrame:
+    """Bits a symbol, from counts: two grouped steps, the first combined before its shuffle."""
+    c = rows.groupBy(*by, symbol).agg(F.count("*").alias("c"))
+    h = F.log2(F.sum("c")) - F.sum(F.col("c") * F.log2("c")) / F.sum("c")
+    return c.groupBy(*by).agg(F.round(F.abs(h), 6).alias("bits"), F.count("*").alias("symbols"), F.sum("c").alias("n"))
+
+
+def mutual_information(rows: DataFrame, a: str, b: str, *by: str) -> DataFrame:
+    """Bits that two symbol columns tell of one another."""
+    joint = rows.groupBy(*by, a, b).agg(F.count("*").alias("c"))
+    over = lambda *k: Window.partitionBy(*k) if k else Window.partitionBy(F.lit(1))
+    w = joint.withColumns({"ca": F.sum("c").over(over(*by, a)), "cb": F.sum("c").over(over(*by, b)), "n": F.sum("c").over(over(*by))})
+    bits = F.sum(F.col("c") / F.col("n") * F.log2(F.col("c") * F.col("n") / (F.col("ca") * F.col("cb"))))
+    return w.groupBy(*by).agg(F.round(bits, 6).alias("bits"))
+
+
+def utilisation(rows: DataFrame, symbol: str, levels: int, *by: str) -> DataFrame:
+    """Per cent of the levels in use, and population excess kurtosis."""
+    return rows.groupBy(*by).agg(F.round(F.count_distinct(symbol) * 100.0 / levels, 6).alias("used_pct"), F.round(F.kurtosis(symbol), 4).alias("kurtosis"))
+
+
+def spread(rows: DataFrame, value: str, inner: str, outer: str) -> DataFrame:
+    """Mean within each inner group, then mean, deviation and range of these across the outer one."""
+    m = rows.groupBy(outer, inner).agg(F.avg(value).alias("m"))
+    return m.groupBy(outer).agg(F.count("*").alias("groups"), F.round(F.avg("m"), 6).alias("mean"), F.round(F.stddev_pop("m"), 6).alias("std"), F.round(F.min("m"), 6).alias("min"), F.round(F.max("m"), 6).alias("max"), F.round(F.max("m") - F.min("m"), 6).alias("range"))
+
+
+def best_f1(rows: DataFrame, score: str, truth: str, by: str) -> DataFrame:
+    """Threshold with the best F1 among the distinct scores; of equal ones the highest."""
+    each = rows.groupBy(by, score).agg(F.sum(F.col(truth).cast("long")).alias("tp"), F.count("*").alias("n"))
+    down = Window.partitionBy(by).orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = each.withColumns({"ctp": F.sum("tp").over(down), "cn": F.sum("n").over(down), "p": F.sum("tp").over(Window.partitionBy(by))})
+    f1 = F.when(F.col("p") + F.col("cn") > 0, 2 * F.col("ctp") / (F.col("cn") + F.col("p"))).otherwise(0.0)
+    top = cum.withColumn("f1", F.round(f1, 9)).groupBy(by).agg(F.max_by(F.struct(F.col(score).alias("threshold"), "f1", "ctp", "p"), F.struct("f1", score)).alias("b"))
+    return top.select(by, F.col("b.threshold").alias("threshold"), F.round("b.f1", 6).alias("f1"), F.round(F.when(F.col("b.p") > 0, F.col("b.ctp") / F.col("b.p")).otherwise(0.0), 6).alias("sensitivity"))
+
+
+def state_counts(rows: DataFrame, state: str, states: tuple[str, ...]) -> DataFrame:
+    """Count of each state, with a zero for one that does not occur."""
+    return rows.agg(*(F.count_if(F.col(state) == s).alias(s) for s in states))
+
+
+def head_to_head(rows: DataFrame, codec: str = "codec") -> DataFrame:
+    """Means by codec, and whether each is the best there is."""
+    g = rows.groupBy(codec).agg(F.round(F.avg("cr"), 6).alias("cr"), F.round(F.avg("prd"), 6).alias("prd"), F.round(F.median("latency"), 6).alias("latency"))
+    everything = Window.partitionBy(F.lit(1))
+    return g.withColumns({"best_cr": F.col("cr") == F.max("cr").over(everything), "best_prd": F.col("prd") == F.min("prd").over(everything), "best_latency": F.col("latency") == F.min("latency").over(everything)})
+
+
+def rollup_percentiles(rows: DataFrame, value: str, group: str) -> DataFrame:
+    """Median, 5th and 95th percentile cut to integers, for each group and for all (group null)."""
+    p = F.percentile(value, F.array(F.lit(0.5), F.lit(0.05), F.lit(0.95)))
+    g = rows.rollup(group).agg(F.count("*").alias("n"), p.alias("_p"))
+    return g.select(group, "n", *(F.col("_p")[k].cast("long").alias(name) for k, name in enumerate(("p50", "p5", "p95"))))
+
+
+def normalised_frequencies(rows: DataFrame, symbol: str, total: int, by: str) -> DataFrame:
+    """Counts scaled to sum to ``total``, each at least 1; the most frequent symbol takes up the rest."""
+    c = rows.groupBy(by, symbol).agg(F.count("*").alias("c"))
+    w = Window.partitionBy(by)
+    f = c.withColumn("f", F.greatest(F.floor(F.col("c") * total / F.sum("c").over(w)), F.lit(1)))
+    f = f.withColumn("_top", F.row_number().over(w.orderBy(F.desc("f"), symbol)) == 1)
+    return f.withColumn("f", F.when(F.col("_top"), F.col("f") + total - F.sum("f").over(w)).otherwise(F.col("f"))).drop("_top")
+
+
+#: Modality tags, markers in order, and electrode and lead names.
+MODALITIES = (("eeg", ("EEG",)), ("ecg", ("ECG", "EKG")), ("emg", ("EMG",)), ("eog", ("EOG",)), ("resp", ("RESPIRATION", "RESP", "AIRFLOW")), ("accel", ("ACCEL", "ACC")))
+ELECTRODES = "FP1 FP2 F3 F4 C3 C4 P3 P4 O1 O2 F7 F8 T3 T4 T5 T6 T7 T8 P7 P8 FZ CZ PZ OZ A1 A2".split()
+LEADS = "I II III AVR AVL AVF V1 V2 V3 V4 V5 V6".split()
+
+
+def vote_modality(labels: DataFrame, by: str = "recording", label: str = "label", hint: str | None = None) -> DataFrame:
+    """Modality of each recording: a declared hint wins; otherwise labels vote and more than half of all
+    of them have to agree. Bare lead names count as votes only if there are at least two."""
+    up = F.upper(label)
+    marked = lambda text: F.coalesce(*(F.when(F.greatest(*(F.contains(text, F.lit(m)).cast("int") for m in marks), F.lit(0)) == 1, F.lit(name)) for name, marks in MODALITIES))
+    token = F.split(up, r"[-_/\s]+")
+    kind = F.coalesce(marked(up), F.when(F.arrays_overlap(token, F.array(*map(F.lit, ELECTRODES))), F.lit("eeg")), F.when(F.arrays_overlap(token, F.array(*map(F.lit, LEADS))), F.lit("lead")))
+    voted = labels.withColumn("_k", kind)
+    declared = F.first(marked(F.upper(hint)), ignorenulls=True) if hint else F.lit(None).cast("string")
+    count = voted.groupBy(by).agg(F.count("*").alias("n"), declared.alias("_declared"), F.count_if(F.col("_k") == "lead").alias("_lead"), *(F.count_if(F.col("_k") == name).alias(name) for name, _ in MODALITIES))
+    ecg = F.col("ecg") + F.when(F.col("_lead") >= 2, F.col("_lead")).otherwise(0)
+    votes = {name: (ecg if name == "ecg" else F.col(name)) for name, _ in MODALITIES}
+    winner = F.coalesce("_declared", *(F.when(2 * v > F.col("n"), F.lit(name)) for name, v in votes.items()), F.lit("untyped"))
+    return count.select(by, "n", winner.alias("modality"))
