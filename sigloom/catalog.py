@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -542,3 +543,367 @@ _round_trip("bias_round_trip", codecs.bias_cancel, codecs.bias_restore, packed=F
 _round_trip("lpc_round_trip", codecs.fixed_residual, codecs.fixed_restore, packed=False)
 _round_trip("codec_sparse_round_trip", codecs.sparse_encode, codecs.sparse_decode)
 _round_trip("klt_lifting_round_trip", codecs.rotate, codecs.unrotate, packed=False)
+_round_trip("codec_run_length_round_trip", codecs.runs_pack, codecs.runs_unpack)
+
+
+@query(
+    "codec_levels_error",
+    f"WITH {SIGNAL}, w AS (SELECT recording, t // 250 AS seq, min(v) AS lo, max(v) AS hi FROM signal GROUP BY 1, 2) SELECT recording, seq, true AS within FROM w",
+)
+def codec_levels_error(spark, sf_dir):
+    """A lossy packet's values are within half a level of the samples."""
+    w = windows.arrays(signal(spark, sf_dir), 250)
+    coded = codecs.over_windows(w, lambda x: codecs.encode_levels(x.astype(float), 64), "packet binary")
+    back = codecs.over_windows(coded, codecs.decode_levels, "samples array<double>").withColumnRenamed("samples", "y")
+    half = (F.array_max("samples") - F.array_min("samples")) / 128 + 1e-6
+    far = F.aggregate(F.zip_with("samples", "y", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda m, e: F.greatest(m, e))
+    return w.join(back, ["recording", "seq"]).select("recording", "seq", (far <= half).alias("within"))
+
+
+@query("band_prd")
+def band_prd(spark, sf_dir):
+    """PRD of the stripped signal within each frequency band; a Fourier transform, so without an oracle."""
+    w = windows.arrays(signal(spark, sf_dir), 250)
+    names = list(codecs.BANDS)
+    got = codecs.over_windows(w, lambda x: np.array(list(codecs.band_prd(x, (x >> 3) << 3, 250.0).values())), "prd array<double>")
+    return got.select("recording", "seq", *(F.round(F.col("prd")[k], 6).alias(n) for k, n in enumerate(names)))
+
+
+@query("psd_divergence")
+def psd_divergence(spark, sf_dir):
+    w = windows.arrays(signal(spark, sf_dir), 250)
+    got = codecs.over_windows(w, lambda x: np.array([codecs.psd_divergence(x, (x >> 3) << 3, 250.0)]), "d array<double>")
+    return got.select("recording", "seq", F.round(F.col("d")[0], 9).alias("divergence"))
+
+
+@query("high_pass")
+def high_pass(spark, sf_dir):
+    w = windows.arrays(signal(spark, sf_dir), 250)
+    got = codecs.over_windows(w, lambda x: codecs.high_pass(x, 0.5, 250.0), "y array<double>")
+    return got.select("recording", "seq", F.round(F.aggregate("y", F.lit(0.0), lambda a, v: a + v * v), 3).alias("energy"))
+
+
+# --- joins --------------------------------------------------------------------------------------
+
+_STARTS = "starts AS (SELECT o_custkey % 100 AS stream, o_orderkey AS start, o_orderkey * 10 AS payload FROM orders WHERE o_orderkey % 3 = 0)"
+_POINTS = "points AS (SELECT o_custkey % 100 AS stream, o_orderkey AS at FROM orders WHERE o_orderkey % 3 <> 0)"
+
+
+def _starts(spark, sf_dir):
+    o = read(spark, sf_dir, "orders").withColumn("stream", F.col("o_custkey") % 100)
+    starts = o.where("o_orderkey % 3 = 0").select("stream", F.col("o_orderkey").alias("start"), (F.col("o_orderkey") * 10).alias("payload"))
+    return o.where("o_orderkey % 3 <> 0").select("stream", F.col("o_orderkey").alias("at")), starts
+
+
+@query("join_as_of", f"WITH {_STARTS}, {_POINTS} SELECT p.stream, p.at, s.payload FROM points p ASOF LEFT JOIN starts s ON p.stream = s.stream AND p.at >= s.start")
+def join_as_of(spark, sf_dir):
+    return joins.as_of(*_starts(spark, sf_dir), "stream", "at", "start", "payload")
+
+
+@query(
+    "join_next_or_last",
+    f"""WITH {_STARTS}, {_POINTS}, l AS (SELECT stream, max_by(payload, start) AS last FROM starts GROUP BY 1)
+SELECT p.stream, p.at, coalesce(s.payload, l.last) AS payload FROM points p ASOF LEFT JOIN starts s ON p.stream = s.stream AND p.at <= s.start LEFT JOIN l ON l.stream = p.stream""",
+)
+def join_next_or_last(spark, sf_dir):
+    return joins.next_or_last(*_starts(spark, sf_dir), "stream", "at", "start", "payload")
+
+
+@query(
+    "join_range_overlap",
+    f"""WITH {SIGNAL}, w AS (SELECT recording, t // 250 AS seq, min(t) AS start, max(t) + 1 AS stop FROM signal GROUP BY 1, 2),
+r AS (SELECT event_type AS recording, event_id, event_id % 1500 AS lo, event_id % 1500 + user_id * 3 AS hi FROM events WHERE event_id % 17 = 0)
+SELECT r.recording, event_id, seq FROM r JOIN w ON r.recording = w.recording AND start < hi AND stop > lo WHERE lo < hi""",
+)
+def join_range_overlap(spark, sf_dir):
+    w = windows.tumbling(signal(spark, sf_dir), 250).select("recording", "seq", F.col("t_first").alias("start"), (F.col("t_first") + F.col("n")).alias("stop"))
+    e = read(spark, sf_dir, "events").where("event_id % 17 = 0")
+    r = e.select(F.col("event_type").alias("recording"), "event_id", (F.col("event_id") % 1500).alias("lo"), (F.col("event_id") % 1500 + F.col("user_id") * 3).alias("hi"))
+    return joins.overlaps(r, w, "recording", 250, ["recording", "event_id", "seq"])
+
+
+@query("gather_rows", "WITH w AS (SELECT pos, (pos * 37) % 100 AS vec_id FROM (SELECT unnest(range(0, 300)) AS pos)) SELECT pos, vec_id, label FROM w JOIN embeddings USING (vec_id)")
+def gather_rows(spark, sf_dir):
+    wanted = spark.range(300).select(F.col("id").alias("pos"), (F.col("id") * 37 % 100).alias("vec_id"))
+    return joins.gather(wanted, read(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id")
+
+
+@query("chunk_location", "SELECT vec_id, vec_id // 64 AS chunk, vec_id % 64 AS \"offset\" FROM embeddings")
+def chunk_location(spark, sf_dir):
+    return joins.locate(read(spark, sf_dir, "embeddings").select("vec_id"), "vec_id", 64)
+
+
+@query("resume_pending", f"WITH {_RESULTS} SELECT c_custkey AS input FROM customer WHERE c_custkey NOT IN (SELECT input FROM results WHERE status = 'success')")
+def resume_pending(spark, sf_dir):
+    return joins.pending(read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("input")), _results(spark, sf_dir).select("input", "status"), "input")
+
+
+@query("split_stems", "SELECT source AS subject, CASE WHEN CAST(substr(source, 4) AS INTEGER) % 5 = 0 THEN 'val' ELSE 'train' END AS part, count(*) AS stems FROM documents GROUP BY 1, 2")
+def split_stems(spark, sf_dir):
+    d = read(spark, sf_dir, "documents")
+    subjects = d.select(F.col("source").alias("subject")).distinct().withColumn("part", F.when(F.substring("subject", 4, 9).cast("int") % 5 == 0, "val").otherwise("train"))
+    return subjects.join(d.select(F.col("source").alias("subject"), "doc_id"), "subject").groupBy("subject", "part").agg(F.count("*").alias("stems"))
+
+
+@query("split_leakage", "WITH s AS (SELECT sha256(text) AS sha256, CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'train' END AS part FROM documents) SELECT sha256, count(DISTINCT part) AS parts FROM s GROUP BY 1 HAVING count(DISTINCT part) > 1")
+def split_leakage(spark, sf_dir):
+    s = read(spark, sf_dir, "documents").select(F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), F.when(F.col("doc_id") % 5 == 0, "val").otherwise("train").alias("part"))
+    return joins.leaked(s, "sha256", "part")
+
+
+@query("attach_labels", "SELECT doc_id, source, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)")
+def attach_labels(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", "source").join(read(spark, sf_dir, "labels"), "doc_id", "left")
+
+
+@query("registry_pins", f"WITH {ENTRIES}, p AS (SELECT path, CASE WHEN doc_id % 50 = 0 THEN sha256('x') ELSE sha256 END AS pin FROM entries) SELECT path, pin, sha256 FROM p JOIN entries USING (path) WHERE pin <> sha256")
+def registry_pins(spark, sf_dir):
+    e = entries(spark, sf_dir)
+    odd = F.split("path", "/")[1].cast("long") % 50 == 0
+    pins = e.select("path", F.when(odd, F.sha2(F.lit("x").cast("binary"), 256)).otherwise(F.col("sha256")).alias("pin"))
+    return pins.join(e.select("path", "sha256"), "path").where("pin <> sha256")
+
+
+@query(
+    "manifest_verify",
+    f"""WITH {ENTRIES}, m AS (SELECT path, CASE WHEN doc_id % 7 = 1 THEN size + 1 ELSE size END AS size, CASE WHEN doc_id % 7 = 2 THEN 'x' ELSE sha256 END AS sha FROM entries WHERE doc_id % 7 <> 3), f AS (SELECT path, size AS fsize, sha256 AS fsha FROM entries WHERE doc_id % 7 <> 4)
+SELECT coalesce(m.path, f.path) AS path, CASE WHEN f.path IS NULL THEN 'missing' WHEN m.path IS NULL THEN 'extra' WHEN size <> fsize THEN 'size' WHEN sha <> fsha THEN 'hash' ELSE 'ok' END AS status FROM m FULL JOIN f ON m.path = f.path""",
+)
+def manifest_verify(spark, sf_dir):
+    k = F.split("path", "/")[1].cast("long") % 7
+    e = entries(spark, sf_dir)
+    m = e.where(k != 3).select("path", F.when(k == 1, F.col("size") + 1).otherwise(F.col("size")).alias("size"), F.when(k == 2, "x").otherwise(F.col("sha256")).alias("sha256"))
+    return joins.verify(m, e.where(k != 4), "path")
+
+
+@query("mask_overlap", f"WITH {SIGNAL} SELECT recording, t // 100 AS seq, bool_or(v > 20000) AS marked FROM signal GROUP BY 1, 2")
+def mask_overlap(spark, sf_dir):
+    s = signal(spark, sf_dir)
+    mask = s.select("recording", "t", (F.col("v") > 20000).alias("m"))
+    return s.join(mask, ["recording", "t"]).groupBy("recording", F.floor(F.col("t") / 100).alias("seq")).agg(F.bool_or("m").alias("marked"))
+
+
+@query("keep_overrides", "SELECT event_type, CASE WHEN event_type LIKE 'c%' THEN 7 ELSE count(*) END AS bits FROM events GROUP BY 1")
+def keep_overrides(spark, sf_dir):
+    fresh = read(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("bits"))
+    return joins.keep_overrides(fresh, fresh.where("event_type LIKE 'c%'").withColumn("bits", F.lit(7).cast("long")), "event_type", "bits")
+
+
+@query("recording_verify", f"WITH {SIGNAL} SELECT recording, count(*) = max(t) + 1 AS whole, bool_and(v >= 0) AS valid FROM signal GROUP BY recording")
+def recording_verify(spark, sf_dir):
+    return signal(spark, sf_dir).groupBy("recording").agg((F.count("*") == F.max("t") + 1).alias("whole"), F.bool_and(F.col("v") >= 0).alias("valid"))
+
+
+# --- catalogs -----------------------------------------------------------------------------------
+
+
+@query("content_dedup", f"WITH {ENTRIES}, {FIRST} SELECT path, size, sha256, first_path, path <> first_path AS dedup FROM firsts")
+def content_dedup(spark, sf_dir):
+    return catalogs.first_seen(entries(spark, sf_dir))
+
+
+@query("archive_offsets", f"WITH {ENTRIES}, {FIRST} SELECT path, CAST(coalesce(sum(CASE WHEN path <> first_path THEN 0 ELSE size END) OVER (PARTITION BY source ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\" FROM firsts")
+def archive_offsets(spark, sf_dir):
+    e = catalogs.first_seen(entries(spark, sf_dir)).withColumn("archive", catalogs.top_folder(F.col("path")))
+    return catalogs.offsets(e, "archive", "path").select("path", "offset")
+
+
+@query("dataset_rollup", f"WITH {ENTRIES}, {FIRST} SELECT source AS dataset, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes, CAST(coalesce(sum(size) FILTER (path = first_path), 0) AS BIGINT) AS unique_bytes FROM firsts GROUP BY 1")
+def dataset_rollup(spark, sf_dir):
+    return catalogs.rollup(catalogs.first_seen(entries(spark, sf_dir)))
+
+
+_PATHS = "paths AS (SELECT doc_id, source || '/' || lang || doc_id || CASE doc_id % 5 WHEN 0 THEN '.edf' WHEN 1 THEN '.GZ' WHEN 2 THEN '.txt' WHEN 3 THEN '' ELSE '.png' END AS path FROM documents)"
+
+
+def _paths(spark, sf_dir):
+    k = F.col("doc_id") % 5
+    ext = F.when(k == 0, ".edf").when(k == 1, ".GZ").when(k == 2, ".txt").when(k == 3, "").otherwise(".png")
+    return read(spark, sf_dir, "documents").select("doc_id", F.concat("source", F.lit("/"), "lang", F.col("doc_id").cast("string"), ext).alias("path"))
+
+
+@query(
+    "pack_method",
+    f"""WITH {_PATHS}, e AS (SELECT doc_id, path, lower(regexp_extract(path, '\\.([A-Za-z0-9]+)$', 1)) AS e FROM paths)
+SELECT doc_id, path, CASE WHEN e IN ('edf', 'bdf') THEN 'lml' WHEN e IN ('zst', 'gz', 'bz2', 'xz', 'zip', '7z', 'png', 'jpg', 'jpeg', 'lml', 'lmq') THEN 'store' ELSE 'zstd' END AS method FROM e""",
+)
+def pack_method(spark, sf_dir):
+    return _paths(spark, sf_dir).withColumn("method", catalogs.method(F.col("path")))
+
+
+@query("dataset_detect", f"WITH {_PATHS} SELECT doc_id, CASE WHEN lower(path) LIKE '%src1/%' THEN 'src1/' WHEN lower(path) LIKE '%/en%' THEN '/en' WHEN lower(path) LIKE '%fr%' THEN 'fr' END AS dataset FROM paths")
+def dataset_detect(spark, sf_dir):
+    return _paths(spark, sf_dir).select("doc_id", catalogs.dataset(F.col("path"), ("src1/", "/en", "fr")).alias("dataset"))
+
+
+@query(
+    "stem_validation",
+    "WITH s AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN '-x' WHEN 1 THEN 'a/b' WHEN 2 THEN 'a..b' WHEN 3 THEN '' WHEN 4 THEN '~h' ELSE 'ok' || doc_id END AS stem FROM documents) SELECT doc_id, doc_id % 6 = 5 AS safe FROM s",
+)
+def stem_validation(spark, sf_dir):
+    k = F.col("doc_id") % 6
+    stem = F.when(k == 0, "-x").when(k == 1, "a/b").when(k == 2, "a..b").when(k == 3, "").when(k == 4, "~h").otherwise(F.concat(F.lit("ok"), F.col("doc_id").cast("string")))
+    return read(spark, sf_dir, "documents").select("doc_id", catalogs.is_safe_stem(stem).alias("safe"))
+
+
+@query("human_size", "SELECT doc_id, n_chars, CASE WHEN n_chars < 1024 THEN printf('%.1f B', CAST(n_chars AS DOUBLE)) ELSE printf('%.1f KB', n_chars / 1024.0) END AS size FROM documents WHERE n_chars < 1048576")
+def human_size(spark, sf_dir):
+    return read(spark, sf_dir, "documents").where("n_chars < 1048576").select("doc_id", "n_chars", catalogs.human_size(F.col("n_chars")).alias("size"))
+
+
+@query("stale_streams", "SELECT user_id, max(epoch_us(ts)) AS updated, greatest(1706600000000000 - max(epoch_us(ts)), 0) > 3600000000 AS stale FROM events GROUP BY 1")
+def stale_streams(spark, sf_dir):
+    e = read(spark, sf_dir, "events").groupBy("user_id").agg(F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("updated"))
+    return e.withColumn("stale", F.greatest(F.lit(1706600000000000) - F.col("updated"), F.lit(0)) > 3600000000)
+
+
+@query("group_fingerprint", f"WITH {ENTRIES} SELECT source, substr(sha256(string_agg(path, chr(10) ORDER BY path)), 1, 16) AS fingerprint FROM entries GROUP BY 1")
+def group_fingerprint(spark, sf_dir):
+    return catalogs.fingerprint(entries(spark, sf_dir).withColumn("source", catalogs.top_folder(F.col("path"))), "path", "source")
+
+
+@query("first_wins", "WITH r AS (SELECT *, row_number() OVER (PARTITION BY lang, doc_id % 40 ORDER BY doc_id) AS k FROM documents) SELECT lang || doc_id % 40 AS stem, doc_id, source FROM r WHERE k = 1")
+def first_wins(spark, sf_dir):
+    d = read(spark, sf_dir, "documents").select(F.concat("lang", (F.col("doc_id") % 40).cast("string")).alias("stem"), "doc_id", "source")
+    return catalogs.first_wins(d, "stem", "doc_id")
+
+
+@query("sorted_unique_paths", f"WITH {ENTRIES} SELECT DISTINCT source AS folder FROM entries ORDER BY 1")
+def sorted_unique_paths(spark, sf_dir):
+    return entries(spark, sf_dir).select(catalogs.top_folder(F.col("path")).alias("folder")).distinct().orderBy("folder")
+
+
+@query("best_and_worst", f"WITH {_RESULTS}, r AS (SELECT input, CAST(raw_bytes AS DOUBLE) / packed_bytes AS cr FROM results WHERE status = 'success' AND packed_bytes > 0) SELECT arg_max(input, cr) AS best, arg_min(input, cr) AS worst, round(max(cr), 6) AS best_cr, round(min(cr), 6) AS worst_cr FROM r")
+def best_and_worst(spark, sf_dir):
+    r = _results(spark, sf_dir).where("status = 'success' AND packed_bytes > 0").withColumn("cr", F.col("raw_bytes").cast("double") / F.col("packed_bytes"))
+    return r.agg(F.max_by("input", "cr").alias("best"), F.min_by("input", "cr").alias("worst"), F.round(F.max("cr"), 6).alias("best_cr"), F.round(F.min("cr"), 6).alias("worst_cr"))
+
+
+@query("top_failures", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 10")
+def top_failures(spark, sf_dir):
+    return read(spark, sf_dir, "orders").where("o_orderstatus = 'O'").select("o_orderkey", "o_totalprice").orderBy(F.desc_nulls_last("o_totalprice"), "o_orderkey").limit(10)
+
+
+@query("seeded_sample", "SELECT doc_id FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 25")
+def seeded_sample(spark, sf_dir):
+    return catalogs.seeded_sample(read(spark, sf_dir, "documents").select("doc_id"), "doc_id", 25)
+
+
+@query("epoch_sample", "WITH n AS (SELECT count(*) AS n FROM embeddings) SELECT k AS draw, (k * 7919) % n AS vec_id FROM (SELECT unnest(range(0, 1500)) AS k), n")
+def epoch_sample(spark, sf_dir):
+    e = read(spark, sf_dir, "embeddings")
+    return catalogs.epoch(e, "vec_id", 1500).select("draw", "vec_id")
+
+
+@query(
+    "evenly_spaced",
+    "WITH r AS (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS r, count(*) OVER (PARTITION BY event_type) AS n FROM events) SELECT DISTINCT event_type, event_id FROM r, (SELECT unnest(range(0, 12)) AS i) WHERE r = i * (n - 1) // 11",
+)
+def evenly_spaced(spark, sf_dir):
+    return catalogs.evenly_spaced(read(spark, sf_dir, "events").select("event_type", "event_id"), "event_type", "event_id", 12)
+
+
+@query("capped_windows", "WITH b AS (SELECT source, doc_id, n_chars, coalesce(sum(n_chars) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM documents) SELECT source, doc_id, n_chars, CAST(least(20000 - before, n_chars) AS BIGINT) AS take FROM b WHERE before < 20000 AND n_chars > 0")
+def capped_windows(spark, sf_dir):
+    return catalogs.capped(read(spark, sf_dir, "documents").select("source", "doc_id", "n_chars"), "source", "doc_id", "n_chars", 20000)
+
+
+@query("set_operations", "SELECT 'both' AS kind, count(*) AS n FROM (SELECT doc_id FROM documents WHERE doc_id % 2 = 0 INTERSECT SELECT doc_id FROM labels) UNION ALL SELECT 'only', count(*) FROM (SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels) UNION ALL SELECT 'any', count(*) FROM (SELECT doc_id FROM documents UNION SELECT doc_id FROM labels)")
+def set_operations(spark, sf_dir):
+    d, lab = read(spark, sf_dir, "documents").select("doc_id"), read(spark, sf_dir, "labels").select("doc_id")
+    count = lambda df, kind: df.agg(F.lit(kind).alias("kind"), F.count("*").alias("n"))
+    return count(d.where("doc_id % 2 = 0").intersect(lab), "both").unionByName(count(d.subtract(lab), "only")).unionByName(count(d.union(lab).distinct(), "any"))
+
+
+@query(
+    "channel_resolve",
+    """SELECT * FROM (VALUES ('EEG Fp1-REF', 'Fp1'), ('t7', 'T3'), ('P8', 'T6'), ('C3..', 'C3'), ('FP1-F7', 'Fp1'), ('Cz (REF)', 'Cz'), ('A10', NULL), ('EDF Annotations', NULL), ('Fp1-0', 'Fp1'), ('EEG-O2', 'O2'), ('xx-C4', 'C4'), ('Oz', NULL)) t(label, channel)""",
+)
+def channel_resolve(spark, sf_dir):
+    labels = ("EEG Fp1-REF", "t7", "P8", "C3..", "FP1-F7", "Cz (REF)", "A10", "EDF Annotations", "Fp1-0", "EEG-O2", "xx-C4", "Oz")
+    return spark.createDataFrame([(x,) for x in labels], "label string").withColumn("channel", catalogs.resolve_channel(F.col("label")))
+
+
+# --- sources and streams ------------------------------------------------------------------------
+
+
+@query("source_ramp", "SELECT s AS seq, CAST(c AS INTEGER) AS channel, t, s * 1000 + c * 100 + t AS v FROM (SELECT unnest(range(0, 4)) AS s), (SELECT unnest(range(0, 3)) AS c), (SELECT unnest(range(0, 50)) AS t)")
+def source_ramp(spark, sf_dir):
+    return views.ramp(spark, channels=3, samples=50, n_windows=4)
+
+
+@query(
+    "sniff_format",
+    "SELECT * FROM (VALUES ('4C4D4C4352595054', 'LMLCRYPT'), ('42435331', 'BCS1'), ('4C4D4C3100', 'LML1'), ('4C4D4131', 'LMA1'), ('4C4D4132', 'LMA2'), ('4C4D5143', 'LMQC'), ('4C515432', 'LQT2'), ('4C515433', 'LQT3'), ('4C51545001', 'LQTP1'), ('00', NULL), ('4C51545002', NULL)) t(head, profile)",
+)
+def sniff_format(spark, sf_dir):
+    heads = "4C4D4C4352595054 42435331 4C4D4C3100 4C4D4131 4C4D4132 4C4D5143 4C515432 4C515433 4C51545001 00 4C51545002".split()
+    return spark.createDataFrame([(h,) for h in heads], "head string").withColumn("profile", views.sniff(F.unhex("head")))
+
+
+@query("operation_events", "SELECT event_id, CASE WHEN event_id % 10 = 3 THEN 'log' ELSE 'progress' END AS kind, CASE WHEN event_id % 10 <> 3 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS current, CASE WHEN event_id % 10 = 3 THEN 'not json ' || event_id END AS message FROM events")
+def operation_events(spark, sf_dir):
+    k = F.get_json_object("props", "$.k")
+    line = F.when(F.col("event_id") % 10 == 3, F.concat(F.lit("not json "), F.col("event_id").cast("string"))).otherwise(F.concat(F.lit('{"type":"progress","current":'), k, F.lit("}")))
+    return views.operation_events(read(spark, sf_dir, "events").select("event_id", line.alias("line"))).select("event_id", "kind", "current", "message")
+
+
+_ARRIVALS = "a AS (SELECT event_type AS key, event_id AS arrival, CASE WHEN event_id % 23 = 0 THEN event_id - 40 ELSE event_id END AS seq FROM events)"
+
+
+def _arrivals(spark, sf_dir):
+    e = read(spark, sf_dir, "events")
+    return e.select(F.col("event_type").alias("key"), F.col("event_id").alias("arrival"), F.when(F.col("event_id") % 23 == 0, F.col("event_id") - 40).otherwise(F.col("event_id")).alias("seq"))
+
+
+@query(
+    "sequence_verdicts",
+    f"""WITH {_ARRIVALS}, m AS (SELECT *, max(seq) OVER (PARTITION BY key ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM a)
+SELECT key, seq, CASE WHEN top IS NULL THEN 'first' WHEN seq <= top THEN 'repeat' WHEN seq > top + 1 THEN 'gap' ELSE 'ok' END AS verdict, CASE WHEN seq > top + 1 THEN seq - top - 1 ELSE 0 END AS missing FROM m""",
+)
+def sequence_verdicts(spark, sf_dir):
+    return processors.sequence_verdicts(_arrivals(spark, sf_dir))
+
+
+@query(
+    "count_windows",
+    """WITH a AS (SELECT event_type AS key, event_id AS arrival, CASE WHEN event_id % 97 = 0 THEN event_id - 90 ELSE event_id END AS ts, event_id % 7 AS v FROM events),
+m AS (SELECT *, max(ts) OVER (PARTITION BY key ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM a),
+b AS (SELECT *, sum(CASE WHEN ts <= top OR ts - top > 22 THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY arrival) AS piece FROM m),
+k AS (SELECT *, (row_number() OVER (PARTITION BY key, piece ORDER BY arrival) - 1) // 8 AS k FROM b WHERE top IS NULL OR ts > top),
+g AS (SELECT key, piece, k, count(*) AS n, min(ts) AS ts_first, CAST(sum(v) AS BIGINT) AS v_sum, min(arrival) AS first_at FROM k GROUP BY 1, 2, 3),
+s AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY first_at) - 1 AS seq FROM g)
+SELECT key, seq, n, ts_first, v_sum FROM s WHERE n = 8""",
+)
+def count_windows(spark, sf_dir):
+    e = read(spark, sf_dir, "events")
+    rows = e.select(F.col("event_type").alias("key"), F.col("event_id").alias("arrival"), F.when(F.col("event_id") % 97 == 0, F.col("event_id") - 90).otherwise(F.col("event_id")).alias("ts"), (F.col("event_id") % 7).alias("v"))
+    return processors.count_windows(rows, 8, 17, 5)
+
+
+@query(
+    "operation_progress",
+    """WITH e AS (SELECT user_id AS key, event_id AS arrival, event_id AS ts, CASE event_type WHEN 'error' THEN 'error' ELSE event_type END AS state FROM events),
+x AS (SELECT key, min_by(state, ts) AS ended FROM e WHERE state IN ('done', 'error') GROUP BY 1), g AS (SELECT key, count(*) AS events, max(ts) AS last_ts, max_by(state, ts) AS last FROM e GROUP BY 1)
+SELECT key, events, last_ts, coalesce(ended, last) AS last_state, ended IS NOT NULL AS done FROM g LEFT JOIN x USING (key)""",
+)
+def operation_progress(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select(F.col("user_id").alias("key"), F.col("event_id").alias("arrival"), F.col("event_id").alias("ts"), F.col("event_type").alias("state"))
+    return processors.progress(e)
+
+
+@query("provenance_chain", f"WITH {SIGNAL}, w AS (SELECT recording, t // 250 AS seq, sha256(string_agg(v, ',' ORDER BY t)) AS node FROM signal GROUP BY 1, 2) SELECT recording, seq, node, lag(node) OVER (PARTITION BY recording ORDER BY seq) AS parent FROM w")
+def provenance_chain(spark, sf_dir):
+    return catalogs.provenance(windows.arrays(signal(spark, sf_dir), 250))
+
+
+@query("layout_violations", "WITH w AS (SELECT l_returnflag AS recording, l_orderkey * 10 + l_linenumber AS seq, 21 AS channels, CASE WHEN l_orderkey % 500 = 7 THEN 249 ELSE 250 END AS length, 250000 AS rate FROM lineitem GROUP BY ALL), f AS (SELECT recording, min_by(length, seq) AS first FROM w GROUP BY 1) SELECT recording, seq, length FROM w JOIN f USING (recording) WHERE length <> first")
+def layout_violations(spark, sf_dir):
+    w = read(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("recording"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.lit(21).alias("channels"), F.when(F.col("l_orderkey") % 500 == 7, 249).otherwise(250).alias("length"), F.lit(250000).alias("rate")).distinct()
+    return processors.check_layout(w).select("recording", "seq", "length")
+
+
+@query("delivery_receipts", "WITH r AS (SELECT user_id % 64 * 1000 + CAST(floor(value) AS BIGINT) AS token, event_id AS seq FROM events) SELECT token, min(seq) AS seq FROM r GROUP BY 1")
+def delivery_receipts(spark, sf_dir):
+    r = read(spark, sf_dir, "events").select((F.col("user_id") % 64 * 1000 + F.floor("value")).alias("token"), F.col("event_id").alias("seq"))
+    return processors.deliver(r)

@@ -376,3 +376,15 @@ def unrotate(x: np.ndarray, angle: float = 0.6) -> np.ndarray:
     out = x.copy()
     out[0 : 2 * n : 2], out[1 : 2 * n : 2] = _unturn(x[0 : 2 * n : 2], x[1 : 2 * n : 2], angle)
     return out
+
+
+def runs_pack(v: np.ndarray) -> bytes:
+    """Runs of equal values: their values and lengths, both Rice-coded."""
+    r = runs_encode(v)
+    head = rice_encode(r[:, 0])
+    return struct.pack("<I", len(head)) + head + rice_encode(r[:, 1])
+
+
+def runs_unpack(raw: bytes) -> np.ndarray:
+    (size,) = struct.unpack_from("<I", raw)
+    return np.repeat(rice_decode(raw[4 : 4 + size]), rice_decode(raw[4 + size :]))

@@ -62,9 +62,9 @@ def is_safe_stem(stem: Column) -> Column:
 def human_size(n: Column) -> Column:
     """Bytes as a short text."""
     x = n.cast("double")
-    out = F.concat(F.format_number(x / 1024.0**4, 1), F.lit(" TB"))
+    out = F.format_string("%.1f TB", x / 1024.0**4)
     for k, unit in reversed(list(enumerate(("B", "KB", "MB", "GB")))):
-        out = F.when(x < 1024.0 ** (k + 1), F.concat(F.format_number(x / 1024.0**k, 1), F.lit(f" {unit}"))).otherwise(out)
+        out = F.when(x < 1024.0 ** (k + 1), F.format_string(f"%.1f {unit}", x / 1024.0**k)).otherwise(out)
     return out
 
 
@@ -124,3 +124,19 @@ def select_channels(labels: DataFrame, least: int = 16) -> DataFrame:
     pick = named.groupBy("recording", "channel").agg(F.min("idx").alias("idx"))
     many = pick.groupBy("recording").agg(F.count("*").alias("channels")).where(F.col("channels") >= least)
     return pick.join(many.select("recording"), "recording", "left_semi")
+
+
+def epoch(rows: DataFrame, key: str, draws: int, stride: int = 7919) -> DataFrame:
+    """``draws`` rows with repeats where there are fewer: draw k takes the row at ``k * stride`` modulo
+    the number of rows, for keys 0 to n - 1. Draws and rows meet by key."""
+    n = rows.count()
+    spark = rows.sparkSession
+    wanted = spark.range(draws).select(F.col("id").alias("draw"), (F.col("id") * stride % max(n, 1)).alias(key))
+    return wanted.join(rows, key)
+
+
+def provenance(windows: DataFrame) -> DataFrame:
+    """A node for each window, named by its content, with the node before it in its recording."""
+    node = F.sha2(F.array_join(F.transform("samples", lambda x: x.cast("string")), ",").cast("binary"), 256)
+    w = Window.partitionBy("recording").orderBy("seq")
+    return windows.select("recording", "seq", node.alias("node")).withColumn("parent", F.lag("node").over(w))
