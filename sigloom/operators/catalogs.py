@@ -62,9 +62,9 @@ def is_safe_stem(stem: Column) -> Column:
 def human_size(n: Column) -> Column:
     """Bytes as a short text."""
     x = n.cast("double")
-    out = F.format_string("%.1f TB", x / 1024.0**4)
+    out = F.format_string("%.1f TB", F.bround(x / 1024.0**4, 1))
     for k, unit in reversed(list(enumerate(("B", "KB", "MB", "GB")))):
-        out = F.when(x < 1024.0 ** (k + 1), F.format_string(f"%.1f {unit}", x / 1024.0**k)).otherwise(out)
+        out = F.when(x < 1024.0 ** (k + 1), F.format_string(f"%.1f {unit}", F.bround(x / 1024.0**k, 1))).otherwise(out)
     return out
 
 
