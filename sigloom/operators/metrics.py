@@ -26,7 +26,7 @@ def _sums() -> dict[str, Column]:
         "sdd": F.sum(d * d),
         "sd_x": F.stddev_pop(x),
         "sd_y": F.stddev_pop(y),
-        "r": F.corr(x, y),
+        "cov": F.covar_pop(x, y),  # corr() divides by zero on a flat signal
         "mean_x": F.avg(x),
         "max_error": F.max(F.abs(d)),
         "lossless": F.bool_and(F.round(x) == F.round(y)),
@@ -44,10 +44,10 @@ def prd(sxx: Column, sdd: Column, dialect: str) -> Column:
     return 100 * F.sqrt(sdd / (sxx + 1e-12))
 
 
-def pearson(r: Column, sd_x: Column, sd_y: Column, sdd: Column, dialect: str) -> Column:
+def pearson(cov: Column, sd_x: Column, sd_y: Column, sdd: Column, dialect: str) -> Column:
     flat = (sd_x < (1e-10 if dialect == "capped" else 1e-12)) | (sd_y < (1e-10 if dialect == "capped" else 1e-12))
     on_flat = F.when(sdd == 0, 1.0).otherwise(0.0) if dialect == "capped" else F.lit(0.0)
-    return F.when(flat, on_flat).otherwise(r)
+    return F.when(flat, on_flat).otherwise(cov / (sd_x * sd_y))
 
 
 def snr_db(sxx: Column, sdd: Column, dialect: str) -> Column:
@@ -70,7 +70,7 @@ def metrics(pairs: DataFrame, dialect: str = "strict", by: tuple[str, ...] = ("r
     out = {
         "prd": prd(sxx, sdd, dialect),
         "prdn": F.when(centred > 1e-12, 100 * F.sqrt(sdd / centred)).otherwise(0.0),
-        "r": pearson(F.col("r"), F.col("sd_x"), F.col("sd_y"), sdd, dialect),
+        "r": pearson(F.col("cov"), F.col("sd_x"), F.col("sd_y"), sdd, dialect),
         "snr_db": snr_db(sxx, sdd, dialect),
         "rmse": F.sqrt(sdd / F.col("n")),
         "max_error": F.col("max_error"),
