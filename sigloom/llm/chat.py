@@ -24,11 +24,10 @@ from .common import share_code, stored, text_of
 ROLES = ("system", "user", "assistant")
 RANGE = 1024
 #: Added to each count, and the trust in a marker.
-SMOOTH, MARKED = 0.5, 0.98
+SMOOTH, MARKED = 0.5, 0.99999
 # Fixed list: words that open a turn in transcripts, by role.
 MARKERS = {"system": "system", "user": "user|human|me|q|customer|question", "assistant": "assistant|bot|ai|model|agent|a|answer"}
-_MARKER = re.compile("|".join(rf"(?P<{r}>(?:{w})(?=\s*[:>]))" for r, w in MARKERS.items()), re.IGNORECASE)
-_OPEN = re.compile(rf"^[\s>*#\[<|]*(?:{'|'.join(MARKERS.values())})[\]|>*]*\s*[:>]\s*", re.IGNORECASE)
+_OPEN = re.compile(rf"^[\s>*#\[<|]*(?:{'|'.join(f'(?P<{r}>{w})' for r, w in MARKERS.items())})[\]|>*]*\s*[:>]\s*", re.IGNORECASE)
 WORD_STEPS = (0, 4, 8, 12, 20, 35, 60, 100, 200)
 LINE_STEPS = (1, 2, 3, 5, 9)
 
@@ -42,8 +41,8 @@ def parts(text: str) -> list[tuple[str | None, str]]:
     out: list[tuple[str | None, list[str]]] = []
     for line in text.split("\n"):
         role = None
-        if _OPEN.match(line) and (m := _MARKER.search(line)):
-            role, line = m.lastgroup, _OPEN.sub("", line, count=1)
+        if m := _OPEN.match(line):
+            role, line = m.lastgroup, line[m.end() :]
         if role or not out:
             out.append((role, [line]))
         else:

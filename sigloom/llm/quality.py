@@ -99,28 +99,32 @@ def _interval_starts(code: np.ndarray, suffix: np.ndarray, lcp: np.ndarray) -> n
     if not len(live):
         return np.zeros(0, np.int64)
     before = np.where(suffix > 0, code[np.maximum(suffix, 1) - 1], -1)
-    out, stack = [], []  # open intervals: depth, first index, value before (or -2: several)
-    values, last = lcp.tolist(), -2
-    before = before.tolist()
+    before, values = before.tolist(), lcp.tolist()
+    out: list[int] = []
+    stack: list[list[int]] = []  # open intervals: depth, first index, value before its suffixes (-2: several)
+
+    def close(depth: int, first: int, left: int) -> tuple[int, int]:
+        """Close what is deeper than ``depth``, handing on to each parent what stands before its child's
+        suffixes; returns where an interval of ``depth`` would begin, and what stands before that."""
+        while stack and stack[-1][0] > depth:
+            _, first, left = stack.pop()
+            if left == -2:
+                out.append(first)
+            if stack and stack[-1][0] >= depth:
+                stack[-1][2] = left if stack[-1][2] == left else -2
+        return first, left
+
+    last = -2
     for i in live.tolist():
         if i != last + 1:
-            out += [s[1] for s in stack if s[2] == -2]
-            stack = []
-        last, d = i, values[i]
-        left, start = before[i - 1], i - 1
-        while stack and stack[-1][0] > d:
-            _, start, left2 = top = stack.pop()
-            if top[2] == -2:
-                out.append(start)
-            left = left2
-            if stack and stack[-1][0] >= d:
-                stack[-1][2] = left if stack[-1][2] == left else -2
-                left = stack[-1][2]
-        if not stack or stack[-1][0] < d:
-            stack.append([d, start, left])
+            close(0, 0, 0)
+        last, depth = i, values[i]
+        first, left = close(depth, i - 1, before[i - 1])
+        if not stack or stack[-1][0] < depth:
+            stack.append([depth, first, left])
         if stack[-1][2] != before[i]:
             stack[-1][2] = -2
-    out += [s[1] for s in stack if s[2] == -2]
+    close(0, 0, 0)
     return suffix[np.array(out, np.int64)] if out else np.zeros(0, np.int64)
 
 

@@ -70,36 +70,34 @@ class Grammar:
         self.arcs: dict[tuple[tuple[int, ...], str], tuple[tuple[int, ...], float]] = {}
 
     def arc(self, state: tuple[int, ...], kind: str) -> tuple[tuple[int, ...], float]:
-        """Next state, and the factor (insult) or weight (threat) that the token has here."""
+        """Next state, and the factor of a token of this class here."""
         got = self.arcs.get((state, kind))
         if got is None:
             new = tuple(m.step(s, kind) for m, s in zip(MACHINES, state, strict=True))
-            near, negated, reported, meant = (s > 0 for s in new)
+            _, negated, reported, meant = (s > 0 for s in new)
             out = (NEGATED if negated else 1.0) * (REPORTED if reported else 1.0)
-            if kind == "threat":
-                out *= THREAT if near and meant else 0.0
-            elif near:
-                out *= AT_TARGET
+            if kind == "threat" and not meant:
+                out = 0.0
             got = self.arcs[state, kind] = (new, out)
         return got
 
     def clause(self, kinds: list[tuple[str, float]]) -> float:
-        """Weight of a clause read left to right and, for targets behind an insult, back."""
-        best, start = 0.0, (0,) * len(MACHINES)
-        state = start
-        total = 0.0
+        """Weight of a clause: read left to right by the composed machine, then right to left for the
+        targets that stand behind what they are the target of."""
+        state = back = (0,) * len(MACHINES)
+        marks = []
         for kind, weight in kinds:
             state, out = self.arc(state, kind)
+            marks.append((kind, weight * out if kind == "insult" else THREAT * out, state[0] > 0))
+        total = 0.0
+        for kind, weight, near in reversed(marks):
+            back, _ = self.arc(back, kind if kind == "target" else "")
+            near = near or back[0] > 0
             if kind == "insult":
-                total += weight * out
-            elif kind == "threat":
-                total += out
-        state, late = start, 0.0
-        for kind, weight in reversed(kinds):
-            state, _ = self.arc(state, kind if kind in ("target", "insult") else "")
-            if kind == "insult" and state[0]:
-                late += weight * (AT_TARGET - 1)
-        return max(best, total + min(late, total))
+                total += weight * (AT_TARGET if near else 1.0)
+            elif kind == "threat" and near:
+                total += weight
+        return total
 
 
 def terms(words: set[str]) -> set[str]:
