@@ -50,22 +50,27 @@ def targets(sources: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES
     return filled.select("source", "source_size", "weight", "slope", F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight")).alias("target"))
 
 
+def _key(source: Column) -> Column:
+    """The source as a key that is never null, so joins and windows on it share one partitioning."""
+    return F.coalesce(F.concat(F.lit("="), source), F.lit("-"))
+
+
 def _ordered(docs: DataFrame) -> DataFrame:
     mark = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    return docs.withColumn("_mark", mark).withColumn("_bucket", F.substring("_mark", 1, BUCKET_DIGITS))
+    return docs.withColumns({"_key": _key(F.col("source")), "_mark": mark}).withColumn("_bucket", F.substring("_mark", 1, BUCKET_DIGITS))
 
 
 def _placed(rows: DataFrame, sized: DataFrame, plan: DataFrame) -> DataFrame:
-    """``rows`` (with source, size, _mark, _bucket) with ``_from``: words of its source before each
-    row in hash order, and the source's plan. ``sized`` has the same sizes without the texts."""
-    sums = sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
-    along = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("source", "_bucket", F.coalesce(F.sum("_sum").over(along), F.lit(0)).alias("_base"))
-    base = sums.join(plan, sums["source"].eqNullSafe(plan["source"])).drop(plan["source"])
-    base = base.withColumnsRenamed({"source": "_s", "_bucket": "_b"})
-    inner = Window.partitionBy("source", "_bucket").orderBy("_mark", "size").rowsBetween(Window.unboundedPreceding, -1)
+    """``rows`` (with _key, size, _mark, _bucket) with ``_from``, the words of its source before each row
+    in hash order, and the source's plan. ``sized`` has the same sizes without the texts. The window
+    and the join both need a source's bucket together, so the rows are dealt out once for both."""
+    sums = sized.groupBy("_key", "_bucket").agg(F.sum("size").alias("_sum"))
+    along = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_key", "_bucket", F.coalesce(F.sum("_sum").over(along), F.lit(0)).alias("_base"))
+    base = sums.join(plan.withColumn("_key", _key(F.col("source"))).drop("source"), "_key")
+    inner = Window.partitionBy("_key", "_bucket").orderBy("_mark", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_within", F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    rows = rows.join(base, rows["source"].eqNullSafe(base["_s"]) & (rows["_bucket"] == base["_b"])).drop("_s", "_b")
+    rows = rows.join(base.hint("merge"), ["_key", "_bucket"])
     return rows.withColumn("_from", F.col("_base") + F.col("_within")).drop("_base", "_within")
 
 
@@ -96,7 +101,7 @@ def plan(docs: DataFrame) -> DataFrame:
     words are its rounded target and no document exceeds 3 times its size. Null text has size 0, a
     null source is one more source, last in order; rows that repeat are taken each on their own; a
     document that nothing is taken of has a null position; an empty table gives no rows."""
-    sized = stored(_ordered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_in(F.col("text")).alias("size"))).repartition("source", "_bucket"))
+    sized = stored(_ordered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_in(F.col("text")).alias("size"))))
     rows = _placed(sized, sized, _sources(sized))
     taken = sum((_taken(F.lit(k)) for k in range(1, MAX_REPEATS)), _taken(F.lit(0)))
     rows = rows.withColumn("taken", taken)

@@ -230,7 +230,7 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     repeat a doc_id leave one; documents without a doc_id are no copies of anything and stay."""
     ids = near_duplicates(docs, radius).where("is_kept").groupBy("doc_id").count()
     ids = stored(ids.select(F.col("doc_id").alias("_id"), F.col("count").alias("_n")))
-    kept = docs.join(ids, docs["doc_id"].cast("long") == ids["_id"]).drop("_id")
+    kept = docs.join(ids.hint("merge"), docs["doc_id"].cast("long") == ids["_id"]).drop("_id")
     once = kept.where("_n = 1").drop("_n")
     more = kept.where("_n > 1").drop("_n").dropDuplicates(["doc_id"])
     return once.unionByName(more).unionByName(docs.where("doc_id is null"))
