@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom.functions import codecs, kernels
-from sigloom.operators import aggregates, catalogs, joins, metrics, windows
-from sigloom.sources import views
+from sigloom.operators import aggregates, catalogs, joins, metrics, predicates, windows
+from sigloom.plans import reports
+from sigloom.sources import container, views
 from sigloom.streaming import processors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -907,3 +908,134 @@ def layout_violations(spark, sf_dir):
 def delivery_receipts(spark, sf_dir):
     r = read(spark, sf_dir, "events").select((F.col("user_id") % 64 * 1000 + F.floor("value")).alias("token"), F.col("event_id").alias("seq"))
     return processors.deliver(r)
+
+
+# --- more of the inventory ----------------------------------------------------------------------
+
+
+@query(
+    "block_float",
+    f"""WITH {_TENSOR}, s AS (SELECT vec_id, max(abs(CAST(x AS DOUBLE))) / 127 AS scale FROM tensor GROUP BY 1)
+SELECT vec_id, dim, CAST(CASE WHEN scale > 0 THEN floor(x / scale + 0.5) ELSE 0 END AS INTEGER) AS mantissa, round(CASE WHEN scale > 0 THEN floor(x / scale + 0.5) ELSE 0 END * scale, 6) AS y FROM tensor JOIN s USING (vec_id)""",
+)
+def block_float(spark, sf_dir):
+    return kernels.block_float(tensor(spark, sf_dir), "vec_id", "x").select("vec_id", "dim", "mantissa", F.round("y", 6).alias("y"))
+
+
+@query(
+    "residual_quantiser",
+    f"""WITH {_TENSOR}, a AS (SELECT vec_id, CAST(min(x) AS DOUBLE) AS lo, CAST(max(x) - min(x) AS DOUBLE) AS span FROM tensor GROUP BY 1),
+q AS (SELECT vec_id, dim, x, CASE WHEN span <= 0 THEN 2 ELSE greatest(least(floor((x - lo) / span * 4), 3), 0) END AS s, lo, span FROM tensor JOIN a USING (vec_id)),
+y AS (SELECT *, lo + (s + 0.5) * (span + 1e-8) / 4 AS y FROM q), r AS (SELECT vec_id, min(x - y) AS rlo, max(x - y) - min(x - y) AS rspan FROM y GROUP BY 1),
+z AS (SELECT vec_id, x, y, y + rlo + (CASE WHEN rspan <= 0 THEN 4 ELSE greatest(least(floor((x - y - rlo) / rspan * 8), 7), 0) END + 0.5) * (rspan + 1e-8) / 8 AS y2 FROM y JOIN r USING (vec_id))
+SELECT vec_id, round(sqrt(avg((x - y) * (x - y))), 4) AS rmse_1, round(sqrt(avg((x - y2) * (x - y2))), 4) AS rmse_2 FROM z GROUP BY 1""",
+)
+def residual_quantiser(spark, sf_dir):
+    q = kernels.two_stage(tensor(spark, sf_dir), "vec_id", "x", 4, 8)
+    rmse = lambda y: F.round(F.sqrt(F.avg((F.col("x") - F.col(y)) * (F.col("x") - F.col(y)))), 4)
+    return q.groupBy("vec_id").agg(rmse("y").alias("rmse_1"), rmse("y2").alias("rmse_2"))
+
+
+@query("container_round_trip", f"WITH {SIGNAL} SELECT recording, CAST(t // 100 AS BIGINT) AS seq, md5(string_agg(v, ',' ORDER BY t)) AS digest FROM signal WHERE t < 900 GROUP BY 1, 2")
+def container_round_trip(spark, sf_dir):
+    """The first 900 samples of each recording as a container, opened again window by window."""
+    w = windows.arrays(signal(spark, sf_dir).where("t < 900"), 900).select(F.col("recording").alias("name"), F.array("samples").alias("channels"))
+    packed = container.pack_rows(w, 100, 250_000).select(F.col("name").alias("path"), "content")
+    back = packed.mapInArrow(container._decode(None, None), container.SCHEMA)
+    return _digest(back.withColumnRenamed("path", "recording"))
+
+
+@query("finite_rows", "SELECT event_type, count_if(value > 1) AS usable, count_if(NOT (value > 1)) AS refused FROM events GROUP BY 1")
+def finite_rows(spark, sf_dir):
+    x = F.when(F.col("value") > 1, F.col("value")).otherwise(F.lit(float("nan")))
+    ok = predicates.is_finite(F.col("x"))
+    return read(spark, sf_dir, "events").withColumn("x", x).groupBy("event_type").agg(F.count_if(ok).alias("usable"), F.count_if(~ok).alias("refused"))
+
+
+@query("status_lines", "SELECT event_id, CASE event_type WHEN 'error' THEN 'error' WHEN 'purchase' THEN 'done' ELSE 'progress' END AS kind, user_id AS current FROM events")
+def status_lines(spark, sf_dir):
+    stage = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "purchase", "finished").otherwise("running")
+    line = F.to_json(F.struct(stage.alias("stage"), F.col("user_id").alias("count")))
+    return predicates.translate_status(read(spark, sf_dir, "events").select("event_id", line.alias("line"))).select("event_id", "kind", "current")
+
+
+@query("strict_ids", f"WITH {ENTRIES} SELECT doc_id, doc_id % 4 = 0 AS valid FROM entries")
+def strict_ids(spark, sf_dir):
+    k = F.col("doc_id") % 4
+    sha = F.sha2(F.col("text").cast("binary"), 256)
+    bad = F.when(k == 1, F.upper(F.concat(F.lit("ABCDEF"), F.substring(sha, 7, 58)))).when(k == 2, F.substring(sha, 1, 63)).when(k == 3, F.concat(sha, F.lit("0"))).otherwise(sha)
+    return read(spark, sf_dir, "documents").select("doc_id", predicates.is_hash(bad).alias("valid"))
+
+
+@query("clock_relation", "SELECT event_id, event_id % 3 <> 1 AS valid FROM events")
+def clock_relation(spark, sf_dir):
+    k = F.col("event_id") % 3
+    offset, doubt = F.when(k != 0, F.lit(5)), F.when(k == 2, F.lit(1))
+    return read(spark, sf_dir, "events").select("event_id", predicates.all_or_none(offset, doubt).alias("valid"))
+
+
+@query("mirror_paths", f"WITH {_PATHS} SELECT doc_id, 'out/' || regexp_replace(path, '\\.[A-Za-z0-9]+$', '') || '.lml' AS target FROM paths")
+def mirror_paths(spark, sf_dir):
+    return _paths(spark, sf_dir).select("doc_id", predicates.mirror(F.col("path"), "out", "lml").alias("target"))
+
+
+@query(
+    "channel_grid",
+    "WITH m AS (SELECT unnest(range(0, 21)) AS slot), c AS (SELECT event_type AS recording, user_id % 25 AS slot, min(event_id) AS idx FROM events GROUP BY 1, 2), r AS (SELECT DISTINCT event_type AS recording FROM events) SELECT r.recording, m.slot, coalesce(idx, -1) AS idx, idx IS NULL AS was_missing FROM r, m LEFT JOIN c ON c.recording = r.recording AND c.slot = m.slot",
+)
+def channel_grid(spark, sf_dir):
+    c = read(spark, sf_dir, "events").groupBy(F.col("event_type").alias("recording"), (F.col("user_id") % 25).alias("slot")).agg(F.min("event_id").alias("idx"))
+    return catalogs.channel_grid(c, 21)
+
+
+@query(
+    "first_violations",
+    f"""WITH {_METRICS}, m AS (SELECT recording, 100 * sqrt(sdd) / sqrt(sxx) AS prd FROM g), l(level, max_prd) AS (VALUES ('L', 0.0), ('C', 9.0), ('M', 20.0), ('A', 40.0))
+SELECT level, 'prd' AS violation, min(recording) AS first_seen, count(*) AS times FROM m, l WHERE prd > max_prd GROUP BY 1""",
+)
+def first_violations(spark, sf_dir):
+    m = metrics.metrics(pairs(spark, sf_dir), "capped", digits=15).withColumn("r", F.lit(1.0))
+    return metrics.first_violations(metrics.check_contract(m))
+
+
+@query(
+    "holdout_summary",
+    """WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value, event_id) - 1 AS r, count(*) OVER (PARTITION BY event_type) AS n FROM events),
+s AS (SELECT event_type, value, CASE WHEN r * 10 < n THEN 'low' WHEN r * 10 >= n * 9 THEN 'high' ELSE 'middle' END AS energy FROM r)
+SELECT event_type, energy, count(*) AS n, round(avg(value), 6) AS mean FROM s GROUP BY GROUPING SETS ((event_type, energy), (event_type), ())""",
+)
+def holdout_summary(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select("event_type", "event_id", "value")
+    return aggregates.energy_summary(e, "event_type", "value", "event_id")
+
+
+@query("import_receipts", "WITH s AS (SELECT sha256(text) AS source_hash, source || '/' || doc_id AS path, doc_id FROM documents), k AS (SELECT source_hash FROM s WHERE doc_id % 3 = 0) SELECT source_hash, min(path) AS path FROM s WHERE source_hash NOT IN (SELECT source_hash FROM k) GROUP BY 1")
+def import_receipts(spark, sf_dir):
+    d = read(spark, sf_dir, "documents")
+    s = d.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("source_hash"), F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"))
+    return reports.receipts(s.select("source_hash", "path"), s.where("doc_id % 3 = 0").select("source_hash"))
+
+
+@query("field_dispositions", "SELECT event_id, CASE event_type WHEN 'click' THEN 'exact' WHEN 'error' THEN 'quarantined' ELSE 'unsupported' END AS disposition FROM events")
+def field_dispositions(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("field"))
+    return reports.dispositions(e, ["click"], ["error"]).select("event_id", "disposition")
+
+
+@query(
+    "seizure_preservation",
+    f"""WITH {SIGNAL}, w AS (SELECT recording, t // 100 AS seq, max(v) AS top, max((v >> 8) << 8) AS top2 FROM signal GROUP BY 1, 2)
+SELECT recording, count_if(top > 20000) AS events, count_if(top > 20000 AND top2 > 20000) AS kept, count_if(top <= 20000 AND top2 > 20000) AS invented FROM w GROUP BY 1""",
+)
+def seizure_preservation(spark, sf_dir):
+    s = signal(spark, sf_dir).withColumn("y", F.shiftleft(F.shiftright("v", 8), 8))
+    w = s.groupBy("recording", F.floor(F.col("t") / 100).alias("seq")).agg((F.max("v") > 20000).alias("a"), (F.max("y") > 20000).alias("b"))
+    return w.groupBy("recording").agg(F.count_if("a").alias("events"), F.count_if(F.col("a") & F.col("b")).alias("kept"), F.count_if(~F.col("a") & F.col("b")).alias("invented"))
+
+
+@query("spectral_fidelity")
+def spectral_fidelity(spark, sf_dir):
+    """Mean error in dB of the stripped signal's spectrum, window by window."""
+    w = windows.arrays(signal(spark, sf_dir), 250).where(F.size("samples") >= 64)
+    got = codecs.over_windows(w, lambda x: np.array([codecs.spectral_error(x, (x >> 3) << 3, 250.0)]), "d array<double>")
+    return got.select("recording", "seq", F.round(F.col("d")[0], 6).alias("db"))

@@ -388,3 +388,9 @@ def runs_pack(v: np.ndarray) -> bytes:
 def runs_unpack(raw: bytes) -> np.ndarray:
     (size,) = struct.unpack_from("<I", raw)
     return np.repeat(rice_decode(raw[4 : 4 + size]), rice_decode(raw[4 + size :]))
+
+
+def spectral_error(x: np.ndarray, y: np.ndarray, rate: float) -> float:
+    """Mean absolute difference of two spectra in dB."""
+    p, q = welch(x.astype(float), rate) + 1e-12, welch(y.astype(float), rate) + 1e-12
+    return float(np.abs(10 * np.log10(q / p)).mean())

@@ -62,3 +62,20 @@ def calibrate(v: Column, dig_min: Column, dig_max: Column, phys_min: Column, phy
     """Digital to physical; a channel without a digital range is zero."""
     scale = (phys_max - phys_min) / (dig_max - dig_min)
     return F.when(dig_max == dig_min, 0.0).otherwise((v - dig_min) * scale + phys_min)
+
+
+def block_float(rows: DataFrame, by: str, value: str, bits: int = 8) -> DataFrame:
+    """Block floating point: a scale for each block and signed mantissas of ``bits``, and what they
+    stand for. A block of zeros has scale zero."""
+    top = (1 << (bits - 1)) - 1
+    scale = rows.groupBy(by).agg((F.max(F.abs(F.col(value).cast("double"))) / top).alias("scale"))
+    m = F.when(F.col("scale") > 0, F.floor(F.col(value) / F.col("scale") + 0.5)).otherwise(0).cast("int")
+    return rows.join(scale, by).withColumn("mantissa", m).withColumn("y", F.col("mantissa") * F.col("scale"))
+
+
+def two_stage(rows: DataFrame, by: str, value: str, coarse: int, fine: int) -> DataFrame:
+    """A quantiser, and a second one over what the first leaves: columns ``s``, ``y``, ``s2``, ``y2``."""
+    one = fsq(rows, by, value, coarse).withColumn("_rest", F.col(value) - F.col("y"))
+    span = one.groupBy(by).agg(F.min("_rest").alias("lo"), (F.max("_rest") - F.min("_rest")).alias("span"))
+    two = one.join(span, by).withColumn("s2", fsq_index(F.col("_rest"), F.col("lo"), F.col("span"), fine))
+    return two.withColumn("y2", F.col("y") + fsq_value(F.col("s2"), F.col("lo"), F.col("span"), fine)).drop("lo", "span", "_rest")

@@ -151,3 +151,12 @@ def vote_modality(labels: DataFrame, by: str = "recording", label: str = "label"
     votes = {name: (ecg if name == "ecg" else F.col(name)) for name, _ in MODALITIES}
     winner = F.coalesce("_declared", *(F.when(2 * v > F.col("n"), F.lit(name)) for name, v in votes.items()), F.lit("untyped"))
     return count.select(by, "n", winner.alias("modality"))
+
+
+def energy_summary(rows: DataFrame, by: str, value: str, key: str) -> DataFrame:
+    """Count and mean by group and energy tenth (lowest, highest, between), by group, and of all."""
+    w = Window.partitionBy(by).orderBy(value, key)
+    r, n = F.row_number().over(w) - 1, F.count("*").over(Window.partitionBy(by))
+    s = rows.select(by, value, r.alias("_r"), n.alias("_n"))
+    s = s.withColumn("energy", F.when(F.col("_r") * 10 < F.col("_n"), "low").when(F.col("_r") * 10 >= F.col("_n") * 9, "high").otherwise("middle"))
+    return s.groupingSets([[by, "energy"], [by], []], by, "energy").agg(F.count("*").alias("n"), F.round(F.avg(value), 6).alias("mean"))

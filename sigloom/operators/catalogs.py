@@ -140,3 +140,10 @@ def provenance(windows: DataFrame) -> DataFrame:
     node = F.sha2(F.array_join(F.transform("samples", lambda x: x.cast("string")), ",").cast("binary"), 256)
     w = Window.partitionBy("recording").orderBy("seq")
     return windows.select("recording", "seq", node.alias("node")).withColumn("parent", F.lag("node").over(w))
+
+
+def channel_grid(channels: DataFrame, slots: int) -> DataFrame:
+    """``(recording, slot, idx)`` with a row for each of ``slots`` slots: -1 and a flag where there is none."""
+    every = channels.select("recording").distinct().withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))))
+    got = every.join(channels, ["recording", "slot"], "left")
+    return got.select("recording", "slot", F.coalesce("idx", F.lit(-1)).alias("idx"), F.col("idx").isNull().alias("was_missing"))

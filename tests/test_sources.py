@@ -56,3 +56,22 @@ def test_operation_events(spark):
     lines = spark.createDataFrame([('{"type":"done","success":true,"ms":5}',), ("plain text",)], "line string")
     got = {r.kind: r for r in views.operation_events(lines).collect()}
     assert got["done"].success and got["done"].ms == 5 and got["log"].message == "plain text"
+
+
+def test_container(spark, tmp_path):
+    from sigloom.sources import container
+
+    x = np.random.default_rng(0).integers(-900, 900, (3, 1030)).cumsum(1)
+    raw = container.pack(x, 250, 250_000)
+    (tmp_path / "a.sgc").write_bytes(raw)
+    head = container.inspect(spark, str(tmp_path)).first()
+    assert (head.channels, head.window, head.n_windows) == (3, 250, 5)
+    got = container.read_windows(spark, str(tmp_path)).collect()
+    assert len(got) == 15 and all(r.samples == x[r.channel, r.t_first : r.t_first + 250].tolist() for r in got)
+    assert {r.seq for r in container.read_windows(spark, str(tmp_path), 249, 501).collect()} == {0, 1, 2}
+    r = container.Reader(raw)
+    assert r.at_sample(-1) is None and r.at_sample(0) == 0 and r.at_sample(250) == 1 and r.at_sample(9999) == 4
+    with pytest.raises(ValueError):
+        r.range(5, 5)
+    with pytest.raises(ValueError):
+        container.pack(np.zeros((0, 5)), 5, 1)
