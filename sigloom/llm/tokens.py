@@ -64,6 +64,12 @@ def unpack(raw: bytes, n: int, width: int) -> np.ndarray:
     return np.packbits(full, axis=1, bitorder="little").view("<u4").ravel()
 
 
+def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of the shared folder as an executor's Python reaches it: a mounted folder, HDFS
+    (through libhdfs) or an object store (``s3a`` is Spark's name for ``s3``)."""
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", folder))
+
+
 class ShardWriter:
     """Writes one shard to a binary stream, block by block."""
 
@@ -196,7 +202,7 @@ def encoder(path: str) -> Encoder:
 
 def _writer(folder: str, path: str, width: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = pafs.FileSystem.from_uri(folder)
+        fs, base = filesystem(folder)
         fs.create_dir(base, recursive=True)
         shard = TaskContext.get().partitionId()
         final, own = f"{base}/shard-{shard:06d}.tok", f"{base}/_{shard:06d}-{uuid.uuid4().hex}"
@@ -207,7 +213,10 @@ def _writer(folder: str, path: str, width: int, end_id: int):
                 for i, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                     out.add(i, np.concatenate([enc.encode(text.as_py()), end]))
             n_docs, n_ids = out.close()
-        fs.move(own, final)
+        if fs.get_file_info(final).type == pafs.FileType.File:  # of an attempt before: the same bytes
+            fs.delete_file(own)
+        else:
+            fs.move(own, final)
         yield pa.RecordBatch.from_pydict({"shard": [shard], "n_docs": [n_docs], "n_ids": [n_ids]})
 
     return run
@@ -228,7 +237,7 @@ def _reader(folder: str):
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = pafs.FileSystem.from_uri(folder)
+        fs, base = filesystem(folder)
         for b in batches:
             for shard, before in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 with fs.open_input_file(f"{base}/shard-{shard:06d}.tok") as file:

@@ -1,16 +1,9 @@
-import random
-
 import pytest
+from samples import prose
 
-WORDS = "alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima mike november oscar papa quebec romeo sierra tango uniform victor whiskey xray yankee zulu".split()
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-def prose(seed: int, n: int = 80) -> str:
-    r = random.Random(seed)
-    return " ".join(r.choice(WORDS) + r.choice(("", "", "", ",", ".")) for _ in range(n))
-
-
 @pytest.fixture(scope="session")
 def edge_rows():
     """Nulls in each column, empty and very long texts, ties and repeated rows."""

@@ -1,7 +1,7 @@
 import collections
 import re
 
-from conftest import prose
+from samples import prose
 
 from sigloom.llm import decontaminate as d
 

@@ -1,7 +1,6 @@
 import numpy as np
 import pytest
 import xxhash
-from conftest import prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from sigloom.llm import simhash
