@@ -316,7 +316,7 @@ def window_tumbling(spark, sf_dir):
     f"""WITH {SIGNAL} SELECT recording, t, v, v - (CAST(coalesce(sum(v) OVER (PARTITION BY recording ORDER BY t ROWS BETWEEN 32 PRECEDING AND 1 PRECEDING), 0) AS BIGINT) >> 5) AS residual FROM signal""",
 )
 def bias_cancel(spark, sf_dir):
-    return windows.bias_cancel(signal(spark, sf_dir))
+    return windows.blocked(signal(spark, sf_dir), windows.bias_cancel, windows.BIAS_CONTEXT)
 
 
 _LPC = (120_000_000, -40_000_000, 20_000_000, 5_000_000)
@@ -327,7 +327,7 @@ _LPC = (120_000_000, -40_000_000, 20_000_000, 5_000_000)
     f"""WITH {SIGNAL} SELECT recording, t, v, v - (CAST({" + ".join(f"coalesce(lag(v, {k + 1}) OVER w, 0) * {c}" for k, c in enumerate(_LPC))} AS BIGINT) >> 27) AS residual FROM signal WINDOW w AS (PARTITION BY recording ORDER BY t)""",
 )
 def lpc_residual(spark, sf_dir):
-    return windows.lpc_residual(signal(spark, sf_dir), list(_LPC))
+    return windows.blocked(signal(spark, sf_dir), lambda s: windows.lpc_residual(s, list(_LPC)), len(_LPC))
 
 
 _LIFT = """d{n} AS (SELECT recording, t, v, CASE WHEN t % 2 = 1 THEN v - ((lag(v) OVER w + coalesce(lead(v) OVER w, lag(v) OVER w)) >> 1) END AS d FROM {src} WINDOW w AS (PARTITION BY recording ORDER BY t)),
@@ -337,7 +337,7 @@ a{n} AS (SELECT recording, t // 2 AS t, v FROM s{n} WHERE t % 2 = 0)"""
 
 @query("lifting_forward", f"WITH {SIGNAL}, {_LIFT.format(n=1, src='signal')} SELECT recording, CASE WHEN t % 2 = 1 THEN 'detail' ELSE 'approx' END AS band, t // 2 AS idx, v FROM s1")
 def lifting_forward(spark, sf_dir):
-    return windows.lifting_forward(signal(spark, sf_dir))
+    return windows.blocked(signal(spark, sf_dir), windows.lifting_forward, 4, 4, place="2 * idx + CASE WHEN band = 'detail' THEN 1 ELSE 0 END")
 
 
 @query("lifting_round_trip", f"WITH {SIGNAL} SELECT recording, t, v FROM signal")
@@ -356,7 +356,7 @@ def lifting_cascade(spark, sf_dir):
 
 @query("first_difference", f"WITH {SIGNAL} SELECT recording, t, v, v - coalesce(lag(v) OVER (PARTITION BY recording ORDER BY t), 0) AS delta FROM signal")
 def first_difference(spark, sf_dir):
-    return windows.first_difference(signal(spark, sf_dir))
+    return windows.blocked(signal(spark, sf_dir), windows.first_difference, 1)
 
 
 @query(
@@ -424,7 +424,7 @@ def sequence_gaps(spark, sf_dir):
 
 @query("moving_average", f"WITH {SIGNAL} SELECT recording, t, v, round(sum(v) OVER (PARTITION BY recording ORDER BY t ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) / 5.0, 6) AS ma FROM signal")
 def moving_average(spark, sf_dir):
-    return windows.moving_average(signal(spark, sf_dir), 5)
+    return windows.blocked(signal(spark, sf_dir), lambda s: windows.moving_average(s, 5), 2, 2)
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,37 @@ def _along(by: tuple[str, ...] = ("recording",), order: str = "t"):
     return Window.partitionBy(*by).orderBy(order)
 
 
+#: Samples of a recording that one task orders together.
+BLOCK = 1 << 20
+
+
+def numbered(rows: DataFrame, by: str, order: str, name: str = "t", block: int = BLOCK) -> DataFrame:
+    """Row number within ``by`` by an integer ``order``, from 0, without sorting a whole group in one task:
+    ranges of the order are counted, their counts summed up, and rows numbered within their range."""
+    rows = rows.withColumn("_range", F.floor(F.col(order) / block))
+    counts = rows.groupBy(by, "_range").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select(by, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    at = F.row_number().over(Window.partitionBy(by, "_range").orderBy(order)) - 1
+    return rows.withColumn(name, at).join(base, [by, "_range"]).withColumn(name, (F.col(name) + F.col("_base")).cast("long")).drop("_range", "_base")
+
+
+def blocked(samples: DataFrame, kernel: Callable[[DataFrame], DataFrame], before: int, after: int = 0, block: int = BLOCK, place: str = "t") -> DataFrame:
+    """An ordered kernel with bounded context run on blocks of each recording: a block also gets the
+    ``before`` and ``after`` samples around it, and gives only the rows that are its own by ``place``.
+
+    The result is that of the kernel on whole recordings, but a long one is many tasks. ``block`` has to be
+    even for a kernel that works by pairs, and above the context."""
+    if block % 2 or block <= before + after:
+        raise ValueError("the block must be even and longer than the context")
+    near = F.array_distinct(F.array(F.floor(F.col("t") / block), F.floor((F.col("t") + before) / block), F.floor((F.col("t") - after) / block)))
+    rows = samples.withColumn("_b", F.explode(near)).where("_b >= 0")
+    rows = rows.withColumn("recording", F.struct("recording", "_b")).drop("_b")
+    out = kernel(rows)
+    own = out.where(F.floor(F.expr(place) / block) == F.col("recording._b"))
+    return own.withColumn("recording", F.col("recording.recording"))
+
+
 def tumbling(samples: DataFrame, size: int) -> DataFrame:
     """Count windows ``floor(t / size)``; the last of a recording may be short."""
     return samples.withColumn("seq", F.floor(F.col("t") / size)).groupBy("recording", "seq").agg(

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sigloom.operators.windows import numbered
+
 
 def signal(events: DataFrame, recording: str = "event_type") -> DataFrame:
     """``(recording, t, v)``: one channel per value of ``recording``, samples in event order, in cents."""
-    w = Window.partitionBy(recording).orderBy("event_id")
-    return events.select(F.col(recording).alias("recording"), (F.row_number().over(w) - 1).cast("long").alias("t"), F.round(F.col("value") * 100).cast("long").alias("v"))
+    v = F.round(F.col("value") * 100).cast("long").alias("v")
+    rows = events.select(F.col(recording).alias("recording"), "event_id", v)
+    return numbered(rows, "recording", "event_id").select("recording", "t", "v")
 
 
 def strip_low_bits(samples: DataFrame, bits: int = 3) -> DataFrame:

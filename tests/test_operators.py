@@ -91,3 +91,27 @@ def test_nearest_rank_differs_from_interpolation(spark):
 def test_pushdown_reaches_the_scan(spark, data):
     plan = spark.read.parquet(f"{data}/events.parquet").where("event_type = 'click'").groupBy("user_id").agg(F.sum("value"))._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(event_type)" in plan and "props" not in plan.split("ReadSchema")[-1]
+
+
+@pytest.mark.parametrize("block", [64, 100])
+def test_blocks_give_what_whole_recordings_give(spark, block):
+    s = spark.range(700).select(F.concat(F.lit("r"), (F.col("id") % 2).cast("string")).alias("recording"), F.floor(F.col("id") / 2).alias("t"), (F.col("id") * 7919 % 1013 - 500).alias("v"))
+    place = "2 * idx + CASE WHEN band = 'detail' THEN 1 ELSE 0 END"
+    for kernel, before, after, at, cols in (
+        (windows.bias_cancel, 32, 0, "t", ("recording", "t", "residual")),
+        (lambda x: windows.lpc_residual(x, [90_000_000, -9_000_000]), 2, 0, "t", ("recording", "t", "residual")),
+        (windows.first_difference, 1, 0, "t", ("recording", "t", "delta")),
+        (lambda x: windows.moving_average(x, 5), 2, 2, "t", ("recording", "t", "ma")),
+        (windows.lifting_forward, 4, 4, place, ("recording", "band", "idx", "v")),
+    ):
+        assert rows(windows.blocked(s, kernel, before, after, block, at), *cols) == rows(kernel(s), *cols)
+    with pytest.raises(ValueError):
+        windows.blocked(s, windows.bias_cancel, 32, 0, 32)
+
+
+def test_numbering_by_ranges(spark):
+    e = spark.range(500).select((F.col("id") * 13 % 501).alias("k"), (F.col("id") % 3).alias("g"))
+    got = {(r.g, r.k): r.t for r in windows.numbered(e, "g", "k", block=50).collect()}
+    for g in range(3):
+        ks = sorted(k for a, k in got if a == g)
+        assert [got[g, k] for k in ks] == list(range(len(ks)))
