@@ -178,7 +178,7 @@ def _results(spark, sf_dir):
 
 @query(
     "batch_summary",
-    f"""WITH {_RESULTS} SELECT grp, count(*) AS total, count_if(status = 'success') AS success, count_if(status = 'failed') AS failed, count_if(status = 'skipped') AS skipped,
+    f"""WITH {_RESULTS} SELECT grp, count(*) AS total, CAST(count_if(status = 'success') AS BIGINT) AS success, CAST(count_if(status = 'failed') AS BIGINT) AS failed, CAST(count_if(status = 'skipped') AS BIGINT) AS skipped,
  CAST(coalesce(sum(raw_bytes) FILTER (status = 'success'), 0) AS BIGINT) AS raw_bytes, CAST(coalesce(sum(packed_bytes) FILTER (status = 'success'), 0) AS BIGINT) AS packed_bytes,
  round(CASE WHEN coalesce(sum(packed_bytes) FILTER (status = 'success'), 0) > 0 THEN CAST(sum(raw_bytes) FILTER (status = 'success') AS DOUBLE) / sum(packed_bytes) FILTER (status = 'success') ELSE 0 END, 6) AS ratio FROM results GROUP BY grp""",
 )
@@ -210,7 +210,7 @@ def paper_aggregate(spark, sf_dir):
     return g.select("grp", "ok", "ratio_of_sums", "mean_of_ratios", *(F.round(F.col("_p")[k], 6).alias(n) for k, n in enumerate(("median", "p5", "p95"))))
 
 
-@query("state_counts", f"WITH {_RESULTS} SELECT count_if(status = 'pending') AS pending, count_if(status = 'in_progress') AS in_progress, count_if(status = 'success') AS success, count_if(status = 'failed') AS failed, count_if(status = 'quarantined') AS quarantined FROM results")
+@query("state_counts", f"WITH {_RESULTS} SELECT CAST(count_if(status = 'pending') AS BIGINT) AS pending, CAST(count_if(status = 'in_progress') AS BIGINT) AS in_progress, CAST(count_if(status = 'success') AS BIGINT) AS success, CAST(count_if(status = 'failed') AS BIGINT) AS failed, CAST(count_if(status = 'quarantined') AS BIGINT) AS quarantined FROM results")
 def state_counts(spark, sf_dir):
     return aggregates.state_counts(_results(spark, sf_dir), "status", ("pending", "in_progress", "success", "failed", "quarantined"))
 
@@ -248,7 +248,7 @@ def normalised_frequencies(spark, sf_dir):
     """WITH l(recording, label) AS (VALUES (1, 'EEG Fp1-REF'), (1, 'C3-A2'), (1, 'Status'), (2, 'I'), (2, 'V1'), (2, 'x'), (3, 'I'), (3, 'ch1'), (4, 'Resp belt'), (4, 'AIRFLOW'), (4, 'ECG'), (5, 'EMG chin'), (5, 'EOG left')),
 k AS (SELECT recording, CASE WHEN upper(label) LIKE '%EEG%' THEN 'eeg' WHEN upper(label) LIKE '%ECG%' THEN 'ecg' WHEN upper(label) LIKE '%EMG%' THEN 'emg' WHEN upper(label) LIKE '%EOG%' THEN 'eog'
  WHEN upper(label) LIKE '%RESP%' OR upper(label) LIKE '%AIRFLOW%' THEN 'resp' WHEN list_has_any(regexp_split_to_array(upper(label), '[-_/\\s]+'), ['C3', 'A2']) THEN 'eeg' WHEN label IN ('I', 'V1') THEN 'lead' END AS k FROM l),
-c AS (SELECT recording, count(*) AS n, count_if(k = 'eeg') AS eeg, count_if(k = 'ecg') + CASE WHEN count_if(k = 'lead') >= 2 THEN count_if(k = 'lead') ELSE 0 END AS ecg, count_if(k = 'emg') AS emg, count_if(k = 'eog') AS eog, count_if(k = 'resp') AS resp FROM k GROUP BY 1)
+c AS (SELECT recording, count(*) AS n, CAST(count_if(k = 'eeg') AS BIGINT) AS eeg, CAST(count_if(k = 'ecg') AS BIGINT) + CASE WHEN CAST(count_if(k = 'lead') AS BIGINT) >= 2 THEN CAST(count_if(k = 'lead') AS BIGINT) ELSE 0 END AS ecg, CAST(count_if(k = 'emg') AS BIGINT) AS emg, CAST(count_if(k = 'eog') AS BIGINT) AS eog, CAST(count_if(k = 'resp') AS BIGINT) AS resp FROM k GROUP BY 1)
 SELECT CAST(recording AS BIGINT) AS recording, n, CASE WHEN 2 * eeg > n THEN 'eeg' WHEN 2 * ecg > n THEN 'ecg' WHEN 2 * emg > n THEN 'emg' WHEN 2 * eog > n THEN 'eog' WHEN 2 * resp > n THEN 'resp' ELSE 'untyped' END AS modality FROM c""",
 )
 def modality_vote(spark, sf_dir):
@@ -389,7 +389,7 @@ def noise_bits(spark, sf_dir):
     return windows.noise_bits(signal(spark, sf_dir))
 
 
-@query("strip_guard", f"WITH {SIGNAL} SELECT recording, count_if(v & 7 <> 0) AS dirty, count_if(v & 7 <> 0) = 0 AS stripped FROM signal GROUP BY recording")
+@query("strip_guard", f"WITH {SIGNAL} SELECT recording, CAST(count_if(v & 7 <> 0) AS BIGINT) AS dirty, CAST(count_if(v & 7 <> 0) AS BIGINT) = 0 AS stripped FROM signal GROUP BY recording")
 def strip_guard(spark, sf_dir):
     return kernels.strip_guard(signal(spark, sf_dir), 3)
 
@@ -945,7 +945,7 @@ def container_round_trip(spark, sf_dir):
     return _digest(back.withColumnRenamed("path", "recording"))
 
 
-@query("finite_rows", "SELECT event_type, count_if(value > 1) AS usable, count_if(NOT (value > 1)) AS refused FROM events GROUP BY 1")
+@query("finite_rows", "SELECT event_type, CAST(count_if(value > 1) AS BIGINT) AS usable, CAST(count_if(NOT (value > 1)) AS BIGINT) AS refused FROM events GROUP BY 1")
 def finite_rows(spark, sf_dir):
     x = F.when(F.col("value") > 1, F.col("value")).otherwise(F.lit(float("nan")))
     ok = predicates.is_finite(F.col("x"))
@@ -1025,7 +1025,7 @@ def field_dispositions(spark, sf_dir):
 @query(
     "seizure_preservation",
     f"""WITH {SIGNAL}, w AS (SELECT recording, t // 100 AS seq, max(v) AS top, max((v >> 8) << 8) AS top2 FROM signal GROUP BY 1, 2)
-SELECT recording, count_if(top > 20000) AS events, count_if(top > 20000 AND top2 > 20000) AS kept, count_if(top <= 20000 AND top2 > 20000) AS invented FROM w GROUP BY 1""",
+SELECT recording, CAST(count_if(top > 20000) AS BIGINT) AS events, CAST(count_if(top > 20000 AND top2 > 20000) AS BIGINT) AS kept, CAST(count_if(top <= 20000 AND top2 > 20000) AS BIGINT) AS invented FROM w GROUP BY 1""",
 )
 def seizure_preservation(spark, sf_dir):
     s = signal(spark, sf_dir).withColumn("y", F.shiftleft(F.shiftright("v", 8), 8))
