@@ -54,7 +54,7 @@ def observations(text: str) -> list[str]:
     """Features of a part: its lines', its number of lines and its words."""
     lines = text.split("\n")
     out = [f"lines{_step(len(lines), LINE_STEPS)}", f"words{_step(len(text.split()), WORD_STEPS)}"]
-    for x in lines[:64]:
+    for x in lines:
         out.append(f"line{_step(len(x.split()), WORD_STEPS)}")
         if x.rstrip().endswith("?"):
             out.append("asks")
