@@ -1039,3 +1039,33 @@ def spectral_fidelity(spark, sf_dir):
     w = windows.arrays(signal(spark, sf_dir), 250).where(F.size("samples") >= 64)
     got = codecs.over_windows(w, lambda x: np.array([codecs.spectral_error(x, (x >> 3) << 3, 250.0)]), "d array<double>")
     return got.select("recording", "seq", F.round(F.col("d")[0], 6).alias("db"))
+
+
+@query(
+    "contract_codec",
+    f"""WITH {_METRICS}, d AS (SELECT recording, v - coalesce(lag(v) OVER (PARTITION BY recording ORDER BY t), 0) AS delta FROM signal), z AS (SELECT recording, CASE WHEN delta >= 0 THEN 2 * delta ELSE -2 * delta - 1 END AS z FROM d),
+k AS (SELECT recording, CASE WHEN avg(z) >= 1 THEN least(CAST(floor(log2(avg(z))) AS INTEGER), 31) ELSE 0 END AS k FROM z GROUP BY recording),
+b AS (SELECT recording, CAST(3 + ceil(sum((z >> k) + 1 + k) / 8) AS BIGINT) AS bytes FROM z JOIN k USING (recording) GROUP BY recording),
+m AS (SELECT recording, 100 * sqrt(sdd) / sqrt(sxx) AS prd, r, CAST(n AS DOUBLE) * 2 / bytes AS cr FROM g JOIN b USING (recording)),
+l(mode, max_prd, min_r, min_cr, max_cr) AS (VALUES ('lossless', 0.0, 1.0, 3.0, 10.0), ('neural', 20.0, 0.80, 200.0, 600.0))
+SELECT recording, mode, round(cr, 6) AS cr, array_to_string(list_filter([CASE WHEN prd > max_prd THEN 'prd' END, CASE WHEN r < min_r - 1e-9 THEN 'r' END, CASE WHEN cr < min_cr THEN 'cr' END, CASE WHEN cr > max_cr THEN 'cr' END], lambda x: x IS NOT NULL), ',') AS violated FROM m, l""",
+)
+def contract_codec(spark, sf_dir):
+    m = metrics.metrics(pairs(spark, sf_dir), "strict", digits=15)
+    size = kernels.rice_size(windows.first_difference(signal(spark, sf_dir)), "delta", "recording")
+    m = m.drop("lossless").join(size.select("recording", (F.col("n").cast("double") * 2 / F.col("bytes")).alias("cr")), "recording")
+    return metrics.codec_contract(m).select("recording", "mode", F.round("cr", 6).alias("cr"), F.array_join("violations", ",").alias("violated"))
+
+
+@query(
+    "token_runs",
+    f"""WITH {_TENSOR}, s AS (SELECT vec_id, CAST(min(x) AS DOUBLE) AS lo, CAST(max(x) - min(x) AS DOUBLE) AS span FROM tensor GROUP BY 1),
+q AS (SELECT vec_id, dim, CAST(CASE WHEN span <= 0 THEN 2 ELSE greatest(least(floor((x - lo) / span * 4), 3), 0) END AS BIGINT) AS v FROM tensor JOIN s USING (vec_id)),
+n AS (SELECT *, CASE WHEN v = lag(v) OVER (PARTITION BY vec_id ORDER BY dim) THEN 0 ELSE 1 END AS new FROM q)
+SELECT vec_id, CAST(sum(new) AS BIGINT) AS runs, round(1 - CAST(sum(new) AS DOUBLE) * 2 / count(*), 6) AS saving FROM n GROUP BY 1""",
+)
+def token_runs(spark, sf_dir):
+    """Runs of quantised tokens, and what writing value and length of each saves."""
+    q = kernels.fsq(tensor(spark, sf_dir), "vec_id", "x", 4).select(F.col("vec_id").alias("recording"), F.col("dim").alias("t"), F.col("s").cast("long").alias("v"))
+    r = windows.runs(q).groupBy("recording").agg(F.count("*").alias("runs"), F.sum("length").alias("n"))
+    return r.select(F.col("recording").alias("vec_id"), "runs", F.round(1 - F.col("runs").cast("double") * 2 / F.col("n"), 6).alias("saving"))
