@@ -1,24 +1,30 @@
-"""Quality classifier: an interpolated modified Kneser-Ney model of trusted text.
-
-The model is over characters, mapped to 64 symbols, with histories of three. Counts of all trusted
-text are summed by n-gram across the cluster; continuation counts, history sums and probabilities come
-from grouping and joining these tables by n-gram, history and suffix, each a shuffle by key. The key
-space is bounded (64**4), and with it the joined model: documents probe it in place rather than being
-taken apart into a row for each n-gram. A text's perplexity is held against a quantile of the
-trusted texts of its language.
+"""Quality classifier: an interpolated modified Kneser-Ney model of trusted text, over words.
+
+The model has word n-grams up to ``WORDS`` as 64-bit hashes; a word that trusted text does not have is
+spelled by a Kneser-Ney model over characters (64 symbols, histories of three, inside the word), which
+is the base distribution of the word model. Counts, continuation counts, history sums and probabilities
+come from grouping and joining tables by n-gram, history and suffix.
+
+The logarithm of an interpolated model is a sum over a text's n-grams: a word's term, and for each
+longer n-gram what it adds to the shorter one and what its history takes. So each n-gram has one weight,
+and texts meet the weights in one join: n-grams of texts are packed by shard of their hash, a row for a
+chunk of texts and a shard, and a shard's weights are held against them by a sorted search. Shards grow
+in number with the input. A trusted text is not measured with n-grams that only it has. A text's
+perplexity is held against a quantile of the trusted texts of its language.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import share_code, stored, text_of
+from .common import discard, share_code, stored, text_of
 
 ORDER = 4
 BITS = 6
@@ -30,6 +36,12 @@ MARGIN = 0.05
 MIN_TRUSTED = 50
 GRID = 1000
 CHUNK = 1 << 20
+#: Words of the longest n-gram; characters of all texts for each shard of the join; share of the base
+#: distribution that is a text's end; and steps of a weight in a nat (whole numbers add up in any order).
+WORDS = 3
+SHARD = 8_000_000
+END = 0.01
+STEPS = 1_000_000
 
 
 def _symbol_table() -> np.ndarray:
@@ -90,30 +102,265 @@ def codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return code[keep], n
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunks(b: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
+    """First row and texts of parts of a batch of about ``CHUNK`` characters."""
+    texts, size = [], 0
+    for k, x in enumerate(b.column(0)):
+        texts.append(x.as_py())
+        size += len(texts[-1])
+        if size >= CHUNK:
+            yield k + 1 - len(texts), texts
+            texts, size = [], 0
+    if texts:
+        yield b.num_rows - len(texts), texts
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _pair(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    return _mix(a * np.uint64(0x9E3779B97F4A7C15) + b + np.uint64(n))
+
+
+_BASE = 0x5851F42D4C957F2D
+_BACK = pow(_BASE, -1, 1 << 64)
+_START_WORD, _END_WORD = np.uint64(0x1234567), np.uint64(0x89ABCDEF)
+_POWERS = np.zeros((2, 0), np.uint64)
+
+
+def _powers(n: int) -> np.ndarray:
+    """Powers of ``_BASE`` and of its inverse mod 2**64."""
+    global _POWERS
+    if _POWERS.shape[1] < n:
+        steps = np.array([[_BASE], [_BACK]], np.uint64) * np.ones((1, n), np.uint64)
+        steps[:, 0] = 1
+        _POWERS = np.multiply.accumulate(steps, axis=1, dtype=np.uint64)
+    return _POWERS
+
+
+def spelled(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """Codes of the characters of each word and of the space behind it, with no history before the
+    word; and of each word its first and behind its last code, its text's position and its hash."""
+    line = " ".join([*texts, ""])
+    points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+    sym = symbols(line)
+    code, past = sym.astype(np.int32), np.ones(len(sym), bool)
+    for k in range(1, ORDER):
+        past[k:] &= sym[: len(sym) - k] != 0
+        past[:k] = False
+        code[k:] |= np.where(past[k:], sym[: len(sym) - k], 0).astype(np.int32) << (BITS * k)
+    inside = np.r_[False, sym != 0]
+    start, end = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+    of = np.searchsorted(np.cumsum([0, *(len(t) + 1 for t in texts)]), start, "right") - 1
+    power = _powers(len(points))
+    total = np.r_[np.uint64(0), np.cumsum(points.astype(np.uint64) * power[0, : len(points)], dtype=np.uint64)]
+    word = _mix((total[end] - total[start]) * power[1, start])
+    keep = sym != 0
+    keep[end] = True
+    at = np.cumsum(np.r_[0, keep])
+    return code[keep], at[start], at[end] + 1, of, word
+
+
+def _spelled_codes(texts: list[str]) -> tuple[np.ndarray]:
+    return (spelled(texts)[0],)
+
+
+def grams(texts: list[str], log_p: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Of texts: ``n, g, h, s, q, of, event`` of each n-gram of 1 to ``WORDS`` words, those being its
+    hash, history's and suffix's, log base probability if n is 1, text and whether it predicts a word
+    (the start does not); the log base probability of all words and the characters of each text."""
+    code, a, b, of, word = spelled(texts)
+    sums = np.concatenate([[0], np.cumsum(log_p[code], dtype=np.float64)])
+    q = sums[b] - sums[a] + np.log(1 - END)
+    n = len(texts)
+    first = np.searchsorted(of, np.arange(n))
+    last = np.searchsorted(of, np.arange(n), "right")
+    # each text: two start words, its words, its end
+    size = last - first + 3
+    top = np.cumsum(size) - size
+    line, lq = np.full(size.sum(), _START_WORD, np.uint64), np.zeros(size.sum())
+    at = np.arange(len(word)) + 3 * of + 2
+    line[at], lq[at] = word, q
+    line[top + size - 1], lq[top + size - 1] = _END_WORD, np.log(END)
+    text = np.repeat(np.arange(n), size)
+    one = _pair(line, line, 1)
+    two = np.r_[np.uint64(0), _pair(line[:-1], line[1:], 2)]
+    three = np.r_[np.zeros(2, np.uint64), _pair(two[1:-1], line[2:], 3)]
+    inner = np.arange(len(line)) - np.repeat(top, size)
+    i1, e = np.flatnonzero(inner >= 1), np.flatnonzero(inner >= 2)
+    out = {
+        "n": np.repeat(np.array([1, 2, 3], np.int32), [len(i1), len(i1), len(e)]),
+        "g": np.r_[one[i1], two[i1], three[e]].view(np.int64),
+        "h": np.r_[np.zeros(len(i1), np.uint64), one[i1 - 1], two[e - 1]].view(np.int64),
+        "s": np.r_[np.zeros(len(i1), np.uint64), one[i1], two[e]].view(np.int64),
+        "q": np.r_[lq[i1], np.zeros(len(i1) + len(e))],
+        "of": np.r_[text[i1], text[i1], text[e]],
+        "event": np.r_[inner[i1] >= 2, inner[i1] >= 2, np.ones(len(e), bool)],
+    }
+    base = np.bincount(text, lq, n)
+    chars = np.bincount(of, b - a, n).astype(np.int64) + 1
+    return out, base, chars
+
+
+_TALLY = "n int, g long, h long, s long, q double, c long"
+
+
+def _tally(model, name: str):
+    """Count of each predicted n-gram in a chunk of trusted texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        log_p = _dense(model, name)
+        for batch in batches:
+            for _, texts in _chunks(batch):
+                x, _, _ = grams(texts, log_p)
+                x = {k: v[x["event"]] for k, v in x.items()}
+                _, at, c = np.unique(x["g"], return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[k][at]) for k in "nghsq"), pa.array(c.astype(np.int64))], list("nghsqc"))
+
+    return run
+
+
+def weights(texts: DataFrame, shared, name: str) -> tuple[DataFrame, float]:
+    """``texts(text)`` -> ``(g, w, c)``, the weight of each n-gram in steps and its count (null for those of
+    the start), and the log share that single words leave to the base distribution."""
+    seen = texts.select("text").mapInArrow(_tally(shared, name), _TALLY).groupBy("n", "g")
+    seen = stored(seen.agg(F.min("h").alias("h"), F.min("s").alias("s"), F.min("q").alias("q"), F.sum("c").alias("c")))
+    below, log_left, out = None, 0.0, []
+    for n in range(1, WORDS + 1):
+        t = seen.where(F.col("n") == n)
+        if n < WORDS:  # continuation counts
+            t = t.join(seen.where(F.col("n") == n + 1).groupBy(F.col("s").alias("g")).agg(F.count("*").alias("k")), "g")
+        else:
+            t = t.withColumn("k", F.col("c"))
+        t = stored(t.select("g", "h", "s", "q", "c", "k"))
+        few = t.agg(*(F.count_if(F.col("k") == j) for j in range(1, 5))).first()
+        d = discounts([int(x) for x in few])
+        cut = F.when(F.col("k") == 1, d[0]).when(F.col("k") == 2, d[1]).otherwise(d[2])
+        sums = t.groupBy("h").agg(F.sum("k").alias("all"), F.sum(cut).alias("cut"))
+        if n == 1:
+            row = sums.first()
+            total, left = (row["all"], row["cut"] / row["all"]) if row else (1, 1.0)
+            log_left = float(np.log(left))
+            t = t.select("g", F.log((F.col("k") - cut) / F.lit(total) + F.lit(left) * F.exp("q")).alias("p"), "c", F.col("q"))
+            out.append(t.select("g", (F.col("p") - F.col("q") - F.lit(log_left)).alias("w"), "c"))
+        else:
+            sums = sums.select("h", "all", F.log(F.col("cut") / F.col("all")).alias("left"))
+            t = t.join(sums, "h").join(below.select(F.col("g").alias("s"), F.col("p").alias("low")), "s")
+            p = F.log((F.col("k") - cut) / F.col("all") + F.exp(F.col("left") + F.col("low")))
+            t = stored(t.select("g", p.alias("p"), "c", (p - F.col("left") - F.col("low")).alias("w")))
+            out += [t.select("g", "w", "c"), sums.select(F.col("h").alias("g"), F.col("left").alias("w"), F.lit(None).cast("long").alias("c"))]
+        below = t
+    every = out[0]
+    for x in out[1:]:
+        every = every.unionByName(x)
+    return every.groupBy("g").agg(F.round(F.sum("w") * STEPS).cast("long").alias("w"), F.max("c").alias("c")), log_left
+
+
+_PACKED = "shard int, kind int, g binary, x binary, y binary, id binary"
+
+
+def _pack(shards: int, kind: int, g: np.ndarray, x: np.ndarray, y: np.ndarray, ids: bytes) -> pa.RecordBatch:
+    """A row for each shard: its n-grams in order, and ``x``, ``y`` of each."""
+    shard = (g.view(np.uint64) % np.uint64(shards)).astype(np.int32)
+    order = np.lexsort((g, shard))
+    g, x, y = g[order], x[order], y[order]
+    cut = np.searchsorted(shard[order], np.arange(shards + 1))
+    have = np.flatnonzero(cut[1:] > cut[:-1])
+    cols = [pa.array([v[cut[k] : cut[k + 1]].tobytes() for k in have], pa.binary()) for v in (g, x, y)]
+    return pa.RecordBatch.from_arrays([pa.array(have.astype(np.int32)), pa.array(np.full(len(have), kind, np.int32)), *cols, pa.array([ids] * len(have), pa.binary())], ["shard", "kind", "g", "x", "y", "id"])
+
+
+def _pack_weights(shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in batches:
+            held.append([b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).fill_null(1 << 40).to_numpy()])
+            n += b.num_rows
+            if n >= CHUNK:
+                yield _pack(shards, 0, *(np.concatenate(v) for v in zip(*held, strict=True)), b"")
+                held, n = [], 0
+        if n:
+            yield _pack(shards, 0, *(np.concatenate(v) for v in zip(*held, strict=True)), b"")
+
+    return run
+
+
+def _pack_texts(model, name: str, shards: int, log_left: float):
+    """Kind 1: an n-gram, its text of the chunk and its count there. Kind 2: a chunk's base sums."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        log_p = _dense(model, name)
+        for b in batches:
+            row = b.column(1).to_numpy()
+            for a, texts in _chunks(b):
+                x, base, chars = grams(texts, log_p)
+                ids = row[a : a + len(texts)]
+                order = np.lexsort((x["of"], x["g"]))
+                g, of = x["g"][order], x["of"][order]
+                edge = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (of[1:] != of[:-1])])
+                own = np.diff(np.r_[edge, len(g)]).astype(np.int32)
+                yield _pack(shards, 1, g[edge], of[edge].astype(np.int32), own, ids.tobytes())
+                words = np.bincount(x["of"][(x["n"] == 1) & x["event"]], minlength=len(texts))
+                base = np.round((base + words * log_left) * STEPS).astype(np.int64)
+                one = [pa.array([v], t) for v, t in ((int(ids[0]) % shards, pa.int32()), (2, pa.int32()), (b"", pa.binary()), (base.tobytes(), pa.binary()), (chars.tobytes(), pa.binary()), (ids.tobytes(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(one, ["shard", "kind", "g", "x", "y", "id"])
+
+    return run
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of texts in each shard: of all their n-grams, and of those that others have as well. The
+    rows of a shard come together, its weights first."""
+    at, held, table = None, [], None
+    names = ["_row", "full", "others", "chars"]
+    for b in batches:
+        for r in b.to_pylist():
+            if r["shard"] != at:
+                at, held, table = r["shard"], [], None
+            ids = np.frombuffer(r["id"], np.int64)
+            if r["kind"] == 0:
+                held.append([np.frombuffer(r[k], np.int64) for k in "gxy"])
+            elif r["kind"] == 2:
+                base, chars = np.frombuffer(r["x"], np.int64), np.frombuffer(r["y"], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (ids, base, base, chars)], names)
+            elif held:
+                if table is None:
+                    table = [np.concatenate(v) for v in zip(*held, strict=True)]
+                    order = np.argsort(table[0])
+                    table = [v[order] for v in table]
+                g, of, own = np.frombuffer(r["g"], np.int64), np.frombuffer(r["x"], np.int32), np.frombuffer(r["y"], np.int32)
+                k = np.minimum(np.searchsorted(table[0], g), len(table[0]) - 1)
+                met = np.flatnonzero(table[0][k] == g)
+                k, of, own = k[met], of[met], own[met]
+                # below 2**53, so sums of floats are exact
+                part = table[1][k].astype(np.float64) * own
+                full = np.bincount(of, part, len(ids)).astype(np.int64)
+                others = np.bincount(of, np.where(table[2][k] > own, part, 0), len(ids)).astype(np.int64)
+                some = np.flatnonzero(np.bincount(of, minlength=len(ids)))
+                yield pa.RecordBatch.from_arrays([pa.array(v[some]) for v in (ids, full, others, np.zeros(len(ids), np.int64))], names)
+
+
+def _count(batches: Iterator[pa.RecordBatch], of=codes) -> Iterator[pa.RecordBatch]:
     held = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def add(held, texts):
-        got, n = np.unique(codes(texts)[0], return_counts=True)
+        got, n = np.unique(of(texts)[0], return_counts=True)
         keys, back = np.unique(np.r_[held[0], got], return_inverse=True)
         return keys, np.bincount(back, np.r_[held[1], n], len(keys)).astype(np.int64)
 
     for b in batches:
-        texts, size = [], 0
-        for x in b.column(0):
-            texts.append(x.as_py())
-            size += len(texts[-1])
-            if size >= CHUNK:
-                held, texts, size = add(held, texts), [], 0
-        if texts:
+        for _, texts in _chunks(b):
             held = add(held, texts)
     yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], ["g", "c"])
 
 
-def counts(texts: DataFrame) -> DataFrame:
-    """``texts(text)`` -> ``(g, c)``, the count of each n-gram of the highest order."""
+def counts(texts: DataFrame, of=codes) -> DataFrame:
+    """``texts(text)`` -> ``(g, c)``, the count of each n-gram of characters of the highest order."""
     share_code(texts.sparkSession)
-    each = texts.select(text_of()).where(F.length("text") > 0).mapInArrow(_count, "g long, c long")
+    each = texts.select(text_of()).where(F.length("text") > 0).mapInArrow(partial(_count, of=of), "g long, c long")
     return each.groupBy("g").agg(F.sum("c").alias("c"))
 
 
@@ -159,36 +406,12 @@ def dense(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) ->
 _DENSE: dict[str, np.ndarray] = {}
 
 
-def _score(model, name: str):
+def _dense(model, name: str) -> np.ndarray:
     """``name`` tells a worker that keeps a dense table whether it is this model's."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _DENSE:
-            _DENSE.clear()
-            _DENSE[name] = dense(model.value)
-        log_p = _DENSE[name]
-        for b in batches:
-            out, texts, size = [], [], 0
-            for x in b.column(0):
-                texts.append(x.as_py())
-                size += len(texts[-1])
-                if size >= CHUNK:
-                    out.append(_nats(log_p, texts))
-                    texts, size = [], 0
-            if texts:
-                out.append(_nats(log_p, texts))
-            nats = np.concatenate(out) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(nats)], [*b.schema.names[1:], "nats"])
-
-    return run
-
-
-def _nats(log_p: np.ndarray, texts: list[str]) -> np.ndarray:
-    """Mean negative log probability of a character of each text."""
-    code, n = codes(texts)
-    total = np.concatenate([[0], np.cumsum(log_p[code], dtype=np.float64)])
-    end = np.cumsum(n)
-    return np.round((total[end - n] - total[end]) / n, 5)
+    if name not in _DENSE:
+        _DENSE.clear()
+        _DENSE[name] = dense(model.value)
+    return _DENSE[name]
 
 
 def quantiles(scored: DataFrame, q: float = QUANTILE, margin: float = MARGIN, least: int = MIN_TRUSTED) -> DataFrame:
@@ -209,22 +432,31 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Trusted are the documents labelled quality 1; all of them train and set the limits. A document
     is kept if its perplexity a character is within its language's limit; a language (or null) with
-    under 50 trusted texts has that of all. Null counts as the empty text, whose one symbol is
-    scored. Without trusted text all is kept. Of repeated labels the higher counts; repeated rows
+    under 50 trusted texts has that of all. Null counts as the empty text, whose end is scored. Without trusted text all is kept. Of repeated labels the higher counts; repeated rows
     repeat; a null doc_id is never trusted; empty tables give no rows; other columns are ignored."""
     spark = docs.sparkSession
     share_code(spark)
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id")).distinct().withColumn("trusted", F.lit(True))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text_of())
     # The labels grow with the corpus, so they are never broadcast: texts meet them by id at every size.
-    train = rows.join(good.hint("merge"), rows["doc_id"] == good["_id"], "left_semi")
+    train = stored(rows.join(good.hint("merge"), rows["doc_id"] == good["_id"], "left_semi").select("text"))
     parts = []
-    for g, h in model(counts(train)):  # at most 64**4 rows each, 12 bytes a row
+    for g, h in model(counts(train, _spelled_codes)):  # spelling: at most 64**4 rows each, 12 bytes a row
         x, y = g.toPandas(), h.toPandas()
         parts.append((x.g.to_numpy(np.int64), x.p.to_numpy(np.float64).astype(np.float32), y.h.to_numpy(np.int64), y.back.to_numpy(np.float64).astype(np.float32)))
-    shared = spark.sparkContext.broadcast(parts)
-    scored = rows.select("text", "doc_id", "lang").mapInArrow(_score(shared, uuid.uuid4().hex), "doc_id long, lang string, nats double")
-    scored = stored(scored.join(good, scored["doc_id"] == good["_id"], "left").select("doc_id", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "nats"))
+    shared, name = spark.sparkContext.broadcast(parts), uuid.uuid4().hex
+    table, log_left = weights(train, shared, name)
+    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    shards = max(16, -(-size // SHARD))
+    row = F.xxhash64("doc_id", "text").alias("_row")  # rows that repeat share it, and their sums' quotient
+    packed = table.mapInArrow(_pack_weights(shards), _PACKED).unionByName(rows.select("text", row).mapInArrow(_pack_texts(shared, name, shards, log_left), _PACKED))
+    met = packed.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_meet, "_row long, full long, others long, chars long")
+    sums = stored(met.groupBy("_row").agg(F.sum("full").alias("full"), F.sum("others").alias("others"), F.sum("chars").alias("chars")))
+    discard(spark, train)
+    scored = rows.select("doc_id", "lang", row)
+    scored = scored.join(good.hint("merge"), scored["doc_id"] == good["_id"], "left").withColumn("trusted", F.coalesce("trusted", F.lit(False))).join(sums.hint("merge"), "_row")
+    nats = -F.when(F.col("trusted"), F.col("others")).otherwise(F.col("full")) / F.col("chars") / STEPS
+    scored = stored(scored.select("doc_id", "lang", "trusted", F.round(nats, 5).alias("nats")))
     limits = stored(quantiles(scored.where("trusted")))
     own = limits.where("is_all = 0").select(F.col("lang").alias("_lang"), F.col("limit").alias("_own"))
     of_all = limits.where("is_all = 1").select(F.max("limit")).first()[0]

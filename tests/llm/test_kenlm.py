@@ -68,3 +68,66 @@ def test_edges(spark, edges, edge_rows, no_docs):
     assert len(got) == len(edge_rows) and all(r.perplexity > 0 for r in got)
     assert all(r.kept for r in k.classify(edges, labels.where("quality = 0")).collect())
     assert k.classify(no_docs, labels).count() == 0
+
+
+def in_order(seed, n=60):
+    """Words that look alike at both ends, each followed by the next one of a fixed round."""
+    words = [f"anda{a}{b}anda" for a in "bcdfg" for b in "klmnpr"]
+    return [words[(7 * seed + j) % 30] for j in range(n)]
+
+
+def test_shuffled_words_are_rejected(spark):
+    import random
+
+    docs = [(i, " ".join(in_order(i)), "en") for i in range(120)]
+    mixed = [(1000 + i, " ".join(random.Random(i).sample(in_order(i), 60)), "en") for i in range(20)]
+    df = spark.createDataFrame(docs + mixed, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(100)], "doc_id long, quality int")
+    got = {r.doc_id: r.kept for r in k.classify(df, labels).collect()}
+    assert all(got[i] for i in range(120)) and not any(got[1000 + i] for i in range(20))
+
+
+def test_word_weights_equal_the_recursion(spark):
+    """The sums of weights against modified Kneser-Ney worked out word by word."""
+    texts = ["a b c a b d", "a b c", "b c a e", "a b d d"]
+    spell = np.full(64**4, math.log(0.05), np.float32)
+    shared = spark.sparkContext.broadcast(None)
+    k._DENSE["test"] = spell
+    tabs = {3: collections.Counter()}
+    for t in texts:
+        w = ["<", "<", *t.split(), ">"]
+        tabs[3].update(zip(w, w[1:], w[2:]))
+    for n in (2, 1):
+        tabs[n] = collections.Counter(g[1:] for g in tabs[n + 1])
+    cut = {n: k.discounts([sum(v == j for v in tabs[n].values()) for j in (1, 2, 3, 4)]) for n in tabs}
+
+    def p(g):
+        low = p(g[1:]) if len(g) > 1 else (k.END if g[0] == ">" else (1 - k.END) * 0.05 ** (len(g[0]) + 1))
+        same = {x: v for x, v in tabs[len(g)].items() if x[:-1] == g[:-1]}
+        if not same:
+            return low
+        total, c = sum(same.values()), same.get(g, 0)
+        left = sum(cut[len(g)][min(v, 3) - 1] for v in same.values()) / total
+        return max(c - (cut[len(g)][min(c, 3) - 1] if c else 0), 0) / total + left * low
+
+    k_tally, k._tally = k._tally, lambda model, name: _tally_with(k_tally, spell)
+    try:
+        table, left = k.weights(spark.createDataFrame([(t,) for t in texts], "text string"), shared, "test")
+        got = {r.g: r.w for r in table.collect()}
+    finally:
+        k._tally = k_tally
+    for t in [*texts, "a b a", "zz a b c", ""]:
+        x, base, _ = k.grams([t], spell)
+        mine = base[0] + len(t.split() + [">"]) * left + sum(got.get(g, 0) for g in x["g"].tolist()) / k.STEPS
+        w = ["<", "<", *t.split(), ">"]
+        assert math.isclose(mine, sum(math.log(p(g)) for g in zip(w, w[1:], w[2:])), abs_tol=1e-3)
+
+
+def _tally_with(tally, spell):
+    def run(batches):
+        from sigloom.llm import kenlm
+
+        kenlm._DENSE["test"] = spell
+        return tally(None, "test")(batches)
+
+    return run
