@@ -31,7 +31,7 @@ _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 #: Weak kinds: an account or client name, a random string without a label, and where it would be used.
 ACCOUNT = re.compile(r"""\b(?:client|app|account|user|access|tenant)[_-]?(?:id|name|key_id)?["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""", re.ASCII | re.IGNORECASE)
-RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_-]{20,88}={0,2}(?![A-Za-z0-9+/_=-])")
+RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(r"""[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,}|\b(?:host|hostname|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._:-]{4,}|(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?::\d{2,5})?(?![\w.])""", re.ASCII | re.IGNORECASE)
 WEAK = ("account", "random", "endpoint")
 KINDS = BASE + WEAK
@@ -60,12 +60,18 @@ def looks_random(s: str) -> bool:
     return -sum(c / n * math.log2(c / n) for c in Counter(s).values()) >= 3.5
 
 
-def weak_spans(text: str) -> list[tuple[int, int, str]]:
-    out = []
+def weak_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Weak parts; the value of an assignment that ``base`` has is not taken for a second secret."""
+    out, assigned = [], sorted((a, b) for a, b, kind in base if kind == "assign")
+
+    def known(a: int, b: int) -> bool:
+        k = bisect_left(assigned, (a + 1,)) - 1
+        return k >= 0 and b <= assigned[k][1] and text[a - 1] in "=."
+
     if ":" in text or "=" in text:
         out += [(*m.span(), "account") for m in ACCOUNT.finditer(text)]
     out += [(*m.span(), "endpoint") for m in ENDPOINT.finditer(text)]
-    return out + [(*m.span(), "random") for m in RANDOM.finditer(text) if looks_random(m[0])]
+    return out + [(*m.span(), "random") for m in RANDOM.finditer(text) if looks_random(m[0]) and not known(*m.span())]
 
 
 def linked(text: str, base: list[tuple[int, int, str]], weak: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
@@ -106,7 +112,7 @@ def _joined(spans: list[tuple[int, int, str]]) -> str:
 def scan(text: str) -> tuple[int, int, int, str, str, int]:
     """Base counts, digest of the base spans, all spans, and the number of linked weak parts."""
     base = base_spans(text)
-    more = linked(text, base, weak_spans(text))
+    more = linked(text, base, weak_spans(text, base))
     count = Counter(kind for _, _, kind in base)
     own = _joined(base)
     return count["assign"], count["access"], count["hex"], hashlib.sha256(own.encode()).hexdigest(), _joined(base + more) if more else own, len(more)
