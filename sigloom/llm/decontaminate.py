@@ -4,7 +4,8 @@ Texts become templates: numbers, names and units turn into typed placeholders, m
 lowered. Windows of ``WINDOW`` template words are hashed and joined with those of the benchmark, so a
 question whose parameters were changed still meets its source. What met is held to its slots: along
 one alignment a benchmark value has to stand for one document value and the other way round; windows
-that are mostly slots do not count.
+that are mostly slots do not count as templates. What templates leave out (such windows, items of under 5
+words, names in other letters) is met by the words themselves in small letters.
 """
 
 from __future__ import annotations
@@ -78,37 +79,42 @@ def _is_slot(x: Column) -> Column:
     return x.isin(NUMBER, NAME, UNIT)
 
 
-def _templates(texts: DataFrame, *keep: str) -> DataFrame:
-    """``keep`` and the template words ``t`` of ``text``."""
+def _templates(texts: DataFrame, *keep: str, exact: bool = False) -> DataFrame:
+    """``keep`` and the template words ``t`` of ``text``; if ``exact``, its words in small letters."""
+    if exact:
+        rows = texts.select(*keep, _split(F.lower(F.col("text"))).alias("n"))
+        return rows.select(*keep, _inner(F.col("n")).alias("t"))
     rows = texts.select(*keep, named_words(F.col("text")).alias("n"))
     rows = rows.select(*keep, _inner(F.col("n")).alias("n"))
     return rows.select(*keep, template_words(F.col("n")).alias("t"))
 
 
-def _benchmark(items: DataFrame, window: int) -> DataFrame:
+def _benchmark(items: DataFrame, window: int, exact: bool) -> DataFrame:
     """``(h, item_id, at, size, item_windows, item_tmpl, item_words)``; an item of fewer words than
-    the window is one window of its own size, if it has 5 words."""
-    rows = _templates(items, "item_id", "text").withColumn("w", words_of(F.col("text")))
+    the window is one window of its own size. Templates need 5 words and half of them no slots;
+    ``item_windows`` counts the windows that are left."""
+    rows = _templates(items, "item_id", "text", exact=exact).withColumn("w", words_of(F.col("text")))
     rows = rows.withColumn("w", _inner(F.col("w")))
-    rows = rows.withColumn("size", F.least(F.lit(window), F.size("t"))).where("size >= 5")
+    rows = rows.withColumn("size", F.least(F.lit(window), F.size("t"))).where(F.col("size") >= (1 if exact else 5))
     starts = F.sequence(F.lit(1), F.size("t") - F.col("size") + 1)
-    rows = rows.select("item_id", "size", F.size(starts).alias("item_windows"), "t", "w", F.explode(starts).alias("at"))
-    rows = rows.withColumn("item_tmpl", F.slice("t", F.col("at"), F.col("size"))).withColumn("item_words", F.slice("w", F.col("at"), F.col("size")))
-    literal = F.size(F.filter("item_tmpl", lambda x: ~_is_slot(x)))
-    rows = rows.where(2 * literal >= F.col("size"))
+    windows = F.transform(starts, lambda at: F.struct(at.alias("at"), F.slice("t", at, F.col("size")).alias("item_tmpl"), F.slice("w", at, F.col("size")).alias("item_words")))
+    if not exact:
+        windows = F.filter(windows, lambda x: 2 * F.size(F.filter(x["item_tmpl"], lambda y: ~_is_slot(y))) >= F.col("size"))
+    rows = rows.select("item_id", "size", windows.alias("windows"))
+    rows = rows.select("item_id", "size", F.size("windows").alias("item_windows"), F.explode("windows").alias("x")).select("item_id", "size", "item_windows", "x.*")
     hashes = F.lit(None).cast("long")
-    for size in range(5, window + 1):
+    for size in range(1, window + 1):
         hashes = F.when(F.col("size") == size, _hash(F.col("item_tmpl"), 0, size)).otherwise(hashes)
     return rows.select(hashes.alias("h"), "item_id", "at", "size", "item_windows", "item_tmpl", "item_words")
 
 
-def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, exact: bool = False) -> DataFrame:
     """``(doc_id, text_hash, item_id, shift, at, pos, size, item_windows, slots)``: each document
-    window that equals a benchmark window as a template, word for word."""
-    bench = stored(_benchmark(items.select("item_id", text_of()), window))
+    window that equals a benchmark window word for word, as a template or, if ``exact``, in small letters."""
+    bench = stored(_benchmark(items.select("item_id", text_of()), window, exact))
     sizes = sorted(r["size"] for r in bench.select("size").distinct().collect()) or [window]  # at most `window` values
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of()).where(F.length("text") > 0)
-    rows = _templates(rows.withColumn("text_hash", F.xxhash64("text")), "doc_id", "text_hash", "text")
+    rows = _templates(rows.withColumn("text_hash", F.xxhash64("text")), "doc_id", "text_hash", "text", exact=exact)
     few = bench.count() <= MOST_BROADCAST
 
     def exploded(rows: DataFrame, size: int) -> DataFrame:
@@ -144,19 +150,24 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
     n_changed)``, the last the slots whose value differs from the benchmark's.
 
     An item is held if, along one alignment with consistent slots, a document meets half of the
-    item's windows or as many as a run of 13 words has. Null and empty texts hold nothing; rows that
+    item's windows or as many as a run of 13 words has: of those that count as templates, or of all,
+    as templates or as they stand in small letters. An item of under 5 words has to stand whole. Null and empty texts hold nothing; rows that
     repeat a doc_id and text are reported once; a null doc_id is reported as null; empty tables give
     no rows; other columns are ignored."""
-    m = stored(matches(docs, items, window))
+    by_words = matches(docs, items, window, exact=True).withColumn("exact", F.lit(True))
+    m = stored(matches(docs, items, window).withColumn("exact", F.lit(False)).unionByName(by_words))
     key = ["doc_id", "text_hash", "item_id", "shift"]
     runs = m.groupBy(*key).agg(
         F.count_distinct("at").alias("n_windows"),
+        F.count_distinct(F.when(~F.col("exact"), F.col("at"))).alias("_as_templates"),
+        F.max(F.when(~F.col("exact"), F.col("item_windows"))).alias("_templates"),
         F.max("item_windows").alias("item_windows"),
         F.min("pos").alias("first_word"),
         F.max(F.col("pos") + F.col("size") - 1).alias("last_word"),
-        F.sum(F.when(F.size("slots") > 0, 1).otherwise(0)).alias("_slotted"),
     )
-    enough = F.col("n_windows") >= F.least(F.ceil(F.col("item_windows") * SHARE), F.lit(RUN - window + 1))
+    most = F.lit(RUN - window + 1)
+    # without an exact window ``item_windows`` is that of the templates
+    enough = (F.col("n_windows") >= F.least(F.ceil(F.col("item_windows") * SHARE), most)) | (F.col("_as_templates") >= F.least(F.ceil(F.col("_templates") * SHARE), most))
     runs = runs.where(enough)
     pairs = m.where(F.size("slots") > 0).select(*key, F.explode("slots").alias("s")).select(*key, "s.*").distinct()
     changed = pairs.groupBy(*key).agg(

@@ -78,3 +78,17 @@ def test_only_dataframe_operations(spark, data):
     docs, items = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/benchmark.parquet")
     plan = d.contaminated(docs, items)._jdf.queryExecution().toString() + d.matches(docs, items)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
+
+
+def test_verbatim_copies_of_what_templates_leave_out(spark):
+    numbers = "12 plus 7 minus 3 times 40 kg and 5 cm or 9 miles over 2 hours"
+    named = "Ask Alice Brown and Bob Green or Carol White if Dave Black met Erin Gray and Frank Hill"
+    items = table(spark, [(1, numbers), (2, "who wrote hamlet"), (3, named), (4, "is it 7 or 8"), (5, "")], "item_id")
+    docs = table(spark, [(1, f"so {numbers} end"), (2, f"Say: Who wrote HAMLET? {prose(3)}"), (3, f"so {named.lower()} it goes"), (4, "Now is it 7 or 8 then"), (5, prose(5)), (6, "12 plus 7 minus 3"), (7, "who wrote it")])
+    assert found(docs, items) == {(k, k) for k in range(1, 5)}
+
+
+def test_half_of_the_windows_that_count_are_enough(spark):
+    item = "2 kg 3 kg 4 kg 5 kg 6 kg 7 kg we weigh all of these heavy boxes"
+    changed = "11 kg 12 kg 13 kg 14 kg 15 kg 16 kg we weigh all of these heavy boxes"
+    assert found(table(spark, [(1, changed), (2, prose(2))]), table(spark, [(1, item)], "item_id")) == {(1, 1)}
