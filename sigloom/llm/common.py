@@ -54,6 +54,11 @@ def discard(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def quoted(name: str):
+    """A column by its name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def text_of(name: str = "text"):
     """The text column with null read as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit("")).alias("text")

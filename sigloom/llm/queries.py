@@ -40,7 +40,7 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     v = quality.verdicts(table(spark, sf_dir, "documents"))
-    return v.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_maximal_repeats", "longest_repeat_words", F.round("covered_share", 6).alias("covered_share"))
+    return v.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_maximal_repeats", "longest_repeat_chars", F.round("covered_share", 6).alias("covered_share"))
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
