@@ -30,9 +30,12 @@ def share_code(spark: SparkSession) -> None:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; where that is unset (tests), below a local one."""
+    """A new folder below ``spark.checkpoint.dir``. Where that is unset, a local session (tests) has one
+    of its own; on a cluster there is no folder that all could see, so that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + os.path.join(tempfile.gettempdir(), "sigloom-checkpoints")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
@@ -46,6 +49,19 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Keys with over one in so many of all rows are joined by broadcast; there are at most as many of them.
+HOT_KEYS = 10_000
+
+
+def join_hot(rows: DataFrame, keyed: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` joined with ``keyed(key, n, ...)``, which says how many of the ``total`` rows have each key.
+    No key that is dealt out has over ``total / HOT_KEYS`` rows, and no more than ``HOT_KEYS`` are broadcast."""
+    hot = F.col("n") * HOT_KEYS > total
+    often, seldom = F.broadcast(keyed.where(hot)), keyed.where(~hot)
+    rest = rows.join(F.broadcast(keyed.where(hot).select(key)), key, "left_anti")
+    return rows.join(often, key).unionByName(rest.join(seldom.hint("merge"), key))
+
+
 def discard(spark: SparkSession, df: DataFrame) -> None:
     """Remove the files of a ``stored`` table that no later plan reads."""
     jvm = spark.sparkContext._jvm

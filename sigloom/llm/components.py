@@ -1,7 +1,7 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
-Each step is a grouped minimum joined back to the edges. Minima are combined before the shuffle and
-the join's sides can be split by AQE, so a node with very many neighbours does not have to fit in one
+Each step is a grouped minimum joined back to the edges. Minima are combined before the shuffle, and
+nodes with very many neighbours (at most ``HOT_KEYS``) are joined by broadcast, so none has to fit in one
 task. Every round is stored in the shared folder, which keeps the lineage short.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, stored
+from .common import discard, join_hot, stored
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -18,17 +18,17 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(pair).alias("e")).select("e.u", "e.v")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     near = _both_ways(edges)
-    low = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return near.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    low = near.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+    return join_hot(near, low, "u", 2 * total).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
-    low = down.groupBy("u").agg(F.min("v").alias("m"))
+    low = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
     moved = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))
-    return down.join(low, "u").select(F.explode(moved).alias("e")).select("e.u", "e.v").where("u <> v")
+    return join_hot(down, low, "u", total).select(F.explode(moved).alias("e")).select("e.u", "e.v").where("u <> v")
 
 
 def _print(edges: DataFrame) -> tuple:
@@ -43,7 +43,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     was = _print(now)
     while was[0]:
-        new = stored(_small_star(_large_star(now)).distinct())
+        new = stored(_small_star(_large_star(now, was[0]), was[0]).distinct())
         then = _print(new)
         discard(spark, now)
         now = new

@@ -29,8 +29,8 @@ def edge_rows():
 def edges(spark, edge_rows):
     """The edge rows with extra columns whose names operators use inside."""
     df = spark.createDataFrame(edge_rows, DOCS)
-    for name in ("fp", "size", "target", "h", "row", "t", "score", "kept", "component_id", "position", "start", "key"):
-        df = df.selectExpr("*", f"'x' AS {name}")
+    for name in ("fp", "size", "target", "h", "row", "t", "score", "kept", "component_id", "position", "start", "key", "_id", "_n", "_own", "_at", "_mark", "_row", "_i", "_t", "_h", "row.x", "a.b", "text_hash", "set", "taken"):
+        df = df.selectExpr("*", f"'x' AS `{name}`")
     return df
 
 

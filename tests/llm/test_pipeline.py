@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from test_decontaminate import found
 from test_mixing import level
-from test_simhash import slow_components, slow_print
+from test_nearcopies import slow_groups
 
 pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -28,7 +28,7 @@ def test_stages_equal_brute_force(spark, data):
     ids = [sorted(r.doc_id for r in rows) for rows in seen]
     kept = {r.doc_id for r in quality.verdicts(docs).collect() if r.kept}
     assert ids[1] == sorted(kept)
-    roots = slow_components({r.doc_id: slow_print(r.text) for r in seen[1]})
+    roots = slow_groups({r.doc_id: r.text for r in seen[1]})
     assert ids[2] == sorted(set(roots.values()))
     leaks = {i for i, _ in found(spark.createDataFrame(seen[2], docs.schema), spark.read.parquet(f"{data}/benchmark.parquet"))}
     assert leaks and ids[3] == sorted(set(ids[2]) - leaks)

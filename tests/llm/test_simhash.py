@@ -81,17 +81,28 @@ def test_edges(edges, edge_rows, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
 
 
-def test_one_of_each_group_stays(edges, no_docs):
-    kept = simhash.drop_near_duplicates(edges)
-    assert kept.columns == edges.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == [1, 3, 6, 7, 8, 9] and ids.count(None) == 1
-    twice = edges.where("doc_id = 2")
-    assert simhash.drop_near_duplicates(twice).count() == 1
-    assert simhash.drop_near_duplicates(no_docs).count() == 0
-
-
 def test_case_and_space_do_not_matter(spark):
     df = spark.createDataFrame([(1, "One Two  three\tfour"), (2, "one two three four"), (3, "ÉCOLE one"), (4, "école one")], "doc_id long, text string")
     got = {r.doc_id: r.fingerprint for r in simhash.near_duplicates(df).select("doc_id", F.col("fingerprint")).collect()}
     assert got[1] == got[2] and got[3] != got[4]
+
+
+def test_blocks_meet_whatever_three_bits_differ():
+    masks = simhash.block_keys(3)
+    assert len(masks) == 20 and all(29 <= m.bit_count() <= 33 for m in masks)
+    r = np.random.default_rng(2)
+    for _ in range(2000):
+        x = sum(1 << int(b) for b in r.integers(0, 64, 3))
+        assert any(x & m == 0 for m in masks)
+
+
+def test_tiles_of_any_side_find_all_links(spark, data, monkeypatch):
+    """One bucket of all values: its components are those of all pairs, whatever the tile's side."""
+    prints = simhash.fingerprints(spark.read.parquet(f"{data}/documents.parquet")).toPandas()
+    fp = np.unique(prints.fp.to_numpy())
+    key, order = np.zeros(len(fp), np.int64), np.argsort(np.bitwise_count(fp.view(np.uint64)), kind="stable")
+    bits = fp[order].view(np.uint64)
+    want = slow_components(dict(enumerate(bits.tolist())))
+    for tile in (1, 7, 256):
+        monkeypatch.setattr(simhash, "TILE", tile)
+        assert dict(enumerate(simhash.tile_links(key, key, bits, 3).tolist())) == want
