@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from .common import quoted, stored, text_of
 
 WINDOW = 8
 #: Windows of an item that must be met: this share of them, or as many as a run of ``RUN`` words has.
@@ -92,9 +92,15 @@ def _templates(texts: DataFrame, *keep: str, exact: bool = False) -> DataFrame:
 def _benchmark(items: DataFrame, window: int, exact: bool) -> DataFrame:
     """``(h, item_id, at, size, item_windows, item_tmpl, item_words)``; an item of fewer words than
     the window is one window of its own size. Templates need 5 words and half of them no slots;
-    ``item_windows`` counts the windows that are left."""
+    ``item_windows`` counts the windows that are left. Items of one template whose values are equal at
+    the same slots cannot be told apart by a changed copy: the smallest item_id stands for them, so a
+    window of a template that very many items share has one row."""
     rows = _templates(items, "item_id", "text", exact=exact).withColumn("w", words_of(F.col("text")))
     rows = rows.withColumn("w", _inner(F.col("w")))
+    if not exact:
+        slot = F.zip_with("t", "w", lambda k, w: F.when(_is_slot(k), F.concat(k, F.lower(w))))
+        rows = rows.withColumn("_s", slot).withColumn("_s", F.transform("_s", lambda x: F.coalesce(F.array_position(F.col("_s"), x), F.lit(0))))
+        rows = rows.groupBy("t", "_s").agg(F.min(F.struct("item_id", "w")).alias("_r")).select("_r.item_id", "_r.w", "t")
     rows = rows.withColumn("size", F.least(F.lit(window), F.size("t"))).where(F.col("size") >= (1 if exact else 5))
     starts = F.sequence(F.lit(1), F.size("t") - F.col("size") + 1)
     windows = F.transform(starts, lambda at: F.struct(at.alias("at"), F.slice("t", at, F.col("size")).alias("item_tmpl"), F.slice("w", at, F.col("size")).alias("item_words")))
@@ -117,33 +123,39 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, exact: bool
     rows = _templates(rows.withColumn("text_hash", F.xxhash64("text")), "doc_id", "text_hash", "text", exact=exact)
     few = bench.count() <= MOST_BROADCAST
 
-    def exploded(rows: DataFrame, size: int) -> DataFrame:
+    def exploded(rows: DataFrame, size: int, *more: str) -> DataFrame:
         """A row for each window of a text; its hash is computed in generated code. The outer form has
         no filter on ``t`` inferred, which would be pushed down with all that makes ``t`` inside it."""
-        at = rows.select("doc_id", "text_hash", "text", "t", F.posexplode_outer("t").alias("p", "_w"))
+        at = rows.select("doc_id", "text_hash", "t", *more, F.posexplode_outer("t").alias("p", "_w"))
         return at.where(F.col("p") <= F.size("t") - size).withColumn("h", _hash(F.col("t"), F.col("p"), size)).drop("_w")
 
-    if not few:  # find the texts first, so that no text is dealt out for each of its windows
-        found = None
-        for size in sizes:
-            hit = exploded(rows, size).select("doc_id", "text_hash", "h").join(bench.where(F.col("size") == size).select("h"), "h", "left_semi").select("doc_id", "text_hash")
-            found = hit if found is None else found.unionByName(hit)
-        keys = stored(found.distinct()).withColumnsRenamed({"doc_id": "_i", "text_hash": "_h"})
-        rows = rows.join(keys, rows["doc_id"].eqNullSafe(keys["_i"]) & (rows["text_hash"] == keys["_h"]), "left_semi")
     got = None
     for size in sizes:
         of_size = bench.where(F.col("size") == size)
-        hit = exploded(rows, size).join(F.broadcast(of_size) if few else of_size, "h")
+        if few:
+            hit = exploded(rows, size, "text").join(F.broadcast(of_size), "h")
+            hit = hit.select("doc_id", "text_hash", "text", "h", "p", F.slice("t", F.col("p") + 1, F.lit(size)).alias("tmpl"), *_ITEM)
+            hit = hit.where(F.col("tmpl").eqNullSafe(F.col("item_tmpl"))).withColumn("w", words_of(F.col("text"))).withColumn("w", _inner(F.col("w")))
+            hit = hit.withColumn("words", F.slice("w", F.col("p") + 1, F.lit(size)))
+        else:
+            # places first, as ids and hashes alone; then each text once, for the words at its own places
+            place = exploded(rows, size).select("doc_id", "text_hash", "h", "p").join(of_size.select("h").distinct().hint("merge"), "h", "left_semi")
+            place = place.groupBy(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h")).agg(F.collect_set(F.struct("p", "h")).alias("_places"))
+            held = rows.join(place.hint("merge"), rows["doc_id"].eqNullSafe(place["_i"]) & (rows["text_hash"] == place["_h"]))
+            held = held.withColumn("w", words_of(F.col("text"))).withColumn("w", _inner(F.col("w")))
+            cut = F.transform("_places", lambda x: F.struct(x["p"].alias("p"), x["h"].alias("h"), F.slice("t", x["p"] + 1, F.lit(size)).alias("tmpl"), F.slice("w", x["p"] + 1, F.lit(size)).alias("words")))
+            hit = held.select("doc_id", "text_hash", F.explode(cut).alias("x")).select("doc_id", "text_hash", "x.*").join(of_size.hint("merge"), "h")
+            hit = hit.where(F.col("tmpl").eqNullSafe(F.col("item_tmpl")))
+        hit = hit.select("doc_id", "text_hash", "p", "words", *_ITEM)
         got = hit if got is None else got.unionByName(hit)
-    got = got.where(F.slice("t", F.col("p") + 1, F.col("size")).eqNullSafe(F.col("item_tmpl")))  # likewise
-    got = got.withColumn("w", words_of(F.col("text")))
-    got = got.withColumn("w", _inner(F.col("w")))
-    doc_words = F.slice("w", F.col("p") + 1, F.col("size"))
-    triples = F.zip_with(F.arrays_zip(F.col("item_tmpl").alias("k"), F.col("item_words").alias("was")), doc_words, lambda a, b: F.struct(a["k"].alias("k"), F.lower(a["was"]).alias("was"), F.lower(b).alias("now")))
+    triples = F.zip_with(F.arrays_zip(F.col("item_tmpl").alias("k"), F.col("item_words").alias("was")), "words", lambda a, b: F.struct(a["k"].alias("k"), F.lower(a["was"]).alias("was"), F.lower(b).alias("now")))
     slots = F.when(F.exists("item_tmpl", _is_slot), F.filter(triples, lambda x: _is_slot(x["k"]))).otherwise(F.array().cast("array<struct<k:string,was:string,now:string>>"))
     return got.select("doc_id", "text_hash", "item_id", (F.col("p") + 1 - F.col("at")).alias("shift"), "at", (F.col("p") + 1).alias("pos"), "size", "item_windows", slots.alias("slots"))
 
 
+_ITEM = ("item_id", "at", "size", "item_windows", "item_tmpl", "item_words")
+
+
 def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs(doc_id, text, ...)`` and ``items(item_id, text)`` -> a row for each document and item
     that it holds: ``(doc_id, text_hash, item_id, n_windows, item_windows, first_word, last_word,
@@ -151,9 +163,15 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
 
     An item is held if, along one alignment with consistent slots, a document meets half of the
     item's windows or as many as a run of 13 words has: of those that count as templates, or of all,
-    as templates or as they stand in small letters. An item of under 5 words has to stand whole. Null and empty texts hold nothing; rows that
-    repeat a doc_id and text are reported once; a null doc_id is reported as null; empty tables give
-    no rows; other columns are ignored."""
+    as templates or as they stand in small letters. An item of under ``WINDOW`` words is one window,
+    which has to stand whole; under 5 words it is met by its words in small letters alone. Of items
+    that only differ in their values, the smallest item_id is reported for a changed copy; a verbatim
+    copy is reported for its own item.
+
+    Nulls: null texts hold nothing and a null item is none; a null doc_id is reported as null. Empty
+    and word-less texts hold nothing. Very long texts are searched whole, a row for each window that
+    is met. Ties: of alignments the one with most windows, then the first in the text. Rows that repeat
+    a doc_id and text are reported once. Empty tables give no rows. Extra columns of any name are left out."""
     by_words = matches(docs, items, window, exact=True).withColumn("exact", F.lit(True))
     m = stored(matches(docs, items, window).withColumn("exact", F.lit(False)).unionByName(by_words))
     key = ["doc_id", "text_hash", "item_id", "shift"]
@@ -182,10 +200,12 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text holds a benchmark item; all columns and repeats kept."""
-    bad = stored(contaminated(docs, items).select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h")).distinct())
-    if bad.count() <= MOST_BROADCAST:
-        bad = F.broadcast(bad)
-    text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = docs.withColumn("_own", text)
-    return rows.join(bad, rows["doc_id"].cast("long").eqNullSafe(bad["_i"]) & (rows["_own"] == bad["_h"]), "left_anti").drop("_own")
+    """``docs`` without the rows whose text holds a benchmark item; all columns, whatever their names,
+    and repeated rows are kept. Null and empty texts hold nothing and stay; a row is judged by its own
+    id and text, so ids that are null or repeat do not matter; for the rest see ``contaminated``."""
+    found = contaminated(docs, items)
+    bad = stored(found.select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h")).distinct())
+    few = bad.count() <= MOST_BROADCAST
+    rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_hash"))
+    clean = rows.join(F.broadcast(bad) if few else bad.hint("merge"), rows["doc_id"].eqNullSafe(bad["_i"]) & (rows["text_hash"] == bad["_h"]), "left_anti")
+    return clean.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

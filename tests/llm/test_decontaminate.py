@@ -35,6 +35,67 @@ def test_whole_table_equals_brute_force(spark, data):
     assert want and found(docs, items) == want
 
 
+def words_and_template(text):
+    """Words as they stand and their templates, by the rules alone: one name, number or unit a slot."""
+    text = text or ""
+    split = lambda t: [w for w in re.split(r"[^0-9A-Za-z\x00]+", re.sub(r"(?<=\d)[.,](?=\d)", "\x00", t)) if w]
+    words, out = split(text), []
+    named = split(re.sub(r"(?<=[a-z0-9,;:] )[A-Z][a-z]+(?![A-Za-z])", "\x00name\x00", text).lower())
+    number = lambda w: w[0].isdigit() or w in d.NUMERALS.split()
+    for k, w in enumerate(named):
+        unit = w in d.UNITS.split() and k and number(named[k - 1])
+        out.append("NAME" if w == "\x00name\x00" else "NUMBER" if number(w) else "UNIT" if unit else w)
+    return [w.lower() for w in words], out
+
+
+def slow(docs, items):
+    """Pairs by all alignments of all documents with all items."""
+    held = set()
+    for i, doc in docs:
+        for j, item in items:
+            (dw, dt), (iw, it) = words_and_template(doc), words_and_template(item)
+            size = min(8, len(iw))
+            starts = range(len(iw) - size + 1) if iw else ()
+            plain = [k for k in starts if len(iw) >= 5 and 2 * sum(x not in ("NAME", "NUMBER", "UNIT") for x in it[k : k + size]) >= size]
+            for shift in range(-len(iw), len(dw) + 1):
+                inside = [k for k in starts if 0 <= k + shift <= len(dw) - size]
+                tmpl = [k for k in plain if k in inside and it[k : k + size] == dt[k + shift : k + shift + size]]
+                same = [k for k in inside if iw[k : k + size] == dw[k + shift : k + shift + size]]
+                enough = lambda got, of: bool(of) and len(got) >= min(-(-len(of) // 2), 6)
+                met = enough(tmpl, plain) or (bool(same) and enough({*tmpl, *same}, [*starts]))
+                pairs = {(it[k + x], iw[k + x], dw[k + x + shift]) for k in tmpl for x in range(size) if it[k + x] in ("NAME", "NUMBER", "UNIT")}
+                one = len({p[:2] for p in pairs}) == len(pairs) == len({p[::2] for p in pairs})
+                if met and one:
+                    held.add((i, j))
+    return held
+
+
+def test_templates_and_slots_equal_brute_force(spark):
+    import random
+
+    r, people = random.Random(8), "Alice Bruno Clara Dmitri Elena Farid".split()
+    shapes = [
+        "a farmer called {a} sells {n} kg of apples and {m} kg of pears to {b} who pays {n} dollars for them all",
+        "how many days does {a} need for {n} pages if the friend of {b} reads {m} pages in {n} hours without rest",
+        "the pump of {b} fills {n} l in {m} minutes and then {a} opens the second valve for {n} minutes more",
+        "add {n} to {m}",
+    ]
+    fill = lambda s: s.format(a=(x := r.sample(people, 2))[0], b=x[1], n=r.randint(2, 9), m=r.randint(10, 99))
+    items = [(k, fill(shapes[k])) for k in range(4)]
+    docs = []
+    for k in range(120):
+        text = fill(r.choice(shapes)) if r.random() < 0.7 else r.choice(items)[1]
+        words = text.split()
+        if r.random() < 0.4:  # one value differs from what it was elsewhere
+            at = r.choice([i for i, w in enumerate(words) if w[0].isdigit() or w in people])
+            words[at] = str(r.randint(100, 999)) if words[at][0].isdigit() else r.choice(people)
+        cut = words[: r.randint(8, len(words))] if r.random() < 0.3 and len(words) > 8 else words
+        text = " ".join(cut)
+        docs.append((k, f"so {text.lower() if r.random() < 0.2 else text} and {prose(k, 5)}"))
+    want = slow(docs, items)
+    assert 20 < len(want) < 120 and found(table(spark, docs), table(spark, items, "item_id")) == want
+
+
 def test_changed_parameters_are_caught_and_inconsistent_ones_are_not(spark):
     items = table(spark, [(1, QUESTION)], "item_id")
     docs = table(spark, [
@@ -45,8 +106,14 @@ def test_changed_parameters_are_caught_and_inconsistent_ones_are_not(spark):
         (5, "It travels 1 km in 2 hours from Here to There."),
     ])
     got = {r.doc_id: r for r in d.contaminated(docs, items).collect()}
-    assert set(got) == {1, 2} or set(got) == {1}  # capitals alone are no names: see below
-    assert got[1].n_changed >= 4
+    assert set(got) == {1, 2} and got[1].n_changed >= 4 and got[2].n_changed == 0
+
+
+def test_items_that_differ_in_values_alone_are_met_once(spark):
+    same = "what is {} plus {} if we count all of the small green apples"
+    items = table(spark, [(k, same.format(k + 2, k + 40)) for k in range(30)] + [(99, same.format(5, 5))], "item_id")
+    docs = table(spark, [(1, "so " + same.format(700, 800)), (2, "so " + same.format(7, 7)), (3, "so " + same.format(12, 50))])
+    assert found(docs, items) == {(1, 0), (2, 99), (3, 0), (3, 10)}
 
 
 def test_small_letters_and_capitals_of_a_plain_item(spark):
