@@ -53,10 +53,10 @@ def stored(df: DataFrame) -> DataFrame:
 HOT_KEYS = 10_000
 
 
-def join_hot(rows: DataFrame, keyed: DataFrame, key: str, total: int) -> DataFrame:
+def join_hot(rows: DataFrame, keyed: DataFrame, key: str, total: int, keys: int = HOT_KEYS) -> DataFrame:
     """``rows`` joined with ``keyed(key, n, ...)``, which says how many of the ``total`` rows have each key.
-    No key that is dealt out has over ``total / HOT_KEYS`` rows, and no more than ``HOT_KEYS`` are broadcast."""
-    hot = F.col("n") * HOT_KEYS > total
+    No key that is dealt out has over ``total / keys`` rows, and no more than ``keys`` are broadcast."""
+    hot = F.col("n") * keys > total
     often, seldom = F.broadcast(keyed.where(hot)), keyed.where(~hot)
     rest = rows.join(F.broadcast(keyed.where(hot).select(key)), key, "left_anti")
     return rows.join(often, key).unionByName(rest.join(seldom.hint("merge"), key))

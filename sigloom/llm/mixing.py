@@ -4,7 +4,8 @@ Targets come from water-filling over the (few) sources. Each source has a weight
 training time from 0 to 1: its share times ``1 + slope * (2 t - 1)``. Its integral is the demand for
 the source's words up to ``t``; a document standing at ``c`` cumulative words, in a fixed random order
 of its source, is due when the demand reaches ``c``, so inverting the integral gives its position.
-Everything is DataFrame operations; prefix sums run over hash buckets, so no source is one task.
+Everything is DataFrame operations; prefix sums run over hash buckets, whose number follows from that of
+the rows, and over groups of buckets, so no source is one task.
 """
 
 from __future__ import annotations
@@ -12,14 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, stored
+from .common import WORD, quoted, stored
 
 WEIGHTS = (5, 2, 1)
 #: Slope of each weight's schedule: heavy sources fade, light ones rise.
 SLOPES = (-0.5, 0.0, 0.5)
 MAX_REPEATS = 3
-#: Hex digits of the order hash that name a bucket: 16**3 buckets for each source.
-BUCKET_DIGITS = 3
+#: Rows of a bucket in expectation, at most, if all rows were of one source; hex digits of the order hash name it.
+BUCKET_ROWS = 10_000
 
 
 def words_in(text: Column) -> Column:
@@ -55,28 +56,44 @@ def _key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source), F.lit("-"))
 
 
-def _ordered(docs: DataFrame) -> DataFrame:
-    mark = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    return docs.withColumns({"_key": _key(F.col("source")), "_mark": mark}).withColumn("_bucket", F.substring("_mark", 1, BUCKET_DIGITS))
-
-
-def _placed(rows: DataFrame, sized: DataFrame, plan: DataFrame) -> DataFrame:
-    """``rows`` (with _key, size, _mark, _bucket) with ``_from``, the words of its source before each row
-    in hash order, and the source's plan. ``sized`` has the same sizes without the texts. The window
-    and the join both need a source's bucket together, so the rows are dealt out once for both."""
-    sums = sized.groupBy("_key", "_bucket").agg(F.sum("size").alias("_sum"))
-    along = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("_key", "_bucket", F.coalesce(F.sum("_sum").over(along), F.lit(0)).alias("_base"))
-    base = sums.join(plan.withColumn("_key", _key(F.col("source"))).drop("source"), "_key")
-    inner = Window.partitionBy("_key", "_bucket").orderBy("_mark", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_within", F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    rows = rows.join(base.hint("merge"), ["_key", "_bucket"])
-    return rows.withColumn("_from", F.col("_base") + F.col("_within")).drop("_base", "_within")
+def _ordered(docs: DataFrame, *more: Column) -> DataFrame:
+    """``more`` and what decides a row's place: source, size, ``mark`` (its order hash) and ``tie``. A row
+    without an id takes the hash of its text for one, so such rows are spread like any others."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    own = F.md5(text.cast("binary"))
+    name = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.concat(F.lit("~"), own))
+    source = F.col("source").cast("string")
+    return docs.select(*more, F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"), _key(source).alias("key"), words_in(text).alias("size"), F.md5(name.cast("binary")).alias("mark"), own.alias("tie"))
+
+
+def _digits(rows: int) -> int:
+    """Hex digits that name so many buckets that none has over ``BUCKET_ROWS`` rows in expectation."""
+    n = 1
+    while 16**n * BUCKET_ROWS < rows:
+        n += 1
+    return n
+
+
+def _placed(rows: DataFrame, sized: DataFrame, plan: DataFrame, *ties: str) -> DataFrame:
+    """``rows`` with ``from``, the words of its source before each row in hash order, and the source's
+    plan. ``sized`` has the same sizes without the texts. The window and the join both need a source's
+    bucket together, so the rows are dealt out once for both."""
+    digits = _digits(sized.count())
+    bucket, upper = F.substring("mark", 1, digits), F.substring("bucket", 1, digits // 2)
+    sums = stored(sized.groupBy("key", bucket.alias("bucket")).agg(F.sum("size").alias("sum")).withColumn("upper", upper))
+    before = lambda by, at: F.coalesce(F.sum("sum").over(Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    top = sums.groupBy("key", "upper").agg(F.sum("sum").alias("sum")).select("key", "upper", before(["key"], "upper").alias("base"))
+    sums = sums.select("key", "upper", "bucket", before(["key", "upper"], "bucket").alias("inner")).join(top, ["key", "upper"])
+    base = sums.select("key", "bucket", (F.col("base") + F.col("inner")).alias("base")).join(plan.withColumn("key", _key(F.col("source"))).drop("source"), "key")
+    along = Window.partitionBy("key", "bucket").orderBy("mark", "tie", *ties).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("bucket", bucket).withColumn("within", F.coalesce(F.sum("size").over(along), F.lit(0)))
+    rows = rows.join(base.hint("merge"), ["key", "bucket"])
+    return rows.withColumn("from", F.col("base") + F.col("within"))
 
 
 def _taken(copy: Column) -> Column:
     """Words that a copy of a document contributes: those below the source's target."""
-    left = F.round("target").cast("long") - copy * F.col("source_size") - F.col("_from")
+    left = F.round("target").cast("long") - copy * F.col("source_size") - F.col("from")
     return F.greatest(F.least(left, F.col("size")), F.lit(0)).cast("long")
 
 
@@ -98,37 +115,43 @@ def plan(docs: DataFrame) -> DataFrame:
 
     Every copy of a source's documents, in the order of their MD5, takes up the next words of the
     source's target; the copy at the target's end gives only the words that fit, so a source's taken
-    words are its rounded target and no document exceeds 3 times its size. Null text has size 0, a
-    null source is one more source, last in order; rows that repeat are taken each on their own; a
-    document that nothing is taken of has a null position; an empty table gives no rows."""
-    sized = stored(_ordered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_in(F.col("text")).alias("size"))))
+    words are its rounded target and no document exceeds 3 times its size.
+
+    Nulls: a null text has size 0; a null source is one more source, last in order; rows without an id
+    are ordered by the hash of their text. Empty texts have size 0; nothing is taken of these, and
+    their position is null. Very long texts are cut like others where a target ends. Ties: rows of
+    one id stand in the order of their texts' hashes, and those of one text take the same words. Repeated
+    rows are taken each on their own. An empty table gives no rows. Extra columns of any name are left out."""
+    sized = stored(_ordered(docs))
     rows = _placed(sized, sized, _sources(sized))
     taken = sum((_taken(F.lit(k)) for k in range(1, MAX_REPEATS)), _taken(F.lit(0)))
     rows = rows.withColumn("taken", taken)
-    at = F.when(F.col("taken") > 0, F.round(position(F.col("_from").cast("double")), 9))
+    at = F.when(F.col("taken") > 0, F.round(position(F.col("from").cast("double")), 9))
     return rows.select("doc_id", "size", "source_size", "target", "taken", at.alias("position")).orderBy("position", "doc_id")
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """The mix itself: ``docs`` with a row for each copy taken, in training order, its own columns
-    only. The copy at a source's target is cut after the words that fit; others are whole."""
-    names = docs.columns
-    own = docs.withColumn("_row", F.struct(*names))
-    rows = _ordered(own.select("_row", F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_in(F.col("text")).alias("size")))
-    sized = stored(rows.drop("_row"))
-    whole = _placed(rows, sized, _sources(sized))
+    only, whatever their names. The copy at a source's target is cut after the words that fit, which
+    are then joined by spaces; others are whole. Of rows that repeat id and text, the hash of the other
+    columns decides which is first. Nulls, empty and long texts and empty tables: as ``plan`` says."""
+    others = F.xxhash64(F.to_json(F.struct(F.lit(0).alias("_"), *(quoted(n) for n in docs.columns if n != "text"))))
+    rows = _ordered(docs, F.struct(*map(quoted, docs.columns)).alias("row"), others.alias("other"))
+    sized = stored(rows.drop("row", "other"))
+    whole = _placed(rows, sized, _sources(sized), "other")
     copies = F.array(*(F.struct(F.lit(k).alias("copy"), _taken(F.lit(k)).alias("words")) for k in range(MAX_REPEATS)))
-    each = whole.select("*", F.explode(copies).alias("_c")).where("_c.words > 0")
-    at = position(F.col("_c.copy") * F.col("source_size").cast("double") + F.col("_from"))
-    first = F.array_join(F.slice(F.regexp_extract_all(F.col("_row.text"), F.lit(WORD), F.lit(0)), F.lit(1), F.col("_c.words").cast("int")), " ")
-    cut = F.when(F.col("_c.words") < F.col("size"), first).otherwise(F.col("_row.text"))
-    out = each.select(*(cut.alias(n) if n == "text" else F.col("_row")[n].alias(n) for n in names), at.alias("_at"), F.col("_mark"))
-    return out.sort("_at", "_mark").select(*names)
+    each = whole.select("*", F.explode(copies).alias("c")).where("c.words > 0")
+    at = position(F.col("c.copy") * F.col("source_size").cast("double") + F.col("from"))
+    text = F.col("row").getField("text")
+    first = F.array_join(F.slice(F.regexp_extract_all(text.cast("string"), F.lit(WORD), F.lit(0)), F.lit(1), F.col("c.words").cast("int")), " ")
+    cut = F.when(F.col("c.words") < F.col("size"), first).otherwise(text)
+    out = each.select(F.col("row"), cut.alias("cut"), at.alias("at"), "mark", "tie", "other").sort("at", "mark", "tie", "other")
+    return out.select(*(F.col("cut").alias(n) if n == "text" else F.col("row").getField(n).alias(n) for n in docs.columns))
 
 
 ORACLE = r"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-  md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS mark FROM documents),
+  md5(coalesce(CAST(doc_id AS VARCHAR), '~' || md5(coalesce(text, '')))) AS mark, md5(coalesce(text, '')) AS tie FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rk FROM s),
 w AS (SELECT *, CASE rk % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight,
@@ -137,7 +160,7 @@ l AS (SELECT *, (CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER B
   / CAST(sum(weight) OVER (ORDER BY cap / weight, rk ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level FROM w),
 t AS (SELECT source, source_size, slope, least(CAST(cap AS DOUBLE), max(level) OVER () * weight) AS target FROM l),
 p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.slope,
-  CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.mark, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.mark, d.tie ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 k AS (SELECT *, CAST(greatest(least(CAST(round(target) AS BIGINT) - start, size), 0) + greatest(least(CAST(round(target) AS BIGINT) - source_size - start, size), 0)
   + greatest(least(CAST(round(target) AS BIGINT) - 2 * source_size - start, size), 0) AS BIGINT) AS taken FROM p)

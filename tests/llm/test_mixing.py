@@ -62,3 +62,21 @@ def test_edges(edges, edge_rows, no_docs):
     assert len(got) == len(edge_rows)
     assert {r.size for r in got if r.doc_id in (3, 4, 5)} == {0}
     assert m.plan(no_docs).count() == 0 and m.mix(no_docs).count() == 0
+
+
+def test_more_buckets_give_the_same_plan(spark, data, monkeypatch):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    want = sorted(m.plan(docs).collect())
+    for rows in (3, 0.05):
+        monkeypatch.setattr(m, "BUCKET_ROWS", rows)
+        assert m._digits(docs.count()) > 1 and sorted(m.plan(docs).collect()) == want
+
+
+def test_rows_without_ids_are_spread_and_ties_have_an_order(spark):
+    rows = [(None, f"w{k} x y", None, k) for k in range(300)] + [(7, f"one two {k} four five", "s", k) for k in range(40)] + [(8, "same text here", "s", k) for k in range(40)]
+    schema = "doc_id long, text string, source string, extra long"
+    one = m.mix(spark.createDataFrame(rows, schema)).collect()
+    other = m.mix(spark.createDataFrame(rows[::-1], schema).repartition(5)).collect()
+    assert one == other
+    marks = m._ordered(spark.createDataFrame(rows[:300], schema)).select("mark").distinct().count()
+    assert marks == 300
