@@ -15,6 +15,8 @@ a task that runs again after a lost executor replaces the file with the same byt
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import uuid
 import zlib
@@ -36,6 +38,9 @@ FOOTER = 40
 END_ID = 1
 #: Words whose ids a worker remembers; beyond that it forgets them all and starts anew.
 MEMORY = 400_000
+#: Bytes of text of a shard, in expectation, and of the texts encoded at once.
+SHARD_BYTES = 64 << 20
+CHUNK = 1 << 20
 #: Marks that never join a letter or digit before them, so the ids of a word and its trailing marks add up.
 _MARKS = ".,!?;:%*$&#"
 
@@ -142,42 +147,53 @@ class Shard:
         return self.tokens(int(self.first[k]), int(self.first[k + 1]))
 
 
+#: Fixed value: a pre-tokenizer's pattern under which a text's ids are those of its words, as it matches
+#: neither white space nor a mark together with the letter or digit before.
+_BY_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def separable(tok) -> bool:
+    """Whether ids of words add up to those of texts: the pattern above, what it leaves being dropped, behind
+    normalizers that look at single characters, or at white space alone."""
+    own = json.loads(tok.to_str())
+    if own.get("truncation") or own.get("padding") or own.get("post_processor"):
+        return False
+    parts = lambda x, name: [] if x is None else x[name] if x["type"] == "Sequence" else [x]
+    first = (parts(own["pre_tokenizer"], "pretokenizers") or [{}])[0]
+    kept = first.get("type") == "Split" and first["pattern"] == {"Regex": _BY_WORDS} and (first["behavior"], first["invert"]) == ("Removed", True)
+    space = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+    return kept and all(x in ({"type": "NFC"}, {"type": "Lowercase"}, space) for x in parts(own["normalizer"], "normalizers"))
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library. Its pre-tokenizer drops white space and never joins
-    what it separates, so the ids of a text are those of its words; words met before are remembered."""
+    """Ids of texts by the tokenizers library. If ids of words add up, each word is encoded once and
+    remembered; otherwise whole texts are encoded."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has its own core
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.by_words = separable(self.tok)
         self.memory: dict[str, bytes] = {}
 
-    def _new(self, word: str) -> bytes:
-        core = word.rstrip(_MARKS)
-        if core != word and core[-1:].isalnum() and "<|" not in word:
-            return self.ids(core) + self.ids(word[len(core) :])
-        if word.isascii() and word.isalpha():
-            pieces = [word.lower()]
-        elif "<|" in word:
-            return np.array(self.tok.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        else:
-            pieces = [p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(self.tok.normalizer.normalize_str(word))]
-        return np.array([t.id for p in pieces for t in self.tok.model.tokenize(p)], "<u4").tobytes()
-
-    def ids(self, word: str) -> bytes:
-        got = self.memory.get(word)
-        if got is None:
-            if len(self.memory) >= MEMORY:
-                self.memory.clear()
-            got = self.memory[word] = self._new(word)
-        return got
-
-    def encode(self, text: str) -> np.ndarray:
-        known, out = self.memory.get, []
-        for w in _words(text):
-            got = known(w)
-            out.append(self.ids(w) if got is None else got)
-        return np.frombuffer(b"".join(out), "<u4")
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes() for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.by_words:
+            return [np.frombuffer(x, "<u4") for x in self._library(texts)]
+        memory = self.memory
+        if len(memory) > MEMORY:
+            memory.clear()
+        cut = [_words(t) for t in texts]
+        new = set().union(*cut).difference(memory)
+        # a word with marks behind it is two words here; special tokens stay whole
+        core = {w: c for w in new if "<|" not in w and (c := w.rstrip(_MARKS)) != w and c[-1:].isalnum()}
+        parts = list(({*new} - core.keys()).union(core.values(), (w[len(c) :] for w, c in core.items())).difference(memory))
+        memory.update(zip(parts, self._library(parts), strict=True))
+        memory.update((w, memory[c] + memory[w[len(c) :]]) for w, c in core.items())
+        return [np.frombuffer(b"".join(map(memory.__getitem__, words)), "<u4") for words in cut]
 
 
 #: White space beside that of ``WORD`` that ``str.split`` would cut at.
@@ -200,6 +216,21 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str]]]:
+    """Ids and texts of parts of the batches of about ``CHUNK`` characters."""
+    for b in batches:
+        ids, texts, size = [], [], 0
+        for i, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            ids.append(i)
+            texts.append(x.as_py())
+            size += len(texts[-1])
+            if size >= CHUNK:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+        if ids:
+            yield ids, texts
+
+
 def _writer(folder: str, path: str, width: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = filesystem(folder)
@@ -209,9 +240,9 @@ def _writer(folder: str, path: str, width: int, end_id: int):
         enc, end = encoder(path), np.array([end_id], "<u4")
         with fs.open_output_stream(own) as stream:
             out = ShardWriter(stream, width)
-            for b in batches:
-                for i, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                    out.add(i, np.concatenate([enc.encode(text.as_py()), end]))
+            for ids, texts in _chunks(batches):
+                for i, tokens in zip(ids, enc.encode(texts), strict=True):
+                    out.add(i, np.concatenate([tokens, end]))
             n_docs, n_ids = out.close()
         if fs.get_file_info(final).type == pafs.FileType.File:  # of an attempt before: the same bytes
             fs.delete_file(own)
@@ -222,14 +253,16 @@ def _writer(folder: str, path: str, width: int, end_id: int):
     return run
 
 
-def write_shards(docs: DataFrame, folder: str, path: str, vocabulary: int, end_id: int = END_ID, shards: int | None = None) -> DataFrame:
+def write_shards(docs: DataFrame, folder: str, path: str, vocabulary: int, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode ``docs(doc_id, text, ...)`` and write shards below ``folder``; returns the manifest
-    ``(shard, n_docs, n_ids)``, in which shards of lower number hold lower doc_ids."""
+    ``(shard, n_docs, n_ids)``, in which shards of lower number hold lower doc_ids. Their number follows
+    from the bytes of all texts; nulls and other cases are those of ``pack_documents``."""
     spark = docs.sparkSession
     share_code(spark)
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of())
-    rows = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    n = -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 1) // shard_bytes)
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
+    rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
     return stored(rows.mapInArrow(_writer(folder, path, bits_for(vocabulary), end_id), "shard long, n_docs long, n_ids long"))
 
 
@@ -257,8 +290,7 @@ def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
     share_code(manifest.sparkSession)
     along = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.where("n_docs > 0").select("shard", F.coalesce(F.sum("n_ids").over(along), F.lit(0)).cast("long").alias("before"))
-    n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return placed.repartition(n, "shard").mapInArrow(_reader(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.repartition(max(manifest.count(), 1), "shard").mapInArrow(_reader(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def default_vocabulary() -> tuple[str, int]:
@@ -273,9 +305,10 @@ def default_vocabulary() -> tuple[str, int]:
 def pack_documents(docs: DataFrame, path: str | None = None, vocabulary: int | None = None) -> DataFrame:
     """Encode, write and read back: a row ``(doc_id, start, n_tokens, ids_crc32)`` for each input row.
 
-    Null text counts as empty and gives the end id alone; null doc_ids come first; rows that repeat a
-    doc_id stand in the order of their text's hash; an empty table gives no rows; other columns are
-    ignored. The files lie in the shared folder."""
+    Nulls: a null text is the empty one, which is the end id alone; null doc_ids come first. Very long
+    texts are encoded whole. Ties: rows of one doc_id stand in the order of their text's hash, and those
+    of one text as well are the same in the files. Repeated rows are documents of their own. An empty
+    table gives no rows. Extra columns of any name are left out. The files lie in the shared folder."""
     if path is None or vocabulary is None:
         path, vocabulary = default_vocabulary()
     folder = work_folder(docs.sparkSession)

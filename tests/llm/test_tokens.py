@@ -1,4 +1,5 @@
 import io
+import json
 import zlib
 
 import numpy as np
@@ -49,16 +50,60 @@ def test_shards_give_any_document(monkeypatch):
 ODD = ["", "  ", "<|endoftext|>", "a<|endoftext|>b", "x <|EndOfText|> y", "H̱ é É.", "it's IT'S we'll, 'sfoo can't!", 'x"### "###', "a b c\x1cd\x85e", "foo\x1c.bar", "ΑΣ ΑΣ. Σ", "İstanbul DIŞ ß ẞ", "１２ 12 3.4 ½", "日本語テキスト。", "👩‍👩‍👧 ok", "!!!???...", "a" * 3000, "​zero", "don't, 's 't", "&amp; <b> #$%", "|<|startoftext|>|", "≠."]
 
 
+def altered(folder, change):
+    """A vocabulary file whose tokenizer differs from the default one."""
+    with open(t.default_vocabulary()[0]) as f:
+        own = json.load(f)
+    change(own)
+    (folder / "own.json").write_text(json.dumps(own))
+    return str(folder / "own.json")
+
+
+def cased(own):
+    own["normalizer"]["normalizers"].pop()
+
+
+def joins(own):
+    own["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"\S+\s+\S+|\S+"
+
+
 def test_words_equal_whole_texts(encoder):
-    for x in ODD:
-        assert encoder.encode(x).tolist() == encoder.tok.encode(x, add_special_tokens=False).ids, repr(x)
+    want = [encoder.tok.encode(x, add_special_tokens=False).ids for x in ODD]
+    assert encoder.by_words and [x.tolist() for x in encoder.encode(ODD)] == [x.tolist() for x in encoder.encode(ODD)] == want
+
+
+@pytest.mark.parametrize("change,by_words", [(cased, True), (joins, False)])
+def test_other_vocabularies_give_the_ids_of_the_library(tmp_path, change, by_words):
+    e = t.Encoder(altered(tmp_path, change))
+    texts = ODD + ["One two Three, FOUR. five"]
+    assert e.by_words is by_words and [x.tolist() for x in e.encode(texts)] == [e.tok.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_a_byte_level_vocabulary_is_encoded_by_whole_texts(spark, edges, edge_rows):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert not t.Encoder(path).by_words
+    rows = sorted(((r[0], r[1]) for r in edge_rows), key=lambda r: (r[0] is not None, r[0] or 0))
+    got = sorted(map(tuple, t.pack_documents(edges, path, 50_257).collect()), key=lambda r: r[1])
+    assert got == slow(rows, path)
 
 
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(t, "MEMORY", 3)
     e = t.Encoder(t.default_vocabulary()[0])
     x = "one two three, four. five one two"
-    assert e.encode(x).tolist() == e.tok.encode(x, add_special_tokens=False).ids
+    assert [e.encode([x])[0].tolist() for _ in range(3)] == [e.tok.encode(x, add_special_tokens=False).ids] * 3
+
+
+def test_shards_follow_from_the_bytes(spark, data, tmp_path):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    path, vocabulary = t.default_vocabulary()
+    folder = f"file://{tmp_path}/shards"
+    manifest = t.write_shards(docs, folder, path, vocabulary, shard_bytes=40_000)
+    assert manifest.count() > 5 and manifest.agg({"n_docs": "sum"}).first()[0] == docs.count()
+    got = sorted(tuple(r) for r in t.read_shards(manifest, folder).collect())
+    assert got == slow(sorted((r.doc_id, r.text) for r in docs.collect()), path)
 
 
 def slow(rows, path):
