@@ -88,7 +88,9 @@ class Model:
 
 
 def train(messages: DataFrame) -> Model:
-    """Tables from ``messages(conv_id, turn, role, text)``; other roles and null turns are left out."""
+    """Tables from ``messages(conv_id, turn, role, text)``: counts over all rows, with other and null roles,
+    null turns and null conversations left out. Repeated rows count again; a conversation opens with the
+    role of its smallest turn (of the smallest name, if rows share it); without rows all is even."""
     share_code(messages.sparkSession)
     known = messages.where(F.col("role").isin(*ROLES) & F.col("turn").isNotNull() & F.col("conv_id").isNotNull())
 
@@ -104,7 +106,7 @@ def train(messages: DataFrame) -> Model:
     turns = known.select("conv_id", F.col("turn").cast("long").alias("turn"), "role")
     then = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next"))
     pairs = turns.join(then, ["conv_id", "turn"]).groupBy("role", "next").count()
-    first = turns.groupBy("conv_id").agg(F.min_by("role", "turn").alias("role")).groupBy("role").count()
+    first = turns.groupBy("conv_id").agg(F.min(F.struct("turn", "role")).alias("x")).select("x.role").groupBy("role").count()
     total = turns.groupBy("role").count()
     return Model({r["role"]: r["count"] for r in first.collect()}, {(r["role"], r["next"]): r["count"] for r in pairs.collect()}, {(r["f"], r["role"]): r["n"] for r in emitted.collect()}, {r["role"]: r["count"] for r in total.collect()})
 
@@ -136,27 +138,32 @@ def path(model: Model, e: np.ndarray, before: int | None, last: int | None) -> l
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Whole groups of rows with equal first ``keys`` columns, from batches that have them together."""
-    held: pa.Table | None = None
+    """Whole groups of rows with equal first ``keys`` columns (no nulls), from batches that have them
+    together. What is held are slices, put together once, when their group ends."""
+    held: list[pa.RecordBatch] = []
+    last = None
     for b in batches:
-        t = pa.Table.from_batches([b])
-        t = t if held is None else pa.concat_tables([held, t]).combine_chunks()
-        if not t.num_rows:
+        if not b.num_rows:
             continue
-        rows = list(zip(*(t.column(k).to_pylist() for k in range(keys)), strict=True))
-        start = 0
-        for i in range(1, len(rows)):
-            if rows[i] != rows[i - 1]:
-                yield t.slice(start, i - start)
-                start = i
-        held = t.slice(start)
-    if held is not None and held.num_rows:
-        yield held
+        value = np.stack([b.column(k).to_numpy() for k in range(keys)])
+        edge = np.flatnonzero((value[:, 1:] != value[:, :-1]).any(0)) + 1
+        for start, stop in zip([0, *edge.tolist()], [*edge.tolist(), b.num_rows], strict=True):
+            key = tuple(value[:, start])
+            if key != last and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(b.slice(start, stop - start))
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _cut(messages: DataFrame) -> DataFrame:
-    turn = F.col("turn").cast("long")
-    return messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.coalesce(F.floor(turn / RANGE), F.lit(-1)).cast("long").alias("range"), turn.alias("turn"), text_of())
+    """Messages with their range. Null turns stand first, in the order of their texts' hashes, and the
+    upper bits of these are their ranges."""
+    turn, h = F.col("turn").cast("long"), F.xxhash64(text_of())
+    rank = F.coalesce(F.floor(turn / RANGE), F.shiftright(h, 52) - 2048 - (1 << 54)).cast("long")
+    return messages.select(F.col("conv_id").cast("long").alias("conv_id"), rank.alias("range"), turn.alias("turn"), text_of(), h.alias("h"))
 
 
 def _evidence(model: Model, texts: list[str]) -> tuple[np.ndarray, list[int], list[tuple[str | None, str]]]:
@@ -165,16 +172,49 @@ def _evidence(model: Model, texts: list[str]) -> tuple[np.ndarray, list[int], li
     return np.array([model.scores(*p) for p in flat]), [len(c) for c in cut], flat
 
 
+def _turns(model: Model, texts: list[str], before: int | None, last: int | None) -> list[tuple[int, str, str]]:
+    """Of each text: its parts, their roles, and the parts as canonical turns."""
+    e, n, flat = _evidence(model, texts)
+    names = [ROLES[r] for r in path(model, e, before, last)]
+    out, at = [], 0
+    for k in n:
+        turns = "".join(f"<|{r}|>\n{t.strip()}\n<|end|>\n" for r, (_, t) in zip(names[at : at + k], flat[at : at + k], strict=True))
+        out.append((k, ",".join(names[at : at + k]), turns))
+        at += k
+    return out
+
+
+_PARSED = "conv_id long, turn long, n_parts long, roles string, rendered string"
+
+
+def _rows(conv: pa.Array, turn: pa.Array, found: list[tuple[int, str, str]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([conv, turn, *(pa.array([x[k] for x in found], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string())))], [x.split()[0] for x in _PARSED.split(", ")])
+
+
+def is_held_out(conv_id):
+    """A quarter of the conversations, for a figure over what no table was counted from."""
+    return F.coalesce(F.pmod(F.xxhash64(conv_id), F.lit(4)) == 0, F.lit(False))
+
+
 def parse(messages: DataFrame, model: Model) -> DataFrame:
     """``messages(conv_id, turn, text, ...)`` -> ``(conv_id, turn, n_parts, roles, rendered)``, a row
     for each input row: the roles of its parts, comma-joined, and the parts as canonical turns.
 
-    Rows of a conversation follow one another by turn, then by their text's hash; a null turn comes
-    first, a null conv_id is one more conversation. Null text is the empty text, a turn without words.
-    Repeated rows are turns of their own; an empty table gives no rows; other columns are ignored."""
+    Nulls: a row with a null conv_id belongs to no conversation and is parsed alone; a null turn comes
+    first in its conversation; a null text is the empty one, a turn without words. Empty texts are one
+    part. Very long texts are cut and read whole. Ties: rows of one turn follow one another by their
+    texts' hashes. Repeated rows are turns of their own. An empty table gives no rows. Extra columns
+    of any name are left out. Rows that share conversation and turn are one range, so one task."""
     spark = messages.sparkSession
     share_code(spark)
-    rows = _cut(messages).withColumn("_h", F.xxhash64("text"))
+    rows = _cut(messages)
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield _rows(b.column(0), b.column(1), [_turns(model, [x.as_py()], None, None)[0] for x in b.column(2)])
+
+    lone = rows.where("conv_id is null").select("conv_id", "turn", "text").mapInArrow(alone, _PARSED)
+    rows = rows.where("conv_id is not null")
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _groups(batches, 2):
@@ -182,7 +222,7 @@ def parse(messages: DataFrame, model: Model) -> DataFrame:
             m = [through(model, e, False), through(model, e, True)]
             yield pa.RecordBatch.from_pydict({"conv_id": pa.array([g.column(0)[0].as_py()], pa.int64()), "range": pa.array([g.column(1)[0].as_py()], pa.int64()), "inner": pa.array([m[0].ravel().tolist()], pa.list_(pa.float64())), "head": pa.array([m[1][0].tolist()], pa.list_(pa.float64()))})
 
-    dealt = rows.repartition("conv_id", "range").sortWithinPartitions("conv_id", "range", "turn", "_h").select("conv_id", "range", "turn", "text")
+    dealt = rows.repartition("conv_id", "range").sortWithinPartitions("conv_id", "range", "turn", "h").select("conv_id", "range", "turn", "text")
     ranges = stored(dealt.mapInArrow(reduce, "conv_id long, range long, inner array<double>, head array<double>"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,16 +243,9 @@ def parse(messages: DataFrame, model: Model) -> DataFrame:
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _groups(batches, 2):
-            e, n, flat = _evidence(model, g.column("text").to_pylist())
-            found = path(model, e, g.column("before")[0].as_py(), g.column("last")[0].as_py())
-            roles, out, at = [], [], 0
-            for k in n:
-                names = [ROLES[r] for r in found[at : at + k]]
-                roles.append(",".join(names))
-                out.append("".join(f"<|{r}|>\n{t.strip()}\n<|end|>\n" for r, (_, t) in zip(names, flat[at : at + k], strict=True)))
-                at += k
-            yield pa.RecordBatch.from_pydict({"conv_id": g.column(0).combine_chunks(), "turn": g.column(2).combine_chunks(), "n_parts": pa.array(n, pa.int64()), "roles": pa.array(roles, pa.string()), "rendered": pa.array(out, pa.string())})
-
-    known = rows.join(ends, rows["conv_id"].eqNullSafe(ends["_c"]) & (rows["range"] == ends["_r"]))
-    known = known.repartition("conv_id", "range").sortWithinPartitions("conv_id", "range", "turn", "_h").select("conv_id", "range", "turn", "text", "before", "last")
-    return known.mapInArrow(render, "conv_id long, turn long, n_parts long, roles string, rendered string")
+            found = _turns(model, g.column("text").to_pylist(), g.column("before")[0].as_py(), g.column("last")[0].as_py())
+            yield _rows(g.column(0).combine_chunks(), g.column(2).combine_chunks(), found)
+
+    known = rows.join(ends, (rows["conv_id"] == ends["_c"]) & (rows["range"] == ends["_r"]))
+    known = known.repartition("conv_id", "range").sortWithinPartitions("conv_id", "range", "turn", "h").select("conv_id", "range", "turn", "text", "before", "last")
+    return known.mapInArrow(render, _PARSED).unionByName(lone)

@@ -44,11 +44,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message with the roles that its text and place tell, and its rendered turns by digest."""
+    """Every message with the roles that its text and place tell, and its rendered turns by digest. The
+    tables are counted over the conversations that are not held out; all are parsed."""
     messages = table(spark, sf_dir, "conversations")
-    found = chat.parse(messages, chat.train(messages))
+    found = chat.parse(messages, chat.train(messages.where(~chat.is_held_out(F.col("conv_id")))))
     text = F.col("rendered")
-    return found.select("conv_id", "turn", "n_parts", "roles", F.length(text).cast("long").alias("rendered_chars"), F.md5(text.cast("binary")).alias("rendered_md5"))
+    return found.select("conv_id", "turn", chat.is_held_out(F.col("conv_id")).alias("held_out"), "n_parts", "roles", F.length(text).cast("long").alias("rendered_chars"), F.md5(text.cast("binary")).alias("rendered_md5"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
