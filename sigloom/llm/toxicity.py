@@ -1,9 +1,12 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words are read as classes: insult, threat verb, target, negation, report verb, modal. Five small
-transducers each follow one of these along a clause; their composition, built lazily state by state,
-weighs a matched insult or threat by what stands around it: more at a target, less if negated or
-reported. A text's score comes from its matched clauses, never from words counted alone.
+Words are read as classes: insult, threat verb, target, negation, report verb, modal, quotation mark.
+Five transducers are composed: negation, reported speech and target rewrite the insults and threats
+of a clause by what stands around them, and the insult and threat transducers read what these have
+written and weigh it. An insult counts in full only at a target, less at nobody, and less again if it is
+negated or reported; a threat counts only if a modal leads to it and a target is near. The composed
+machine is built arc by arc as clauses need it. A text's score comes from its matched clauses, never
+from words counted alone.
 
 The insult class holds a short seed list and terms (words, and stems for inflected forms) induced
 from labelled training rows; a logistic fit on the same rows turns clause weights into a score. Both
@@ -27,9 +30,7 @@ from .common import share_code, stored, text_of
 
 #: Labelled rows that are used for the fit, in expectation; all if there are fewer.
 SAMPLE = 20_000
-#: Terms considered at most, those in the most toxic rows first, and the chance above which a term's
-#: concentration in toxic rows counts as luck.
-CANDIDATES = 100_000
+#: The chance above which a term's concentration in toxic rows counts as luck.
 CHANCE = 1e-5
 STEMS = (3, 4, 5, 6, 7)
 MEMORY = 400_000
@@ -42,62 +43,140 @@ NEGATIONS = "not no never nor neither without don't isn't aren't wasn't won't ca
 REPORTS = "said says say told called claimed claims wrote quoted reported alleged sagte sagt nannte dit disait appelé déclaré dijo dice llamó"
 MODALS = "will shall would gonna going must should i'll we'll werde werden vais allons voy vamos"
 
-TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?;\n]")
+TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?;\n]|[\"“”„«»]")
 BREAKS = frozenset(".!?;\n")
-KIND = {w: k for k, words in (("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS), ("modal", MODALS), ("threat", THREATS)) for w in words.split()}
+KIND = {w: k for k, words in (("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS), ("modal", MODALS), ("threat", THREATS), ("quote", '" “ ” „ « »')) for w in words.split()}
 SEED_WEIGHT = 3.0
-#: Weights of the grammar: at a target, negated, reported, and of a threat that a modal leads to a target.
-AT_TARGET, NEGATED, REPORTED, THREAT = 1.3, 0.5, 0.6, 2.5
+#: Weights of the grammar: of an insult at nobody, negated, reported, and of a threat.
+AT_NOBODY, NEGATED, REPORTED, THREAT = 0.6, 0.5, 0.6, 2.5
+#: Tokens that a negation and a modal reach forward, and a target both ways.
+NEGATION_REACH, MODAL_REACH, TARGET_REACH = 3, 4, 6
 
+#: What a transducer reads and writes: a class and the flags that those before it have added.
+Symbol = tuple[str, frozenset[str]]
+#: Next state, what is written, and the gain, in weights of the token read.
+Arc = tuple[object, Symbol, float]
+CORE = ("insult", "threat")
 
-class Window:
-    """A transducer that is on for ``reach`` tokens after a class, and until the clause's end."""
 
-    def __init__(self, kind: str, reach: int):
-        self.kind, self.reach = kind, reach
+class Transducer:
+    """A machine from symbols to symbols; of several arcs for a symbol, the best whole path counts."""
 
-    def step(self, state: int, kind: str) -> int:
-        return self.reach if kind == self.kind else max(state - 1, 0)
+    start: object = 0
 
+    def arcs(self, state: object, symbol: Symbol) -> list[Arc]:
+        raise NotImplementedError
 
-MACHINES = (Window("target", 6), Window("negation", 3), Window("report", 40), Window("modal", 4))
+    def ends(self, state: object) -> bool:
+        """Whether a clause may end here."""
+        return True
 
 
-class Grammar:
-    """The composition of the machines; arcs are made when first taken."""
+def _flag(symbol: Symbol, flag: str, when: bool) -> Symbol:
+    return (symbol[0], symbol[1] | {flag}) if when and symbol[0] in CORE else symbol
 
-    def __init__(self) -> None:
-        self.arcs: dict[tuple[tuple[int, ...], str], tuple[tuple[int, ...], float]] = {}
 
-    def arc(self, state: tuple[int, ...], kind: str) -> tuple[tuple[int, ...], float]:
-        """Next state, and the factor of a token of this class here."""
-        got = self.arcs.get((state, kind))
+class Negation(Transducer):
+    """Flags insults and threats that stand a few tokens behind a negation. State: tokens left."""
+
+    def arcs(self, state, symbol):
+        left = NEGATION_REACH if symbol[0] == "negation" else max(state - 1, 0)
+        return [(left, _flag(symbol, "negated", state > 0), 0.0)]
+
+
+class Report(Transducer):
+    """Flags what stands behind a report verb or in quotation marks. State: told, quoted."""
+
+    start = (False, False)
+
+    def arcs(self, state, symbol):
+        told, quoted = state
+        new = (told or symbol[0] == "report", quoted != (symbol[0] == "quote"))
+        return [(new, _flag(symbol, "reported", told or quoted), 0.0)]
+
+
+class Target(Transducer):
+    """Flags what a target stands near. One behind is not seen yet: that path promises it, and ends unless
+    the target comes. State: tokens that the last target still reaches, and until the promise is due."""
+
+    start = (0, 0)
+
+    def arcs(self, state, symbol):
+        near, due = state
+        if symbol[0] == "target":
+            return [((TARGET_REACH, 0), symbol, 0.0)]
+        if due == 1:
+            return []
+        after = (max(near - 1, 0), max(due - 1, 0))
+        out = [(after, _flag(symbol, "directed", near > 0 or due > 0), 0.0)]
+        if symbol[0] in CORE and not near and not due:
+            out.append(((0, TARGET_REACH), _flag(symbol, "directed", True), 0.0))
+        return out
+
+    def ends(self, state):
+        return state[1] == 0
+
+
+def _share(flags: frozenset[str]) -> float:
+    return (NEGATED if "negated" in flags else 1.0) * (REPORTED if "reported" in flags else 1.0)
+
+
+class Insult(Transducer):
+    """Weighs insults by their flags."""
+
+    def arcs(self, state, symbol):
+        kind, flags = symbol
+        return [(0, symbol, _share(flags) * (1.0 if "directed" in flags else AT_NOBODY) if kind == "insult" else 0.0)]
+
+
+class Threat(Transducer):
+    """Weighs threats at a target that a modal leads to. State: tokens that the modal still reaches."""
+
+    def arcs(self, state, symbol):
+        kind, flags = symbol
+        left = MODAL_REACH if kind == "modal" else max(state - 1, 0)
+        return [(left, symbol, _share(flags) if kind == "threat" and state and "directed" in flags else 0.0)]
+
+
+class Composed(Transducer):
+    """``second`` reads what ``first`` writes; arcs are made when first taken."""
+
+    def __init__(self, first: Transducer, second: Transducer):
+        self.first, self.second, self.start = first, second, (first.start, second.start)
+        self.made: dict[tuple, list[Arc]] = {}
+
+    def arcs(self, state, symbol):
+        got = self.made.get((state, symbol))
         if got is None:
-            new = tuple(m.step(s, kind) for m, s in zip(MACHINES, state, strict=True))
-            _, negated, reported, meant = (s > 0 for s in new)
-            out = (NEGATED if negated else 1.0) * (REPORTED if reported else 1.0)
-            if kind == "threat" and not meant:
-                out = 0.0
-            got = self.arcs[state, kind] = (new, out)
+            got = [((a, b), z, g + h) for a, y, g in self.first.arcs(state[0], symbol) for b, z, h in self.second.arcs(state[1], y)]
+            self.made[state, symbol] = got
         return got
 
+    def ends(self, state):
+        return self.first.ends(state[0]) and self.second.ends(state[1])
+
+
+class Grammar:
+    """The composition of the five machines."""
+
+    def __init__(self) -> None:
+        self.machine = Negation()
+        for nxt in (Report(), Target(), Insult(), Threat()):
+            self.machine = Composed(self.machine, nxt)
+        self.plain = {k: (k, frozenset()) for k in ("", "insult", *KIND.values())}
+
     def clause(self, kinds: list[tuple[str, float]]) -> float:
-        """Weight of a clause: read left to right by the composed machine, then right to left for the
-        targets that stand behind what they are the target of."""
-        state = back = (0,) * len(MACHINES)
-        marks = []
+        """Weight of the best path of a clause of ``(class, weight)``."""
+        best = {self.machine.start: 0.0}
         for kind, weight in kinds:
-            state, out = self.arc(state, kind)
-            marks.append((kind, weight * out if kind == "insult" else THREAT * out, state[0] > 0))
-        total = 0.0
-        for kind, weight, near in reversed(marks):
-            back, _ = self.arc(back, kind if kind == "target" else "")
-            near = near or back[0] > 0
-            if kind == "insult":
-                total += weight * (AT_TARGET if near else 1.0)
-            elif kind == "threat" and near:
-                total += weight
-        return total
+            now: dict[object, float] = {}
+            for state, score in best.items():
+                for new, _, gain in self.machine.arcs(state, self.plain[kind]):
+                    total = score + gain * weight
+                    if total > now.get(new, -1.0):
+                        now[new] = total
+            best = now
+        return max(score for state, score in best.items() if self.machine.ends(state))
 
 
 def terms(words: set[str]) -> set[str]:
@@ -118,7 +197,8 @@ class Scorer:
                 got = self.lexicon.get(word[:k] + "*")
         if got is not None:
             return "insult", got
-        return KIND.get(word, ""), 0.0
+        kind = KIND.get(word, "")
+        return kind, THREAT if kind == "threat" else 0.0
 
     def features(self, text: str) -> tuple[float, float, float]:
         """Strongest clause, log of one plus all matched clauses, and the number of these (log)."""
@@ -162,7 +242,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50)
     return w
 
 
-#: For a table without labels: the seed list alone, an insult in a clause is toxic.
+#: For a table without labels: the seed list alone, of which two insults at someone are toxic.
 DEFAULT = np.array([1.5, 1.0, 0.5, -4.0])
 
 
@@ -205,7 +285,7 @@ def induce(sample: DataFrame) -> dict[str, float]:
     schema = "term string, toxic int, n long"
     found = sample.where("toxic = 1").mapInArrow(_counts(None), schema).groupBy("term").agg(F.sum("n").alias("n"))
     least = max(4, math.ceil(math.log(CHANCE) / math.log(base)))
-    common = {r["term"]: r["n"] for r in found.where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()}
+    common = {r["term"]: r["n"] for r in found.where(F.col("n") >= least).collect()}  # of the sample, so bounded with it
     rest = sample.where("toxic = 0").mapInArrow(_counts(frozenset(common)), schema).groupBy("term").agg(F.sum("n").alias("n"))
     clean = {r["term"]: r["n"] for r in rest.collect()}
     for term, pos in common.items():
@@ -267,10 +347,11 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFra
     """``docs(doc_id, text, ...)``, ``labels(doc_id, toxic, ...)`` -> ``(doc_id, held_out, score,
     predicted, strongest_clause)``, a row for each input row.
 
-    Null counts as the empty text, which scores as one without a match. Labels other than 0 and 1
-    are ignored, of repeated labels the higher counts, and without usable labels the seed list and
-    fixed coefficients score. Repeated rows repeat; a null doc_id is not held out; empty documents
-    give no rows; other columns are ignored."""
+    Nulls: a null text is the empty one; a null doc_id is not held out; labels that are null, or other
+    than 0 and 1, are left out. Empty texts score as those without a match. Very long texts are read
+    whole, clause by clause. Ties: of repeated labels the higher counts, and the fit sums its rows in an
+    order of their values. Repeated rows repeat. An empty table gives no rows; without usable labels the
+    seed list and fixed coefficients score. Extra columns of any name are left out."""
     lexicon, w = fit(docs, labels)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of())
     got = rows.mapInArrow(_scores(lexicon, w.tolist()), "doc_id long, score double, strongest_clause double")
