@@ -101,17 +101,17 @@ def _benchmark(items: DataFrame, window: int, exact: bool) -> DataFrame:
         slot = F.zip_with("t", "w", lambda k, w: F.when(_is_slot(k), F.concat(k, F.lower(w))))
         rows = rows.withColumn("_s", slot).withColumn("_s", F.transform("_s", lambda x: F.coalesce(F.array_position(F.col("_s"), x), F.lit(0))))
         rows = rows.groupBy("t", "_s").agg(F.min(F.struct("item_id", "w")).alias("_r")).select("_r.item_id", "_r.w", "t")
-    rows = rows.withColumn("size", F.least(F.lit(window), F.size("t"))).where(F.col("size") >= (1 if exact else 5))
-    starts = F.sequence(F.lit(1), F.size("t") - F.col("size") + 1)
-    windows = F.transform(starts, lambda at: F.struct(at.alias("at"), F.slice("t", at, F.col("size")).alias("item_tmpl"), F.slice("w", at, F.col("size")).alias("item_words")))
+    # stored, as a window would otherwise take the item's text apart anew
+    rows = stored(rows.withColumn("size", F.least(F.lit(window), F.size("t"))).where(F.col("size") >= (1 if exact else 5)))
+    each = rows.select("item_id", "t", "w", "size", F.explode(F.sequence(F.lit(1), F.size("t") - F.col("size") + 1)).alias("at"))
+    each = each.select("item_id", "size", "at", F.slice("t", F.col("at"), F.col("size")).alias("item_tmpl"), F.slice("w", F.col("at"), F.col("size")).alias("item_words"))
     if not exact:
-        windows = F.filter(windows, lambda x: 2 * F.size(F.filter(x["item_tmpl"], lambda y: ~_is_slot(y))) >= F.col("size"))
-    rows = rows.select("item_id", "size", windows.alias("windows"))
-    rows = rows.select("item_id", "size", F.size("windows").alias("item_windows"), F.explode("windows").alias("x")).select("item_id", "size", "item_windows", "x.*")
+        each = each.where(2 * F.size(F.filter("item_tmpl", lambda y: ~_is_slot(y))) >= F.col("size"))
+    each = each.join(each.groupBy("item_id").agg(F.count("*").cast("int").alias("item_windows")), "item_id")
     hashes = F.lit(None).cast("long")
     for size in range(1, window + 1):
         hashes = F.when(F.col("size") == size, _hash(F.col("item_tmpl"), 0, size)).otherwise(hashes)
-    return rows.select(hashes.alias("h"), "item_id", "at", "size", "item_windows", "item_tmpl", "item_words")
+    return each.select(hashes.alias("h"), "item_id", "at", "size", "item_windows", "item_tmpl", "item_words")
 
 
 def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, exact: bool = False) -> DataFrame:
