@@ -234,13 +234,14 @@ def head_to_head(spark, sf_dir):
 
 @query(
     "normalised_frequencies",
-    """WITH c AS (SELECT event_type, user_id % 40 AS s, count(*) AS c FROM events GROUP BY 1, 2),
-f AS (SELECT *, greatest(CAST(floor(c * 4096 / sum(c) OVER (PARTITION BY event_type)) AS BIGINT), 1) AS f FROM c),
-k AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY f DESC, s) AS k, sum(f) OVER (PARTITION BY event_type) AS total FROM f)
+    """WITH n AS (SELECT event_type, user_id % 400 AS s, count(*) AS c FROM events GROUP BY 1, 2), a AS (SELECT DISTINCT event_type, unnest(range(0, 400)) AS s FROM events),
+c AS (SELECT a.event_type, a.s, coalesce(c, 0) AS c FROM a LEFT JOIN n ON a.event_type = n.event_type AND a.s = n.s),
+f AS (SELECT *, CASE WHEN c = 0 THEN 1 ELSE greatest(CAST(floor(CAST(c AS DOUBLE) / CAST(sum(c) OVER (PARTITION BY event_type) AS DOUBLE) * (4096 - count_if(c = 0) OVER (PARTITION BY event_type))) AS BIGINT), 1) END AS f FROM c),
+k AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY c DESC, s) AS k, sum(f) OVER (PARTITION BY event_type) AS total FROM f)
 SELECT event_type, s, c, CAST(CASE WHEN k = 1 THEN f + 4096 - total ELSE f END AS BIGINT) AS f FROM k""",
 )
 def normalised_frequencies(spark, sf_dir):
-    return aggregates.normalised_frequencies(read(spark, sf_dir, "events").withColumn("s", F.col("user_id") % 40), "s", 4096, "event_type")
+    return aggregates.normalised_frequencies(read(spark, sf_dir, "events").withColumn("s", F.col("user_id") % 400), "s", 4096, "event_type", 400)
 
 
 @query(
@@ -274,8 +275,9 @@ for _dialect in metrics.DIALECTS:
 
 @query(
     "contract_levels",
-    f"""WITH {_METRICS}, m AS (SELECT recording, 100 * sqrt(sdd) / sqrt(sxx) AS prd, r FROM g), l(level, max_prd, min_r) AS (VALUES ('L', 0.0, 1.0), ('C', 9.0, 0.95), ('M', 20.0, 0.85), ('A', 40.0, 0.70))
-SELECT recording, level, array_to_string(list_filter([CASE WHEN prd > max_prd THEN 'prd' END, CASE WHEN r < min_r - 1e-6 THEN 'r' END], lambda x: x IS NOT NULL), ',') AS violated, prd <= max_prd AND r >= min_r - 1e-6 AS passed FROM m, l""",
+    f"""WITH {_METRICS}, m AS (SELECT recording, 100 * sqrt(sdd) / sqrt(sxx) AS prd, r, lossless FROM g), l(level, max_prd, min_r) AS (VALUES ('L', 0.0, 1.0), ('C', 9.0, 0.95), ('M', 20.0, 0.85), ('A', 40.0, 0.70))
+, v AS (SELECT recording, level, list_filter([CASE WHEN level = 'L' AND NOT lossless THEN 'bit_exact' END, CASE WHEN prd > max_prd THEN 'prd' END, CASE WHEN level <> 'L' AND (isnan(r) OR r < min_r - 1e-6) THEN 'r' END], lambda x: x IS NOT NULL) AS v FROM m, l)
+SELECT recording, level, array_to_string(v, ',') AS violated, len(v) = 0 AS passed FROM v""",
 )
 def contract_levels(spark, sf_dir):
     m = metrics.metrics(pairs(spark, sf_dir), "capped", digits=15).withColumn("snr_db", F.lit(None).cast("double"))
@@ -384,7 +386,8 @@ def bit_autocorrelation(spark, sf_dir):
     return windows.bit_autocorrelation(signal(spark, sf_dir))
 
 
-@query("noise_bits", f"WITH {SIGNAL}, {_BITS} SELECT recording, coalesce(min(CASE WHEN abs(r1) >= 0.05 THEN bit END), 10) AS noise_bits FROM r GROUP BY recording")
+@query("noise_bits", f"""WITH {SIGNAL}, {_BITS}, c AS (SELECT recording, bit, count(*) AS n, count(DISTINCT (v >> CAST(bit AS INTEGER)) & 1) AS held FROM signal, (SELECT unnest(range(0, 10)) AS bit) GROUP BY 1, 2)
+SELECT recording, CASE WHEN max(n) < 64 THEN 0 ELSE coalesce(min(CASE WHEN abs(r1) >= 0.05 OR held < 2 THEN bit END), 10) END AS noise_bits FROM r JOIN c USING (recording, bit) GROUP BY recording""")
 def noise_bits(spark, sf_dir):
     return windows.noise_bits(signal(spark, sf_dir))
 
@@ -452,7 +455,7 @@ def zigzag(spark, sf_dir):
 @query(
     "rice_size",
     f"""WITH {SIGNAL}, d AS (SELECT recording, v - coalesce(lag(v) OVER (PARTITION BY recording ORDER BY t), 0) AS delta FROM signal), z AS (SELECT recording, CASE WHEN delta >= 0 THEN 2 * delta ELSE -2 * delta - 1 END AS z FROM d),
-k AS (SELECT recording, CASE WHEN avg(z) >= 1 THEN least(CAST(floor(log2(avg(z))) AS INTEGER), 31) ELSE 0 END AS k FROM z GROUP BY recording)
+k AS (SELECT recording, CASE WHEN avg(z) FILTER (z > 0) >= 1 THEN least(CAST(floor(log2(avg(z) FILTER (z > 0))) AS INTEGER), 31) ELSE 0 END AS k FROM z GROUP BY recording)
 SELECT recording, k, count(*) AS n, CAST(3 + ceil(sum((z >> k) + 1 + k) / 8) AS BIGINT) AS bytes FROM z JOIN k USING (recording) GROUP BY recording, k""",
 )
 def rice_size(spark, sf_dir):
@@ -469,16 +472,16 @@ def tensor(spark, sf_dir):
 
 @query(
     "walsh_hadamard",
-    f"""WITH {_TENSOR} SELECT vec_id, CAST(k AS INTEGER) AS k, CAST(sum(x * (1 - 2 * (bit_count(CAST(dim & k AS INTEGER)) % 2))) AS BIGINT) AS y FROM tensor, (SELECT unnest(range(0, 32)) AS k) WHERE dim < 32 GROUP BY 1, 2""",
+    f"""WITH {_TENSOR} SELECT vec_id, dim // 32 * 32 + k AS dim, CAST(sum(x * (1 - 2 * (bit_count(CAST((dim % 32) & k AS INTEGER)) % 2))) AS BIGINT) AS y FROM tensor, (SELECT unnest(range(0, 32)) AS k) GROUP BY 1, 2""",
 )
 def walsh_hadamard(spark, sf_dir):
     return kernels.walsh_hadamard(tensor(spark, sf_dir), "vec_id", "dim", "x")
 
 
-@query("walsh_hadamard_round_trip", f"WITH {_TENSOR} SELECT vec_id, dim, x FROM tensor WHERE dim < 32")
+@query("walsh_hadamard_round_trip", f"WITH {_TENSOR} SELECT vec_id, dim, x FROM tensor")
 def walsh_hadamard_round_trip(spark, sf_dir):
-    y = walsh_hadamard(spark, sf_dir).select("vec_id", F.col("k").cast("long").alias("dim"), "y")
-    return kernels.walsh_hadamard(y, "vec_id", "dim", "y", inverse=True).select("vec_id", F.col("k").cast("long").alias("dim"), F.round("y").cast("long").alias("x"))
+    back = kernels.walsh_hadamard(walsh_hadamard(spark, sf_dir), "vec_id", "dim", "y", inverse=True)
+    return back.select("vec_id", "dim", F.round("y").cast("long").alias("x"))
 
 
 @query(
@@ -508,10 +511,10 @@ def fsq_rate_distortion(spark, sf_dir):
 
 @query(
     "klt_covariance",
-    f"""WITH {_TENSOR} SELECT a.dim AS i, b.dim AS j, round(covar_samp(a.x, b.x), 4) AS cov FROM tensor a JOIN tensor b USING (vec_id) WHERE a.dim < 8 AND b.dim < 8 AND a.dim <= b.dim GROUP BY 1, 2""",
+    f"""WITH {_TENSOR} SELECT a.dim AS i, b.dim AS j, round(covar_samp(a.x, b.x), 4) AS cov FROM tensor a JOIN tensor b USING (vec_id) WHERE a.dim <= b.dim GROUP BY 1, 2""",
 )
 def klt_covariance(spark, sf_dir):
-    t = tensor(spark, sf_dir).where("dim < 8")
+    t = tensor(spark, sf_dir)
     b = t.select("vec_id", F.col("dim").alias("j"), F.col("x").alias("y"))
     return t.withColumnRenamed("dim", "i").join(b, "vec_id").where("i <= j").groupBy("i", "j").agg(F.round(F.covar_samp("x", "y"), 4).alias("cov"))
 
@@ -613,20 +616,24 @@ def join_next_or_last(spark, sf_dir):
 @query(
     "join_range_overlap",
     f"""WITH {SIGNAL}, w AS (SELECT recording, t // 250 AS seq, min(t) AS start, max(t) + 1 AS stop FROM signal GROUP BY 1, 2),
-r AS (SELECT event_type AS recording, event_id, event_id % 1500 AS lo, event_id % 1500 + user_id * 3 AS hi FROM events WHERE event_id % 17 = 0)
+n AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1), r AS (SELECT event_type AS recording, event_id, event_id * 7919 % n AS lo, event_id * 7919 % n + user_id * 3 AS hi FROM events JOIN n USING (event_type))
 SELECT r.recording, event_id, seq FROM r JOIN w ON r.recording = w.recording AND start < hi AND stop > lo WHERE lo < hi""",
 )
 def join_range_overlap(spark, sf_dir):
     w = windows.tumbling(signal(spark, sf_dir), 250).select("recording", "seq", F.col("t_first").alias("start"), (F.col("t_first") + F.col("n")).alias("stop"))
-    e = read(spark, sf_dir, "events").where("event_id % 17 = 0")
-    r = e.select(F.col("event_type").alias("recording"), "event_id", (F.col("event_id") % 1500).alias("lo"), (F.col("event_id") % 1500 + F.col("user_id") * 3).alias("hi"))
+    e = read(spark, sf_dir, "events")
+    e = e.join(e.groupBy("event_type").agg(F.count("*").alias("n")), "event_type").withColumn("lo", F.col("event_id") * 7919 % F.col("n"))
+    r = e.select(F.col("event_type").alias("recording"), "event_id", "lo", (F.col("lo") + F.col("user_id") * 3).alias("hi"))
     return joins.overlaps(r, w, "recording", 250, ["recording", "event_id", "seq"])
 
 
-@query("gather_rows", "WITH w AS (SELECT pos, (pos * 37) % 100 AS vec_id FROM (SELECT unnest(range(0, 300)) AS pos)) SELECT pos, vec_id, label FROM w JOIN embeddings USING (vec_id)")
+@query("gather_rows", "WITH n AS (SELECT count(*) AS n FROM embeddings), w AS (SELECT pos, (pos * 37) % n AS vec_id FROM n, (SELECT unnest(range(0, 3 * (SELECT n FROM n))) AS pos)) SELECT pos, vec_id, label FROM w JOIN embeddings USING (vec_id)")
 def gather_rows(spark, sf_dir):
-    wanted = spark.range(300).select(F.col("id").alias("pos"), (F.col("id") * 37 % 100).alias("vec_id"))
-    return joins.gather(wanted, read(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id")
+    """Three requests for each row there is, over all of the ids."""
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "label")
+    n = rows.count()
+    wanted = spark.range(3 * n).select(F.col("id").alias("pos"), (F.col("id") * 37 % max(n, 1)).alias("vec_id"))
+    return joins.gather(wanted, rows, "vec_id")
 
 
 @query("chunk_location", "SELECT vec_id, vec_id // 64 AS chunk, vec_id % 64 AS \"offset\" FROM embeddings")
@@ -726,7 +733,7 @@ def _paths(spark, sf_dir):
 @query(
     "pack_method",
     f"""WITH {_PATHS}, e AS (SELECT doc_id, path, lower(regexp_extract(path, '\\.([A-Za-z0-9]+)$', 1)) AS e FROM paths)
-SELECT doc_id, path, CASE WHEN e IN ('edf', 'bdf') THEN 'lml' WHEN e IN ('zst', 'gz', 'bz2', 'xz', 'zip', '7z', 'png', 'jpg', 'jpeg', 'lml', 'lmq') THEN 'store' ELSE 'zstd' END AS method FROM e""",
+SELECT doc_id, path, CASE WHEN e IN ('edf', 'bdf') THEN 'lml' WHEN e IN ('lml', 'lmq', 'lma', 'gz', 'zst', 'zip', '7z', 'png', 'jpg', 'jpeg', 'mp4', 'avi') THEN 'store' ELSE 'secondary' END AS method FROM e""",
 )
 def pack_method(spark, sf_dir):
     return _paths(spark, sf_dir).withColumn("method", catalogs.method(F.col("path")))
@@ -747,9 +754,9 @@ def stem_validation(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", catalogs.is_safe_stem(stem).alias("safe"))
 
 
-@query("human_size", "SELECT doc_id, n_chars, CASE WHEN n_chars < 1024 THEN printf('%.1f B', CAST(n_chars AS DOUBLE)) ELSE printf('%.1f KB', n_chars / 1024.0) END AS size FROM documents WHERE n_chars < 1048576")
+@query("human_size", "SELECT doc_id, n_chars, CASE WHEN n_chars < 1024 THEN printf('%.1f B', CAST(n_chars AS DOUBLE)) WHEN n_chars < 1048576 THEN printf('%.1f KB', n_chars / 1024.0) WHEN n_chars < 1073741824 THEN printf('%.1f MB', n_chars / 1048576.0) ELSE printf('%.1f GB', n_chars / 1073741824.0) END AS size FROM documents")
 def human_size(spark, sf_dir):
-    return read(spark, sf_dir, "documents").where("n_chars < 1048576").select("doc_id", "n_chars", catalogs.human_size(F.col("n_chars")).alias("size"))
+    return read(spark, sf_dir, "documents").select("doc_id", "n_chars", catalogs.human_size(F.col("n_chars")).alias("size"))
 
 
 @query("stale_streams", "SELECT user_id, max(epoch_us(ts)) AS updated, greatest(1706600000000000 - max(epoch_us(ts)), 0) > 3600000000 AS stale FROM events GROUP BY 1")
@@ -936,13 +943,15 @@ def residual_quantiser(spark, sf_dir):
     return q.groupBy("vec_id").agg(rmse("y").alias("rmse_1"), rmse("y2").alias("rmse_2"))
 
 
-@query("container_round_trip", f"WITH {SIGNAL} SELECT recording, CAST(t // 100 AS BIGINT) AS seq, md5(string_agg(v, ',' ORDER BY t)) AS digest FROM signal WHERE t < 900 GROUP BY 1, 2")
+@query("container_round_trip", f"WITH {SIGNAL} SELECT recording, CAST(t // 100 AS BIGINT) AS seq, md5(string_agg(v, ',' ORDER BY t)) AS digest FROM signal GROUP BY 1, 2")
 def container_round_trip(spark, sf_dir):
-    """The first 900 samples of each recording as a container, opened again window by window."""
-    w = windows.arrays(signal(spark, sf_dir).where("t < 900"), 900).select(F.col("recording").alias("name"), F.array("samples").alias("channels"))
+    """Whole recordings as containers, opened again window by window. A recording is cut into segments
+    of 90 windows, a container each, so a long one is many tasks."""
+    w = windows.arrays(signal(spark, sf_dir), 9000).select(F.concat_ws("/", "recording", F.col("seq").cast("string")).alias("name"), F.array("samples").alias("channels"))
     packed = container.pack_rows(w, 100, 250_000).select(F.col("name").alias("path"), "content")
     back = packed.mapInArrow(container._decode(None, None), container.SCHEMA)
-    return _digest(back.withColumnRenamed("path", "recording"))
+    at = F.substring_index("path", "/", -1).cast("long") * 90 + F.col("seq")
+    return _digest(back.select(F.substring_index("path", "/", 1).alias("recording"), at.alias("seq"), "samples"))
 
 
 @query("finite_rows", "SELECT event_type, CAST(count_if(value > 1) AS BIGINT) AS usable, CAST(count_if(NOT (value > 1)) AS BIGINT) AS refused FROM events GROUP BY 1")
@@ -991,7 +1000,8 @@ def channel_grid(spark, sf_dir):
 @query(
     "first_violations",
     f"""WITH {_METRICS}, m AS (SELECT recording, 100 * sqrt(sdd) / sqrt(sxx) AS prd FROM g), l(level, max_prd) AS (VALUES ('L', 0.0), ('C', 9.0), ('M', 20.0), ('A', 40.0))
-SELECT level, 'prd' AS violation, min(recording) AS first_seen, count(*) AS times FROM m, l WHERE prd > max_prd GROUP BY 1""",
+SELECT level, 'prd' AS violation, min(recording) AS first_seen, count(*) AS times FROM m, l WHERE prd > max_prd GROUP BY 1
+UNION ALL SELECT 'L', 'bit_exact', min(recording), count(*) FROM g WHERE NOT lossless HAVING count(*) > 0""",
 )
 def first_violations(spark, sf_dir):
     m = metrics.metrics(pairs(spark, sf_dir), "capped", digits=15).withColumn("r", F.lit(1.0))
@@ -1036,7 +1046,7 @@ def seizure_preservation(spark, sf_dir):
 @query("spectral_fidelity")
 def spectral_fidelity(spark, sf_dir):
     """Mean error in dB of the stripped signal's spectrum, window by window."""
-    w = windows.arrays(signal(spark, sf_dir), 250).where(F.size("samples") >= 64)
+    w = windows.arrays(signal(spark, sf_dir), 250)
     got = codecs.over_windows(w, lambda x: np.array([codecs.spectral_error(x, (x >> 3) << 3, 250.0)]), "d array<double>")
     return got.select("recording", "seq", F.round(F.col("d")[0], 6).alias("db"))
 
@@ -1044,16 +1054,16 @@ def spectral_fidelity(spark, sf_dir):
 @query(
     "contract_codec",
     f"""WITH {_METRICS}, d AS (SELECT recording, v - coalesce(lag(v) OVER (PARTITION BY recording ORDER BY t), 0) AS delta FROM signal), z AS (SELECT recording, CASE WHEN delta >= 0 THEN 2 * delta ELSE -2 * delta - 1 END AS z FROM d),
-k AS (SELECT recording, CASE WHEN avg(z) >= 1 THEN least(CAST(floor(log2(avg(z))) AS INTEGER), 31) ELSE 0 END AS k FROM z GROUP BY recording),
+k AS (SELECT recording, CASE WHEN avg(z) FILTER (z > 0) >= 1 THEN least(CAST(floor(log2(avg(z) FILTER (z > 0))) AS INTEGER), 31) ELSE 0 END AS k FROM z GROUP BY recording),
 b AS (SELECT recording, CAST(3 + ceil(sum((z >> k) + 1 + k) / 8) AS BIGINT) AS bytes FROM z JOIN k USING (recording) GROUP BY recording),
-m AS (SELECT recording, 100 * sqrt(sdd) / sqrt(sxx) AS prd, r, CAST(n AS DOUBLE) * 2 / bytes AS cr FROM g JOIN b USING (recording)),
+m AS (SELECT recording, 100 * sqrt(sdd) / sqrt(sxx) AS prd, r, CAST(n AS DOUBLE) * 2 / bytes AS cr, lossless FROM g JOIN b USING (recording)),
 l(mode, max_prd, min_r, min_cr, max_cr) AS (VALUES ('lossless', 0.0, 1.0, 3.0, 10.0), ('neural', 20.0, 0.80, 200.0, 600.0))
-SELECT recording, mode, round(cr, 6) AS cr, array_to_string(list_filter([CASE WHEN prd > max_prd THEN 'prd' END, CASE WHEN r < min_r - 1e-9 THEN 'r' END, CASE WHEN cr < min_cr THEN 'cr' END, CASE WHEN cr > max_cr THEN 'cr' END], lambda x: x IS NOT NULL), ',') AS violated FROM m, l""",
+SELECT recording, mode, round(cr, 6) AS cr, array_to_string(list_filter([CASE WHEN mode = 'lossless' AND NOT lossless THEN 'lossless' END, CASE WHEN prd > max_prd + 1e-9 THEN 'prd' END, CASE WHEN isnan(r) OR r < min_r - 1e-9 THEN 'r' END, CASE WHEN cr < min_cr THEN 'cr' END, CASE WHEN cr > max_cr THEN 'cr' END], lambda x: x IS NOT NULL), ',') AS violated FROM m, l""",
 )
 def contract_codec(spark, sf_dir):
     m = metrics.metrics(pairs(spark, sf_dir), "strict", digits=15)
     size = kernels.rice_size(windows.first_difference(signal(spark, sf_dir)), "delta", "recording")
-    m = m.drop("lossless").join(size.select("recording", (F.col("n").cast("double") * 2 / F.col("bytes")).alias("cr")), "recording")
+    m = m.join(size.select("recording", (F.col("n").cast("double") * 2 / F.col("bytes")).alias("cr")), "recording")
     return metrics.codec_contract(m).select("recording", "mode", F.round("cr", 6).alias("cr"), F.array_join("violations", ",").alias("violated"))
 
 

@@ -107,7 +107,7 @@ def unzigzag(z: np.ndarray) -> np.ndarray:
 def rice_encode(v: np.ndarray) -> bytes:
     """k as one byte, n as four, then unary quotients and k-bit remainders as one bit string."""
     z = zigzag(v.astype(np.int64))
-    mean = float(z.mean()) if len(z) else 0.0
+    mean = float(z[z > 0].mean()) if z.any() else 0.0
     k = min(int(np.floor(np.log2(mean))), 31) if mean >= 1 else 0
     q = z >> k
     size = q + 1 + k
@@ -136,14 +136,16 @@ def rice_decode(raw: bytes) -> np.ndarray:
 
 
 def frequencies(count: np.ndarray, total: int) -> np.ndarray:
-    """Counts scaled to sum to ``total``; a symbol that occurs keeps at least 1."""
-    f = np.where(count > 0, np.maximum(count * total // max(int(count.sum()), 1), 1), 0)
-    while (rest := total - int(f.sum())) != 0:
-        k = int(f.argmax())
-        step = rest if rest > 0 else max(rest, 1 - int(f[k]))
-        if step == 0:
-            raise ValueError("more symbols than the total")
-        f[k] += step
+    """Counts scaled to sum to ``total``, 1 for each symbol of the alphabet that does not occur; the most
+    frequent takes up the rest, and where that is not enough, the next ones."""
+    if total < 2 * len(count):
+        raise ValueError("the total is below twice the alphabet")
+    seen = count > 0
+    shared = total - int((~seen).sum())
+    f = np.where(seen, np.maximum(count / max(int(count.sum()), 1) * shared, 1), 1).astype(np.int64)
+    for k in np.argsort(-count, kind="stable"):
+        rest = total - int(f.sum())
+        f[k] += max(rest, 1 - int(f[k]))
     return f
 
 
@@ -391,6 +393,8 @@ def runs_unpack(raw: bytes) -> np.ndarray:
 
 
 def spectral_error(x: np.ndarray, y: np.ndarray, rate: float) -> float:
-    """Mean absolute difference of two spectra in dB."""
+    """Mean absolute difference of two spectra in dB; a single sample has no spectrum, so none."""
+    if len(x) < 2:
+        return 0.0
     p, q = welch(x.astype(float), rate) + 1e-12, welch(y.astype(float), rate) + 1e-12
     return float(np.abs(10 * np.log10(q / p)).mean())

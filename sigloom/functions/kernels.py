@@ -16,8 +16,8 @@ def unzigzag(z: Column) -> Column:
 
 
 def rice_parameter(residuals: DataFrame, value: str, *by: str, most: int = 31) -> DataFrame:
-    """``(by, n, k)``: floor of the binary logarithm of the mean zigzagged value."""
-    m = residuals.groupBy(*by).agg(F.count("*").alias("n"), F.avg(zigzag(F.col(value))).alias("_m"))
+    """``(by, n, k)``: floor of the binary logarithm of the mean zigzagged value, of those that are not zero."""
+    m = residuals.groupBy(*by).agg(F.count("*").alias("n"), F.avg(F.when(F.col(value) != 0, zigzag(F.col(value)))).alias("_m"))
     return m.select(*by, "n", F.when(F.col("_m") >= 1, F.least(F.floor(F.log2("_m")), F.lit(most))).otherwise(0).cast("int").alias("k"))
 
 
@@ -29,11 +29,13 @@ def rice_size(residuals: DataFrame, value: str, *by: str) -> DataFrame:
 
 
 def walsh_hadamard(rows: DataFrame, by: str, dim: str, value: str, n: int = 32, inverse: bool = False) -> DataFrame:
-    """Natural-order transform of blocks of n: each input row meets the n outputs, signs by parity."""
-    each = rows.where(F.col(dim) < n).select(by, dim, value, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k"))
-    sign = 1 - 2 * (F.bit_count(F.col(dim).cast("int").bitwiseAND(F.col("k"))) % 2)
+    """Natural-order transform of each block of n (a power of two) dimensions, as ``(by, dim, y)``: each
+    input row meets the n outputs of its block, signs by parity."""
+    at = F.col(dim).cast("long")
+    each = rows.select(by, at.alias("_d"), value, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("_k"))
+    sign = 1 - 2 * (F.bit_count((F.col("_d") % n).bitwiseAND(F.col("_k"))) % 2)
     total = F.sum(F.col(value) * sign)
-    return each.groupBy(by, "k").agg((total / n if inverse else total).alias("y"))
+    return each.groupBy(by, (F.col("_d") - F.col("_d") % n + F.col("_k")).alias(dim)).agg((total / n if inverse else total).alias("y"))
 
 
 def fsq_index(x: Column, lo: Column, span: Column, levels: int) -> Column:

@@ -42,7 +42,7 @@ def run_gap(ratio: Column, width: int = 16, floor: float = 6.63) -> dict[str, Co
 
 
 def robust_summary(rows: DataFrame, value: str, *by: str) -> DataFrame:
-    """n, mean, interpolated 5/50/95 percentiles and range of the finite values."""
+    """n, mean, interpolated 5/50/95 percentiles and range of the values that are numbers, infinities included."""
     x = F.when(~F.isnan(value), F.col(value).cast("double"))
     p = F.percentile(x, F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
     g = rows.groupBy(*by).agg(F.count(x).alias("n"), F.round(F.avg(x), 6).alias("mean"), p.alias("_p"), F.min(x).alias("min"), F.max(x).alias("max"))
@@ -60,7 +60,7 @@ def ranked_percentiles(rows: DataFrame, value: str, by: str, points: dict[str, f
 
 def histogram(rows: DataFrame, value: str, by: str, bins: int = 30) -> DataFrame:
     """Equal bins over each group's finite range, the last one closed; a flat group is one bin."""
-    x = rows.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(by, F.col(value).cast("double").alias("x"))
+    x = rows.select(by, F.col(value).cast("double").alias("x")).where(F.abs("x") < float("inf"))
     span = x.groupBy(by).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     k = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))).otherwise(0)
     return x.join(span, by).groupBy(by, k.cast("int").alias("bin")).agg(F.count("*").alias("n"))
@@ -122,12 +122,18 @@ def rollup_percentiles(rows: DataFrame, value: str, group: str) -> DataFrame:
     return g.select(group, "n", *(F.col("_p")[k].cast("long").alias(name) for k, name in enumerate(("p50", "p5", "p95"))))
 
 
-def normalised_frequencies(rows: DataFrame, symbol: str, total: int, by: str) -> DataFrame:
-    """Counts scaled to sum to ``total``, each at least 1; the most frequent symbol takes up the rest."""
-    c = rows.groupBy(by, symbol).agg(F.count("*").alias("c"))
+def normalised_frequencies(rows: DataFrame, symbol: str, total: int, by: str, alphabet: int) -> DataFrame:
+    """``(by, symbol, c, f)`` for each symbol from 0 to ``alphabet - 1``: counts scaled to sum to ``total``, or
+    to twice the alphabet if that is more. A symbol that does not occur has 1, one that does at least 1 of
+    what is left in proportion; the most frequent (of these the lowest) takes up the rest."""
+    total = max(total, 2 * alphabet)
+    c = rows.groupBy(by, F.col(symbol).cast("long").alias(symbol)).agg(F.count("*").alias("c"))
+    every = c.select(by).distinct().withColumn(symbol, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(alphabet - 1).cast("long"))))
+    c = every.join(c, [by, symbol], "left").withColumn("c", F.coalesce("c", F.lit(0)))
     w = Window.partitionBy(by)
-    f = c.withColumn("f", F.greatest(F.floor(F.col("c") * total / F.sum("c").over(w)), F.lit(1)))
-    f = f.withColumn("_top", F.row_number().over(w.orderBy(F.desc("f"), symbol)) == 1)
+    shared = F.lit(total) - F.count_if(F.col("c") == 0).over(w)
+    f = c.withColumn("f", F.when(F.col("c") == 0, 1).otherwise(F.greatest(F.floor(F.col("c") / F.sum("c").over(w) * shared), F.lit(1))))
+    f = f.withColumn("_top", F.row_number().over(w.orderBy(F.desc("c"), symbol)) == 1)
     return f.withColumn("f", F.when(F.col("_top"), F.col("f") + total - F.sum("f").over(w)).otherwise(F.col("f"))).drop("_top")
 
 

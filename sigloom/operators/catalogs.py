@@ -38,12 +38,12 @@ def rollup(rows: DataFrame) -> DataFrame:
 
 
 #: How a file is packed by its extension, and data sets by a part of their path.
-METHODS = ((("edf", "bdf"), "lml"), (("zst", "gz", "bz2", "xz", "zip", "7z", "png", "jpg", "jpeg", "lml", "lmq"), "store"))
+METHODS = ((("edf", "bdf"), "lml"), (("lml", "lmq", "lma", "gz", "zst", "zip", "7z", "png", "jpg", "jpeg", "mp4", "avi"), "store"))
 
 
 def method(path: Column) -> Column:
     ext = F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1))
-    out = F.lit("zstd")
+    out = F.lit("secondary")
     for names, kind in reversed(METHODS):
         out = F.when(ext.isin(*names), kind).otherwise(out)
     return out
@@ -105,17 +105,13 @@ RENAMED = {"T7": "T3", "T8": "T4", "P7": "T5", "P8": "T6"}
 
 
 def resolve_channel(label: Column) -> Column:
-    """Montage name of a recorded label, null if none: by name, without prefix and reference, by either
-    electrode of a pair, without dots, and last as a word within the label."""
+    """Montage name of a recorded label, null if none. The label is cut into words at everything but
+    letters and digits; each word that names an electrode counts, the first one wins, whether it stands
+    alone, behind a prefix, before a reference or in a pair. Annotation channels have none."""
     known = F.create_map(*(F.lit(x) for k, v in ({c.upper(): c for c in MONTAGE} | RENAMED).items() for x in (k, v)))
-    look = lambda x: F.try_element_at(known, F.upper(F.trim(x)))
-    name = F.regexp_replace(F.regexp_replace(F.trim(label), r"\.+$", ""), r"-\d+$", "")
-    bare = F.regexp_replace(F.regexp_replace(name, r"(?i)^EEG[\s\-_]+", ""), r"(?i)-(REF|LE)$", "")
-    first = F.regexp_replace(F.split(name, "-")[0], r"(?i)^EEG[\s\-_]+", "")
-    second = F.when(F.contains(name, F.lit("-")), F.get(F.split(name, "-"), F.lit(1)))
-    word = F.regexp_extract(F.upper(name), rf"(?<![A-Z0-9])({'|'.join(c.upper() for c in MONTAGE)})(?![A-Z0-9])", 1)
-    found = F.coalesce(look(name), look(bare), F.when(F.contains(name, F.lit("-")), F.coalesce(look(first), look(second))), look(F.regexp_replace(name, r"\.", "")), look(word))
-    return F.when(~F.upper(F.trim(label)).rlike("^(EDF|BDF) ANNOTATION"), found)
+    words = F.split(F.upper(label), "[^A-Z0-9]+")
+    found = F.filter(F.transform(words, lambda w: F.try_element_at(known, w)), lambda c: c.isNotNull())
+    return F.when(~F.array_contains(words, "ANNOTATIONS"), F.get(found, F.lit(0)))
 
 
 def select_channels(labels: DataFrame, least: int = 16) -> DataFrame:

@@ -113,21 +113,53 @@ def with_each(rows: DataFrame, thresholds: tuple, names: tuple[str, ...]) -> Dat
     return rows.withColumn("_each", F.explode(F.array(*line))).select(*rows.columns, "_each.*")
 
 
-def check_contract(measured: DataFrame, thresholds: tuple = LEVELS, names: tuple[str, ...] = ("level", "max_prd", "min_r", "min_cr", "bit_exact"), slack: float = 1e-6) -> DataFrame:
-    """Each measured row against each level: what it violates, and whether it passes. Ratio bounds are
-    checked if ``measured`` has ``cr``."""
-    both = with_each(measured, thresholds, names)
-    tests = [F.when(F.col("prd") > F.col("max_prd"), "prd"), F.when(F.col("r") < F.col("min_r") - slack, "r")]
-    if "cr" in measured.columns:
+#: PRD in each band (Hz: 0.5, 4, 8, 13, 30 and 50 between them) by level, and of the codec.
+BANDS = ("delta", "theta", "alpha", "beta", "gamma")
+BAND_PRD = {"C": (5.0, 7.0, 8.0, 12.0, 20.0), "M": (10.0, 12.0, 15.0, 25.0, 40.0), "A": (20.0, 25.0, 30.0, 40.0, 60.0), "neural": (10.0, 12.0, 15.0, 25.0, 50.0)}
+BAND_R = {"C": (0.98, 0.97, 0.96, 0.93, 0.85), "M": (0.95, 0.93, 0.90, 0.80, 0.60), "A": (0.85, 0.80, 0.75, 0.65, 0.40)}
+#: Divergence of the spectra and milliseconds to encode, by level.
+DIVERGENCE = {"C": 0.05, "M": 0.15, "A": 0.30}
+LATENCY = {"L": 1000.0, "C": 500.0, "M": 1000.0, "A": 5000.0}
+
+
+def _limit(of: dict, name: str, k: int | None = None):
+    """A level's limit of a fixed table; null for a level that has none."""
+    out = F.lit(None).cast("double")
+    for level, value in of.items():
+        out = F.when(F.col(name) == level, F.lit(value if k is None else value[k])).otherwise(out)
+    return out
+
+
+def check_contract(measured: DataFrame, thresholds: tuple = LEVELS, names: tuple[str, ...] = ("level", "max_prd", "min_r", "min_cr", "bit_exact"), slack: float = 1e-6, prd_slack: float = 0.0) -> DataFrame:
+    """Each measured row against each level: what it violates, and whether it passes. A correlation that
+    is no number violates. What needs a column is checked if ``measured`` has it: ``cr``, ``lossless`` (an exact
+    level then asks for that in place of the correlation), ``psd_divergence``, ``latency_ms``, and
+    ``band_<name>_prd`` and ``band_<name>_r``."""
+    both, have, level = with_each(measured, thresholds, names), set(measured.columns), names[0]
+    exact = F.col(names[-1]) if "lossless" in have else F.lit(False)
+    tests = [F.when(exact & ~F.col("lossless"), "bit_exact" if level == "level" else "lossless")] if "lossless" in have else []
+    tests.append(F.when(F.col("prd") > F.col("max_prd") + prd_slack, "prd"))
+    low = F.isnan("r") | (F.col("r") < F.col("min_r") - slack)
+    tests.append(F.when((low & ~exact) if level == "level" else low, "r"))
+    if "cr" in have:
         tests.append(F.when(F.col("cr") < F.col("min_cr"), "cr"))
         if "max_cr" in names:
             tests.append(F.when(F.col("cr") > F.col("max_cr"), "cr"))
+    if "psd_divergence" in have:
+        tests.append(F.when(F.col("psd_divergence") > _limit(DIVERGENCE, level), "psd_divergence"))
+    if "latency_ms" in have:
+        tests.append(F.when(F.col("latency_ms") > _limit(LATENCY, level), "latency"))
+    for k, band in enumerate(BANDS):
+        if f"band_{band}_prd" in have:
+            tests.append(F.when(F.col(f"band_{band}_prd") > _limit(BAND_PRD, level, k), f"band_{band}_prd"))
+        if f"band_{band}_r" in have:
+            tests.append(F.when(F.col(f"band_{band}_r") < _limit(BAND_R, level, k), f"band_{band}_r"))
     return both.withColumn("violations", F.array_compact(F.array(*tests))).withColumn("passed", F.size("violations") == 0)
 
 
 def codec_contract(measured: DataFrame) -> DataFrame:
     """``check_contract`` with the codec's own thresholds, the upper ratio bound included."""
-    return check_contract(measured, CONTRACTS, ("mode", "max_prd", "min_r", "min_cr", "max_cr", "lossless_only"), 1e-9)
+    return check_contract(measured, CONTRACTS, ("mode", "max_prd", "min_r", "min_cr", "max_cr", "lossless_only"), 1e-9, 1e-9)
 
 
 def gate(measured: DataFrame) -> DataFrame:

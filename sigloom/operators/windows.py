@@ -159,10 +159,15 @@ def bit_autocorrelation(samples: DataFrame, bits: int = 10) -> DataFrame:
 
 
 def noise_bits(samples: DataFrame, threshold: float = 0.05, bits: int = 10) -> DataFrame:
-    """Number of contiguous lowest bits whose lag-1 correlation is below the threshold."""
+    """Number of contiguous lowest bits whose lag-1 correlation is below the threshold; none in a
+    recording of under 64 samples, and a bit that never changes is no noise."""
     r = bit_autocorrelation(samples, bits)
-    first = F.min(F.when(F.abs("r1") >= threshold, F.col("bit")))
-    return r.groupBy("recording").agg(F.coalesce(first, F.lit(bits)).alias("noise_bits"))
+    n = samples.groupBy("recording").agg(F.count("*").alias("_n"), *(F.count_distinct(F.shiftright("v", k).bitwiseAND(1)).alias(f"_{k}") for k in range(bits)))
+    still = F.array(*(F.col(f"_{k}") < 2 for k in range(bits)))
+    r = r.join(n.select("recording", "_n", still.alias("_still")), "recording")
+    first = F.min(F.when((F.abs("r1") >= threshold) | F.get("_still", F.col("bit").cast("int")), F.col("bit")))
+    found = r.groupBy("recording").agg(F.max("_n").alias("_n"), F.coalesce(first, F.lit(bits)).alias("noise_bits"))
+    return found.select("recording", F.when(F.col("_n") < 64, 0).otherwise(F.col("noise_bits")).alias("noise_bits"))
 
 
 def gaps(events: DataFrame, by: str, ts: str, order: str, expected: int, tolerance: int) -> DataFrame:
