@@ -533,18 +533,18 @@ def _digest(w: DataFrame) -> DataFrame:
     return w.select("recording", "seq", F.md5(F.array_join(F.transform("samples", lambda x: x.cast("string")), ",").cast("binary")).alias("digest"))
 
 
-def _round_trip(name: str, there: Callable, back: Callable, packed: bool = True):
+def _round_trip(name: str, there: Callable, back: Callable, packed: bool = True, many: bool = False):
     @query(name, _ARRAYS)
     def run(spark, sf_dir):
         w = windows.arrays(signal(spark, sf_dir), 250)
         coded = codecs.over_windows(w, there, "packet binary" if packed else "samples array<long>")
-        return _digest(codecs.over_windows(coded, back))
+        return _digest(codecs.over_windows(coded, back, many=many))
 
 
-_round_trip("codec_window_round_trip", codecs.encode_window, codecs.decode_window)
+_round_trip("codec_window_round_trip", codecs.encode_window, codecs.decode_windows, many=True)
 _round_trip("codec_rice_round_trip", codecs.rice_encode, codecs.rice_decode)
-_round_trip("bias_round_trip", codecs.bias_cancel, codecs.bias_restore, packed=False)
-_round_trip("lpc_round_trip", codecs.fixed_residual, codecs.fixed_restore, packed=False)
+_round_trip("bias_round_trip", codecs.bias_cancel, codecs.bias_restore_all, packed=False, many=True)
+_round_trip("lpc_round_trip", codecs.fixed_residual, codecs.fixed_restore_all, packed=False, many=True)
 _round_trip("codec_sparse_round_trip", codecs.sparse_encode, codecs.sparse_decode)
 _round_trip("klt_lifting_round_trip", codecs.rotate, codecs.unrotate, packed=False)
 _round_trip("codec_run_length_round_trip", codecs.runs_pack, codecs.runs_unpack)

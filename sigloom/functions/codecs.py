@@ -24,17 +24,29 @@ def bias_cancel(x: np.ndarray, context: int = BIAS_CONTEXT) -> np.ndarray:
     return x - (total[at] - total[np.maximum(at - context, 0)]) // context
 
 
-def bias_restore(r: np.ndarray, context: int = BIAS_CONTEXT) -> np.ndarray:
-    out, ring, total = np.empty(len(r), np.int64), [0] * context, 0
-    for i, v in enumerate(r.tolist()):
-        y = v + total // context
-        k = i % context
-        total += y - ring[k]
-        ring[k] = y
-        out[i] = y
+def _side_by_side(rows: list[np.ndarray]) -> np.ndarray:
+    """Windows as columns of one table, time downwards; short ones end in zeros."""
+    out = np.zeros((max(map(len, rows), default=0), len(rows)), np.int64)
+    for k, r in enumerate(rows):
+        out[: len(r), k] = r
     return out
 
 
+def bias_restore_all(rows: list[np.ndarray], context: int = BIAS_CONTEXT) -> list[np.ndarray]:
+    """Inverse of ``bias_cancel`` for many windows: one step of time over all of them at once, each from
+    the running sums of what is restored so far."""
+    y = _side_by_side(rows)
+    total = np.zeros((len(y) + 1, len(rows)), np.int64)
+    for t in range(len(y)):
+        y[t] += (total[t] - total[max(t - context, 0)]) // context
+        total[t + 1] = total[t] + y[t]
+    return [y[: len(r), k] for k, r in enumerate(rows)]
+
+
+def bias_restore(r: np.ndarray, context: int = BIAS_CONTEXT) -> np.ndarray:
+    return bias_restore_all([r], context)[0]
+
+
 def lpc_residual(x: np.ndarray, c: np.ndarray, shift: int = LPC_SHIFT) -> np.ndarray:
     guess = np.zeros(len(x), np.int64)
     for k, ck in enumerate(c.tolist()[: max(len(x) - 1, 0)]):
@@ -42,12 +54,18 @@ def lpc_residual(x: np.ndarray, c: np.ndarray, shift: int = LPC_SHIFT) -> np.nda
     return x - (guess >> shift)
 
 
+def lpc_restore_all(rows: list[np.ndarray], c: list[np.ndarray], shift: int = LPC_SHIFT) -> list[np.ndarray]:
+    """Inverse of ``lpc_residual`` for many windows, each with its own coefficients (as many for all)."""
+    order = len(c[0]) if c else 0
+    y = np.concatenate([np.zeros((order, len(rows)), np.int64), _side_by_side(rows)])
+    back = np.array(c, np.int64).reshape(len(rows), order).T[::-1]  # the oldest value's coefficient first
+    for t in range(order, len(y)):
+        y[t] += (back * y[t - order : t]).sum(0) >> shift
+    return [y[order : order + len(r), k] for k, r in enumerate(rows)]
+
+
 def lpc_restore(r: np.ndarray, c: np.ndarray, shift: int = LPC_SHIFT) -> np.ndarray:
-    coef, out = c.tolist(), []
-    for v in r.tolist():
-        guess = sum(ck * out[-k - 1] for k, ck in enumerate(coef) if k < len(out))
-        out.append(v + (guess >> shift))
-    return np.array(out, np.int64)
+    return lpc_restore_all([r], [c], shift)[0]
 
 
 def lpc_coefficients(x: np.ndarray, order: int, shift: int = LPC_SHIFT) -> np.ndarray:
@@ -122,17 +140,26 @@ def rice_encode(v: np.ndarray) -> bytes:
 
 
 def rice_decode(raw: bytes) -> np.ndarray:
+    """Where a code starts follows from the one before, so starts are found by doubling: each round knows
+    where twice as many codes later begins."""
     k, n = struct.unpack_from("<BI", raw)
     bits = np.unpackbits(np.frombuffer(raw, np.uint8, offset=5))
     zero = np.flatnonzero(bits == 0)
-    out, at = np.empty(n, np.int64), 0
-    weights = 1 << np.arange(k - 1, -1, -1, dtype=np.int64)
-    for i in range(n):
-        stop = int(zero[np.searchsorted(zero, at)])
-        rest = int(bits[stop + 1 : stop + 1 + k] @ weights) if k else 0
-        out[i] = ((stop - at) << k) | rest
-        at = stop + 1 + k
-    return unzigzag(out)
+    if not n:
+        return np.zeros(0, np.int64)
+    at = np.arange(len(bits) + 1)
+    stop = np.r_[zero, len(bits)][np.searchsorted(zero, at)]
+    jump = np.minimum(stop + 1 + k, len(bits))
+    start = np.zeros(1, np.int64)
+    while len(start) < n:
+        start = np.concatenate([start, jump[start]])
+        jump = jump[jump]
+    start = start[:n]
+    end = stop[start]
+    z = (end - start) << k
+    for j in range(k):
+        z |= bits[end + 1 + j].astype(np.int64) << (k - 1 - j)
+    return unzigzag(z)
 
 
 def frequencies(count: np.ndarray, total: int) -> np.ndarray:
@@ -216,23 +243,38 @@ def encode_window(x: np.ndarray, order: int = 4) -> bytes:
     return out + struct.pack("<I", zlib.crc32(out))
 
 
+def decode_windows(packets: list[bytes]) -> list[np.ndarray]:
+    """The windows of many packets; bands of one rank and order are restored side by side."""
+    heads, bands = [], {}
+    for w, raw in enumerate(packets):
+        if raw[:4] != MAGIC:
+            raise ValueError("not a window packet")
+        if zlib.crc32(raw[:-4]) != struct.unpack("<I", raw[-4:])[0]:
+            raise ValueError("the packet's checksum does not match")
+        n, depth, order = struct.unpack_from("<IBB", raw, 4)
+        at = 10
+        heads.append((n, depth))
+        for b in range(depth + 1):
+            c = np.frombuffer(raw, "<i8", order, at).astype(np.int64)
+            (size,) = struct.unpack_from("<I", raw, at + 8 * order)
+            at += 8 * order + 4
+            bands.setdefault((b, order), []).append((w, c, rice_decode(raw[at : at + size])))
+            at += size
+    found: dict[tuple[int, int], np.ndarray] = {}
+    for (b, _), these in bands.items():
+        back = lpc_restore_all(bias_restore_all([r for _, _, r in these]), [c for _, c, _ in these])
+        found |= {(w, b): x for (w, _, _), x in zip(these, back, strict=True)}
+    out = []
+    for w, (n, depth) in enumerate(heads):
+        now = found[w, depth]
+        for b in reversed(range(depth)):
+            now = unlift(now, found[w, b])
+        out.append(now[:n])
+    return out
+
+
 def decode_window(raw: bytes) -> np.ndarray:
-    if raw[:4] != MAGIC:
-        raise ValueError("not a window packet")
-    if zlib.crc32(raw[:-4]) != struct.unpack("<I", raw[-4:])[0]:
-        raise ValueError("the packet's checksum does not match")
-    n, depth, order = struct.unpack_from("<IBB", raw, 4)
-    at, bands = 10, []
-    for _ in range(depth + 1):
-        c = np.frombuffer(raw, "<i8", order, at).astype(np.int64)
-        (size,) = struct.unpack_from("<I", raw, at + 8 * order)
-        at += 8 * order + 4
-        bands.append(lpc_restore(bias_restore(rice_decode(raw[at : at + size])), c))
-        at += size
-    now = bands.pop()
-    while bands:
-        now = unlift(now, bands.pop())
-    return now[:n]
+    return decode_windows([raw])[0]
 
 
 def encode_levels(x: np.ndarray, levels: int) -> bytes:
@@ -252,6 +294,7 @@ def decode_levels(raw: bytes) -> np.ndarray:
 
 # --- spectra ------------------------------------------------------------------------------------
 
+#: The frequency bands in Hz.
 BANDS = {"delta": (0.5, 4.0), "theta": (4.0, 8.0), "alpha": (8.0, 13.0), "beta": (13.0, 30.0), "gamma": (30.0, 45.0)}
 
 
@@ -284,38 +327,45 @@ def psd_divergence(x: np.ndarray, y: np.ndarray, rate: float) -> float:
     return float((p * np.log(p / q)).sum())
 
 
-def high_pass(x: np.ndarray, cutoff: float, rate: float) -> np.ndarray:
-    """Second-order Butterworth high-pass, run forward."""
+def high_pass_all(rows: list[np.ndarray], cutoff: float, rate: float) -> list[np.ndarray]:
+    """Second-order Butterworth high-pass, run forward over many windows at once."""
     k = np.tan(np.pi * cutoff / rate)
     norm = 1 / (1 + np.sqrt(2) * k + k * k)
-    b0, a1, a2 = norm, 2 * (k * k - 1) * norm, (1 - np.sqrt(2) * k + k * k) * norm
-    out, x1, x2, y1, y2 = np.empty(len(x)), 0.0, 0.0, 0.0, 0.0
-    for i, v in enumerate(x.astype(float).tolist()):
-        y = b0 * (v - 2 * x1 + x2) - a1 * y1 - a2 * y2
-        x2, x1, y2, y1 = x1, v, y1, y
-        out[i] = y
-    return out
+    a1, a2 = 2 * (k * k - 1) * norm, (1 - np.sqrt(2) * k + k * k) * norm
+    x = np.concatenate([np.zeros((2, len(rows))), _side_by_side(rows)])
+    y = np.zeros_like(x)
+    for t in range(2, len(x)):
+        y[t] = norm * (x[t] - 2 * x[t - 1] + x[t - 2]) - a1 * y[t - 1] - a2 * y[t - 2]
+    return [y[2 : 2 + len(r), k] for k, r in enumerate(rows)]
+
+
+def high_pass(x: np.ndarray, cutoff: float, rate: float) -> np.ndarray:
+    return high_pass_all([x], cutoff, rate)[0]
 
 
 # --- running them -------------------------------------------------------------------------------
 
 
-def over_windows(windows: DataFrame, f: Callable[[np.ndarray], np.ndarray | bytes], result: str = "samples array<long>") -> DataFrame:
-    """``f`` over each row's ``samples`` (or ``packet``), batch by batch: windows are independent, so no
-    shuffle is needed and parallelism is that of the input."""
+#: Windows that a kernel over many of them holds at once.
+TOGETHER = 1024
+
+
+def over_windows(windows: DataFrame, f: Callable, result: str = "samples array<long>", many: bool = False) -> DataFrame:
+    """``f`` over each row's ``samples`` (or ``packet``), or with ``many`` over lists of up to ``TOGETHER`` of
+    them: windows are independent, so no shuffle is needed and parallelism is that of the input."""
     name, kind = result.split(" ", 1)
     source = "packet" if "packet" in windows.columns else "samples"
     keep = [c for c in windows.columns if c not in ("samples", "packet")]
     to = pa.binary() if kind == "binary" else pa.list_(pa.float64()) if "double" in kind else pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = b.column(b.schema.get_field_index(source))
-            out = []
-            for x in rows:
-                got = f(x.as_py() if source == "packet" else np.array(x.as_py(), np.int64))
-                out.append(got if isinstance(got, bytes) else got.tolist())
-            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in keep), pa.array(out, to)], [*keep, name])
+        for whole in batches:
+            for at in range(0, whole.num_rows, TOGETHER):
+                b = whole.slice(at, TOGETHER)
+                rows = [x.as_py() if source == "packet" else np.array(x.as_py(), np.int64) for x in b.column(b.schema.get_field_index(source))]
+                got = f(rows) if many else map(f, rows)
+                out = [g if isinstance(g, bytes) else g.tolist() for g in got]
+                yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in keep), pa.array(out, to)], [*keep, name])
 
     schema = ", ".join([*(f"{x.name} {x.dataType.simpleString()}" for x in windows.schema if x.name in keep), result])
     return windows.mapInArrow(run, schema)
@@ -331,6 +381,10 @@ def fixed_residual(x: np.ndarray) -> np.ndarray:
     return lpc_residual(x, _FIXED)
 
 
+def fixed_restore_all(rows: list[np.ndarray]) -> list[np.ndarray]:
+    return lpc_restore_all(rows, [_FIXED] * len(rows))
+
+
 def fixed_restore(r: np.ndarray) -> np.ndarray:
     return lpc_restore(r, _FIXED)
 
