@@ -2,10 +2,60 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Relative rank error of the sketch that places a percentile, and the group size below which all values are ranked.
+SKETCH, RANKED = 100_000, 100_000
+
+
+def at_ranks(rows: DataFrame, value: str, ranks: dict[str, tuple[float, Callable[[Column], Column]]], *by: str) -> DataFrame:
+    """Exact values at 0-based ranks of each group: ``ranks`` gives a name its share p of the group, and the
+    rank, which is within 2 of p times the count, as a function of the count.
+
+    A sketch gives a narrow range around each rank first. What lies below the range is only counted, what
+    lies in it is counted by value and ranked, so no task orders a whole group, however large. Nulls have no
+    rank; a null group is one of its own."""
+    wide = 3 / SKETCH
+    key = F.struct(*by) if by else F.lit(0)
+    x = rows.where(F.col(value).isNotNull()).select(key.alias("_key"), F.col(value).alias("_x"))
+    ends = [min(max(p + d, 0.0), 1.0) for p, _ in ranks.values() for d in (-wide, wide)]
+    g = x.groupBy("_key").agg(F.count("*").alias("_n"), F.percentile_approx("_x", ends, SKETCH).alias("_q"))
+    large = F.col("_n") >= RANKED
+    bands = [
+        F.struct(F.lit(k).alias("k"), rank(F.col("_n")).cast("long").alias("r"), F.when(large & F.lit(p > wide), F.col("_q")[2 * k]).alias("lo"), F.when(large & F.lit(p < 1 - wide), F.col("_q")[2 * k + 1]).alias("hi"))
+        for k, (p, rank) in enumerate(ranks.values())
+    ]
+    met = x.join(g.select("_key", F.array(*bands).alias("_bands")), "_key")
+    up_to = F.filter("_bands", lambda b: F.coalesce(F.col("_x") <= b.hi, F.lit(True)))
+    each = met.select("_key", "_x", F.explode(up_to).alias("_b"))
+    inside = F.coalesce(F.col("_x") >= F.col("_b.lo"), F.lit(True))
+    counted = each.groupBy("_key", F.col("_b.k").alias("_k"), F.col("_b.r").alias("_r"), F.when(inside, F.col("_x")).alias("_x")).agg(F.count("*").alias("_c"))
+    up = Window.partitionBy("_key", "_k").orderBy(F.asc_nulls_first("_x"))
+    placed = counted.withColumn("_up", F.sum("_c").over(up)).where("_up > _r AND _up - _c <= _r")
+    out = placed.groupBy("_key").agg(*(F.max(F.when(F.col("_k") == k, F.col("_x"))).alias(name) for k, name in enumerate(ranks)))
+    return out.select(*(F.col(f"_key.{c}").alias(c) for c in by), *ranks)
+
+
+def percentiles(rows: DataFrame, value: str, points: dict[str, float], *by: str) -> DataFrame:
+    """Percentiles with linear interpolation between the two values around ``p * (n - 1)``."""
+    ranks: dict[str, tuple[float, Callable[[Column], Column]]] = {}
+    for name, p in points.items():
+        ranks[f"_lo_{name}"] = (p, lambda n, p=p: F.floor(F.lit(p) * (n - 1)))
+        ranks[f"_hi_{name}"] = (p, lambda n, p=p: F.ceil(F.lit(p) * (n - 1)))
+    key = F.struct(*by) if by else F.lit(0)
+    n = rows.where(F.col(value).isNotNull()).groupBy(key.alias("_key")).agg(F.count("*").alias("_n"))
+    got = at_ranks(rows, value, ranks, *by).withColumn("_key", key)
+    out = {}
+    for name, p in points.items():
+        lo, hi, at = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double"), F.lit(p) * (F.col("_n") - 1)
+        out[name] = F.when(lo == hi, lo).otherwise(lo * (F.ceil(at) - at) + hi * (at - F.floor(at)))
+    return got.join(n, "_key").select(*by, *(c.alias(name) for name, c in out.items()))
+
+
 def channel_stats(samples: DataFrame) -> DataFrame:
     """Per recording: count, range, mean, population deviation, median and median absolute deviation."""
     base = samples.groupBy("recording").agg(
@@ -14,10 +64,11 @@ def channel_stats(samples: DataFrame) -> DataFrame:
         F.max("v").alias("v_max"),
         F.round(F.avg("v"), 6).alias("v_mean"),
         F.round(F.stddev_pop("v"), 6).alias("v_std"),
-        F.median("v").alias("v_median"),
     )
-    far = samples.join(base.select("recording", "v_median"), "recording").groupBy("recording").agg(F.median(F.abs(F.col("v") - F.col("v_median"))).alias("v_mad"))
-    return base.join(far, "recording").withColumns({"v_median": F.round("v_median", 6), "v_mad": F.round("v_mad", 6)})
+    middle = percentiles(samples, "v", {"v_median": 0.5}, "recording")
+    away = samples.join(middle, "recording").select("recording", F.abs(F.col("v") - F.col("v_median")).alias("_d"))
+    far = percentiles(away, "_d", {"v_mad": 0.5}, "recording")
+    return base.join(middle, "recording").join(far, "recording").withColumns({"v_median": F.round("v_median", 6), "v_mad": F.round("v_mad", 6)})
 
 
 def batch_summary(results: DataFrame, *by: str) -> DataFrame:
@@ -42,20 +93,20 @@ def run_gap(ratio: Column, width: int = 16, floor: float = 6.63) -> dict[str, Co
 
 
 def robust_summary(rows: DataFrame, value: str, *by: str) -> DataFrame:
-    """n, mean, interpolated 5/50/95 percentiles and range of the values that are numbers, infinities included."""
-    x = F.when(~F.isnan(value), F.col(value).cast("double"))
-    p = F.percentile(x, F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
-    g = rows.groupBy(*by).agg(F.count(x).alias("n"), F.round(F.avg(x), 6).alias("mean"), p.alias("_p"), F.min(x).alias("min"), F.max(x).alias("max"))
-    return g.select(*by, "n", "mean", *(F.round(F.col("_p")[k], 6).alias(n) for k, n in enumerate(("p5", "p50", "p95"))), "min", "max")
+    """n, mean, interpolated 5/50/95 percentiles and range of the values that are numbers, infinities included;
+    for one group at least."""
+    x = F.when(~F.isnan(value), F.col(value).cast("double")).alias("_v")
+    numbers = rows.select(*by, x)
+    g = numbers.groupBy(F.struct(*by).alias("_g")).agg(F.count("_v").alias("n"), F.round(F.avg("_v"), 6).alias("mean"), F.min("_v").alias("min"), F.max("_v").alias("max"))
+    p = percentiles(numbers, "_v", {"p5": 0.05, "p50": 0.5, "p95": 0.95}, *by).withColumn("_g", F.struct(*by)).drop(*by)
+    return g.join(p, "_g", "left").select("_g.*", "n", "mean", *(F.round(c, 6).alias(c) for c in ("p5", "p50", "p95")), "min", "max")
 
 
 def ranked_percentiles(rows: DataFrame, value: str, by: str, points: dict[str, float], rule: str = "nearest") -> DataFrame:
     """Percentiles that are values of the data. ``nearest``: index ``min(int(p * n), n - 1)``; ``plain``: the
-    same without the bound, which p < 1 never needs. Rows are ranked, not collected."""
-    w = Window.partitionBy(by).orderBy(value)
-    ranked = rows.where(F.col(value).isNotNull()).select(by, value, (F.row_number().over(w) - 1).alias("_r"), F.count("*").over(Window.partitionBy(by)).alias("_n"))
-    at = {name: F.least(F.floor(F.lit(p) * F.col("_n")), F.col("_n") - 1) if rule == "nearest" else F.floor(F.lit(p) * F.col("_n")) for name, p in points.items()}
-    return ranked.groupBy(by).agg(*(F.max(F.when(F.col("_r") == a, F.col(value))).alias(n) for n, a in at.items()))
+    same without the bound, which p < 1 never needs."""
+    at = lambda p: lambda n: F.least(F.floor(F.lit(p) * n), n - 1) if rule == "nearest" else F.floor(F.lit(p) * n)
+    return at_ranks(rows, value, {name: (p, at(p)) for name, p in points.items()}, by)
 
 
 def histogram(rows: DataFrame, value: str, by: str, bins: int = 30) -> DataFrame:
@@ -117,9 +168,11 @@ def head_to_head(rows: DataFrame, codec: str = "codec") -> DataFrame:
 
 def rollup_percentiles(rows: DataFrame, value: str, group: str) -> DataFrame:
     """Median, 5th and 95th percentile cut to integers, for each group and for all (group null)."""
-    p = F.percentile(value, F.array(F.lit(0.5), F.lit(0.05), F.lit(0.95)))
-    g = rows.rollup(group).agg(F.count("*").alias("n"), p.alias("_p"))
-    return g.select(group, "n", *(F.col("_p")[k].cast("long").alias(name) for k, name in enumerate(("p50", "p5", "p95"))))
+    both = F.explode(F.array(F.struct(F.col(group).alias("g"), F.lit(False).alias("all")), F.struct(F.lit(None).alias("g"), F.lit(True).alias("all")))).alias("_of")
+    x = rows.select(both, value).select(F.col("_of.g").alias(group), F.col("_of.all").alias("_all"), value)
+    n = x.groupBy(F.struct(group, "_all").alias("_g")).agg(F.count("*").alias("n"))
+    p = percentiles(x, value, {"p50": 0.5, "p5": 0.05, "p95": 0.95}, group, "_all").withColumn("_g", F.struct(group, "_all")).drop(group, "_all")
+    return n.join(p, "_g", "left").select(F.col(f"_g.{group}").alias(group), "n", *(F.col(c).cast("long").alias(c) for c in ("p50", "p5", "p95")))
 
 
 def normalised_frequencies(rows: DataFrame, symbol: str, total: int, by: str, alphabet: int) -> DataFrame:

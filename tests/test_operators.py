@@ -115,3 +115,19 @@ def test_numbering_by_ranges(spark):
     for g in range(3):
         ks = sorted(k for a, k in got if a == g)
         assert [got[g, k] for k in ks] == list(range(len(ks)))
+
+
+def test_percentiles_are_exact_beyond_the_ranked_size(spark, monkeypatch):
+    """A group above the size that is ranked whole, one with a value that most rows share, a null group and nulls."""
+    import numpy as np
+
+    monkeypatch.setattr(aggregates, "RANKED", 1000)
+    monkeypatch.setattr(aggregates, "SKETCH", 1000)
+    big, same = np.random.default_rng(0).normal(size=30_000) ** 3, [1.0] * 5000 + [2.0, -7.0]
+    rows = [("big", float(x)) for x in big] + [("same", x) for x in same] + [(None, 4.0), (None, 8.0), ("big", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(7)
+    got = {r.g: r for r in aggregates.percentiles(df, "x", {"a": 0.05, "b": 0.5, "c": 0.999}, "g").collect()}
+    assert np.allclose([got["big"][n] for n in "abc"], np.percentile(big, [5, 50, 99.9]), rtol=0, atol=1e-12)
+    assert np.allclose([got["same"][n] for n in "abc"], np.percentile(same, [5, 50, 99.9])) and got[None].b == 6.0
+    ranked = {r.g: r for r in aggregates.ranked_percentiles(df, "x", "g", {"a": 0.05, "z": 1.0}).collect()}
+    assert ranked["big"].a == np.sort(big)[1500] and ranked["big"].z == big.max() and ranked["same"].z == 2.0
