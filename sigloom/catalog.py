@@ -200,14 +200,29 @@ def run_statistics(spark, sf_dir):
 
 @query(
     "paper_aggregate",
-    f"""WITH {_RESULTS}, r AS (SELECT grp, raw_bytes, packed_bytes, CAST(raw_bytes AS DOUBLE) / packed_bytes AS cr FROM results WHERE status = 'success' AND packed_bytes > 0)
-SELECT grp, count(*) AS ok, round(CAST(sum(raw_bytes) AS DOUBLE) / sum(packed_bytes), 6) AS ratio_of_sums, round(avg(cr), 4) AS mean_of_ratios, round(median(cr), 6) AS median, round(quantile_cont(cr, 0.05), 6) AS p5, round(quantile_cont(cr, 0.95), 6) AS p95 FROM r GROUP BY grp""",
+    f"""WITH {_RESULTS}, r AS (SELECT grp, status, input, CASE WHEN status = 'success' AND packed_bytes > 0 THEN raw_bytes END AS raw, CASE WHEN status = 'success' AND packed_bytes > 0 THEN packed_bytes END AS packed FROM results),
+c AS (SELECT *, CAST(raw AS DOUBLE) / packed AS cr FROM r)
+SELECT grp, count(cr) AS ok, CAST(count_if(status = 'failed') AS BIGINT) AS errors, CAST(count_if(cr IS NOT NULL AND input % 5 <> 0) AS BIGINT) AS bit_perfect, CAST(sum(raw) AS BIGINT) AS raw_bytes, CAST(sum(packed) AS BIGINT) AS packed_bytes, round(CAST(sum(raw) AS DOUBLE) / sum(packed), 6) AS ratio_of_sums, round(avg(cr), 4) AS mean_of_ratios,
+ round(stddev_pop(cr), 4) AS std, round(min(cr), 6) AS min, round(max(cr), 6) AS max, round(median(cr), 6) AS median, round(quantile_cont(cr, 0.05), 6) AS p5, round(quantile_cont(cr, 0.95), 6) AS p95 FROM c GROUP BY grp""",
 )
 def paper_aggregate(spark, sf_dir):
-    r = _results(spark, sf_dir).where("status = 'success' AND packed_bytes > 0").withColumn("cr", F.col("raw_bytes").cast("double") / F.col("packed_bytes"))
-    p = F.percentile("cr", F.array(F.lit(0.5), F.lit(0.05), F.lit(0.95)))
-    g = r.groupBy("grp").agg(F.count("*").alias("ok"), F.round(F.sum("raw_bytes").cast("double") / F.sum("packed_bytes"), 6).alias("ratio_of_sums"), F.round(F.avg("cr"), 4).alias("mean_of_ratios"), p.alias("_p"))
-    return g.select("grp", "ok", "ratio_of_sums", "mean_of_ratios", *(F.round(F.col("_p")[k], 6).alias(n) for k, n in enumerate(("median", "p5", "p95"))))
+    return aggregates.paper_aggregate(_results(spark, sf_dir).withColumn("exact", F.col("input") % 5 != 0), "grp")
+
+
+@query(
+    "run_totals",
+    f"""WITH {_RESULTS}, g AS (SELECT CAST(count_if(status = 'success') AS BIGINT) AS files_ok, CAST(count_if(status = 'failed') AS BIGINT) AS files_error, CAST(count_if(status = 'skipped') AS BIGINT) AS files_skipped, CAST(coalesce(sum(raw_bytes) FILTER (status = 'success'), 0) AS BIGINT) AS bytes_in, CAST(coalesce(sum(packed_bytes) FILTER (status = 'success'), 0) AS BIGINT) AS bytes_out FROM results)
+SELECT *, round(CASE WHEN bytes_out > 0 THEN bytes_in / bytes_out ELSE 0 END, 4) AS compression_ratio FROM g""",
+)
+def run_totals(spark, sf_dir):
+    return reports.run_totals(_results(spark, sf_dir).withColumnRenamed("packed_bytes", "compressed_bytes"))
+
+
+@query("audit_lines", f"""WITH {_RESULTS} SELECT input, concat_ws('  ', rpad('FILE', 9, ' '), 'idx=' || input, CASE WHEN contains(grp, ' ') THEN 'path="' || grp || '"' ELSE 'path=' || grp END, 'state=' || status, 'bytes=' || CASE WHEN status = 'success' THEN raw_bytes END) AS line FROM results""")
+def audit_lines(spark, sf_dir):
+    r = _results(spark, sf_dir)
+    fields = {"idx": F.col("input"), "path": F.col("grp"), "state": F.col("status"), "bytes": F.when(F.col("status") == "success", F.col("raw_bytes"))}
+    return r.select("input", reports.audit_line(F.lit("FILE"), fields).alias("line"))
 
 
 @query("state_counts", f"WITH {_RESULTS} SELECT CAST(count_if(status = 'pending') AS BIGINT) AS pending, CAST(count_if(status = 'in_progress') AS BIGINT) AS in_progress, CAST(count_if(status = 'success') AS BIGINT) AS success, CAST(count_if(status = 'failed') AS BIGINT) AS failed, CAST(count_if(status = 'quarantined') AS BIGINT) AS quarantined FROM results")
@@ -564,27 +579,90 @@ def codec_levels_error(spark, sf_dir):
     return w.join(back, ["recording", "seq"]).select("recording", "seq", (far <= half).alias("within"))
 
 
-@query("band_prd")
+_WINDOWS = f"""{SIGNAL}, w AS (SELECT recording, t // 250 AS seq, t % 250 AS i, v AS x, (v >> 3) << 3 AS y, (v >> 8) << 8 AS z, count(*) OVER s AS n, avg(v) OVER s AS mx, avg((v >> 3) << 3) OVER s AS my, avg((v >> 8) << 8) OVER s AS mz
+ FROM signal WINDOW s AS (PARTITION BY recording, t // 250)), k AS (SELECT unnest(range(0, 126)) AS k)"""
+
+
+def _power(y: str, size: str = "n") -> str:
+    """Spectra p and q of each window and of ``y``, under a Hann window and without their means."""
+    turn = f"2 * pi() * ((k * i) % {size}) / {size}"
+    part = lambda v, f: f"sum(({v} - m{v}) * (0.5 - 0.5 * cos(2 * pi() * i / n)) * {f}({turn}))"
+    return f"""e AS (SELECT recording, seq, n, 250.0 * sum(pow(0.5 - 0.5 * cos(2 * pi() * i / n), 2)) AS e FROM w WHERE n > 1 GROUP BY 1, 2, 3),
+d AS (SELECT recording, seq, n, k, {part("x", "cos")} AS xc, {part("x", "sin")} AS xs, {part(y, "cos")} AS yc, {part(y, "sin")} AS ys FROM w JOIN k ON k <= {size} // 2 WHERE n > 1 GROUP BY 1, 2, 3, 4),
+f AS (SELECT recording, seq, n, k, (xc * xc + xs * xs) / e * (CASE WHEN k > 0 AND 2 * k < n THEN 2 ELSE 1 END) AS p, (yc * yc + ys * ys) / e * (CASE WHEN k > 0 AND 2 * k < n THEN 2 ELSE 1 END) AS q FROM d JOIN e USING (recording, seq, n))"""
+
+
+_BAND = ", ".join(f"round(CASE WHEN coalesce(sqrt(sum(xx) FILTER (hz >= {lo} AND hz < {hi})), 0) > 1e-12 THEN 100 * sqrt(sum(dd) FILTER (hz >= {lo} AND hz < {hi})) / sqrt(sum(xx) FILTER (hz >= {lo} AND hz < {hi})) ELSE 0 END, 6) AS {name}" for name, (lo, hi) in codecs.BANDS.items())
+
+
+@query(
+    "band_prd",
+    f"""WITH {_WINDOWS}, d AS (SELECT recording, seq, n, k, sum(x * cos(2 * pi() * ((k * i) % n) / n)) AS a, sum(x * sin(2 * pi() * ((k * i) % n) / n)) AS b, sum((x - y) * cos(2 * pi() * ((k * i) % n) / n)) AS c, sum((x - y) * sin(2 * pi() * ((k * i) % n) / n)) AS d FROM w JOIN k ON k <= n // 2 GROUP BY 1, 2, 3, 4),
+f AS (SELECT recording, seq, k * 250.0 / n AS hz, a * a + b * b AS xx, c * c + d * d AS dd FROM d) SELECT recording, seq, {_BAND} FROM f GROUP BY 1, 2""",
+)
 def band_prd(spark, sf_dir):
-    """PRD of the stripped signal within each frequency band; a Fourier transform, so without an oracle."""
+    """PRD of the stripped signal within each frequency band, window by window."""
     w = windows.arrays(signal(spark, sf_dir), 250)
     names = list(codecs.BANDS)
     got = codecs.over_windows(w, lambda x: np.array(list(codecs.band_prd(x, (x >> 3) << 3, 250.0).values())), "prd array<double>")
     return got.select("recording", "seq", *(F.round(F.col("prd")[k], 6).alias(n) for k, n in enumerate(names)))
 
 
-@query("psd_divergence")
+@query(
+    "psd_divergence",
+    f"""WITH {_WINDOWS}, {_power("z")}, g AS (SELECT recording, seq, (p + 1e-12) / sum(p + 1e-12) OVER s AS p, (q + 1e-12) / sum(q + 1e-12) OVER s AS q FROM f WINDOW s AS (PARTITION BY recording, seq)),
+h AS (SELECT recording, seq, sum(p * ln(p / q)) AS kl FROM g GROUP BY 1, 2), every AS (SELECT DISTINCT recording, seq FROM w)
+SELECT recording, seq, round(coalesce(kl, 0), 9) AS divergence FROM every LEFT JOIN h USING (recording, seq)""",
+)
 def psd_divergence(spark, sf_dir):
     w = windows.arrays(signal(spark, sf_dir), 250)
-    got = codecs.over_windows(w, lambda x: np.array([codecs.psd_divergence(x, (x >> 3) << 3, 250.0)]), "d array<double>")
+    got = codecs.over_windows(w, lambda x: np.array([codecs.psd_divergence(x, (x >> 8) << 8, 250.0)]), "d array<double>")
     return got.select("recording", "seq", F.round(F.col("d")[0], 9).alias("divergence"))
 
 
-@query("high_pass")
+@query(
+    "high_pass",
+    f"""WITH RECURSIVE c AS (SELECT 1 / (1 + sqrt(2) * g + g * g) AS norm, 2 * (g * g - 1) / (1 + sqrt(2) * g + g * g) AS a1, (1 - sqrt(2) * g + g * g) / (1 + sqrt(2) * g + g * g) AS a2 FROM (SELECT tan(pi() * 0.5 / 250) AS g)),
+h(j, y, y1) AS (SELECT 0, norm, CAST(0 AS DOUBLE) FROM c UNION ALL SELECT j + 1, (CASE j + 1 WHEN 1 THEN -2 WHEN 2 THEN 1 ELSE 0 END) * norm - a1 * y - a2 * y1, y FROM h, c WHERE j < 249),
+{_WINDOWS}, o AS (SELECT a.recording, a.seq, a.i, sum(b.x * h.y) AS y FROM w a JOIN w b ON a.recording = b.recording AND a.seq = b.seq AND b.i <= a.i JOIN h ON h.j = a.i - b.i GROUP BY 1, 2, 3),
+u AS (SELECT recording, seq, sum(y * y) AS out FROM o GROUP BY 1, 2), v AS (SELECT recording, seq, sum(CAST(x AS DOUBLE) * x) AS whole FROM w GROUP BY 1, 2) SELECT recording, seq, round(CASE WHEN whole > 0 THEN out / whole ELSE 0 END, 9) AS passed FROM u JOIN v USING (recording, seq)""",
+)
 def high_pass(spark, sf_dir):
+    """Share of each window's energy that the filter lets pass."""
     w = windows.arrays(signal(spark, sf_dir), 250)
-    got = codecs.over_windows(w, lambda x: codecs.high_pass(x, 0.5, 250.0), "y array<double>")
-    return got.select("recording", "seq", F.round(F.aggregate("y", F.lit(0.0), lambda a, v: a + v * v), 3).alias("energy"))
+    energy = lambda rows: [np.array([float((y @ y) / max(x.astype(float) @ x, 1e-300))]) for x, y in zip(rows, codecs.high_pass_all(rows, 0.5, 250.0), strict=True)]
+    got = codecs.over_windows(w, energy, "passed array<double>", many=True)
+    return got.select("recording", "seq", F.round(F.col("passed")[0], 9).alias("passed"))
+
+
+@query(
+    "float_lifting",
+    f"""WITH {_WINDOWS}, d AS (SELECT *, CASE WHEN i % 2 = 1 THEN x - (lag(x) OVER o + coalesce(lead(x) OVER o, lag(x) OVER o)) / 2 END AS d FROM w WINDOW o AS (PARTITION BY recording, seq ORDER BY i))
+SELECT recording, seq, CASE WHEN i % 2 = 1 THEN 'detail' ELSE 'approx' END AS band, i // 2 AS idx, CASE WHEN i % 2 = 1 THEN d ELSE x + (coalesce(lag(d) OVER o, lead(d) OVER o, 0) + coalesce(lead(d) OVER o, lag(d) OVER o, 0)) / 4 END AS v FROM d WINDOW o AS (PARTITION BY recording, seq ORDER BY i)""",
+)
+def float_lifting(spark, sf_dir):
+    w = windows.arrays(signal(spark, sf_dir), 250).withColumn("half", F.ceil(F.size("samples") / 2))
+    got = codecs.over_windows(w, lambda x: np.concatenate(codecs.float_lift(x)), "bands array<double>").select("recording", "seq", "half", F.posexplode("bands").alias("at", "v"))
+    low = F.col("at") < F.col("half")
+    return got.select("recording", "seq", F.when(low, "approx").otherwise("detail").alias("band"), F.when(low, F.col("at")).otherwise(F.col("at") - F.col("half")).alias("idx"), "v")
+
+
+def _whole(rows: list[np.ndarray]) -> list[np.ndarray]:
+    return [np.rint(x).astype(np.int64) for x in rows]
+
+
+_round_trip("float_lifting_round_trip", lambda x: _whole([codecs.float_unlift(*codecs.float_lift(x))])[0], lambda x: x, packed=False)
+
+
+@query("float_lpc_round_trip", _ARRAYS)
+def float_lpc_round_trip(spark, sf_dir):
+    """Residuals by weights from the first 256 samples, and the samples that they give back."""
+
+    def there_and_back(rows: list[np.ndarray]) -> list[np.ndarray]:
+        c = [codecs.float_coefficients(x.astype(float), 8) for x in rows]
+        return _whole(codecs.float_restore_all([codecs.float_residual(x, k) for x, k in zip(rows, c, strict=True)], c))
+
+    return _digest(codecs.over_windows(windows.arrays(signal(spark, sf_dir), 250), there_and_back, many=True))
 
 
 # --- joins --------------------------------------------------------------------------------------
@@ -1034,21 +1112,33 @@ def field_dispositions(spark, sf_dir):
 
 @query(
     "seizure_preservation",
-    f"""WITH {SIGNAL}, w AS (SELECT recording, t // 100 AS seq, max(v) AS top, max((v >> 8) << 8) AS top2 FROM signal GROUP BY 1, 2)
-SELECT recording, CAST(count_if(top > 20000) AS BIGINT) AS events, CAST(count_if(top > 20000 AND top2 > 20000) AS BIGINT) AS kept, CAST(count_if(top <= 20000 AND top2 > 20000) AS BIGINT) AS invented FROM w GROUP BY 1""",
+    f"""WITH {_WINDOWS}, {_power("z")}, b AS (SELECT recording, seq, avg(p) FILTER (hz BETWEEN 8 AND 30) AS ph, avg(p) FILTER (hz BETWEEN 0.5 AND 4) AS pl, avg(q) FILTER (hz BETWEEN 8 AND 30) AS qh, avg(q) FILTER (hz BETWEEN 0.5 AND 4) AS ql FROM (SELECT *, k * 250.0 / n AS hz FROM f) GROUP BY 1, 2),
+s AS (SELECT recording, coalesce(ph, 1e-30) / (coalesce(pl, 1e-30) + 1e-30) > 1 AS a, coalesce(qh, 1e-30) / (coalesce(ql, 1e-30) + 1e-30) > 1 AS b FROM b),
+r AS (SELECT DISTINCT recording FROM w)
+SELECT recording, CAST(count_if(a) AS BIGINT) AS events, CAST(count_if(a AND b) AS BIGINT) AS kept, CAST(count_if(NOT a AND b) AS BIGINT) AS invented FROM r LEFT JOIN s USING (recording) GROUP BY 1""",
 )
 def seizure_preservation(spark, sf_dir):
-    s = signal(spark, sf_dir).withColumn("y", F.shiftleft(F.shiftright("v", 8), 8))
-    w = s.groupBy("recording", F.floor(F.col("t") / 100).alias("seq")).agg((F.max("v") > 20000).alias("a"), (F.max("y") > 20000).alias("b"))
-    return w.groupBy("recording").agg(F.count_if("a").alias("events"), F.count_if(F.col("a") & F.col("b")).alias("kept"), F.count_if(~F.col("a") & F.col("b")).alias("invented"))
+    """Windows whose ratio of band powers marks a seizure, before and after low bits are cleared."""
+    w = windows.arrays(signal(spark, sf_dir), 250)
+    score = codecs.over_windows(w, lambda x: np.array([codecs.band_ratio(x, 250.0), codecs.band_ratio((x >> 8) << 8, 250.0)]), "score array<double>")
+    s = score.select("recording", (F.col("score")[0] > 1).alias("a"), (F.col("score")[1] > 1).alias("b"))
+    return s.groupBy("recording").agg(F.count_if("a").alias("events"), F.count_if(F.col("a") & F.col("b")).alias("kept"), F.count_if(~F.col("a") & F.col("b")).alias("invented"))
 
 
-@query("spectral_fidelity")
+@query(
+    "spectral_fidelity",
+    f"""WITH {_WINDOWS}, {_power("z", "250")}, m AS (SELECT recording, k, avg(xx / e) AS p, avg(zz / e) AS q FROM (SELECT d.recording, k, e, xc * xc + xs * xs AS xx, yc * yc + ys * ys AS zz FROM d JOIN e USING (recording, seq, n)) GROUP BY 1, 2),
+b AS (SELECT recording, CAST(k AS DOUBLE) AS hz, abs(10 * log10((q + 1e-30) / (p + 1e-30))) AS db FROM m),
+l AS (SELECT *, sum(db) OVER (PARTITION BY recording ORDER BY hz ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) / 5 AS level FROM b) SELECT recording, round(avg(db), 6) AS db, min(hz) FILTER (level > 0.05 AND hz >= 0.3) AS f3db FROM l GROUP BY 1""",
+)
 def spectral_fidelity(spark, sf_dir):
-    """Mean error in dB of the stripped signal's spectrum, window by window."""
+    """Error in dB of the average spectrum after low bits are cleared, and where it leaves a twentieth of a dB."""
     w = windows.arrays(signal(spark, sf_dir), 250)
-    got = codecs.over_windows(w, lambda x: np.array([codecs.spectral_error(x, (x >> 3) << 3, 250.0)]), "d array<double>")
-    return got.select("recording", "seq", F.round(F.col("d")[0], 6).alias("db"))
+    got = codecs.over_windows(w, lambda x: codecs.window_spectra(x, (x >> 8) << 8, 250, 250.0), "power array<double>")
+    half = (F.size("power") / 2).cast("int")
+    pairs = F.arrays_zip(F.slice("power", F.lit(1), half).alias("p"), F.slice("power", half + 1, half).alias("q"))
+    each = got.where(F.size("power") > 0).select("recording", F.posexplode(pairs).alias("k", "s")).select("recording", F.col("k").cast("double").alias("hz"), F.col("s")["p"].alias("p"), F.col("s")["q"].alias("q"))
+    return metrics.spectral_bandwidth(each, "recording", limit=0.05).select("recording", F.round("db", 6).alias("db"), "f3db")
 
 
 @query(
@@ -1079,3 +1169,61 @@ def token_runs(spark, sf_dir):
     q = kernels.fsq(tensor(spark, sf_dir), "vec_id", "x", 4).select(F.col("vec_id").alias("recording"), F.col("dim").alias("t"), F.col("s").cast("long").alias("v"))
     r = windows.runs(q).groupBy("recording").agg(F.count("*").alias("runs"), F.sum("length").alias("n"))
     return r.select(F.col("recording").alias("vec_id"), "runs", F.round(1 - F.col("runs").cast("double") * 2 / F.col("n"), 6).alias("saving"))
+
+
+@query("record_gaps", "WITH r AS (SELECT event_type AS recording, event_id / 4.0 AS onset FROM events), s AS (SELECT *, onset - lag(onset) OVER (PARTITION BY recording ORDER BY onset) AS step FROM r) SELECT recording, CAST(onset AS DOUBLE) AS onset, CAST(step AS DOUBLE) AS step FROM s WHERE abs(step - 0.25) > 0.001")
+def record_gaps(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select(F.col("event_type").alias("recording"), (F.col("event_id") / 4).alias("onset"))
+    return windows.record_gaps(e, "recording", "onset", 0.25)
+
+
+@query("recording_stems", "WITH p AS (SELECT source || '/' || doc_id || (CASE doc_id % 3 WHEN 0 THEN '.lml' WHEN 1 THEN '_labels.npz' ELSE '.edf' END) AS path, doc_id FROM documents) SELECT path, CASE WHEN doc_id % 3 = 0 THEN CAST(doc_id AS VARCHAR) END AS stem, CASE WHEN doc_id % 3 = 1 THEN CAST(doc_id AS VARCHAR) END AS label_of FROM p")
+def recording_stems(spark, sf_dir):
+    kind = F.when(F.col("doc_id") % 3 == 0, ".lml").when(F.col("doc_id") % 3 == 1, "_labels.npz").otherwise(".edf")
+    p = read(spark, sf_dir, "documents").select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), kind).alias("path"))
+    return p.select("path", catalogs.recording_stem(F.col("path")).alias("stem"), catalogs.label_stem(F.col("path")).alias("label_of"))
+
+
+_NAMED = f"[{', '.join(repr(c) for c in catalogs.MONTAGE)}]"
+
+
+@query(
+    "channel_selection",
+    f"""WITH c AS (SELECT c_nationkey % 3 AS recording, c_custkey AS idx, c_custkey % 3 = 2 AS pair, {_NAMED}[1 + c_custkey * 7 % 17] AS one, {_NAMED}[1 + (c_custkey * 5 + 3) % 21] AS two FROM customer),
+a AS (SELECT recording, one AS channel, min(idx) AS idx FROM c GROUP BY 1, 2), b AS (SELECT recording, two AS channel, min(idx) AS idx FROM c WHERE pair AND two NOT IN ('A1', 'A2') GROUP BY 1, 2),
+u AS (SELECT * FROM a UNION ALL SELECT b.* FROM b ANTI JOIN a USING (recording, channel)) SELECT * FROM u WHERE recording IN (SELECT recording FROM u GROUP BY 1 HAVING count(*) >= 16)""",
+)
+def channel_selection(spark, sf_dir):
+    """Montage channels from labels with prefixes and references, and from pairs for those without one."""
+    montage = F.array(*map(F.lit, catalogs.MONTAGE))
+    one, two = F.get(montage, (F.col("c_custkey") * 7 % 17).cast("int")), F.get(montage, ((F.col("c_custkey") * 5 + 3) % 21).cast("int"))
+    label = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("EEG "), one, F.lit("-REF"))).when(F.col("c_custkey") % 3 == 1, F.upper(one)).otherwise(F.concat(one, F.lit("-"), two))
+    return catalogs.select_channels(read(spark, sf_dir, "customer").select((F.col("c_nationkey") % 3).alias("recording"), F.col("c_custkey").alias("idx"), label.alias("label")))
+
+
+@query(
+    "evidence_ledger",
+    """WITH r AS (SELECT user_id AS stream, event_id, event_type AS issue, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r, count(*) OVER (PARTITION BY user_id) AS n FROM events)
+SELECT stream, event_id, issue, CAST(0 AS BIGINT) AS suppressed FROM r WHERE r <= 16 UNION ALL SELECT stream, NULL, 'overflow', n - 16 FROM r WHERE r = 17""",
+)
+def evidence_ledger(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select(F.col("user_id").alias("stream"), "event_id", F.col("event_type").alias("issue"))
+    return processors.evidence(e, "stream", "event_id", 16)
+
+
+@query(
+    "receipt_ledger",
+    """WITH r AS (SELECT event_type AS key, event_id AS seq, CAST(user_id % 64 * 1000 + CAST(floor(value) AS BIGINT) AS VARCHAR) AS token FROM events), f AS (SELECT key, token, min(seq) AS first FROM r GROUP BY 1, 2),
+p AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY first) AS place FROM f)
+SELECT key, seq, token, CASE WHEN place > 100 THEN 'full' WHEN seq > first THEN 'duplicate' ELSE 'accepted' END AS verdict FROM r JOIN p USING (key, token)""",
+)
+def receipt_ledger(spark, sf_dir):
+    r = read(spark, sf_dir, "events").select(F.col("event_type").alias("key"), F.col("event_id").alias("seq"), (F.col("user_id") % 64 * 1000 + F.floor("value")).cast("string").alias("token"))
+    return processors.admit(r, 100)
+
+
+@query("principal_axes")
+def principal_axes(spark, sf_dir):
+    """Eigenvectors have no SQL; a test holds them against the covariance that they come from."""
+    axes = aggregates.principal_axes(tensor(spark, sf_dir), "vec_id", "dim", "x")
+    return axes.select("component", F.round("variance", 4).alias("variance"), "dim", F.round("weight", 6).alias("weight"))

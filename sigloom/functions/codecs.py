@@ -84,6 +84,39 @@ def lpc_coefficients(x: np.ndarray, order: int, shift: int = LPC_SHIFT) -> np.nd
     return np.round(np.clip(a, -15, 15) * (1 << shift)).astype(np.int64)
 
 
+def float_coefficients(x: np.ndarray, order: int, first: int = 256) -> np.ndarray:
+    """Prediction weights in floating point, from the autocorrelation of the ``first`` values."""
+    r = np.array([x[:first][: max(len(x[:first]) - k, 0)] @ x[:first][k:] for k in range(order + 1)], float)
+    if r[0] <= 1e-12:
+        return np.zeros(order)
+    a, err = np.zeros(order), r[0]
+    for i in range(order):
+        k = (r[i + 1] - a[:i] @ r[i:0:-1]) / err
+        a[:i], a[i] = a[:i] - k * a[:i][::-1], k
+        err = max(err * (1 - k * k), 1e-10)
+    return a
+
+
+def float_residual(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Values less their prediction; the first ones, before there are as many as weights, as they are."""
+    out = x.astype(float)
+    if len(x) > len(c):
+        out[len(c) :] -= sum(w * x[len(c) - 1 - k : len(x) - 1 - k] for k, w in enumerate(c.tolist()))
+    return out
+
+
+def float_restore_all(rows: list[np.ndarray], c: list[np.ndarray]) -> list[np.ndarray]:
+    """Inverse of ``float_residual`` for many windows with as many weights each."""
+    order = len(c[0]) if c else 0
+    y = np.zeros((max(map(len, rows), default=0), len(rows)))
+    for k, r in enumerate(rows):
+        y[: len(r), k] = r
+    back = np.array(c, float).reshape(len(rows), order).T[::-1]
+    for t in range(order, len(y)):
+        y[t] += (back * y[t - order : t]).sum(0)
+    return [y[: len(r), k] for k, r in enumerate(rows)]
+
+
 # --- wavelet ------------------------------------------------------------------------------------
 
 
@@ -111,6 +144,25 @@ def unlift(s: np.ndarray, d: np.ndarray) -> np.ndarray:
     return x
 
 
+def float_lift(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The 5/3 step without rounding: approximation and detail."""
+    even, odd = x[0::2].astype(float), x[1::2].astype(float)
+    if not len(odd):
+        return even, odd
+    d = odd - (even[: len(odd)] + np.append(even[1:], even[-1:])[: len(odd)]) / 2
+    before = np.concatenate([d[:1], d])[: len(even)]
+    return even + (before + np.append(d, d[-1:])[: len(even)]) / 4, d
+
+
+def float_unlift(s: np.ndarray, d: np.ndarray) -> np.ndarray:
+    if not len(d):
+        return s.astype(float)
+    x = np.empty(len(s) + len(d))
+    x[0::2] = s - (np.concatenate([d[:1], d])[: len(s)] + np.append(d, d[-1:])[: len(s)]) / 4
+    x[1::2] = d + (x[0::2][: len(d)] + np.append(x[2::2], x[0::2][-1:])[: len(d)]) / 2
+    return x
+
+
 # --- entropy coding -----------------------------------------------------------------------------
 
 
@@ -228,18 +280,29 @@ def levels_for(n: int, most: int = 3) -> int:
     return most
 
 
-def encode_window(x: np.ndarray, order: int = 4) -> bytes:
+def band_order(rank: int, depth: int, n: int) -> int:
+    """Prediction order of a band of ``n`` values: 1 for the two of the deepest split, 2 for the detail
+    above, 3 for those before, whose neighbours tell more; fewer where a band is short, none below 3 values.
+    Band ``rank`` counts from the first split; ``depth`` is the rank of the approximation."""
+    order = 1 if rank >= depth - 1 else 2 if rank == depth - 2 else 3
+    if n < 4 * order:
+        order = max(1, n // 4)
+    return order if n >= 3 and n > order else 0
+
+
+def encode_window(x: np.ndarray, order: int | None = None) -> bytes:
     """A lossless window packet: wavelet bands, each predicted, bias-cancelled and Rice-coded, with a
-    CRC-32 of all before it."""
+    CRC-32 of all before it. Bands have the order of ``band_order``, or all the one that is given."""
     bands, now, depth = [], x.astype(np.int64), levels_for(len(x))
     for _ in range(depth):
         now, d = lift(now)
         bands.append(d)
-    out = MAGIC + struct.pack("<IBB", len(x), depth, order)
-    for b in [*bands, now]:
-        c = lpc_coefficients(b, order)
+    out = MAGIC + struct.pack("<IB", len(x), depth)
+    for k, b in enumerate([*bands, now]):
+        m = band_order(k, depth, len(b)) if order is None else order
+        c = lpc_coefficients(b, m)
         body = rice_encode(bias_cancel(lpc_residual(b, c)))
-        out += c.astype("<i8").tobytes() + struct.pack("<I", len(body)) + body
+        out += struct.pack("<B", m) + c.astype("<i8").tobytes() + struct.pack("<I", len(body)) + body
     return out + struct.pack("<I", zlib.crc32(out))
 
 
@@ -251,13 +314,14 @@ def decode_windows(packets: list[bytes]) -> list[np.ndarray]:
             raise ValueError("not a window packet")
         if zlib.crc32(raw[:-4]) != struct.unpack("<I", raw[-4:])[0]:
             raise ValueError("the packet's checksum does not match")
-        n, depth, order = struct.unpack_from("<IBB", raw, 4)
-        at = 10
+        n, depth = struct.unpack_from("<IB", raw, 4)
+        at = 9
         heads.append((n, depth))
         for b in range(depth + 1):
-            c = np.frombuffer(raw, "<i8", order, at).astype(np.int64)
-            (size,) = struct.unpack_from("<I", raw, at + 8 * order)
-            at += 8 * order + 4
+            order = raw[at]
+            c = np.frombuffer(raw, "<i8", order, at + 1).astype(np.int64)
+            (size,) = struct.unpack_from("<I", raw, at + 1 + 8 * order)
+            at += 8 * order + 5
             bands.setdefault((b, order), []).append((w, c, rice_decode(raw[at : at + size])))
             at += size
     found: dict[tuple[int, int], np.ndarray] = {}
@@ -301,7 +365,7 @@ BANDS = {"delta": (0.5, 4.0), "theta": (4.0, 8.0), "alpha": (8.0, 13.0), "beta":
 def band_prd(x: np.ndarray, y: np.ndarray, rate: float) -> dict[str, float]:
     """PRD within each band from one Fourier transform of each signal."""
     fx, fy = np.fft.rfft(x.astype(float)), np.fft.rfft(y.astype(float))
-    at = np.fft.rfftfreq(len(x), 1 / rate)
+    at = np.arange(len(fx)) * rate / len(x)
     out = {}
     for name, (lo, hi) in BANDS.items():
         m = (at >= lo) & (at < hi)
@@ -321,7 +385,9 @@ def welch(x: np.ndarray, rate: float, size: int = 256) -> np.ndarray:
 
 
 def psd_divergence(x: np.ndarray, y: np.ndarray, rate: float) -> float:
-    """Kullback-Leibler divergence of the normalised spectra."""
+    """Kullback-Leibler divergence of the normalised spectra; a single sample has no spectrum, so none."""
+    if len(x) < 2:
+        return 0.0
     p, q = welch(x.astype(float), rate) + 1e-12, welch(y.astype(float), rate) + 1e-12
     p, q = p / p.sum(), q / q.sum()
     return float((p * np.log(p / q)).sum())
@@ -446,9 +512,22 @@ def runs_unpack(raw: bytes) -> np.ndarray:
     return np.repeat(rice_decode(raw[4 : 4 + size]), rice_decode(raw[4 + size :]))
 
 
-def spectral_error(x: np.ndarray, y: np.ndarray, rate: float) -> float:
-    """Mean absolute difference of two spectra in dB; a single sample has no spectrum, so none."""
+def window_spectra(x: np.ndarray, y: np.ndarray, size: int, rate: float) -> np.ndarray:
+    """Power at the frequencies of a window of ``size`` for a window and what was made of it, one after the other.
+    A shorter one is filled up with zeros, so all have the same frequencies; a single sample has no spectrum."""
+    n = len(x)
+    if n < 2:
+        return np.zeros(0)
+    w = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(n) / n)
+    return np.concatenate([np.abs(np.fft.rfft((s - s.mean()) * w, size)) ** 2 / (rate * (w**2).sum()) for s in (x, y)])
+
+
+def band_ratio(x: np.ndarray, rate: float, high: tuple[float, float] = (8.0, 30.0), low: tuple[float, float] = (0.5, 4.0)) -> float:
+    """Mean power in the high band over that in the low one: large in a seizure. A band that a window is too
+    short for has next to none; a single sample has no ratio, so 0."""
     if len(x) < 2:
         return 0.0
-    p, q = welch(x.astype(float), rate) + 1e-12, welch(y.astype(float), rate) + 1e-12
-    return float(np.abs(10 * np.log10(q / p)).mean())
+    p = welch(x.astype(float), rate)
+    at = np.arange(len(p)) * rate / min(len(x), 256)
+    power = lambda b: float(p[(at >= b[0]) & (at <= b[1])].mean()) if ((at >= b[0]) & (at <= b[1])).any() else 1e-30
+    return power(high) / (power(low) + 1e-30)

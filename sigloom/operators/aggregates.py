@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -219,3 +220,40 @@ def energy_summary(rows: DataFrame, by: str, value: str, key: str) -> DataFrame:
     s = rows.select(by, value, r.alias("_r"), n.alias("_n"))
     s = s.withColumn("energy", F.when(F.col("_r") * 10 < F.col("_n"), "low").when(F.col("_r") * 10 >= F.col("_n") * 9, "high").otherwise("middle"))
     return s.groupingSets([[by, "energy"], [by], []], by, "energy").agg(F.count("*").alias("n"), F.round(F.avg(value), 6).alias("mean"))
+
+
+def paper_aggregate(results: DataFrame, *by: str) -> DataFrame:
+    """Of ``(status, raw_bytes, packed_bytes, exact)``: counts, bytes, the ratio of the sums, and mean, deviation, range and percentiles
+    of the ratios of the files that succeeded and hold something."""
+    ok = (F.col("status") == "success") & (F.col("packed_bytes") > 0)
+    r = results.withColumn("_cr", F.when(ok, F.col("raw_bytes").cast("double") / F.col("packed_bytes")))
+    raw, packed = F.sum(F.when(ok, F.col("raw_bytes"))), F.sum(F.when(ok, F.col("packed_bytes")))
+    g = r.groupBy(*by).agg(
+        F.count("_cr").alias("ok"), F.count_if(F.col("status") == "failed").alias("errors"), F.count_if(ok & F.col("exact")).alias("bit_perfect"), raw.alias("raw_bytes"), packed.alias("packed_bytes"),
+        F.round(raw.cast("double") / packed, 6).alias("ratio_of_sums"), F.round(F.avg("_cr"), 4).alias("mean_of_ratios"), F.round(F.stddev_pop("_cr"), 4).alias("std"), F.round(F.min("_cr"), 6).alias("min"), F.round(F.max("_cr"), 6).alias("max"),
+    )
+    p = percentiles(r, "_cr", {"median": 0.5, "p5": 0.05, "p95": 0.95}, *by)
+    return g.join(p, list(by), "left").withColumns({c: F.round(c, 6) for c in ("median", "p5", "p95")})
+
+
+def principal_axes(rows: DataFrame, item: str, dim: str, value: str, most: int = 1024) -> DataFrame:
+    """``(component, variance, dim, weight)``: eigenvectors of the covariance of the dimensions, the largest variance
+    first; the largest weight of each is positive. Only the covariance matrix reaches the driver, and only
+    if it has no more than ``most`` dimensions."""
+    n = rows.select(dim).distinct().count()
+    if n > most:
+        raise ValueError(f"{n} dimensions are more than {most}")
+    other = rows.select(item, F.col(dim).alias("_j"), F.col(value).alias("_y"))
+    got = rows.join(other, item).where(F.col(dim) <= F.col("_j")).groupBy(dim, "_j").agg(F.covar_samp(value, "_y").alias("c")).collect()
+    names = sorted({r[0] for r in got})
+    at = {d: k for k, d in enumerate(names)}
+    c = np.zeros((len(names), len(names)))
+    for i, j, v in got:
+        c[at[i], at[j]] = c[at[j], at[i]] = v if v is not None else 0.0
+    variance, axes = np.linalg.eigh(c)
+    out = []
+    for k, m in enumerate(np.argsort(-variance, kind="stable").tolist()):
+        axis = axes[:, m] * (np.sign(axes[np.abs(axes[:, m]).argmax(), m]) or 1.0)
+        out += [(k, float(variance[m]), d, float(w)) for d, w in zip(names, axis, strict=True)]
+    kind = rows.schema[dim].dataType.simpleString()
+    return rows.sparkSession.createDataFrame(out, f"component int, variance double, `{dim}` {kind}, weight double")

@@ -114,12 +114,32 @@ def resolve_channel(label: Column) -> Column:
     return F.when(~F.array_contains(words, "ANNOTATIONS"), F.get(found, F.lit(0)))
 
 
+#: Electrodes of the montage that a recording may lack.
+OPTIONAL = ("A1", "A2")
+
+
 def select_channels(labels: DataFrame, least: int = 16) -> DataFrame:
-    """``(recording, idx, label)`` -> montage name, first index of each recording that has ``least``."""
-    named = labels.withColumn("channel", resolve_channel(F.col("label"))).where("channel is not null")
-    pick = named.groupBy("recording", "channel").agg(F.min("idx").alias("idx"))
-    many = pick.groupBy("recording").agg(F.count("*").alias("channels")).where(F.col("channels") >= least)
-    return pick.join(many.select("recording"), "recording", "left_semi")
+    """``(recording, idx, label)`` -> montage name and the first index that has it, for each recording with
+    ``least`` of them. An electrode that no label names first is taken from a pair that names it second, the
+    optional ones excepted."""
+    named = labels.withColumn("channel", resolve_channel(F.col("label")))
+    pick = named.where("channel is not null").groupBy("recording", "channel").agg(F.min("idx").alias("idx"))
+    second = F.get(F.split("label", "-"), F.lit(1))
+    pairs = labels.withColumn("channel", resolve_channel(second)).where(F.col("channel").isNotNull() & ~F.col("channel").isin(*OPTIONAL))
+    lent = pairs.groupBy("recording", "channel").agg(F.min("idx").alias("idx")).join(pick.select("recording", "channel"), ["recording", "channel"], "left_anti")
+    both = pick.unionByName(lent)
+    many = both.groupBy("recording").agg(F.count("*").alias("channels")).where(F.col("channels") >= least)
+    return both.join(many.select("recording"), "recording", "left_semi")
+
+
+def recording_stem(path: Column) -> Column:
+    """Stem of a packed recording, null for any other path."""
+    return F.nullif(F.regexp_extract(path, r"([^/]+)\.lml$", 1), F.lit(""))
+
+
+def label_stem(path: Column) -> Column:
+    """Stem of the recording that a label file is for, null for any other path."""
+    return F.nullif(F.regexp_extract(path, r"([^/]+)_labels\.npz$", 1), F.lit(""))
 
 
 def epoch(rows: DataFrame, key: str, draws: int, stride: int = 7919) -> DataFrame:

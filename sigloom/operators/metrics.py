@@ -6,7 +6,7 @@ or flat signal: ``strict`` gives infinities, ``capped`` finite caps, ``guarded``
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DIALECTS = ("strict", "capped", "guarded")
@@ -172,3 +172,15 @@ def first_violations(checked: DataFrame, order: str = "recording") -> DataFrame:
     """Distinct violations with the first place each was seen at, for a report without repeats."""
     seen = checked.select(F.col(order), "level", F.posexplode("violations").alias("pos", "violation"))
     return seen.groupBy("level", "violation").agg(F.min(order).alias("first_seen"), F.count("*").alias("times"))
+
+
+def spectral_bandwidth(spectra: DataFrame, by: str, smooth: int = 5, limit: float = 3.0, lowest: float = 0.3) -> DataFrame:
+    """``(by, hz, p, q)``, a row for each window and frequency -> mean of the absolute error in dB and the lowest frequency at
+    which its moving average, zero beyond both ends, is above ``limit``; null if none. Spectra are averaged over all
+    windows first, so a group is as many rows as there are frequencies."""
+    mean = spectra.groupBy(by, "hz").agg(F.avg("p").alias("p"), F.avg("q").alias("q"))
+    db = mean.withColumn("db", F.abs(10 * F.log10((F.col("q") + 1e-30) / (F.col("p") + 1e-30))))
+    near = Window.partitionBy(by).orderBy("hz").rowsBetween(-(smooth // 2), smooth // 2)
+    level = db.withColumn("level", F.sum("db").over(near) / smooth)
+    over = (F.col("level") > limit) & (F.col("hz") >= lowest)
+    return level.groupBy(by).agg(F.avg("db").alias("db"), F.min(F.when(over, F.col("hz"))).alias("f3db"))

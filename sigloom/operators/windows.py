@@ -187,6 +187,13 @@ def sequence_gaps(rows: DataFrame, by: str, seq: str) -> DataFrame:
     return had.where(F.col(seq) > F.col("_had") + 1).select(by, (F.col("_had") + 1).alias("first_missing"), (F.col(seq) - 1).alias("last_missing"))
 
 
+def record_gaps(records: DataFrame, by: str, onset: str, expected: float, tolerance: float = 0.001) -> DataFrame:
+    """Places where a discontinuous recording breaks: ``(by, onset, step)`` of each record whose onset is not
+    the expected time after the one before, beyond the tolerance."""
+    step = F.col(onset) - F.lag(onset).over(Window.partitionBy(by).orderBy(onset))
+    return records.select(by, onset, step.alias("step")).where(F.abs(F.col("step") - expected) > tolerance)
+
+
 def moving_average(samples: DataFrame, size: int) -> DataFrame:
     """Centred mean with a fixed divisor: what is outside counts as zero."""
     w = _along().rowsBetween(-((size - 1) // 2) if size % 2 else -(size // 2), (size - 1) // 2)

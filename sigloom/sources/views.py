@@ -46,3 +46,16 @@ def operation_events(lines: DataFrame) -> DataFrame:
     odd = F.col("_e.type").isNull()
     known = [f.split()[0] for f in _EVENT.split(", ") if not f.startswith(("type", "message"))]
     return rows.select(*lines.columns, F.when(odd, "log").otherwise(F.col("_e.type")).alias("kind"), *(F.col(f"_e.{n}").alias(n) for n in known), F.when(odd, F.col("line")).otherwise(F.col("_e.message")).alias("message"))
+
+
+def inspect(files: DataFrame) -> DataFrame:
+    """Facts of ``binaryFile`` rows: profile, size and SHA-256."""
+    return files.select("path", sniff(F.col("content")).alias("profile"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+
+
+def watch(spark: SparkSession, folder: str, endings: tuple[str, ...] = ("lml", "edf", "bdf"), per_batch: int = 64) -> DataFrame:
+    """A stream of the files that come to be below ``folder``, each once, at most ``per_batch`` at a time."""
+    return (
+        spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{" + ",".join(endings) + "}").option("maxFilesPerTrigger", per_batch).load(folder)
+    )

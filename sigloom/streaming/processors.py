@@ -136,3 +136,91 @@ def check_layout(windows: DataFrame, key: str = "recording") -> DataFrame:
 def deliver(receipts: DataFrame, token: str = "token") -> DataFrame:
     """Receipts without repeats of a token: the first one of each counts."""
     return receipts.groupBy(token).agg(F.min_by(F.struct(*receipts.columns), "seq").alias("r")).select("r.*")
+
+
+# --- stream twins of the folds --------------------------------------------------------------------
+
+END = ("done", "error")
+
+
+def _progress(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    events, last_ts, last_state, done = state.get if state.exists else (0, None, None, False)
+    for b in batches:
+        for ts, what in b.sort_values(["ts", "arrival"])[["ts", "state"]].itertuples(index=False):
+            events += 1
+            last_ts = ts if last_ts is None else max(last_ts, ts)
+            if not done:
+                last_state, done = what, what in END
+    state.update((events, last_ts, last_state, done))
+    yield pd.DataFrame([(key[0], events, last_ts, last_state, done)], columns=["key", "events", "last_ts", "last_state", "done"])
+
+
+def stream_progress(rows: DataFrame) -> DataFrame:
+    """``progress`` over a stream of ``(key, arrival, ts, state)`` that comes in order of time: each batch gives
+    the fold so far of the keys that it has events of."""
+    return rows.groupBy("key").applyInPandasWithState(_progress, PROGRESS_SCHEMA, "events long, last_ts long, last_state string, done boolean", "update", GroupStateTimeout.NoTimeout)
+
+
+LAYOUT_SCHEMA = "recording string, seq long, channels int, length int, rate int"
+
+
+def _layout(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    first = tuple(state.get) if state.exists else None
+    out = []
+    for b in batches:
+        for seq, *layout in b.sort_values("seq")[["seq", "channels", "length", "rate"]].itertuples(index=False):
+            if first is None:
+                first = tuple(layout)
+                state.update(first)
+            elif tuple(layout) != first:
+                out.append((key[0], seq, *layout))
+    yield pd.DataFrame(out, columns=["recording", "seq", "channels", "length", "rate"])
+
+
+def stream_layout(windows: DataFrame) -> DataFrame:
+    """``check_layout`` over a stream of ``(recording, seq, channels, length, rate)``."""
+    return windows.groupBy("recording").applyInPandasWithState(_layout, LAYOUT_SCHEMA, "channels int, length int, rate int", "append", GroupStateTimeout.NoTimeout)
+
+
+ADMIT_SCHEMA = "key string, seq long, token string, verdict string"
+
+
+def admit(rows: DataFrame, capacity: int) -> DataFrame:
+    """Receipts ``(key, seq, token)`` of bounded ledgers, one a key: the first ones with a token are accepted while
+    the ledger has room, a token that was accepted before is a duplicate, the others find it full."""
+    first = rows.groupBy("key", "token").agg(F.min("seq").alias("seq"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy("seq"))
+    taken = first.withColumn("_place", place).where(F.col("_place") <= capacity).select("key", "token", F.col("seq").alias("_first"))
+    verdict = F.when(F.col("_first").isNull(), "full").when(F.col("seq") > F.col("_first"), "duplicate").otherwise("accepted")
+    return rows.join(taken, ["key", "token"], "left").select("key", "seq", "token", verdict.alias("verdict"))
+
+
+def _admit(capacity: int):
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = list(state.get[0]) if state.exists else []
+        known, out = set(held), []
+        for b in batches:
+            for seq, token in b.sort_values("seq")[["seq", "token"]].itertuples(index=False):
+                verdict = "duplicate" if token in known else "accepted" if len(held) < capacity else "full"
+                if verdict == "accepted":
+                    held.append(token)
+                    known.add(token)
+                out.append((key[0], seq, token, verdict))
+        state.update((held,))
+        yield pd.DataFrame(out, columns=["key", "seq", "token", "verdict"])
+
+    return run
+
+
+def stream_admit(rows: DataFrame, capacity: int) -> DataFrame:
+    """``admit`` over a stream of ``(key, seq, token)``; the state is what a ledger holds, so bounded."""
+    return rows.groupBy("key").applyInPandasWithState(_admit(capacity), ADMIT_SCHEMA, "tokens array<string>", "append", GroupStateTimeout.NoTimeout)
+
+
+def evidence(rows: DataFrame, key: str, order: str, capacity: int) -> DataFrame:
+    """What a bounded ledger of each key tells: its first ``capacity`` issues, and one more row, without an
+    order, that counts those it had no room for. Rows ``(key, order, issue)``."""
+    w = Window.partitionBy(key).orderBy(order)
+    kept = rows.select(key, order, "issue", F.row_number().over(w).alias("_r")).where(F.col("_r") <= capacity).select(key, order, "issue", F.lit(0).cast("long").alias("suppressed"))
+    lost = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > capacity)
+    return kept.unionByName(lost.select(key, F.lit(None).cast(rows.schema[order].dataType).alias(order), F.lit("overflow").alias("issue"), (F.col("_n") - capacity).alias("suppressed")))

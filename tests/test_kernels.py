@@ -55,3 +55,16 @@ def test_spectra():
 
 def test_levels_of_a_flat_window_are_in_the_middle():
     assert np.allclose(c.decode_levels(c.encode_levels(np.full(5, 3.0), 8)), 3.0, atol=1e-6)
+
+
+@settings(max_examples=40, deadline=None)
+@given(signals)
+def test_floating_kernels_come_back(x):
+    assert (c.float_unlift(*c.float_lift(x)) == x).all()
+    w = c.float_coefficients(x.astype(float), 4)
+    assert np.allclose(c.float_restore_all([c.float_residual(x, w)], [w])[0], x, atol=1e-3)
+
+
+def test_order_follows_the_band():
+    assert [c.band_order(k, 3, 100) for k in range(4)] == [3, 2, 1, 1]
+    assert [c.band_order(0, 3, n) for n in (0, 2, 3, 4, 11, 12)] == [0, 0, 1, 1, 2, 3]

@@ -131,3 +131,21 @@ def test_percentiles_are_exact_beyond_the_ranked_size(spark, monkeypatch):
     assert np.allclose([got["same"][n] for n in "abc"], np.percentile(same, [5, 50, 99.9])) and got[None].b == 6.0
     ranked = {r.g: r for r in aggregates.ranked_percentiles(df, "x", "g", {"a": 0.05, "z": 1.0}).collect()}
     assert ranked["big"].a == np.sort(big)[1500] and ranked["big"].z == big.max() and ranked["same"].z == 2.0
+
+
+def test_second_electrodes_fill_what_is_missing(spark):
+    labels = [("r", k, c) for k, c in enumerate(catalogs.MONTAGE[:15])] + [("r", 20, "F7-T6"), ("r", 21, "F8-A1"), ("few", 0, "Cz")]
+    got = {r.channel: r.idx for r in catalogs.select_channels(spark.createDataFrame(labels, "recording string, idx int, label string")).collect()}
+    assert len(got) == 16 and got["T6"] == 20 and "A1" not in got and got["F7"] == catalogs.MONTAGE.index("F7")
+
+
+def test_principal_axes_rebuild_the_covariance(spark):
+    import numpy as np
+
+    x = np.random.default_rng(2).normal(size=(200, 5)) @ np.random.default_rng(3).normal(size=(5, 5))
+    df = spark.createDataFrame([(i, d, float(x[i, d])) for i in range(200) for d in range(5)], "item int, dim int, x double")
+    got = aggregates.principal_axes(df, "item", "dim", "x").orderBy("component", "dim").collect()
+    axes, variance = np.array([r.weight for r in got]).reshape(5, 5), np.array([got[5 * k].variance for k in range(5)])
+    assert np.allclose(axes.T @ np.diag(variance) @ axes, np.cov(x.T)) and (np.diff(variance) <= 0).all()
+    with pytest.raises(ValueError):
+        aggregates.principal_axes(df, "item", "dim", "x", most=4)

@@ -44,3 +44,38 @@ def test_receipts_are_given_once(spark):
     got = spark.createDataFrame([("h1", "a"), ("h1", "b"), ("h2", "c")], "source_hash string, path string")
     known = spark.createDataFrame([("h2",)], "source_hash string")
     assert [tuple(r) for r in reports.receipts(got, known).collect()] == [("h1", "a")]
+
+
+def test_json_manifest(spark, tmp_path):
+    import json
+
+    from sigloom.plans import reports
+
+    rows = [("d/a.edf", "a.lml", "success", 100, 40, 2.5, 1.0, None, 0.0, 1.0, True), ("d/b.edf", None, "failed", 50, None, None, 1.0, "bad", None, None, None)]
+    reports.write_json_manifest(spark.createDataFrame(rows, reports.MANIFEST), str(tmp_path), {"codec": "x"})
+    (totals,) = (json.loads(r.value) for r in spark.read.text(f"{tmp_path}/totals").collect())
+    assert totals["run"] == {"codec": "x"} and totals["statistics"]["files_ok"] == 1 and totals["statistics"]["compression_ratio"] == 2.5
+    files = sorted((json.loads(r.value) for r in spark.read.text(f"{tmp_path}/files").collect()), key=str)
+    assert files == [{"path": "a.edf", "bytes_in": 100, "bytes_out": 40, "ratio": 2.5, "status": "success"}, {"path": "b.edf", "bytes_in": 50, "status": "failed"}]
+
+
+def test_status_lines_of_a_stream(spark, tmp_path):
+    import json
+    import time
+
+    from sigloom.plans import reports
+
+    got = []
+    listener = reports.StatusLines(got.append)
+    spark.streams.addListener(listener)
+    try:
+        spark.range(9).write.parquet(f"{tmp_path}/in")
+        spark.readStream.schema("id long").parquet(f"{tmp_path}/in").writeStream.foreachBatch(lambda b, _: b.count()).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+        for _ in range(50):
+            if any('"ended"' in x for x in got):
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    kinds = [json.loads(x) for x in got]
+    assert kinds[0]["type"] == "started" and kinds[-1]["type"] == "ended" and sum(k.get("rows", 0) for k in kinds) == 9

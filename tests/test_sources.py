@@ -75,3 +75,14 @@ def test_container(spark, tmp_path):
         r.range(5, 5)
     with pytest.raises(ValueError):
         container.pack(np.zeros((0, 5)), 5, 1)
+
+
+def test_array_files(spark, tmp_path):
+    from sigloom.sources import arrays
+
+    x = np.arange(2 * 5100).reshape(2, 5100)
+    np.save(tmp_path / "a.npy", x[None])
+    got = arrays.read(spark, str(tmp_path)).collect()
+    assert len(got) == 6 and all(r.samples == x[r.channel, r.t_first : r.t_first + 2500].tolist() for r in got)
+    with pytest.raises(ValueError):
+        arrays.signal((lambda f: (np.save(f, np.zeros(3)), f.getvalue())[1])(__import__("io").BytesIO()))
