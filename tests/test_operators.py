@@ -42,6 +42,15 @@ def test_as_of_before_the_first_and_behind_the_last(spark):
     assert rows(joins.next_or_last(p, w, "k", "at", "start", "n"), "at", "n") == [(5, 1), (10, 1), (19, 2), (99, 2)]
 
 
+def test_next_or_last_without_a_key_and_by_running_frames_alone(spark):
+    p = spark.createDataFrame([("a", 5), ("a", None), (None, 5)], "k string, at long")
+    w = spark.createDataFrame([("a", 10, 1), ("a", 20, 2), (None, 10, 3), ("a", None, 4), ("b", None, 5)], "k string, start long, n long")
+    got = joins.next_or_last(p, w, "k", "at", "start", "n")
+    assert {(r["k"], r["at"]): r["n"] for r in got.collect()} == {("a", 5): 1, ("a", None): 2, (None, 5): None}
+    # a frame from each row to the end of its group takes the square of the group's rows
+    assert "currentrow$(), unboundedfollowing$()" not in got._jdf.queryExecution().executedPlan().toString().lower()
+
+
 def test_runs_above_the_cap(spark):
     s = spark.createDataFrame([("r", t, 7 if t < 5 else 1) for t in range(6)], "recording string, t long, v long")
     assert rows(windows.runs(s, cap=2), "t_first", "v", "length") == [(0, 7, 2), (2, 7, 2), (4, 7, 1), (5, 1, 1)]
