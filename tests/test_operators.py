@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,6 +29,22 @@ def test_contracts_differ(spark):
     assert [r.violations for r in metrics.codec_contract(m).orderBy("mode").collect()] == [["prd", "r", "cr"], ["prd", "cr"]]
 
 
+def test_overlaps_of_all_lengths_equal_all_pairs(spark):
+    rng = random.Random(7)
+    spans = lambda n: [(rng.choice("ab"), k, a := rng.randrange(-3000, 3000), a + rng.choice([-1, 0, 1, 2, 9, 10, 11, 64, 500, 4000])) for k in range(n)]
+    r, w = spans(150), spans(150)
+    got = joins.overlaps(spark.createDataFrame(r, "k string, r long, lo long, hi long"), spark.createDataFrame(w, "k string, w long, start long, stop long"), "k", 10, ["r", "w"])
+    want = sorted((x[1], y[1]) for x in r for y in w if x[0] == y[0] and x[2] < x[3] and y[2] < y[3] and y[2] < x[3] and y[3] > x[2])
+    assert len(want) > 100 and rows(got, "r", "w") == want
+
+
+def test_overlaps_lays_a_long_range_in_few_bins(spark):
+    """Behind the last window or over many, a range is a few rows: bins of the windows' size would be 10**11."""
+    r = spark.createDataFrame([("a", 0, 10**12)], "k string, lo long, hi long")
+    w = spark.range(5000).select(F.lit("a").alias("k"), "id", (F.col("id") * 10).alias("start"), (F.col("id") * 10 + 10).alias("stop"))
+    assert joins.overlaps(r, w, "k", 10, ["id"]).count() == 5000
+
+
 def test_gather_keeps_order_and_repeats_and_refuses_what_is_not_there(spark):
     table = spark.createDataFrame([(0, "a"), (1, "b")], "row long, v string")
     want = spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "pos long, row long")
