@@ -28,14 +28,37 @@ def rice_size(residuals: DataFrame, value: str, *by: str) -> DataFrame:
     return residuals.join(k.select(*by, "k"), list(by)).groupBy(*by).agg(F.max("k").alias("k"), F.count("*").alias("n"), (3 + F.ceil(bits / 8)).alias("bytes"))
 
 
+def _butterflies(block: Column, n: int, inverse: bool) -> Column:
+    """Natural-order Walsh-Hadamard transform of an array of ``n`` values (a power of two), in log n rounds."""
+
+    def round_(v: Column, h: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.when(i.bitwiseAND(h) == 0, F.get(v, i) + F.get(v, i + h)).otherwise(F.get(v, i - h) - F.get(v, i)))
+
+    out = F.aggregate(F.array(*(F.lit(1 << k) for k in range(n.bit_length() - 1))), block, round_) if n > 1 else block
+    return F.transform(out, lambda x: x / n) if inverse else out
+
+
+def hadamard(values: Column, n: int = 32, inverse: bool = False) -> Column:
+    """``walsh_hadamard`` of an array within its row: blocks of n, the last one filled up with zeros; null counts
+    as zero."""
+
+    def blocks(v: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(0), F.size(v)), lambda i: (i % n == 0) & (i < F.size(v)))
+        block = lambda k: F.transform(F.sequence(k, k + n - 1), lambda i: F.coalesce(F.get(v, i), F.lit(0)))
+        return F.flatten(F.transform(at, lambda k: _butterflies(block(k), n, inverse)))
+
+    # as a bound variable, so that what makes the array is not done again for each of its elements
+    return F.get(F.transform(F.array(values), blocks), F.lit(0))
+
+
 def walsh_hadamard(rows: DataFrame, by: str, dim: str, value: str, n: int = 32, inverse: bool = False) -> DataFrame:
-    """Natural-order transform of each block of n (a power of two) dimensions, as ``(by, dim, y)``: each
-    input row meets the n outputs of its block, signs by parity."""
+    """Natural-order transform of each block of n (a power of two) dimensions, as ``(by, dim, y)``. A block is
+    one group of n sums, not one for each output; rows that repeat a dimension add up."""
     at = F.col(dim).cast("long")
-    each = rows.select(by, at.alias("_d"), value, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("_k"))
-    sign = 1 - 2 * (F.bit_count((F.col("_d") % n).bitwiseAND(F.col("_k"))) % 2)
-    total = F.sum(F.col(value) * sign)
-    return each.groupBy(by, (F.col("_d") - F.col("_d") % n + F.col("_k")).alias(dim)).agg((total / n if inverse else total).alias("y"))
+    sums = F.array(*(F.coalesce(F.sum(F.when(F.pmod(at, F.lit(n)) == k, F.col(value))), F.lit(0)) for k in range(n)))
+    each = rows.groupBy(by, (at - F.pmod(at, F.lit(n))).alias("_block")).agg(sums.alias("_x"), F.count(value).alias("_n"))
+    each = each.select(by, "_block", "_n", F.posexplode(_butterflies(F.col("_x"), n, inverse)).alias("_k", "y"))
+    return each.select(by, (F.col("_block") + F.col("_k")).alias(dim), F.when(F.col("_n") > 0, F.col("y")).alias("y"))
 
 
 def fsq_index(x: Column, lo: Column, span: Column, levels: int) -> Column:

@@ -2,8 +2,11 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from sigloom import catalog
 from sigloom.functions import codecs as c
+from sigloom.functions import kernels
 
 signals = st.lists(st.integers(-(2**20), 2**20), max_size=120).map(lambda x: np.array(x, np.int64))
 
@@ -68,3 +71,25 @@ def test_floating_kernels_come_back(x):
 def test_order_follows_the_band():
     assert [c.band_order(k, 3, 100) for k in range(4)] == [3, 2, 1, 1]
     assert [c.band_order(0, 3, n) for n in (0, 2, 3, 4, 11, 12)] == [0, 0, 1, 1, 2, 3]
+
+
+def test_walsh_hadamard_of_rows_and_arrays_equals_the_matrix(spark):
+    m = np.array([[1 - 2 * (bin(i & j).count("1") % 2) for j in range(32)] for i in range(32)])
+    x = np.random.default_rng(3).integers(-5000, 5000, 64)
+    want = np.concatenate([m @ x[:32], m @ x[32:]]).tolist()
+    arrays = spark.createDataFrame([(0, x.tolist()), (1, []), (2, [3]), (3, None)], "id long, x array<long>")
+    got = {r.id: r for r in arrays.select("id", kernels.hadamard(F.col("x")).alias("y")).withColumn("z", kernels.hadamard(F.col("y"), inverse=True)).collect()}
+    assert got[0].y == want and got[0].z == x.tolist() and got[1].y == [] and got[2].y == [3] * 32 and not got[3].y
+    # a dimension in two rows, a block without values, one that is short
+    rows = spark.createDataFrame([("a", d, int(v)) for d, v in enumerate(x)] + [("a", 0, 7), ("b", 0, None), ("c", 33, 2)], "id string, d long, v long")
+    y = {(r.id, r.d): r.y for r in kernels.walsh_hadamard(rows, "id", "d", "v").collect()}
+    assert [y["a", d] for d in range(64)] == [w + 7 * (d < 32) for d, w in enumerate(want)]
+    assert {y["b", d] for d in range(32)} == {None} and [y["c", 32 + d] for d in range(32)] == (2 * m[:, 1]).tolist()
+
+
+def test_walsh_hadamard_round_trip_keeps_repeated_vectors_and_groups_nothing(spark, tmp_path):
+    rows = [(1, [0.5, -1.25] * 32, 0), (1, [0.25, 2.0] * 32, 0)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    back = catalog.QUERIES["walsh_hadamard_round_trip"](spark, str(tmp_path))
+    assert sorted((r.dim, r.x) for r in back.collect()) == sorted((d, round(1000 * v)) for _, e, _ in rows for d, v in enumerate(e))
+    assert "Exchange" not in back._jdf.queryExecution().executedPlan().toString()
