@@ -552,20 +552,24 @@ def _digest(w: DataFrame) -> DataFrame:
     return w.select("recording", "seq", F.md5(F.array_join(F.transform("samples", lambda x: x.cast("string")), ",").cast("binary")).alias("digest"))
 
 
-def _round_trip(name: str, there: Callable, back: Callable, packed: bool = True, many: bool = False):
+def _round_trip(name: str, there: Callable, back: Callable, many: bool = False):
+    """Both ways in one pass, so a task has one Python worker; with ``many`` the way back takes many windows."""
+
+    def both(rows: list[np.ndarray]) -> list[np.ndarray]:
+        coded = list(map(there, rows))
+        return back(coded) if many else list(map(back, coded))
+
     @query(name, _ARRAYS)
     def run(spark, sf_dir):
-        w = windows.arrays(signal(spark, sf_dir), 250)
-        coded = codecs.over_windows(w, there, "packet binary" if packed else "samples array<long>")
-        return _digest(codecs.over_windows(coded, back, many=many))
+        return _digest(codecs.over_windows(windows.arrays(signal(spark, sf_dir), 250), both, many=True))
 
 
 _round_trip("codec_window_round_trip", codecs.encode_window, codecs.decode_windows, many=True)
 _round_trip("codec_rice_round_trip", codecs.rice_encode, codecs.rice_decode)
-_round_trip("bias_round_trip", codecs.bias_cancel, codecs.bias_restore_all, packed=False, many=True)
-_round_trip("lpc_round_trip", codecs.fixed_residual, codecs.fixed_restore_all, packed=False, many=True)
+_round_trip("bias_round_trip", codecs.bias_cancel, codecs.bias_restore_all, many=True)
+_round_trip("lpc_round_trip", codecs.fixed_residual, codecs.fixed_restore_all, many=True)
 _round_trip("codec_sparse_round_trip", codecs.sparse_encode, codecs.sparse_decode)
-_round_trip("klt_lifting_round_trip", codecs.rotate, codecs.unrotate, packed=False)
+_round_trip("klt_lifting_round_trip", codecs.rotate, codecs.unrotate)
 _round_trip("codec_run_length_round_trip", codecs.runs_pack, codecs.runs_unpack)
 
 
@@ -576,8 +580,7 @@ _round_trip("codec_run_length_round_trip", codecs.runs_pack, codecs.runs_unpack)
 def codec_levels_error(spark, sf_dir):
     """A lossy packet's values are within half a level of the samples."""
     w = windows.arrays(signal(spark, sf_dir), 250)
-    coded = codecs.over_windows(w, lambda x: codecs.encode_levels(x.astype(float), 64), "packet binary")
-    back = codecs.over_windows(coded, codecs.decode_levels, "samples array<double>").withColumnRenamed("samples", "y")
+    back = codecs.over_windows(w, lambda x: codecs.decode_levels(codecs.encode_levels(x.astype(float), 64)), "samples array<double>").withColumnRenamed("samples", "y")
     half = (F.array_max("samples") - F.array_min("samples")) / 128 + 1e-6
     far = F.aggregate(F.zip_with("samples", "y", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda m, e: F.greatest(m, e))
     return w.join(back, ["recording", "seq"]).select("recording", "seq", (far <= half).alias("within"))
@@ -655,7 +658,7 @@ def _whole(rows: list[np.ndarray]) -> list[np.ndarray]:
     return [np.rint(x).astype(np.int64) for x in rows]
 
 
-_round_trip("float_lifting_round_trip", lambda x: _whole([codecs.float_unlift(*codecs.float_lift(x))])[0], lambda x: x, packed=False)
+_round_trip("float_lifting_round_trip", lambda x: _whole([codecs.float_unlift(*codecs.float_lift(x))])[0], lambda x: x)
 
 
 @query("float_lpc_round_trip", _ARRAYS)

@@ -93,3 +93,28 @@ def test_walsh_hadamard_round_trip_keeps_repeated_vectors_and_groups_nothing(spa
     back = catalog.QUERIES["walsh_hadamard_round_trip"](spark, str(tmp_path))
     assert sorted((r.dim, r.x) for r in back.collect()) == sorted((d, round(1000 * v)) for _, e, _ in rows for d, v in enumerate(e))
     assert "Exchange" not in back._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["lpc_round_trip", "bias_round_trip", "codec_window_round_trip", "codec_rice_round_trip"])
+def test_a_round_trip_is_one_python_worker_a_task(spark, data, name):
+    plan = catalog.QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("MapInArrow") == 1
+
+
+def test_windows_are_held_by_their_values(spark, monkeypatch):
+    lines = [list(range(n)) for n in (0, 3, 2000, 5, 0, 700, 700, 1)]
+    rows = spark.createDataFrame(list(enumerate(lines)), "k long, samples array<long>").coalesce(1)
+
+    def most(many):
+        total = sum(map(len, many))
+        return [np.r_[x, total, len(many)] for x in many]
+
+    got = {r.k: r.samples for r in c.over_windows(rows, most, many=True).collect()}
+    assert [got[k][:-2] for k in range(len(lines))] == lines
+    monkeypatch.setattr(c, "VALUES", 1000)
+    monkeypatch.setattr(c, "TOGETHER", 3)
+    import pyarrow as pa
+
+    column = pa.array([[9], *lines], pa.list_(pa.int64())).slice(1)
+    parts = list(c._slices(column))
+    assert [n for _, n in parts] == [2, 1, 3, 2] and [list(x) for a, n in parts for x in c._rows(column.slice(a, n))] == lines
