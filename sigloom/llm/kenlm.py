@@ -6,18 +6,23 @@ is the base distribution of the word model. Counts, continuation counts, history
 come from grouping and joining tables by n-gram, history and suffix.
 
 The logarithm of an interpolated model is a sum over a text's n-grams: a word's term, and for each
-longer n-gram what it adds to the shorter one and what its history takes. So each n-gram has one weight,
-and texts meet the weights in one join: n-grams of texts are packed by shard of their hash, a row for a
+longer n-gram what it adds to the shorter one and what its history takes. So each n-gram has its weights,
+and texts meet them in joins: n-grams of texts are packed by shard of their hash, a row for a
 chunk of texts and a shard, and a shard's weights are held against them by a sorted search. Shards grow
 in number with the input. A trusted text is not measured with n-grams that only it has. A text's
 perplexity is held against a quantile of the trusted texts of its language.
+
+Nearly every n-gram is distinct, so counts and packed n-grams together are many times the input. They
+are made in rounds of the hash of a trigram's middle word: a trigram's history, its suffix and that
+one's history are of the same round, and only single words are counted over all. A round reads all texts
+again, adds its sums to those of the texts, and leaves nothing else behind.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +41,13 @@ MARGIN = 0.05
 MIN_TRUSTED = 50
 GRID = 1000
 CHUNK = 1 << 20
-#: Words of the longest n-gram; characters of all texts for each shard of the join; share of the base
-#: distribution that is a text's end; and steps of a weight in a nat (whole numbers add up in any order).
-WORDS = 3
-SHARD = 8_000_000
+#: Characters of all texts for each shard of the join and for each round, the most rounds, and characters
+#: of the texts that are packed together; share of the base distribution that is a text's end; and steps of
+#: a weight in a nat (whole numbers add up in any order).
+SHARD = 32_000_000
+ROUND = 8_000_000
+ROUNDS = 12
+PACK = 4 << 20
 END = 0.01
 STEPS = 1_000_000
 
@@ -141,6 +149,14 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
+def _words(texts: list[str], points: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Position of the text and hash of each word, from where it starts and ends in the joined texts."""
+    of = np.searchsorted(np.cumsum([0, *(len(t) + 1 for t in texts)]), start, "right") - 1
+    power = _powers(len(points))
+    total = np.r_[np.uint64(0), np.cumsum(points.astype(np.uint64) * power[0, : len(points)], dtype=np.uint64)]
+    return of, _mix((total[end] - total[start]) * power[1, start])
+
+
 def spelled(texts: list[str]) -> tuple[np.ndarray, ...]:
     """Codes of the characters of each word and of the space behind it, with no history before the
     word; and of each word its first and behind its last code, its text's position and its hash."""
@@ -154,10 +170,7 @@ def spelled(texts: list[str]) -> tuple[np.ndarray, ...]:
         code[k:] |= np.where(past[k:], sym[: len(sym) - k], 0).astype(np.int32) << (BITS * k)
     inside = np.r_[False, sym != 0]
     start, end = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
-    of = np.searchsorted(np.cumsum([0, *(len(t) + 1 for t in texts)]), start, "right") - 1
-    power = _powers(len(points))
-    total = np.r_[np.uint64(0), np.cumsum(points.astype(np.uint64) * power[0, : len(points)], dtype=np.uint64)]
-    word = _mix((total[end] - total[start]) * power[1, start])
+    of, word = _words(texts, points, start, end)
     keep = sym != 0
     keep[end] = True
     at = np.cumsum(np.r_[0, keep])
@@ -168,28 +181,39 @@ def _spelled_codes(texts: list[str]) -> tuple[np.ndarray]:
     return (spelled(texts)[0],)
 
 
+def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The text's position and the hash of each word, as ``spelled`` has them."""
+    points = np.frombuffer(" ".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.r_[False, _TABLE[np.minimum(points, 0x24F)] != 0]
+    return _words(texts, points, np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:]))
+
+
+def chain(of: np.ndarray, word: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+    """Of ``n`` texts, each two start words, its words and its end: the text and the place inside it of each
+    of these, the hashes of the 1, 2 and 3 words that end there, and where the texts end."""
+    size = np.bincount(of, minlength=n) + 3
+    top = np.cumsum(size) - size
+    line = np.full(size.sum(), _START_WORD, np.uint64)
+    line[np.arange(len(word)) + 3 * of + 2] = word
+    line[top + size - 1] = _END_WORD
+    one = _pair(line, line, 1)
+    two = np.r_[np.uint64(0), _pair(line[:-1], line[1:], 2)]
+    three = np.r_[np.zeros(2, np.uint64), _pair(two[1:-1], line[2:], 3)]
+    return np.repeat(np.arange(n), size), np.arange(len(line)) - np.repeat(top, size), one, two, three, top + size - 1
+
+
 def grams(texts: list[str], log_p: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
-    """Of texts: ``n, g, h, s, q, of, event`` of each n-gram of 1 to ``WORDS`` words, those being its
+    """Of texts: ``n, g, h, s, q, of, event`` of each n-gram of 1 to 3 words, those being its
     hash, history's and suffix's, log base probability if n is 1, text and whether it predicts a word
     (the start does not); the log base probability of all words and the characters of each text."""
     code, a, b, of, word = spelled(texts)
     sums = np.concatenate([[0], np.cumsum(log_p[code], dtype=np.float64)])
     q = sums[b] - sums[a] + np.log(1 - END)
     n = len(texts)
-    first = np.searchsorted(of, np.arange(n))
-    last = np.searchsorted(of, np.arange(n), "right")
-    # each text: two start words, its words, its end
-    size = last - first + 3
-    top = np.cumsum(size) - size
-    line, lq = np.full(size.sum(), _START_WORD, np.uint64), np.zeros(size.sum())
-    at = np.arange(len(word)) + 3 * of + 2
-    line[at], lq[at] = word, q
-    line[top + size - 1], lq[top + size - 1] = _END_WORD, np.log(END)
-    text = np.repeat(np.arange(n), size)
-    one = _pair(line, line, 1)
-    two = np.r_[np.uint64(0), _pair(line[:-1], line[1:], 2)]
-    three = np.r_[np.zeros(2, np.uint64), _pair(two[1:-1], line[2:], 3)]
-    inner = np.arange(len(line)) - np.repeat(top, size)
+    text, inner, one, two, three, end = chain(of, word, n)
+    lq = np.zeros(len(text))
+    lq[np.arange(len(word)) + 3 * of + 2] = q
+    lq[end] = np.log(END)
     i1, e = np.flatnonzero(inner >= 1), np.flatnonzero(inner >= 2)
     out = {
         "n": np.repeat(np.array([1, 2, 3], np.int32), [len(i1), len(i1), len(e)]),
@@ -205,91 +229,213 @@ def grams(texts: list[str], log_p: np.ndarray) -> tuple[dict[str, np.ndarray], n
     return out, base, chars
 
 
-_TALLY = "n int, g long, h long, s long, q double, c long"
+_TALLY = "g long, q double, c long"
+_TRIGRAMS = "g long, h long, s long, b long, e long, c long"
+#: The history of a text's first word, which nothing predicts.
+_START = int(_pair(np.full(1, _START_WORD), np.full(1, _START_WORD), 2).view(np.int64)[0])
+_ROUND_BITS = 40
+
+
+def _of_round(one: np.ndarray, rounds: int, r: int) -> np.ndarray:
+    return (one >> np.uint64(_ROUND_BITS)) % np.uint64(rounds) == np.uint64(r)
 
 
 def _tally(model, name: str):
-    """Count of each predicted n-gram in a chunk of trusted texts."""
+    """Base probability and count of each predicted word in a chunk of trusted texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log_p = _dense(model, name)
         for batch in batches:
             for _, texts in _chunks(batch):
                 x, _, _ = grams(texts, log_p)
-                x = {k: v[x["event"]] for k, v in x.items()}
-                _, at, c = np.unique(x["g"], return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([*(pa.array(x[k][at]) for k in "nghsq"), pa.array(c.astype(np.int64))], list("nghsqc"))
+                single = x["event"] & (x["n"] == 1)
+                g, at, c = np.unique(x["g"][single], return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(x["q"][single][at]), pa.array(c.astype(np.int64))], list("gqc"))
+
+    return run
+
+
+def _trigrams(rounds: int, r: int):
+    """Count of each trigram of the round in a chunk of trusted texts, and the hashes of its history, its
+    suffix, its middle and its last word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in _chunks(batch):
+                _, inner, one, two, three, _ = chain(*hashed(texts), len(texts))
+                e = np.flatnonzero(inner >= 2)
+                e = e[_of_round(one[e - 1], rounds, r)]
+                g, at, c = np.unique(three[e], return_index=True, return_counts=True)
+                e = e[at]
+                yield pa.RecordBatch.from_arrays([*(pa.array(v.view(np.int64)) for v in (g, two[e - 1], two[e], one[e - 1], one[e])), pa.array(c.astype(np.int64))], list("ghsbec"))
 
     return run
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``stored``, after which the shuffle files of the writing are removed at once."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        return stored(df)
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
+def _cut(k: str, d: tuple[float, float, float]):
+    """Sum of the discounts of counts ``k``, from whole numbers, so in any order the same."""
+    return F.count_if(F.col(k) == 1) * d[0] + F.count_if(F.col(k) == 2) * d[1] + F.count_if(F.col(k) > 2) * d[2]
+
+
+def _less(k: str, d: tuple[float, float, float]):
+    return F.col(k) - F.when(F.col(k) == 1, d[0]).when(F.col(k) == 2, d[1]).otherwise(d[2])
+
+
+def singles(texts: DataFrame, shared, name: str, rounds: int = 1) -> tuple[DataFrame, list[tuple[float, float, float]], float]:
+    """``texts(text)`` -> ``(g, p, w, c)`` of the single words, log probability, weight and count; the discounts of
+    the three orders; and the log share that single words leave to the base distribution."""
+    spark, have = texts.sparkSession, None
+    three, two = [f"t{j}" for j in range(1, 5)], [f"b{j}" for j in range(1, 5)]
+    for r in range(rounds):
+        x = texts.select("text").mapInArrow(_trigrams(rounds, r), _TRIGRAMS).groupBy("g").agg(F.min("s").alias("s"), F.min("e").alias("e"), F.sum("c").alias("c"))
+        x = x.groupBy("s").agg(F.min("e").alias("e"), F.count("*").alias("k"), *(F.count_if(F.col("c") == j).alias(t) for j, t in enumerate(three, 1)))
+        x = x.groupBy(F.col("e").alias("g")).agg(F.count("*").alias("k"), *(F.sum(t).alias(t) for t in three), *(F.count_if(F.col("k") == j).alias(b) for j, b in enumerate(two, 1)))
+        if have is not None:
+            x = x.unionByName(have).groupBy("g").agg(*(F.sum(v).alias(v) for v in ("k", *three, *two)))
+        x, old = kept(x), have
+        if old is not None:
+            discard(spark, old)
+        have = x
+    of = have.agg(F.sum("k").alias("all"), *(F.count_if(F.col("k") == j).alias(f"o{j}") for j in range(1, 5)), *(F.sum(v).alias(v) for v in (*two, *three))).first()
+    d = [discounts([int(of[f"{o}{j}"] or 0) for j in range(1, 5)]) for o in "obt"]
+    left = (have.agg(_cut("k", d[0]).alias("cut")).first()["cut"] / of["all"]) if of["all"] else 1.0
+    own = texts.select("text").mapInArrow(_tally(shared, name), _TALLY).groupBy("g").agg(F.min("q").alias("q"), F.sum("c").alias("c"))
+    t = own.join(have.select("g", "k"), "g")
+    t = t.select("g", F.log(_less("k", d[0]) / F.lit(of["all"] or 1) + F.lit(left) * F.exp("q")).alias("p"), "q", "c")
+    words = kept(t.select("g", "p", (F.col("p") - F.col("q") - F.lit(float(np.log(left)))).alias("w"), "c"))
+    discard(spark, have)
+    return words, d, float(np.log(left))
+
+
+def round_weights(texts: DataFrame, words: DataFrame, d: list[tuple[float, float, float]], rounds: int = 1, r: int = 0) -> DataFrame:
+    """``(g, w, c)``, the weights of a round's n-grams in steps and their counts (null for those of the start):
+    trigrams by their middle word, two words by their first, histories by their last, and the round's words.
+    Of two words of different rounds, one round has the weight as n-gram and one that as history."""
+    tri = texts.select("text").mapInArrow(_trigrams(rounds, r), _TRIGRAMS).groupBy("g")
+    tri = kept(tri.agg(*(F.min(v).alias(v) for v in "hsbe"), F.sum("c").alias("c")))
+    two = tri.groupBy(F.col("s").alias("g")).agg(F.min("b").alias("h"), F.min("e").alias("s"), F.count("*").alias("k"), F.sum("c").alias("c"))
+    two = kept(two)
+    taken = lambda t, k, by: t.groupBy("h").agg(F.sum(k).alias("all"), F.log(_cut(k, by) / F.sum(k)).alias("left"))
+    one_left, two_left = taken(two, "k", d[1]), taken(tri, "c", d[2])
+    p = F.log(_less("k", d[1]) / F.col("all") + F.exp(F.col("left") + F.col("low")))
+    t2 = two.join(one_left, "h").join(words.select(F.col("g").alias("s"), F.col("p").alias("low")), "s")
+    t2 = kept(t2.select("g", p.alias("p"), "c", (p - F.col("left") - F.col("low")).alias("w")))
+    p = F.log(_less("c", d[2]) / F.col("all") + F.exp(F.col("left") + F.col("low")))
+    t3 = tri.join(two_left, "h").join(t2.select(F.col("g").alias("s"), F.col("p").alias("low")), "s")
+    t3 = t3.select("g", (p - F.col("left") - F.col("low")).alias("w"), "c")
+    here = words.where(F.pmod(F.shiftrightunsigned("g", _ROUND_BITS), F.lit(rounds)) == r).select("g", "w", "c")
+    # a history is met as often as what it is the history of
+    histories = two_left.select(F.col("h").alias("g"), F.col("left").alias("w"), F.when(F.col("h") != _START, F.col("all")).alias("c"))
+    every = here.unionByName(one_left.select(F.col("h").alias("g"), F.col("left").alias("w"), F.lit(None).cast("long").alias("c")))
+    every = every.unionByName(t2.select("g", "w", "c")).unionByName(histories).unionByName(t3)
+    every = kept(every.groupBy("g").agg(F.round(F.sum("w") * STEPS).cast("long").alias("w"), F.max("c").alias("c")))
+    for t in (tri, two, t2):
+        discard(texts.sparkSession, t)
+    return every
+
+
 def weights(texts: DataFrame, shared, name: str) -> tuple[DataFrame, float]:
-    """``texts(text)`` -> ``(g, w, c)``, the weight of each n-gram in steps and its count (null for those of
-    the start), and the log share that single words leave to the base distribution."""
-    seen = texts.select("text").mapInArrow(_tally(shared, name), _TALLY).groupBy("n", "g")
-    seen = stored(seen.agg(F.min("h").alias("h"), F.min("s").alias("s"), F.min("q").alias("q"), F.sum("c").alias("c")))
-    below, log_left, out = None, 0.0, []
-    for n in range(1, WORDS + 1):
-        t = seen.where(F.col("n") == n)
-        if n < WORDS:  # continuation counts
-            t = t.join(seen.where(F.col("n") == n + 1).groupBy(F.col("s").alias("g")).agg(F.count("*").alias("k")), "g")
-        else:
-            t = t.withColumn("k", F.col("c"))
-        t = stored(t.select("g", "h", "s", "q", "c", "k"))
-        few = t.agg(*(F.count_if(F.col("k") == j) for j in range(1, 5))).first()
-        d = discounts([int(x) for x in few])
-        cut = F.when(F.col("k") == 1, d[0]).when(F.col("k") == 2, d[1]).otherwise(d[2])
-        sums = t.groupBy("h").agg(F.sum("k").alias("all"), F.sum(cut).alias("cut"))
-        if n == 1:
-            row = sums.first()
-            total, left = (row["all"], row["cut"] / row["all"]) if row else (1, 1.0)
-            log_left = float(np.log(left))
-            t = t.select("g", F.log((F.col("k") - cut) / F.lit(total) + F.lit(left) * F.exp("q")).alias("p"), "c", F.col("q"))
-            out.append(t.select("g", (F.col("p") - F.col("q") - F.lit(log_left)).alias("w"), "c"))
-        else:
-            sums = sums.select("h", "all", F.log(F.col("cut") / F.col("all")).alias("left"))
-            t = t.join(sums, "h").join(below.select(F.col("g").alias("s"), F.col("p").alias("low")), "s")
-            p = F.log((F.col("k") - cut) / F.col("all") + F.exp(F.col("left") + F.col("low")))
-            t = stored(t.select("g", p.alias("p"), "c", (p - F.col("left") - F.col("low")).alias("w")))
-            out += [t.select("g", "w", "c"), sums.select(F.col("h").alias("g"), F.col("left").alias("w"), F.lit(None).cast("long").alias("c"))]
-        below = t
-    every = out[0]
-    for x in out[1:]:
-        every = every.unionByName(x)
-    return every.groupBy("g").agg(F.round(F.sum("w") * STEPS).cast("long").alias("w"), F.max("c").alias("c")), log_left
-
-
-_PACKED = "shard int, kind int, g binary, x binary, y binary, id binary"
+    """``texts(text)`` -> ``(g, w, c)`` of all n-grams, in one round, and the log share that single words leave
+    to the base distribution."""
+    words, d, log_left = singles(texts, shared, name)
+    return round_weights(texts, words, d), log_left
+
+
+_PACKED = "shard int, kind int, n int, body binary, id binary"
+_SUMS = "_row long, full long, others long, chars long"
+
+
+def _planes(g: np.ndarray, x: np.ndarray, y: np.ndarray) -> bytes:
+    """Ascending ``g`` by differences and ``x``, ``y`` as they are, byte by byte of their places, compressed."""
+    g = g.view(np.uint64)
+    cols = [np.r_[g[:1], np.diff(g)], x, y]
+    raw = b"".join(np.ascontiguousarray(v.view(np.uint8).reshape(len(v), -1).T).tobytes() for v in cols)
+    return pa.compress(raw, "zstd", asbytes=True)
+
+
+def _from_planes(body: bytes, n: int, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    size = np.dtype(kind).itemsize
+    raw = np.frombuffer(pa.decompress(body, n * (8 + 2 * size), "zstd", asbytes=True), np.uint8)
+    back = lambda a, b, t: np.ascontiguousarray(raw[a * n : b * n].reshape(b - a, n).T).view(t).ravel()
+    return np.cumsum(back(0, 8, np.uint64), dtype=np.uint64), back(8, 8 + size, kind), back(8 + size, 8 + 2 * size, kind)
 
 
 def _pack(shards: int, kind: int, g: np.ndarray, x: np.ndarray, y: np.ndarray, ids: bytes) -> pa.RecordBatch:
-    """A row for each shard: its n-grams in order, and ``x``, ``y`` of each."""
+    """A row for each shard: its n-grams, which are given in order, and ``x``, ``y`` of each."""
     shard = (g.view(np.uint64) % np.uint64(shards)).astype(np.int32)
-    order = np.lexsort((g, shard))
+    order = np.argsort(shard, kind="stable")
     g, x, y = g[order], x[order], y[order]
     cut = np.searchsorted(shard[order], np.arange(shards + 1))
     have = np.flatnonzero(cut[1:] > cut[:-1])
-    cols = [pa.array([v[cut[k] : cut[k + 1]].tobytes() for k in have], pa.binary()) for v in (g, x, y)]
-    return pa.RecordBatch.from_arrays([pa.array(have.astype(np.int32)), pa.array(np.full(len(have), kind, np.int32)), *cols, pa.array([ids] * len(have), pa.binary())], ["shard", "kind", "g", "x", "y", "id"])
+    body = [_planes(*(v[cut[k] : cut[k + 1]] for v in (g, x, y))) for k in have]
+    cols = [pa.array(have.astype(np.int32)), pa.array(np.full(len(have), kind, np.int32)), pa.array((cut[1:] - cut[:-1])[have].astype(np.int32)), pa.array(body, pa.binary()), pa.array([ids] * len(have), pa.binary())]
+    return pa.RecordBatch.from_arrays(cols, ["shard", "kind", "n", "body", "id"])
 
 
 def _pack_weights(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
+
+        def packed():
+            g, w, c = (np.concatenate(v) for v in zip(*held, strict=True))
+            order = np.argsort(g.view(np.uint64))
+            return _pack(shards, 0, g[order], w[order], c[order], b"")
+
         for b in batches:
             held.append([b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).fill_null(1 << 40).to_numpy()])
             n += b.num_rows
             if n >= CHUNK:
-                yield _pack(shards, 0, *(np.concatenate(v) for v in zip(*held, strict=True)), b"")
+                yield packed()
                 held, n = [], 0
         if n:
-            yield _pack(shards, 0, *(np.concatenate(v) for v in zip(*held, strict=True)), b"")
+            yield packed()
 
     return run
 
 
-def _pack_texts(model, name: str, shards: int, log_left: float):
-    """Kind 1: an n-gram, its text of the chunk and its count there. Kind 2: a chunk's base sums."""
+def _pack_texts(rounds: int, r: int, shards: int):
+    """The round's n-grams of texts, each with its text among those packed together and its count there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(ids):
+            g, of = (np.concatenate(v) for v in zip(*held, strict=True))
+            order = np.argsort(g, kind="stable")  # texts of one n-gram are in order already
+            g, of = g[order], of[order]
+            edge = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (of[1:] != of[:-1])][: len(g)])
+            return _pack(shards, 1, g[edge], of[edge].astype(np.int32), np.diff(np.r_[edge, len(g)]).astype(np.int32), ids.tobytes())
+
+        for b in batches:
+            row = b.column(1).to_numpy()
+            held, first, size = [], 0, 0
+            for a, texts in _chunks(b):
+                text, inner, one, two, three, _ = chain(*hashed(texts), len(texts))
+                last = _of_round(one, rounds, r)
+                before = np.r_[False, last[:-1]]
+                i = [np.flatnonzero(v) for v in ((inner >= 1) & last, (inner >= 1) & (last | before), (inner >= 2) & before)]
+                held.append([np.concatenate([v[k] for v, k in zip((one, two, three), i, strict=True)]), text[np.concatenate(i)] + a - first])
+                size += sum(map(len, texts))
+                if size >= PACK:
+                    yield packed(row[first : a + len(texts)])
+                    held, first, size = [], a + len(texts), 0
+            if held:
+                yield packed(row[first:])
+
+    return run
+
+
+def _base(model, name: str, log_left: float):
+    """Sums of texts by the base distribution alone, and their characters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log_p = _dense(model, name)
@@ -297,16 +443,9 @@ def _pack_texts(model, name: str, shards: int, log_left: float):
             row = b.column(1).to_numpy()
             for a, texts in _chunks(b):
                 x, base, chars = grams(texts, log_p)
-                ids = row[a : a + len(texts)]
-                order = np.lexsort((x["of"], x["g"]))
-                g, of = x["g"][order], x["of"][order]
-                edge = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (of[1:] != of[:-1])])
-                own = np.diff(np.r_[edge, len(g)]).astype(np.int32)
-                yield _pack(shards, 1, g[edge], of[edge].astype(np.int32), own, ids.tobytes())
                 words = np.bincount(x["of"][(x["n"] == 1) & x["event"]], minlength=len(texts))
                 base = np.round((base + words * log_left) * STEPS).astype(np.int64)
-                one = [pa.array([v], t) for v, t in ((int(ids[0]) % shards, pa.int32()), (2, pa.int32()), (b"", pa.binary()), (base.tobytes(), pa.binary()), (chars.tobytes(), pa.binary()), (ids.tobytes(), pa.binary()))]
-                yield pa.RecordBatch.from_arrays(one, ["shard", "kind", "g", "x", "y", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (row[a : a + len(texts)], base, base, chars)], ["_row", "full", "others", "chars"])
 
     return run
 
@@ -320,18 +459,15 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in b.to_pylist():
             if r["shard"] != at:
                 at, held, table = r["shard"], [], None
-            ids = np.frombuffer(r["id"], np.int64)
             if r["kind"] == 0:
-                held.append([np.frombuffer(r[k], np.int64) for k in "gxy"])
-            elif r["kind"] == 2:
-                base, chars = np.frombuffer(r["x"], np.int64), np.frombuffer(r["y"], np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (ids, base, base, chars)], names)
+                held.append(_from_planes(r["body"], r["n"], np.int64))
             elif held:
                 if table is None:
                     table = [np.concatenate(v) for v in zip(*held, strict=True)]
                     order = np.argsort(table[0])
-                    table = [v[order] for v in table]
-                g, of, own = np.frombuffer(r["g"], np.int64), np.frombuffer(r["x"], np.int32), np.frombuffer(r["y"], np.int32)
+                    table, held = [v[order] for v in table], [True]
+                ids = np.frombuffer(r["id"], np.int64)
+                g, of, own = _from_planes(r["body"], r["n"], np.int32)
                 k = np.minimum(np.searchsorted(table[0], g), len(table[0]) - 1)
                 met = np.flatnonzero(table[0][k] == g)
                 k, of, own = k[met], of[met], own[met]
@@ -438,21 +574,34 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     share_code(spark)
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id")).distinct().withColumn("trusted", F.lit(True))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text_of())
-    # The labels grow with the corpus, so they are never broadcast: texts meet them by id at every size.
-    train = stored(rows.join(good.hint("merge"), rows["doc_id"] == good["_id"], "left_semi").select("text"))
+    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    rounds = min(ROUNDS, max(1, -(-size // ROUND)))
+    shards = max(16, -(-size // (SHARD * rounds)))
+    # The labels grow with the corpus, so they are never broadcast: texts meet them by id at every size,
+    # in parts, of which one is dealt out at a time.
+    part = lambda df, c, k: df.where(F.pmod(F.xxhash64(c), F.lit(min(rounds, 3))) == k)
+    train = [kept(part(rows, "doc_id", k).join(part(good, "_id", k).hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi").select("text")) for k in range(min(rounds, 3))]
+    train = reduce(DataFrame.unionByName, train)
     parts = []
     for g, h in model(counts(train, _spelled_codes)):  # spelling: at most 64**4 rows each, 12 bytes a row
         x, y = g.toPandas(), h.toPandas()
         parts.append((x.g.to_numpy(np.int64), x.p.to_numpy(np.float64).astype(np.float32), y.h.to_numpy(np.int64), y.back.to_numpy(np.float64).astype(np.float32)))
     shared, name = spark.sparkContext.broadcast(parts), uuid.uuid4().hex
-    table, log_left = weights(train, shared, name)
-    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    shards = max(16, -(-size // SHARD))
+    words, d, log_left = singles(train, shared, name, rounds)
     row = F.xxhash64("doc_id", "text").alias("_row")  # rows that repeat share it, and their sums' quotient
-    packed = table.mapInArrow(_pack_weights(shards), _PACKED).unionByName(rows.select("text", row).mapInArrow(_pack_texts(shared, name, shards, log_left), _PACKED))
-    met = packed.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_meet, "_row long, full long, others long, chars long")
-    sums = stored(met.groupBy("_row").agg(F.sum("full").alias("full"), F.sum("others").alias("others"), F.sum("chars").alias("chars")))
+    keyed = rows.select("text", row)
+    total = lambda df: df.groupBy("_row").agg(F.sum("full").alias("full"), F.sum("others").alias("others"), F.sum("chars").alias("chars"))
+    sums = kept(total(keyed.mapInArrow(_base(shared, name, log_left), _SUMS)))
+    for r in range(rounds):
+        table = round_weights(train, words, d, rounds, r)
+        packed = table.mapInArrow(_pack_weights(shards), _PACKED).unionByName(keyed.mapInArrow(_pack_texts(rounds, r, shards), _PACKED))
+        met = packed.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_meet, _SUMS)
+        now = kept(total(met.unionByName(sums)))
+        discard(spark, table)
+        discard(spark, sums)
+        sums = now
     discard(spark, train)
+    discard(spark, words)
     scored = rows.select("doc_id", "lang", row)
     scored = scored.join(good.hint("merge"), scored["doc_id"] == good["_id"], "left").withColumn("trusted", F.coalesce("trusted", F.lit(False))).join(sums.hint("merge"), "_row")
     nats = -F.when(F.col("trusted"), F.col("others")).otherwise(F.col("full")) / F.col("chars") / STEPS

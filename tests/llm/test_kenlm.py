@@ -131,3 +131,24 @@ def _tally_with(tally, spell):
         return tally(None, "test")(batches)
 
     return run
+
+
+def test_rounds_change_nothing_and_leave_nothing(spark, monkeypatch):
+    """Word n-grams in three rounds, also with texts packed one by one, give what one round gives; no
+    round's n-grams are left in the shared folder."""
+    rows = [(i, prose(i, 30), "en") for i in range(60)] + [(60, prose(3, 30), "en"), (61, "", "en"), (62, None, None), (63, "zz top " * 9, "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(55)], "doc_id long, quality int")
+    want = sorted(k.classify(df, labels).collect())
+    tables, stored = [], k.stored
+    monkeypatch.setattr(k, "stored", lambda x: tables.append(stored(x)) or tables[-1])
+    monkeypatch.setattr(k, "ROUND", 5_000)
+    monkeypatch.setattr(k, "PACK", 1)
+    monkeypatch.setattr(k, "CHUNK", 1)
+    assert sorted(k.classify(df, labels).collect()) == want
+
+    def there(x):
+        path = spark._jvm.org.apache.hadoop.fs.Path(next(iter(x._jdf.inputFiles()), "file:///none").rsplit("/", 1)[0])
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+    assert tables and not any(there(x) for x in tables if {"g", "w"} <= set(x.columns) or "h" in x.columns and "s" in x.columns)
