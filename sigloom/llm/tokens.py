@@ -41,6 +41,8 @@ MEMORY = 400_000
 #: Bytes of text of a shard, in expectation, and of the texts encoded at once.
 SHARD_BYTES = 64 << 20
 CHUNK = 1 << 20
+#: Words that the library gets as one text.
+JOINED = 256
 #: Marks that never join a letter or digit before them, so the ids of a word and its trailing marks add up.
 _MARKS = ".,!?;:%*$&#"
 
@@ -165,6 +167,15 @@ def separable(tok) -> bool:
     return kept and all(x in ({"type": "NFC"}, {"type": "Lowercase"}, space) for x in parts(own["normalizer"], "normalizers"))
 
 
+def separator(tok) -> tuple[str, int] | None:
+    """A special token and its id that stands between words without changing theirs: it is found in the text as
+    it stands, takes no white space with it, and starts with ``<|``, so plain words hold no part of it."""
+    for x in json.loads(tok.to_str())["added_tokens"]:
+        if x["special"] and x["content"].startswith("<|") and not (x["normalized"] or x["single_word"] or x["lstrip"] or x["rstrip"]):
+            return x["content"], x["id"]
+    return None
+
+
 class Encoder:
     """Ids of texts by the tokenizers library. If ids of words add up, each word is encoded once and
     remembered; otherwise whole texts are encoded."""
@@ -175,11 +186,28 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.by_words = separable(self.tok)
+        self.between = separator(self.tok)
         self.memory: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _by_joining(self, words: list[str]) -> list[bytes]:
+        """Ids of words, many to a text with a special token between: one call of the library a text."""
+        if self.between is None:
+            return self._library(words)
+        mark, own = self.between
+        groups, out = [words[k : k + JOINED] for k in range(0, len(words), JOINED)], []
+        for group, x in zip(groups, self.tok.encode_batch_fast([mark.join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(x.ids, "<u4")
+            at = (4 * np.flatnonzero(ids == own)).tolist()
+            if len(at) != len(group) - 1:
+                out += self._library(group)
+                continue
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *(k + 4 for k in at)], [*at, len(raw)], strict=True)]
+        return out
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_words:
             return [np.frombuffer(x, "<u4") for x in self._library(texts)]
@@ -190,8 +218,11 @@ class Encoder:
         new = set().union(*cut).difference(memory)
         # a word with marks behind it is two words here; special tokens stay whole
         core = {w: c for w in new if "<|" not in w and (c := w.rstrip(_MARKS)) != w and c[-1:].isalnum()}
-        parts = list(({*new} - core.keys()).union(core.values(), (w[len(c) :] for w, c in core.items())).difference(memory))
-        memory.update(zip(parts, self._library(parts), strict=True))
+        parts = (new - core.keys()).union(core.values(), (w[len(c) :] for w, c in core.items())).difference(memory)
+        odd = [w for w in parts if "<|" in w]
+        plain = list(parts.difference(odd))
+        memory.update(zip(odd, self._library(odd), strict=True))
+        memory.update(zip(plain, self._by_joining(plain), strict=True))
         memory.update((w, memory[c] + memory[w[len(c) :]]) for w, c in core.items())
         return [np.frombuffer(b"".join(map(memory.__getitem__, words)), "<u4") for words in cut]
 

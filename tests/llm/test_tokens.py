@@ -89,6 +89,25 @@ def test_a_byte_level_vocabulary_is_encoded_by_whole_texts(spark, edges, edge_ro
     assert got == slow(rows, path)
 
 
+@pytest.mark.parametrize("joined", [1, 3, 256])
+def test_words_are_encoded_many_to_a_call(monkeypatch, joined):
+    """Each word's ids are its own, next to special tokens, marks and accents too; the library is called
+    for groups of words."""
+    monkeypatch.setattr(t, "JOINED", joined)
+    e = t.Encoder(t.default_vocabulary()[0])
+    texts = [*ODD, "<", "a< <b |x|> endoftext|>", "\u0338abc >\u0338 \u0301e", " ".join(f"w{k}x{k * k}" for k in range(1000))]
+    sent, own = [], e.tok
+
+    class Watched:
+        def encode_batch_fast(self, texts, **more):
+            sent.append(len(texts))
+            return own.encode_batch_fast(texts, **more)
+
+    e.tok = Watched()
+    assert [x.tolist() for x in e.encode(texts)] == [own.encode(x, add_special_tokens=False).ids for x in texts]
+    assert joined != 256 or sum(sent) < 200
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(t, "MEMORY", 3)
     e = t.Encoder(t.default_vocabulary()[0])
