@@ -75,6 +75,11 @@ def _hash(words: Column, at: Column | int, size: int) -> Column:
     return F.xxhash64(*(F.get(words, (at + k) if isinstance(at, Column) else F.lit(at + k)) for k in range(size)))
 
 
+def _some(words: Column, at: Column, size: int) -> Column:
+    """Hash of four of the ``size`` words from position ``at``: windows that are equal have it in common."""
+    return F.xxhash64(*(F.get(words, at + k) for k in (0, size // 3, 2 * size // 3, size - 1)))
+
+
 def _is_slot(x: Column) -> Column:
     return x.isin(NUMBER, NAME, UNIT)
 
@@ -124,10 +129,14 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, exact: bool
     few = bench.count() <= MOST_BROADCAST
 
     def exploded(rows: DataFrame, size: int, *more: str) -> DataFrame:
-        """A row for each window of a text; its hash is computed in generated code. The outer form has
-        no filter on ``t`` inferred, which would be pushed down with all that makes ``t`` inside it."""
+        """A row for each window of a text whose ``_some`` words are those of a benchmark window, with its hash.
+        The outer form has no filter on ``t`` inferred, which would be pushed down with all that makes ``t`` inside it."""
         at = rows.select("doc_id", "text_hash", "t", *more, F.posexplode_outer("t").alias("p", "_w"))
-        return at.where(F.col("p") <= F.size("t") - size).withColumn("h", _hash(F.col("t"), F.col("p"), size)).drop("_w")
+        at = at.where(F.col("p") <= F.size("t") - size)
+        if few and size > 4:
+            keys = bench.where(F.col("size") == size).select(_some(F.col("item_tmpl"), F.lit(0), size).alias("_k")).distinct()
+            at = at.withColumn("_k", _some(F.col("t"), F.col("p"), size)).join(F.broadcast(keys), "_k", "left_semi")
+        return at.withColumn("h", _hash(F.col("t"), F.col("p"), size)).drop("_w", "_k")
 
     got = None
     for size in sizes:

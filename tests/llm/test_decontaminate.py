@@ -159,3 +159,16 @@ def test_half_of_the_windows_that_count_are_enough(spark):
     item = "2 kg 3 kg 4 kg 5 kg 6 kg 7 kg we weigh all of these heavy boxes"
     changed = "11 kg 12 kg 13 kg 14 kg 15 kg 16 kg we weigh all of these heavy boxes"
     assert found(table(spark, [(1, changed), (2, prose(2))]), table(spark, [(1, item)], "item_id")) == {(1, 1)}
+
+
+def test_windows_are_hashed_whole_only_where_some_of_their_words_are_met(spark):
+    """Four words are looked up before all of a window are hashed; windows that share just those are not met."""
+    item = "a b c d e f g h".split()
+    at = {k for k in range(8) if k in (0, 8 // 3, 16 // 3, 7)}
+    other = " ".join(w if k in at else f"x{w}" for k, w in enumerate(item))
+    items = table(spark, [(1, " ".join(item))], "item_id")
+    docs = table(spark, [(1, f"so {' '.join(item)} it"), (2, f"so {other} it"), (3, f"{other} {' '.join(item)}")])
+    for exact in (False, True):
+        m = d.matches(docs, items, exact=exact)
+        assert {(r.doc_id, r.pos) for r in m.collect()} == {(1, 2), (3, 9)}
+        assert re.search(r"BroadcastHashJoin \[_k#\d+L\], \[_k#\d+L\], LeftSemi", m._jdf.queryExecution().executedPlan().toString())
