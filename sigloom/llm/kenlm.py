@@ -23,13 +23,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from functools import partial, reduce
+from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, share_code, stored, text_of
+from .common import HOT_KEYS, discard, share_code, stored, text_of
 
 ORDER = 4
 BITS = 6
@@ -42,12 +44,13 @@ MIN_TRUSTED = 50
 GRID = 1000
 CHUNK = 1 << 20
 #: Characters of all texts for each shard of the join and for each round, the most rounds, and characters
-#: of the texts that are packed together; share of the base distribution that is a text's end; and steps of
+#: of the texts that are packed together; trigrams that are packed together; share of the base distribution that is a text's end; and steps of
 #: a weight in a nat (whole numbers add up in any order).
 SHARD = 32_000_000
 ROUND = 8_000_000
 ROUNDS = 12
 PACK = 4 << 20
+PACKED = 1 << 20
 END = 0.01
 STEPS = 1_000_000
 
@@ -188,14 +191,20 @@ def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return _words(texts, points, np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:]))
 
 
-def chain(of: np.ndarray, word: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
-    """Of ``n`` texts, each two start words, its words and its end: the text and the place inside it of each
-    of these, the hashes of the 1, 2 and 3 words that end there, and where the texts end."""
+def _line(of: np.ndarray, word: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of ``n`` texts, each two start words, its words and its end; how many these are, and where they begin."""
     size = np.bincount(of, minlength=n) + 3
     top = np.cumsum(size) - size
     line = np.full(size.sum(), _START_WORD, np.uint64)
     line[np.arange(len(word)) + 3 * of + 2] = word
     line[top + size - 1] = _END_WORD
+    return line, size, top
+
+
+def chain(of: np.ndarray, word: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+    """Of ``n`` texts, each two start words, its words and its end: the text and the place inside it of each
+    of these, the hashes of the 1, 2 and 3 words that end there, and where the texts end."""
+    line, size, top = _line(of, word, n)
     one = _pair(line, line, 1)
     two = np.r_[np.uint64(0), _pair(line[:-1], line[1:], 2)]
     three = np.r_[np.zeros(2, np.uint64), _pair(two[1:-1], line[2:], 3)]
@@ -230,7 +239,6 @@ def grams(texts: list[str], log_p: np.ndarray) -> tuple[dict[str, np.ndarray], n
 
 
 _TALLY = "g long, q double, c long"
-_TRIGRAMS = "g long, h long, s long, b long, e long, c long"
 #: The history of a text's first word, which nothing predicts.
 _START = int(_pair(np.full(1, _START_WORD), np.full(1, _START_WORD), 2).view(np.int64)[0])
 _ROUND_BITS = 40
@@ -255,19 +263,146 @@ def _tally(model, name: str):
     return run
 
 
-def _trigrams(rounds: int, r: int):
-    """Count of each trigram of the round in a chunk of trusted texts, and the hashes of its history, its
-    suffix, its middle and its last word."""
+def _block(*cols: np.ndarray) -> bytes:
+    """Columns, the first ascending and so by differences, byte by byte of their places, compressed."""
+    cols = np.r_[cols[0][:1], np.diff(cols[0])], *cols[1:]
+    raw = b"".join(np.ascontiguousarray(v.view(np.uint8).reshape(len(v), -1).T).tobytes() for v in cols)
+    return pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unblock(body: bytes, n: int, kinds: str) -> list[np.ndarray]:
+    sizes = [np.dtype(k).itemsize for k in kinds]
+    raw = np.frombuffer(pa.decompress(body, n * sum(sizes), "zstd", asbytes=True), np.uint8)
+    ends = np.cumsum([0, *sizes]) * n
+    cols = [np.ascontiguousarray(raw[i:j].reshape(-1, n).T).view(k).ravel() for i, j, k in zip(ends, ends[1:], kinds, strict=False)]
+    return [np.cumsum(cols[0], dtype=cols[0].dtype), *cols[1:]]
+
+
+def _dealt(shard: np.ndarray, shards: int, kind: int, *cols: np.ndarray, ids: bytes = b"") -> pa.RecordBatch:
+    """A row for each shard: its part of the columns, of which the first ascends."""
+    order = np.argsort(shard.astype(np.int32), kind="stable")
+    cols = [v[order] for v in cols]
+    cut = np.searchsorted(shard[order], np.arange(shards + 1))
+    have = np.flatnonzero(cut[1:] > cut[:-1])
+    body = [_block(*(v[cut[k] : cut[k + 1]] for v in cols)) for k in have]
+    rows = [pa.array(have.astype(np.int32)), pa.array(np.full(len(have), kind, np.int32)), pa.array((cut[1:] - cut[:-1])[have].astype(np.int32)), pa.array(body, pa.binary()), pa.array([ids] * len(have), pa.binary())]
+    return pa.RecordBatch.from_arrays(rows, ["shard", "kind", "n", "body", "id"])
+
+
+def _find(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``x`` is in the ascending table, and whether it is."""
+    if not len(table):
+        return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+    at = np.minimum(np.searchsorted(table, x), len(table) - 1)
+    return at, table[at] == x
+
+
+def _deal(hot: np.ndarray, one: np.ndarray, two: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of a word, of a frequent one that of the two words."""
+    return np.where(_find(hot, one)[1], two, one) % np.uint64(shards)
+
+
+def _edges(x: np.ndarray) -> np.ndarray:
+    """Where ascending ``x`` has a new value."""
+    return np.flatnonzero(np.r_[True, x[1:] != x[:-1]][: len(x)])
+
+
+def _groups(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of ``x``, where in that order a new value begins, and of each row the number of its value."""
+    order = np.argsort(x)
+    edge = _edges(x[order])
+    of = np.empty(len(x), np.int64)
+    of[order] = np.repeat(np.arange(len(edge)), np.diff(np.r_[edge, len(x)]))
+    return order, edge, of
+
+
+def _trigrams(rounds: int, r: int, shards: int, hot: np.ndarray | None = None):
+    """The round's trigrams of trusted texts that are packed together, word by word, and their counts: dealt
+    out by their last word and, if that is frequent or ``hot`` is not given, the middle word as well."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def packed():
+            b, c, a = (np.concatenate(v) for v in zip(*held, strict=True))
+            order = np.lexsort((a, c, b)) if len(b) else np.zeros(0, np.int64)
+            a, b, c = a[order], b[order], c[order]
+            edge = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])][: len(a)])
+            n = np.diff(np.r_[edge, len(a)]).astype(np.int64)
+            a, b, c = a[edge], b[edge], c[edge]
+            two = _pair(b, c, 2)
+            shard = two % np.uint64(shards) if hot is None else _deal(hot, _pair(c, c, 1), two, shards)
+            return _dealt(shard, shards, 0, b, c, a, n)
+
         for batch in batches:
             for _, texts in _chunks(batch):
-                _, inner, one, two, three, _ = chain(*hashed(texts), len(texts))
-                e = np.flatnonzero(inner >= 2)
-                e = e[_of_round(one[e - 1], rounds, r)]
-                g, at, c = np.unique(three[e], return_index=True, return_counts=True)
-                e = e[at]
-                yield pa.RecordBatch.from_arrays([*(pa.array(v.view(np.int64)) for v in (g, two[e - 1], two[e], one[e - 1], one[e])), pa.array(c.astype(np.int64))], list("ghsbec"))
+                line, _, top = _line(*hashed(texts), len(texts))
+                here = np.ones(len(line), bool)
+                here[top] = here[top + 1] = False
+                e = np.flatnonzero(here)
+                b = line[e - 1]
+                e = e[_of_round(_pair(b, b, 1), rounds, r)]
+                held.append((line[e - 1], line[e], line[e - 2]))
+                size += len(e)
+                if size >= PACKED:
+                    yield packed()
+                    held, size = [], 0
+        if size:
+            yield packed()
+
+    return run
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[dict]]]:
+    """The rows of each shard, which come together."""
+    rows = (dict(zip(("shard", "kind", "n", "body", "id"), x, strict=True)) for b in batches for x in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    yield from groupby(rows, lambda r: r["shard"])
+
+
+def _distinct(held: list[list[np.ndarray]]) -> tuple[np.ndarray, ...]:
+    """Words and count of each trigram of several blocks."""
+    b, c, a, n = (np.concatenate(v) for v in zip(*held, strict=True))
+    order, edge, _ = _groups(_pair(_pair(a, b, 2), c, 3))
+    first = order[edge]
+    return a[first], b[first], c[first], np.add.reduceat(n[order], edge)
+
+
+def _sums(k: np.ndarray, of: np.ndarray, size: int) -> list[np.ndarray]:
+    """Sum of the counts of each group, and how many are 1, 2 and more."""
+    return [np.bincount(of, k, size), *(np.bincount(of[m], minlength=size) for m in (k == 1, k == 2, k > 2))]
+
+
+def _cut_of(n: list[np.ndarray], d: tuple[float, float, float]) -> np.ndarray:
+    """Share that the discounts of ``_sums`` take."""
+    return (n[1] * d[0] + n[2] * d[1] + n[3] * d[2]) / n[0]
+
+
+def _minus(k: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
+    return k - np.where(k == 1, d[0], np.where(k == 2, d[1], d[2]))
+
+
+_CONTINUATIONS = [*"gkamno", *(f"t{j}" for j in range(1, 5)), *(f"b{j}" for j in range(1, 5))]
+
+
+def _continuations(hot: np.ndarray):
+    """Of each shard's trigrams: before how many words a word stands, the sums of the words behind a frequent one, and
+    in one row how many trigrams and two words have a count of 1 to 4."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _shards(batches):
+            a, b, c, n = _distinct([_unblock(r["body"], r["n"], _UUUI) for r in rows])
+            order, edge, _ = _groups(_pair(b, c, 2))
+            k = np.diff(np.r_[edge, len(b)])
+            b, c = b[order[edge]], c[order[edge]]
+            g, times = np.unique(_pair(c, c, 1), return_counts=True)
+            at, often = _find(hot, _pair(b, b, 1))
+            behind = _sums(k[often], at[often], len(hot))
+            some = np.flatnonzero(behind[0])
+            totals = [np.array([np.count_nonzero(v == j)]) for v in (n, k) for j in range(1, 5)]
+            zeros = lambda m: np.zeros(m, np.int64)
+            cols = [np.r_[g, hot[some]].view(np.int64), np.r_[times, zeros(len(some))], *(np.r_[zeros(len(g)), v[some].astype(np.int64)] for v in behind)]
+            cols += [np.r_[v, zeros(len(cols[0]) - 1)] for v in totals]
+            yield pa.RecordBatch.from_arrays([pa.array(v.astype(np.int64)) for v in cols], _CONTINUATIONS)
 
     return run
 
@@ -292,108 +427,76 @@ def _less(k: str, d: tuple[float, float, float]):
     return F.col(k) - F.when(F.col(k) == 1, d[0]).when(F.col(k) == 2, d[1]).otherwise(d[2])
 
 
-def singles(texts: DataFrame, shared, name: str, rounds: int = 1) -> tuple[DataFrame, list[tuple[float, float, float]], float]:
+_PACKED = "shard int, kind int, n int, body binary, id binary"
+_SUMS = "_row long, full long, others long, chars long"
+#: Kinds of the columns of blocks of trigrams, of what is known of them, of single words and of weights.
+_UUUI, _UUUIID, _UD, _UDI = ["u8", "u8", "u8", "i8"], ["u8", "u8", "u8", "i8", "i8", "f8"], ["u8", "f8"], ["u8", "f8", "i8"]
+
+
+def _by_shard(rows: DataFrame, run, schema: str) -> DataFrame:
+    return rows.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(run, schema)
+
+
+class Frequent(NamedTuple):
+    """Words that are over 1/``HOT_KEYS`` of all, ascending; log probability of each, and of what is behind it
+    the sum of counts and the log share that it leaves."""
+
+    g: np.ndarray
+    p: np.ndarray
+    all: np.ndarray
+    left: np.ndarray
+
+
+def singles(texts: DataFrame, shared, name: str, rounds: int = 1, shards: int = 16) -> tuple[DataFrame, list[tuple[float, float, float]], float, Frequent]:
     """``texts(text)`` -> ``(g, p, w, c)`` of the single words, log probability, weight and count; the discounts of
-    the three orders; and the log share that single words leave to the base distribution."""
+    the three orders; the log share that single words leave to the base distribution; and the frequent words."""
     spark, have = texts.sparkSession, None
-    three, two = [f"t{j}" for j in range(1, 5)], [f"b{j}" for j in range(1, 5)]
-    for r in range(rounds):
-        x = texts.select("text").mapInArrow(_trigrams(rounds, r), _TRIGRAMS).groupBy("g").agg(F.min("s").alias("s"), F.min("e").alias("e"), F.sum("c").alias("c"))
-        x = x.groupBy("s").agg(F.min("e").alias("e"), F.count("*").alias("k"), *(F.count_if(F.col("c") == j).alias(t) for j, t in enumerate(three, 1)))
-        x = x.groupBy(F.col("e").alias("g")).agg(F.count("*").alias("k"), *(F.sum(t).alias(t) for t in three), *(F.count_if(F.col("k") == j).alias(b) for j, b in enumerate(two, 1)))
-        if have is not None:
-            x = x.unionByName(have).groupBy("g").agg(*(F.sum(v).alias(v) for v in ("k", *three, *two)))
-        x, old = kept(x), have
+    own = texts.select("text").mapInArrow(_tally(shared, name), _TALLY).groupBy("g").agg(F.min("q").alias("q"), F.sum("c").alias("c"))
+    own = kept(own)
+    total = own.agg(F.sum("c")).first()[0] or 0
+    often = own.where(F.col("c") * HOT_KEYS > total).select("g").toPandas().g.to_numpy(np.int64)
+    # the start is no word that is predicted, but two words begin with it in every text
+    hot = np.unique(np.r_[often.view(np.uint64), _pair(np.full(1, _START_WORD), np.full(1, _START_WORD), 1)])
+    few = -(-rounds // 3)
+    sums = ", ".join(f"{v} long" for v in _CONTINUATIONS)
+    for r in range(few):
+        x = _by_shard(texts.select("text").mapInArrow(_trigrams(few, r, shards), _PACKED), _continuations(hot), sums)
+        x = x if have is None else x.unionByName(have)
+        x, old = kept(x.groupBy("g").agg(*(F.sum(v).alias(v) for v in _CONTINUATIONS[1:]))), have
         if old is not None:
             discard(spark, old)
         have = x
-    of = have.agg(F.sum("k").alias("all"), *(F.count_if(F.col("k") == j).alias(f"o{j}") for j in range(1, 5)), *(F.sum(v).alias(v) for v in (*two, *three))).first()
+    of = have.agg(F.sum("k").alias("all"), *(F.count_if(F.col("k") == j).alias(f"o{j}") for j in range(1, 5)), *(F.sum(v).alias(v) for v in _CONTINUATIONS[6:])).first()
     d = [discounts([int(of[f"{o}{j}"] or 0) for j in range(1, 5)]) for o in "obt"]
     left = (have.agg(_cut("k", d[0]).alias("cut")).first()["cut"] / of["all"]) if of["all"] else 1.0
-    own = texts.select("text").mapInArrow(_tally(shared, name), _TALLY).groupBy("g").agg(F.min("q").alias("q"), F.sum("c").alias("c"))
-    t = own.join(have.select("g", "k"), "g")
+    t = own.join(have.where("k > 0").select("g", "k"), "g")
     t = t.select("g", F.log(_less("k", d[0]) / F.lit(of["all"] or 1) + F.lit(left) * F.exp("q")).alias("p"), "q", "c")
     words = kept(t.select("g", "p", (F.col("p") - F.col("q") - F.lit(float(np.log(left)))).alias("w"), "c"))
+    known = spark.createDataFrame([(v,) for v in hot.view(np.int64).tolist()], "g long")
+    x = have.join(F.broadcast(known), "g", "left_semi").toPandas().set_index("g").reindex(hot.view(np.int64), fill_value=0)
+    p = words.join(F.broadcast(known), "g", "left_semi").select("g", "p").toPandas().set_index("g").reindex(hot.view(np.int64), fill_value=0.0).p.to_numpy()
+    behind = [x[v].to_numpy(np.int64) for v in "amno"]
+    with np.errstate(divide="ignore", invalid="ignore"):  # without trusted text nothing is behind a word
+        frequent = Frequent(hot, p, behind[0], np.log(_cut_of(behind, d[1])))
     discard(spark, have)
-    return words, d, float(np.log(left))
-
-
-def round_weights(texts: DataFrame, words: DataFrame, d: list[tuple[float, float, float]], rounds: int = 1, r: int = 0) -> DataFrame:
-    """``(g, w, c)``, the weights of a round's n-grams in steps and their counts (null for those of the start):
-    trigrams by their middle word, two words by their first, histories by their last, and the round's words.
-    Of two words of different rounds, one round has the weight as n-gram and one that as history."""
-    tri = texts.select("text").mapInArrow(_trigrams(rounds, r), _TRIGRAMS).groupBy("g")
-    tri = kept(tri.agg(*(F.min(v).alias(v) for v in "hsbe"), F.sum("c").alias("c")))
-    two = tri.groupBy(F.col("s").alias("g")).agg(F.min("b").alias("h"), F.min("e").alias("s"), F.count("*").alias("k"), F.sum("c").alias("c"))
-    two = kept(two)
-    taken = lambda t, k, by: t.groupBy("h").agg(F.sum(k).alias("all"), F.log(_cut(k, by) / F.sum(k)).alias("left"))
-    one_left, two_left = taken(two, "k", d[1]), taken(tri, "c", d[2])
-    p = F.log(_less("k", d[1]) / F.col("all") + F.exp(F.col("left") + F.col("low")))
-    t2 = two.join(one_left, "h").join(words.select(F.col("g").alias("s"), F.col("p").alias("low")), "s")
-    t2 = kept(t2.select("g", p.alias("p"), "c", (p - F.col("left") - F.col("low")).alias("w")))
-    p = F.log(_less("c", d[2]) / F.col("all") + F.exp(F.col("left") + F.col("low")))
-    t3 = tri.join(two_left, "h").join(t2.select(F.col("g").alias("s"), F.col("p").alias("low")), "s")
-    t3 = t3.select("g", (p - F.col("left") - F.col("low")).alias("w"), "c")
-    here = words.where(F.pmod(F.shiftrightunsigned("g", _ROUND_BITS), F.lit(rounds)) == r).select("g", "w", "c")
-    # a history is met as often as what it is the history of
-    histories = two_left.select(F.col("h").alias("g"), F.col("left").alias("w"), F.when(F.col("h") != _START, F.col("all")).alias("c"))
-    every = here.unionByName(one_left.select(F.col("h").alias("g"), F.col("left").alias("w"), F.lit(None).cast("long").alias("c")))
-    every = every.unionByName(t2.select("g", "w", "c")).unionByName(histories).unionByName(t3)
-    every = kept(every.groupBy("g").agg(F.round(F.sum("w") * STEPS).cast("long").alias("w"), F.max("c").alias("c")))
-    for t in (tri, two, t2):
-        discard(texts.sparkSession, t)
-    return every
-
-
-def weights(texts: DataFrame, shared, name: str) -> tuple[DataFrame, float]:
-    """``texts(text)`` -> ``(g, w, c)`` of all n-grams, in one round, and the log share that single words leave
-    to the base distribution."""
-    words, d, log_left = singles(texts, shared, name)
-    return round_weights(texts, words, d), log_left
-
-
-_PACKED = "shard int, kind int, n int, body binary, id binary"
-_SUMS = "_row long, full long, others long, chars long"
-
-
-def _planes(g: np.ndarray, x: np.ndarray, y: np.ndarray) -> bytes:
-    """Ascending ``g`` by differences and ``x``, ``y`` as they are, byte by byte of their places, compressed."""
-    g = g.view(np.uint64)
-    cols = [np.r_[g[:1], np.diff(g)], x, y]
-    raw = b"".join(np.ascontiguousarray(v.view(np.uint8).reshape(len(v), -1).T).tobytes() for v in cols)
-    return pa.compress(raw, "zstd", asbytes=True)
-
-
-def _from_planes(body: bytes, n: int, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    size = np.dtype(kind).itemsize
-    raw = np.frombuffer(pa.decompress(body, n * (8 + 2 * size), "zstd", asbytes=True), np.uint8)
-    back = lambda a, b, t: np.ascontiguousarray(raw[a * n : b * n].reshape(b - a, n).T).view(t).ravel()
-    return np.cumsum(back(0, 8, np.uint64), dtype=np.uint64), back(8, 8 + size, kind), back(8 + size, 8 + 2 * size, kind)
+    discard(spark, own)
+    return words, d, float(np.log(left)), frequent
 
 
-def _pack(shards: int, kind: int, g: np.ndarray, x: np.ndarray, y: np.ndarray, ids: bytes) -> pa.RecordBatch:
-    """A row for each shard: its n-grams, which are given in order, and ``x``, ``y`` of each."""
-    shard = (g.view(np.uint64) % np.uint64(shards)).astype(np.int32)
-    order = np.argsort(shard, kind="stable")
-    g, x, y = g[order], x[order], y[order]
-    cut = np.searchsorted(shard[order], np.arange(shards + 1))
-    have = np.flatnonzero(cut[1:] > cut[:-1])
-    body = [_planes(*(v[cut[k] : cut[k + 1]] for v in (g, x, y))) for k in have]
-    cols = [pa.array(have.astype(np.int32)), pa.array(np.full(len(have), kind, np.int32)), pa.array((cut[1:] - cut[:-1])[have].astype(np.int32)), pa.array(body, pa.binary()), pa.array([ids] * len(have), pa.binary())]
-    return pa.RecordBatch.from_arrays(cols, ["shard", "kind", "n", "body", "id"])
+def _pack_words(shards: int, kind: int, *names: str):
+    """Rows of words in blocks, a word in its own shard."""
 
-
-def _pack_weights(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
 
         def packed():
-            g, w, c = (np.concatenate(v) for v in zip(*held, strict=True))
-            order = np.argsort(g.view(np.uint64))
-            return _pack(shards, 0, g[order], w[order], c[order], b"")
+            cols = [np.concatenate(v) for v in zip(*held, strict=True)]
+            g = cols[0].view(np.uint64)
+            order = np.argsort(g)
+            return _dealt(g[order] % np.uint64(shards), shards, kind, g[order], *(v[order] for v in cols[1:]))
 
         for b in batches:
-            held.append([b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).fill_null(1 << 40).to_numpy()])
+            held.append([b.column(b.schema.get_field_index(v)).to_numpy() for v in names])
             n += b.num_rows
             if n >= CHUNK:
                 yield packed()
@@ -404,16 +507,124 @@ def _pack_weights(shards: int):
     return run
 
 
-def _pack_texts(rounds: int, r: int, shards: int):
-    """The round's n-grams of texts, each with its text among those packed together and its count there."""
+def _lower(shards: int, d: list[tuple[float, float, float]], hot: Frequent):
+    """Trigrams with the count of their two last words and the log probability of their last, dealt out anew by the
+    middle word or, if that is frequent, the two first; and the weights of two words that begin with a frequent one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _shards(batches):
+            held, known = [], [(hot.g, hot.p)]
+            for r in rows:
+                held.append(_unblock(r["body"], r["n"], _UUUI)) if r["kind"] == 0 else known.append(_unblock(r["body"], r["n"], _UD))
+            if not held:
+                continue
+            a, b, c, n = _distinct(held)
+            del held
+            order, edge, of = _groups(_pair(b, c, 2))
+            first, k = order[edge], np.diff(np.r_[edge, len(b)])
+            g, p = (np.concatenate(v) for v in zip(*known, strict=True))
+            by = np.argsort(g, kind="stable")
+            low = p[by][_find(g[by], _pair(c[first], c[first], 1))[0]]
+            at, often = _find(hot.g, _pair(b[first], b[first], 1))
+            j, at = first[often], at[often]
+            w = np.log(_minus(k[often], d[1]) / hot.all[at] + np.exp(hot.left[at] + low[often])) - hot.left[at] - low[often]
+            two, met = _pair(b[j], c[j], 2), np.bincount(of, n, len(edge)).astype(np.int64)[often]
+            by = np.argsort(two)
+            yield _dealt((two % np.uint64(shards))[by], shards, 0, two[by], w[by], met[by])
+            k, low = k[of], low[of]
+            by = np.argsort(b)
+            a, b, c, n, k, low = (v[by] for v in (a, b, c, n, k, low))
+            yield _dealt(_deal(hot.g, _pair(b, b, 1), _pair(a, b, 2), shards), shards, 1, b, c, a, n, k.astype(np.int64), low)
+
+    return run
+
+
+def _weigh(held: list[list[np.ndarray]], given: list[list[np.ndarray]], d: list[tuple[float, float, float]], hot: Frequent) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n-grams of a shard in order, their weights in steps and their counts (very many for those of the start)."""
+    parts = list(given)
+    if held:
+        b, c, a, n, k, low = (np.concatenate(v) for v in zip(*held, strict=True))
+        h, s = _pair(a, b, 2), _pair(b, c, 2)
+        order, edge, of_h = _groups(h)
+        behind = _sums(n, of_h, len(edge))
+        left2 = np.log(_cut_of(behind, d[2]))
+        own = h[order[edge]]
+        parts.append((~own, left2, np.where(own == np.uint64(_START % (1 << 64)), -1, behind[0].astype(np.int64))))
+        order, edge, of_s = _groups(s)
+        i, met = order[edge], np.bincount(of_s, n, len(edge)).astype(np.int64)
+        one = _pair(b[i], b[i], 1)
+        at, often = _find(hot.g, one)
+        all1, left1 = hot.all[at].astype(np.float64), hot.left[at]
+        rest = np.flatnonzero(~often)
+        if len(rest):
+            order, edge, of_b = _groups(one[rest])
+            behind = _sums(k[i][rest], of_b, len(edge))
+            log = np.log(_cut_of(behind, d[1]))
+            all1[rest], left1[rest] = behind[0][of_b], log[of_b]
+            parts.append((one[rest][order[edge]], log, np.full(len(edge), -1)))
+        p2 = np.log(_minus(k[i], d[1]) / all1 + np.exp(left1 + low[i]))
+        parts.append((s[i][rest], (p2 - left1 - low[i])[rest], met[rest]))
+        p2, left2 = p2[of_s], left2[of_h]
+        p3 = np.log(_minus(n, d[2]) / np.bincount(of_h, n)[of_h] + np.exp(left2 + p2))
+        parts.append((_pair(h, c, 3), p3 - left2 - p2, n))
+    g, w, c = (np.concatenate(v) for v in zip(*parts, strict=True))
+    order = np.argsort(g)
+    edge = _edges(g[order])
+    w, c = np.add.reduceat(w[order], edge), np.maximum.reduceat(c[order], edge)
+    return g[order][edge], np.round(w * STEPS).astype(np.int64), np.where(c < 0, 1 << 40, c)
+
+
+def round_weights(texts: DataFrame, words: DataFrame, d: list[tuple[float, float, float]], hot: Frequent, shards: int = 16, rounds: int = 1, r: int = 0) -> DataFrame:
+    """Blocks, by shard, from which ``_weigh`` makes the weights of a round's n-grams: trigrams by their middle word,
+    two words by their first, histories by their last, and the round's words."""
+    spark = texts.sparkSession
+    tri = texts.select("text").mapInArrow(_trigrams(rounds, r, shards, hot.g), _PACKED)
+    tri = tri.unionByName(words.select("g", "p").mapInArrow(_pack_words(shards, 1, "g", "p"), _PACKED))
+    tri = _by_shard(tri, _lower(shards, d, hot), _PACKED)
+    here = words.select("g", "w", "c")
+    begun = np.flatnonzero(hot.all > 0)
+    if len(begun):
+        rows = zip(hot.g[begun].view(np.int64).tolist(), hot.left[begun].tolist(), strict=True)
+        here = here.unionByName(spark.createDataFrame([(g, w, -1) for g, w in rows], "g long, w double, c long"))
+    here = here.where(F.pmod(F.shiftrightunsigned("g", _ROUND_BITS), F.lit(rounds)) == r)
+    return kept(tri.unionByName(here.mapInArrow(_pack_words(shards, 0, "g", "w", "c"), _PACKED)))
+
+
+def _weights(d: list[tuple[float, float, float]], hot: Frequent):
+    """Weights row by row; those of histories have the n-gram itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _shards(batches):
+            given, held = [], []
+            for r in rows:
+                given.append(_unblock(r["body"], r["n"], _UDI)) if r["kind"] == 0 else held.append(_unblock(r["body"], r["n"], _UUUIID))
+            past = {int(v) for x in held for v in ~_pair(x[2], x[0], 2)}
+            g, w, c = _weigh(held, given, d, hot)
+            g = np.array([~np.uint64(v) if int(v) in past else v for v in g], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (g.view(np.int64), w, c)], list("gwc"))
+
+    return run
+
+
+def weights(texts: DataFrame, shared, name: str) -> tuple[DataFrame, float]:
+    """``texts(text)`` -> ``(g, w, c)`` of all n-grams, in one round, and the log share that single words leave
+    to the base distribution."""
+    words, d, log_left, hot = singles(texts, shared, name)
+    rows = _by_shard(round_weights(texts, words, d, hot), _weights(d, hot), "g long, w long, c long")
+    return rows.groupBy("g").agg(F.sum("w").alias("w"), F.max("c").alias("c")), log_left
+
+
+def _pack_texts(rounds: int, r: int, shards: int, hot: np.ndarray):
+    """The round's n-grams of texts, each with its text among those packed together and its count there; two
+    words as the history of a third are ``~g``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed(ids):
-            g, of = (np.concatenate(v) for v in zip(*held, strict=True))
+            g, of, shard = (np.concatenate(v) for v in zip(*held, strict=True))
             order = np.argsort(g, kind="stable")  # texts of one n-gram are in order already
             g, of = g[order], of[order]
             edge = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (of[1:] != of[:-1])][: len(g)])
-            return _pack(shards, 1, g[edge], of[edge].astype(np.int32), np.diff(np.r_[edge, len(g)]).astype(np.int32), ids.tobytes())
+            return _dealt(shard[order[edge]], shards, 2, g[edge], of[edge].astype(np.int32), np.diff(np.r_[edge, len(g)]).astype(np.int32), ids=ids.tobytes())
 
         for b in batches:
             row = b.column(1).to_numpy()
@@ -422,8 +633,12 @@ def _pack_texts(rounds: int, r: int, shards: int):
                 text, inner, one, two, three, _ = chain(*hashed(texts), len(texts))
                 last = _of_round(one, rounds, r)
                 before = np.r_[False, last[:-1]]
-                i = [np.flatnonzero(v) for v in ((inner >= 1) & last, (inner >= 1) & (last | before), (inner >= 2) & before)]
-                held.append([np.concatenate([v[k] for v, k in zip((one, two, three), i, strict=True)]), text[np.concatenate(i)] + a - first])
+                i = np.flatnonzero((inner >= 1) & last)
+                j, e = np.flatnonzero((inner >= 1) & before), np.flatnonzero((inner >= 2) & before)
+                past = i[inner[i] >= 1]
+                g = np.concatenate([one[i], ~two[past], two[j], three[e]])
+                shard = [one[i] % np.uint64(shards), _deal(hot, one[past], two[past], shards), _deal(hot, one[j - 1], two[j], shards), _deal(hot, one[e - 1], two[e - 1], shards)]
+                held.append([g, text[np.concatenate([i, past, j, e])] + a - first, np.concatenate(shard).astype(np.int32)])
                 size += sum(map(len, texts))
                 if size >= PACK:
                     yield packed(row[first : a + len(texts)])
@@ -450,26 +665,26 @@ def _base(model, name: str, log_left: float):
     return run
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of texts in each shard: of all their n-grams, and of those that others have as well. The
-    rows of a shard come together, its weights first."""
-    at, held, table = None, [], None
+def _meet(d: list[tuple[float, float, float]], hot: Frequent):
+    """Sums of texts in each shard: of all their n-grams, and of those that others have as well. What
+    gives the shard's weights comes first."""
     names = ["_row", "full", "others", "chars"]
-    for b in batches:
-        for r in b.to_pylist():
-            if r["shard"] != at:
-                at, held, table = r["shard"], [], None
-            if r["kind"] == 0:
-                held.append(_from_planes(r["body"], r["n"], np.int64))
-            elif held:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _shards(batches):
+            given, held, table = [], [], None
+            for r in rows:
+                if r["kind"] < 2:
+                    given.append(_unblock(r["body"], r["n"], _UDI)) if r["kind"] == 0 else held.append(_unblock(r["body"], r["n"], _UUUIID))
+                    continue
                 if table is None:
-                    table = [np.concatenate(v) for v in zip(*held, strict=True)]
-                    order = np.argsort(table[0])
-                    table, held = [v[order] for v in table], [True]
+                    table = _weigh(held, given, d, hot) if held or given else ()
+                    given, held = [], []
+                if not table:
+                    continue
                 ids = np.frombuffer(r["id"], np.int64)
-                g, of, own = _from_planes(r["body"], r["n"], np.int32)
-                k = np.minimum(np.searchsorted(table[0], g), len(table[0]) - 1)
-                met = np.flatnonzero(table[0][k] == g)
+                g, of, own = _unblock(r["body"], r["n"], ["u8", "i4", "i4"])
+                k, met = _find(table[0], g)
                 k, of, own = k[met], of[met], own[met]
                 # below 2**53, so sums of floats are exact
                 part = table[1][k].astype(np.float64) * own
@@ -478,6 +693,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 some = np.flatnonzero(np.bincount(of, minlength=len(ids)))
                 yield pa.RecordBatch.from_arrays([pa.array(v[some]) for v in (ids, full, others, np.zeros(len(ids), np.int64))], names)
 
+    return run
+
 
 def _count(batches: Iterator[pa.RecordBatch], of=codes) -> Iterator[pa.RecordBatch]:
     held = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -587,15 +804,14 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
         x, y = g.toPandas(), h.toPandas()
         parts.append((x.g.to_numpy(np.int64), x.p.to_numpy(np.float64).astype(np.float32), y.h.to_numpy(np.int64), y.back.to_numpy(np.float64).astype(np.float32)))
     shared, name = spark.sparkContext.broadcast(parts), uuid.uuid4().hex
-    words, d, log_left = singles(train, shared, name, rounds)
+    words, d, log_left, hot = singles(train, shared, name, rounds, shards)
     row = F.xxhash64("doc_id", "text").alias("_row")  # rows that repeat share it, and their sums' quotient
     keyed = rows.select("text", row)
     total = lambda df: df.groupBy("_row").agg(F.sum("full").alias("full"), F.sum("others").alias("others"), F.sum("chars").alias("chars"))
     sums = kept(total(keyed.mapInArrow(_base(shared, name, log_left), _SUMS)))
     for r in range(rounds):
-        table = round_weights(train, words, d, rounds, r)
-        packed = table.mapInArrow(_pack_weights(shards), _PACKED).unionByName(keyed.mapInArrow(_pack_texts(rounds, r, shards), _PACKED))
-        met = packed.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_meet, _SUMS)
+        table = round_weights(train, words, d, hot, shards, rounds, r)
+        met = _by_shard(table.unionByName(keyed.mapInArrow(_pack_texts(rounds, r, shards, hot.g), _PACKED)), _meet(d, hot), _SUMS)
         now = kept(total(met.unionByName(sums)))
         discard(spark, table)
         discard(spark, sums)
