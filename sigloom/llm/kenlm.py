@@ -3,11 +3,13 @@
 The model has word n-grams up to ``WORDS`` as 64-bit hashes; a word that trusted text does not have is
 spelled by a Kneser-Ney model over characters (64 symbols, histories of three, inside the word), which
 is the base distribution of the word model. Counts, continuation counts, history sums and probabilities
-come from grouping and joining tables by n-gram, history and suffix.
+come from grouping n-grams by suffix and by history. Trigrams are dealt out as blocks of many, first by their last
+word, where they meet its probability, then by their middle word, where all that is known of history and suffix
+is at hand; those of a frequent word are dealt out by two words, as its own sums are known to all.
 
 The logarithm of an interpolated model is a sum over a text's n-grams: a word's term, and for each
 longer n-gram what it adds to the shorter one and what its history takes. So each n-gram has its weights,
-and texts meet them in joins: n-grams of texts are packed by shard of their hash, a row for a
+and texts meet them in joins: n-grams of texts are packed by the shard of their weights, a row for a
 chunk of texts and a shard, and a shard's weights are held against them by a sorted search. Shards grow
 in number with the input. A trusted text is not measured with n-grams that only it has. A text's
 perplexity is held against a quantile of the trusted texts of its language.
@@ -43,6 +45,8 @@ MARGIN = 0.05
 MIN_TRUSTED = 50
 GRID = 1000
 CHUNK = 1 << 20
+#: Characters that are hashed at once where words are all that is needed: what fits a core's cache.
+SLICE = 1 << 18
 #: Characters of all texts for each shard of the join and for each round, the most rounds, and characters
 #: of the texts that are packed together; trigrams that are packed together; share of the base distribution that is a text's end; and steps of
 #: a weight in a nat (whole numbers add up in any order).
@@ -81,6 +85,7 @@ def _symbol_table() -> np.ndarray:
 
 
 _TABLE = _symbol_table()
+_INSIDE = _TABLE != 0
 
 
 def symbols(text: str) -> np.ndarray:
@@ -113,13 +118,14 @@ def codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return code[keep], n
 
 
-def _chunks(b: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
-    """First row and texts of parts of a batch of about ``CHUNK`` characters."""
+def _chunks(b: pa.RecordBatch, most: int | None = None) -> Iterator[tuple[int, list[str]]]:
+    """First row and texts of parts of a batch of about ``CHUNK`` characters, or ``most`` if that is less."""
+    most = min(CHUNK, most or CHUNK)
     texts, size = [], 0
     for k, x in enumerate(b.column(0)):
         texts.append(x.as_py())
         size += len(texts[-1])
-        if size >= CHUNK:
+        if size >= most:
             yield k + 1 - len(texts), texts
             texts, size = [], 0
     if texts:
@@ -154,9 +160,11 @@ def _powers(n: int) -> np.ndarray:
 
 def _words(texts: list[str], points: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Position of the text and hash of each word, from where it starts and ends in the joined texts."""
-    of = np.searchsorted(np.cumsum([0, *(len(t) + 1 for t in texts)]), start, "right") - 1
+    first = np.searchsorted(start, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+    of = np.repeat(np.arange(len(texts)), np.diff(first))
     power = _powers(len(points))
-    total = np.r_[np.uint64(0), np.cumsum(points.astype(np.uint64) * power[0, : len(points)], dtype=np.uint64)]
+    total = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum(np.multiply(points, power[0, : len(points)]), out=total[1:])
     return of, _mix((total[end] - total[start]) * power[1, start])
 
 
@@ -187,8 +195,10 @@ def _spelled_codes(texts: list[str]) -> tuple[np.ndarray]:
 def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The text's position and the hash of each word, as ``spelled`` has them."""
     points = np.frombuffer(" ".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    inside = np.r_[False, _TABLE[np.minimum(points, 0x24F)] != 0]
-    return _words(texts, points, np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:]))
+    inside = np.zeros(len(points) + 1, bool)
+    np.take(_INSIDE, points, mode="clip", out=inside[1:])
+    turn = np.flatnonzero(inside[1:] != inside[:-1])  # the last of all is a space
+    return _words(texts, points, turn[::2], turn[1::2])
 
 
 def _line(of: np.ndarray, word: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -335,7 +345,7 @@ def _trigrams(rounds: int, r: int, shards: int, hot: np.ndarray | None = None):
             return _dealt(shard, shards, 0, b, c, a, n)
 
         for batch in batches:
-            for _, texts in _chunks(batch):
+            for _, texts in _chunks(batch, SLICE):
                 line, _, top = _line(*hashed(texts), len(texts))
                 here = np.ones(len(line), bool)
                 here[top] = here[top + 1] = False
@@ -629,7 +639,7 @@ def _pack_texts(rounds: int, r: int, shards: int, hot: np.ndarray):
         for b in batches:
             row = b.column(1).to_numpy()
             held, first, size = [], 0, 0
-            for a, texts in _chunks(b):
+            for a, texts in _chunks(b, SLICE):
                 text, inner, one, two, three, _ = chain(*hashed(texts), len(texts))
                 last = _of_round(one, rounds, r)
                 before = np.r_[False, last[:-1]]

@@ -152,3 +152,23 @@ def test_rounds_change_nothing_and_leave_nothing(spark, monkeypatch):
         return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
     assert tables and not any(there(x) for x in tables if {"g", "w"} <= set(x.columns) or "h" in x.columns and "s" in x.columns)
+
+
+def test_trigrams_travel_in_blocks_and_those_of_a_frequent_word_in_many_shards(spark, monkeypatch):
+    """A block holds many trigrams, a word in the middle of half of them is in many shards, and weights do not depend
+    on which words count as frequent."""
+    texts = spark.createDataFrame([(" ".join(f"w{i * 7 % 90} the w{(i * j) % 80}" for j in range(30)),) for i in range(60)], "text string").coalesce(1)
+    k._DENSE["test"] = np.full(64**4, math.log(0.05), np.float32)
+    tally = k._tally
+    monkeypatch.setattr(k, "_tally", lambda model, name: _tally_with(tally, k._DENSE["test"]))
+    got = {}
+    for often in (1, 10, 10_000):
+        monkeypatch.setattr(k, "HOT_KEYS", often)
+        got[often] = sorted(k.weights(texts, None, "test")[0].collect())
+    assert got[1] == got[10] == got[10_000] and len(got[1]) > 2000
+    words, d, _, hot = k.singles(texts, None, "test")
+    blocks = k.round_weights(texts, words, d, hot).where("kind = 1").collect()
+    assert sum(r.n for r in blocks) > 5 * len(blocks)
+    the = k._pair(k.hashed(["the"])[1], k.hashed(["the"])[1], 1)
+    middle = lambda r: k._pair(*[k._unblock(r.body, r.n, k._UUUIID)[0]] * 2, 1)
+    assert len({r.shard for r in blocks if the[0] in middle(r)}) > 8
