@@ -814,7 +814,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
         x, y = g.toPandas(), h.toPandas()
         parts.append((x.g.to_numpy(np.int64), x.p.to_numpy(np.float64).astype(np.float32), y.h.to_numpy(np.int64), y.back.to_numpy(np.float64).astype(np.float32)))
     shared, name = spark.sparkContext.broadcast(parts), uuid.uuid4().hex
-    words, d, log_left, hot = singles(train, shared, name, rounds, shards)
+    # counts alone are made in a third of the rounds, so in more shards
+    words, d, log_left, hot = singles(train, shared, name, rounds, max(16, -(-size // (SHARD * -(-rounds // 3)))))
     row = F.xxhash64("doc_id", "text").alias("_row")  # rows that repeat share it, and their sums' quotient
     keyed = rows.select("text", row)
     total = lambda df: df.groupBy("_row").agg(F.sum("full").alias("full"), F.sum("others").alias("others"), F.sum("chars").alias("chars"))
