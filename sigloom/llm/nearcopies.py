@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, join_hot, quoted, share_code, stored, text_of
+from .common import discard, in_arrow, join_hot, quoted, share_code, stored, text_of
 from .components import components
 from .simhash import forest, majority, meet, shingle_hashes, tile_pairs
 
@@ -138,7 +138,7 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARI
     text: the rows that repeat it, its shingle set's name (a 64-bit hash) and that of its group."""
     spark = docs.sparkSession
     share_code(spark)
-    sketch = _identity(docs, text_of()).mapInArrow(_sketch(shingle), "doc_id long, text_hash long, set long, fp long, keys array<long>")
+    sketch = in_arrow(_identity(docs, text_of()), _sketch(shingle), "doc_id long, text_hash long, set long, fp long, keys array<long>")
     texts = stored(sketch.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"), *(F.min(c).alias(c) for c in ("set", "fp", "keys"))))
     values = stored(texts.groupBy("set").agg(F.min("fp").alias("fp"), F.min("keys").alias("keys"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("text_hash"))).alias("one"), F.count("*").alias("n")))
     rows = values.select(F.explode("keys").alias("key"), F.lit(0).alias("side"), "fp", F.col("set").alias("rep"))
@@ -148,18 +148,18 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARI
     member = coarse.select(F.col("u").alias("set"), F.col("v").alias("key")).unionByName(coarse.select(F.col("v").alias("set"), F.col("v").alias("key")).distinct())
     chosen = stored(member.join(values.select("set", "one"), "set").select(F.col("one.doc_id").alias("_i"), F.col("one.text_hash").alias("_t"), "key", F.col("set").alias("rep")))
     rows = _identity(docs, text_of())
-    rows = rows.join(chosen.hint("merge"), _same(rows, chosen)).select("key", "rep", "text").mapInArrow(_sets(shingle), "key long, rep long, own binary, weight long")
+    rows = in_arrow(rows.join(chosen.hint("merge"), _same(rows, chosen)).select("key", "rep", "text"), _sets(shingle), "key long, rep long, own binary, weight long")
     rows = stored(rows.dropDuplicates(["rep"]))
     large = stored(rows.groupBy("key").agg(F.sum("weight").alias("weight")).where(F.col("weight") > TILE_SHINGLES).select("key"))
     run, columns = _compare(similarity), ["key", "side", "rep", "own"]
     plain = rows.join(large.hint("merge"), "key", "left_anti").withColumn("side", F.lit(0))
-    links = plain.select(*columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long")
+    links = in_arrow(plain.select(*columns).repartition("key").sortWithinPartitions("key"), run, "u long, v long")
     if not large.isEmpty():
         # sets of a like size: those of classes further apart than one differ by more than the similarity allows
         like = F.floor(F.log(F.greatest("weight", F.lit(1))) / F.lit(-np.log(similarity))).cast("int")
         big = rows.join(large.hint("merge"), "key", "left_semi").select("key", like.alias("p"), "rep", "own", F.col("rep").alias("id"), F.greatest("weight", F.lit(1)).alias("weight"))
         units = tile_pairs(big, TILE_SHINGLES // 2, 1).select(*columns)
-        links = links.unionByName(units.repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long"))
+        links = links.unionByName(in_arrow(units.repartition("key").sortWithinPartitions("key"), run, "u long, v long"))
     root = components(links)
     sized = values.select("set", "n").join(root.select(F.col("u").alias("set"), F.col("v").alias("root")), "set", "left")
     sized = stored(sized.select("set", "n", F.coalesce("root", "set").alias("root")))

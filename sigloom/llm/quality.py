@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import quoted, share_code, text_of
+from .common import in_arrow, quoted, share_code, text_of
 
 #: Bytes of a batch's texts that share one suffix array; a longer text has one of its own. A task holds
 #: about 75 bytes for each code point of these; where all of a text repeats, about 220: 2.2 GB for 10 MB.
@@ -293,7 +293,7 @@ def measures(docs: DataFrame) -> DataFrame:
     and other cases see ``verdicts``."""
     share_code(docs.sparkSession)
     text = text_of().cast("binary").alias("text")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(_batches, SCHEMA)
+    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text), _batches, SCHEMA)
 
 
 def _verdict(m: DataFrame, min_words: int = 50, max_repeat: float = 0.5, max_covered: float = 0.35, max_longest: int = 1000, max_longest_share: float = 0.25) -> DataFrame:
@@ -328,7 +328,7 @@ def keep(docs: DataFrame, **limits: float) -> DataFrame:
     share_code(docs.sparkSession)
     names = docs.columns
     row = docs.select(F.struct(*map(quoted, names)).alias("row"), text_of().cast("binary").alias("text"))
-    passed = row.select("text", "row").mapInArrow(_beside, StructType([StructField("row", docs.schema), *(StructField(x.split()[0], LongType()) for x in SCHEMA.split(", ")[1:])]))
+    passed = in_arrow(row.select("text", "row"), _beside, StructType([StructField("row", docs.schema), *(StructField(x.split()[0], LongType()) for x in SCHEMA.split(", ")[1:])]))
     kept = _verdict(passed, **limits).where("kept")
     return kept.select(*(F.col("row").getField(n).alias(n) for n in names))
 

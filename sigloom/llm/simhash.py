@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, join_hot, share_code, stored, text_of
+from .common import discard, in_arrow, join_hot, share_code, stored, text_of
 from .components import components
 
 RADIUS = 3
@@ -73,7 +73,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``(doc_id, fp)``; fp holds the 64 bits as a signed long. Null text counts as empty: 0."""
     share_code(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of()).mapInArrow(_fingerprints, "doc_id long, fp long")
+    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of()), _fingerprints, "doc_id long, fp long")
 
 
 def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -188,11 +188,11 @@ def meet(rows: DataFrame, radius: int, hot: int = HOT, tile: int = HOT // 2) ->
     large = stored(rows.groupBy("key").count().where(F.col("count") > hot).select("key"))
     run, columns, count = linker(radius), ["key", "side", "fp", "rep"], F.bit_count("fp")
     plain = rows.join(large.hint("merge"), "key", "left_anti") if not large.isEmpty() else rows
-    out = plain.select(*columns).repartition("key").sortWithinPartitions("key", count).mapInArrow(run, "u long, v long")
+    out = in_arrow(plain.select(*columns).repartition("key").sortWithinPartitions("key", count), run, "u long, v long")
     if not large.isEmpty():
         big = rows.join(large.hint("merge"), "key", "left_semi").select("key", count.cast("int").alias("p"), "fp", "rep", F.col("rep").alias("id"), F.lit(1).alias("weight"))
         units = tile_pairs(big, tile, radius).select(*columns)
-        out = out.unionByName(units.repartition("key").sortWithinPartitions("key", count).mapInArrow(run, "u long, v long"))
+        out = out.unionByName(in_arrow(units.repartition("key").sortWithinPartitions("key", count), run, "u long, v long"))
     return out
 
 

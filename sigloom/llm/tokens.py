@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, share_code, stored, text_of, work_folder
+from .common import WORD, in_arrow, share_code, stored, text_of, work_folder
 
 MAGIC = b"SGLTOK01"
 BLOCK = 1 << 16
@@ -294,7 +294,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, vocabulary: int, end_i
     n = -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 1) // shard_bytes)
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    return stored(rows.mapInArrow(_writer(folder, path, bits_for(vocabulary), end_id), "shard long, n_docs long, n_ids long"))
+    return stored(in_arrow(rows, _writer(folder, path, bits_for(vocabulary), end_id), "shard long, n_docs long, n_ids long"))
 
 
 def _reader(folder: str):
@@ -321,7 +321,7 @@ def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
     share_code(manifest.sparkSession)
     along = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.where("n_docs > 0").select("shard", F.coalesce(F.sum("n_ids").over(along), F.lit(0)).cast("long").alias("before"))
-    return placed.repartition(max(manifest.count(), 1), "shard").mapInArrow(_reader(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return in_arrow(placed.repartition(max(manifest.count(), 1), "shard"), _reader(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def default_vocabulary() -> tuple[str, int]:
