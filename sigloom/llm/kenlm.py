@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import HOT_KEYS, discard, share_code, stored, text_of
+from .common import HOT_KEYS, discard, from_arrays, in_arrow, share_code, stored, text_of
 
 ORDER = 4
 BITS = 6
@@ -331,6 +331,7 @@ def _trigrams(rounds: int, r: int, shards: int, hot: np.ndarray | None = None):
     out by their last word and, if that is frequent or ``hot`` is not given, the middle word as well."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
         held, size = [], 0
 
         def packed():
@@ -444,7 +445,7 @@ _UUUI, _UUUIID, _UD, _UDI = ["u8", "u8", "u8", "i8"], ["u8", "u8", "u8", "i8", "
 
 
 def _by_shard(rows: DataFrame, run, schema: str) -> DataFrame:
-    return rows.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(run, schema)
+    return in_arrow(rows.repartition("shard").sortWithinPartitions("shard", "kind"), run, schema)
 
 
 class Frequent(NamedTuple):
@@ -461,7 +462,7 @@ def singles(texts: DataFrame, shared, name: str, rounds: int = 1, shards: int =
     """``texts(text)`` -> ``(g, p, w, c)`` of the single words, log probability, weight and count; the discounts of
     the three orders; the log share that single words leave to the base distribution; and the frequent words."""
     spark, have = texts.sparkSession, None
-    own = texts.select("text").mapInArrow(_tally(shared, name), _TALLY).groupBy("g").agg(F.min("q").alias("q"), F.sum("c").alias("c"))
+    own = in_arrow(texts.select("text"), _tally(shared, name), _TALLY).groupBy("g").agg(F.min("q").alias("q"), F.sum("c").alias("c"))
     own = kept(own)
     total = own.agg(F.sum("c")).first()[0] or 0
     often = own.where(F.col("c") * HOT_KEYS > total).select("g").toPandas().g.to_numpy(np.int64)
@@ -470,7 +471,7 @@ def singles(texts: DataFrame, shared, name: str, rounds: int = 1, shards: int =
     few = -(-rounds // 3)
     sums = ", ".join(f"{v} long" for v in _CONTINUATIONS)
     for r in range(few):
-        x = _by_shard(texts.select("text").mapInArrow(_trigrams(few, r, shards), _PACKED), _continuations(hot), sums)
+        x = _by_shard(in_arrow(texts.select("text"), _trigrams(few, r, shards), _PACKED), _continuations(hot), sums)
         x = x if have is None else x.unionByName(have)
         x, old = kept(x.groupBy("g").agg(*(F.sum(v).alias(v) for v in _CONTINUATIONS[1:]))), have
         if old is not None:
@@ -482,7 +483,7 @@ def singles(texts: DataFrame, shared, name: str, rounds: int = 1, shards: int =
     t = own.join(have.where("k > 0").select("g", "k"), "g")
     t = t.select("g", F.log(_less("k", d[0]) / F.lit(of["all"] or 1) + F.lit(left) * F.exp("q")).alias("p"), "q", "c")
     words = kept(t.select("g", "p", (F.col("p") - F.col("q") - F.lit(float(np.log(left)))).alias("w"), "c"))
-    known = spark.createDataFrame([(v,) for v in hot.view(np.int64).tolist()], "g long")
+    known = from_arrays(spark, g=hot.view(np.int64))
     x = have.join(F.broadcast(known), "g", "left_semi").toPandas().set_index("g").reindex(hot.view(np.int64), fill_value=0)
     p = words.join(F.broadcast(known), "g", "left_semi").select("g", "p").toPandas().set_index("g").reindex(hot.view(np.int64), fill_value=0.0).p.to_numpy()
     behind = [x[v].to_numpy(np.int64) for v in "amno"]
@@ -588,16 +589,15 @@ def round_weights(texts: DataFrame, words: DataFrame, d: list[tuple[float, float
     """Blocks, by shard, from which ``_weigh`` makes the weights of a round's n-grams: trigrams by their middle word,
     two words by their first, histories by their last, and the round's words."""
     spark = texts.sparkSession
-    tri = texts.select("text").mapInArrow(_trigrams(rounds, r, shards, hot.g), _PACKED)
-    tri = tri.unionByName(words.select("g", "p").mapInArrow(_pack_words(shards, 1, "g", "p"), _PACKED))
+    tri = in_arrow(texts.select("text"), _trigrams(rounds, r, shards, hot.g), _PACKED)
+    tri = tri.unionByName(in_arrow(words.select("g", "p"), _pack_words(shards, 1, "g", "p"), _PACKED))
     tri = _by_shard(tri, _lower(shards, d, hot), _PACKED)
     here = words.select("g", "w", "c")
     begun = np.flatnonzero(hot.all > 0)
     if len(begun):
-        rows = zip(hot.g[begun].view(np.int64).tolist(), hot.left[begun].tolist(), strict=True)
-        here = here.unionByName(spark.createDataFrame([(g, w, -1) for g, w in rows], "g long, w double, c long"))
+        here = here.unionByName(from_arrays(spark, g=hot.g[begun].view(np.int64), w=hot.left[begun], c=np.full(len(begun), -1)))
     here = here.where(F.pmod(F.shiftrightunsigned("g", _ROUND_BITS), F.lit(rounds)) == r)
-    return kept(tri.unionByName(here.mapInArrow(_pack_words(shards, 0, "g", "w", "c"), _PACKED)))
+    return kept(tri.unionByName(in_arrow(here, _pack_words(shards, 0, "g", "w", "c"), _PACKED)))
 
 
 def _weights(d: list[tuple[float, float, float]], hot: Frequent):
@@ -629,6 +629,8 @@ def _pack_texts(rounds: int, r: int, shards: int, hot: np.ndarray):
     words as the history of a third are ``~g``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
+
         def packed(ids):
             g, of, shard = (np.concatenate(v) for v in zip(*held, strict=True))
             order = np.argsort(g, kind="stable")  # texts of one n-gram are in order already
@@ -723,7 +725,7 @@ def _count(batches: Iterator[pa.RecordBatch], of=codes) -> Iterator[pa.RecordBat
 def counts(texts: DataFrame, of=codes) -> DataFrame:
     """``texts(text)`` -> ``(g, c)``, the count of each n-gram of characters of the highest order."""
     share_code(texts.sparkSession)
-    each = texts.select(text_of()).where(F.length("text") > 0).mapInArrow(partial(_count, of=of), "g long, c long")
+    each = in_arrow(texts.select(text_of()).where(F.length("text") > 0), partial(_count, of=of), "g long, c long")
     return each.groupBy("g").agg(F.sum("c").alias("c"))
 
 
@@ -760,10 +762,11 @@ def dense(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) ->
         rest = np.ones(SYMBOLS ** (n - 1), np.float32)
         rest[h] = back
         # the order below, at the history without its first symbol: its table once for each such symbol
-        now = np.repeat(rest, SYMBOLS) * (below if n == 1 else np.tile(below, SYMBOLS))
+        now = np.repeat(rest, SYMBOLS)
+        now.reshape(-1, len(below))[:] *= below
         now[g] += p.astype(np.float32)
         below = now
-    return np.log(np.maximum(below, 1e-12)).astype(np.float32)
+    return np.log(np.maximum(below, 1e-12, out=below), out=below)
 
 
 _DENSE: dict[str, np.ndarray] = {}
@@ -777,6 +780,12 @@ def _dense(model, name: str) -> np.ndarray:
     return _DENSE[name]
 
 
+def _forget() -> None:
+    """Free the worker's dense table, which no round needs. (Functions within functions are sent with copies of the
+    globals they name, so those cannot clear it themselves.)"""
+    _DENSE.clear()
+
+
 def quantiles(scored: DataFrame, q: float = QUANTILE, margin: float = MARGIN, least: int = MIN_TRUSTED) -> DataFrame:
     """``(lang, limit)`` from trusted rows ``(lang, nats)``, exact on a grid of 1/``GRID`` nats; the row of
     null language-and-all is ``(null, limit)`` with ``is_all`` set."""
@@ -819,10 +828,10 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     row = F.xxhash64("doc_id", "text").alias("_row")  # rows that repeat share it, and their sums' quotient
     keyed = rows.select("text", row)
     total = lambda df: df.groupBy("_row").agg(F.sum("full").alias("full"), F.sum("others").alias("others"), F.sum("chars").alias("chars"))
-    sums = kept(total(keyed.mapInArrow(_base(shared, name, log_left), _SUMS)))
+    sums = kept(total(in_arrow(keyed, _base(shared, name, log_left), _SUMS)))
     for r in range(rounds):
         table = round_weights(train, words, d, hot, shards, rounds, r)
-        met = _by_shard(table.unionByName(keyed.mapInArrow(_pack_texts(rounds, r, shards, hot.g), _PACKED)), _meet(d, hot), _SUMS)
+        met = _by_shard(table.unionByName(in_arrow(keyed, _pack_texts(rounds, r, shards, hot.g), _PACKED)), _meet(d, hot), _SUMS)
         now = kept(total(met.unionByName(sums)))
         discard(spark, table)
         discard(spark, sums)
