@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sigloom import catalog
 from sigloom.operators import aggregates, catalogs, joins, metrics, windows
 
 
@@ -45,6 +46,70 @@ def test_overlaps_lays_a_long_range_in_few_bins(spark):
     assert joins.overlaps(r, w, "k", 10, ["id"]).count() == 5000
 
 
+def shuffled(spark, df):
+    """Rows that ``df`` writes to shuffle files when it is run, and its rows."""
+    sc = spark.sparkContext
+
+    def stages():
+        sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        none = spark._jvm.java.util.ArrayList()
+        got = sc._jsc.sc().statusStore().stageList(none, False, False, sc._gateway.new_array(spark._jvm.double, 0), none)
+        return {x.stageId(): x.shuffleWriteRecords() for x in (got.apply(k) for k in range(got.size()))}
+
+    last = max(stages(), default=-1)
+    found = df.collect()
+    return sum(n for k, n in stages().items() if k > last), found
+
+
+@pytest.fixture
+def sized(spark):
+    """Spark sends no side of a join to all tasks because it is small, as with large tables."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _many_ranges(spark):
+    """5,000 ranges of 1 to 400 over 600 windows of 10, and the number of their pairs; some start before the first or behind the last window."""
+    r = spark.range(5000).select(F.lit("a").alias("k"), "id", (F.col("id") * 7919 % 6100 - 50).alias("lo"), (F.col("id") * 7919 % 6100 - 49 + F.col("id") % 400).alias("hi"))
+    w = spark.range(600).select(F.lit("a").alias("k"), F.col("id").alias("w"), (F.col("id") * 10).alias("start"), (F.col("id") * 10 + 10).alias("stop"))
+    spans = [(a := k * 7919 % 6100 - 50, a + 1 + k % 400) for k in range(5000)]
+    return r, w, sum(max(0, (min(b, 6000) + 9) // 10 - max(a, 0) // 10) for a, b in spans)
+
+
+def test_overlaps_shuffles_no_range_to_few_windows(spark, data, sized):
+    r, w, pairs = _many_ranges(spark)
+    n, found = shuffled(spark, joins.overlaps(r, w, "k", 10, ["id", "w"]))
+    assert len(found) == len(set(found)) == pairs and n < 2500  # copies of the windows
+    # of the query, event ids alone are shuffled, to be numbered; each range was sent once or twice
+    n, found = shuffled(spark, catalog.QUERIES["join_range_overlap"](spark, data))
+    events = spark.read.parquet(f"{data}/events.parquet").count()
+    assert found and n < 1.5 * events
+
+
+def test_overlaps_shuffles_a_range_once_to_many_windows(spark, monkeypatch, sized):
+    """Windows that are too many to be broadcast, with the same pairs: also for lengths that differ on both sides."""
+    r, w, pairs = _many_ranges(spark)
+    monkeypatch.setattr(joins, "MOST_BROADCAST", 599)
+    for n_windows in (None, 600):
+        n, found = shuffled(spark, joins.overlaps(r, w, "k", 10, ["id", "w"], n_windows))
+        assert len(found) == len(set(found)) == pairs
+        assert 5000 <= n < 5000 + 600 * 3 * 8  # windows: three bins of at most seven levels, and a few partial sums
+    monkeypatch.setattr(joins, "MOST_BROADCAST", -1)
+    test_overlaps_of_all_lengths_equal_all_pairs(spark)
+    test_overlaps_lays_a_long_range_in_few_bins(spark)
+
+
+def test_overlaps_of_the_longest_rows_that_a_long_holds(spark, monkeypatch):
+    r = [("a", k, a, b) for k, (a, b) in enumerate([(-(2**61), 2**61), (0, 2**62 + 5), (2**62, 2**62 + 1), (-5, 5), (2**62 + 4, 2**62 + 9)])]
+    want = sorted((x[1], y[1]) for x in r for y in r if x[2] < y[3] and x[3] > y[2])
+    for most in (100, -1):
+        monkeypatch.setattr(joins, "MOST_BROADCAST", most)
+        for bin_size in (1, 10, 250):
+            got = joins.overlaps(spark.createDataFrame(r, "k string, r long, lo long, hi long"), spark.createDataFrame(r, "k string, w long, start long, stop long"), "k", bin_size, ["r", "w"])
+            assert rows(got, "r", "w") == want
+
+
 def test_gather_keeps_order_and_repeats_and_refuses_what_is_not_there(spark):
     table = spark.createDataFrame([(0, "a"), (1, "b")], "row long, v string")
     want = spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "pos long, row long")
